@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, reputation
+from . import mixing, reputation, store, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,27 @@ FROM best JOIN low USING (host)
 """
 
 
+def token_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+END_ID = 2
+
+
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = store.new_path(spark, "token-ids")
+    token_output.write_tokens(_read(spark, sf_dir, "documents"), path, token_vocabulary(), END_ID)
+    return token_output.read_digests(spark, path)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_ids": op2_token_ids,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
 }
