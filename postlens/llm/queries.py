@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, reputation, store, token_output
+from . import mixing, ngram_join, reputation, store, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,12 +77,17 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_digests(spark, path)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_read(spark, sf_dir, "documents"), n=5, near=75)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_ids": op2_token_ids,
+    "op3_ngram_join": op3_ngram_join,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
 }
