@@ -14,6 +14,7 @@ are read, so further columns of any name do no harm.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import simple8b, store
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SHARD = "doc_id long, shard int, place long, before long, n_tokens long, words binary, block_starts array<int>"
 #: Two neighbouring blanks of any kind: there the cut at single spaces could fall inside a pre-token.
 _BLANKS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]{2}"
@@ -38,6 +39,7 @@ _spaced: dict[str, np.ndarray] = {}
 
 def tokenizer(path: str):
     if path not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of its own only add memory
         from tokenizers import Tokenizer
 
         _tokenizers[path] = found = Tokenizer.from_file(path)
