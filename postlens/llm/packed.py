@@ -1,8 +1,8 @@
 """Compact shuffle records: many (document, hash) entries in one binary value.
 
 A task collects entries, deals them over hash ranges ("buckets") and sends one
-blob for each bucket: the documents once each, and six bytes a hash. That is a
-third of what a row for each entry takes.
+blob for each bucket: the documents once each, and ``width`` bytes (4 to 8) a
+hash. That is a third of what a row for each entry takes.
 """
 
 from __future__ import annotations
@@ -12,18 +12,18 @@ import numpy as np
 HASH_BITS = 48
 
 
-def bucket_of(hash48: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hash48 >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+def bucket_of(key: np.ndarray, buckets: int, width: int = 6) -> np.ndarray:
+    return ((key >> np.uint64(8 * width - 32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def pack(hash48: np.ndarray, who: np.ndarray, note: np.ndarray, entry: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+def pack(key: np.ndarray, who: np.ndarray, note: np.ndarray, entry: np.ndarray, buckets: int, width: int = 6) -> list[tuple[int, bytes]]:
     """entry: for each hash the number of its document in ``who`` (64 bits) and ``note`` (32 bits)."""
-    if not len(hash48):
+    if not len(key):
         return []
-    bucket = bucket_of(hash48, buckets).astype(np.int64)
+    bucket = bucket_of(key, buckets, width).astype(np.int64)
     order = np.lexsort((entry, bucket))
-    hash48, entry, bucket = hash48[order], entry[order], bucket[order]
-    low = hash48.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    key, entry, bucket = key[order], entry[order], bucket[order]
+    low = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
     group = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (entry[1:] != entry[:-1])]))
     size = np.diff(np.append(group, len(entry)))
     cut = np.flatnonzero(np.concatenate([[True], bucket[group][1:] != bucket[group][:-1]]))
@@ -36,7 +36,7 @@ def pack(hash48: np.ndarray, who: np.ndarray, note: np.ndarray, entry: np.ndarra
     return out
 
 
-def unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpack(blobs: list[bytes], width: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """who, note and entry count of each document part, and all hashes in that order."""
     who, note, size, hashes = [], [], [], []
     for blob in blobs:
@@ -44,8 +44,8 @@ def unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         who.append(np.frombuffer(blob, "<i8", k, 8))
         note.append(np.frombuffer(blob, "<u4", k, 8 + 8 * k))
         size.append(np.frombuffer(blob, "<u4", k, 8 + 12 * k))
-        low = np.frombuffer(blob, np.uint8, offset=8 + 16 * k).reshape(-1, 6)
+        low = np.frombuffer(blob, np.uint8, offset=8 + 16 * k).reshape(-1, width)
         wide = np.zeros((len(low), 8), np.uint8)
-        wide[:, :6] = low
+        wide[:, :width] = low
         hashes.append(wide.view("<u8").reshape(-1))
     return tuple(np.concatenate(x) for x in (who, note, size, hashes))

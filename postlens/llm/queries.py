@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, reputation, store, token_output
+from . import mixing, ngram_join, reputation, store, substring_dedup, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_read(spark, sf_dir, "documents"), n=5, near=75)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).drop("repeats")
 
@@ -88,6 +93,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_ids": op2_token_ids,
     "op3_ngram_join": op3_ngram_join,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
 }
