@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, reputation, store, substring_dedup, token_output
+from . import language_id, mixing, ngram_join, reputation, store, substring_dedup, token_output, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,20 @@ FROM best JOIN low USING (host)
 """
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS kept FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM m
+"""
+
+
 def token_vocabulary() -> str:
     import public_tokenizers
 
@@ -90,14 +104,23 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = language_id.train(language_id.training_rows(docs))
+    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_token_ids": op2_token_ids,
     "op3_ngram_join": op3_ngram_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": OP1_SQL,
     "op6_url_filters": OP6_SQL,
 }
