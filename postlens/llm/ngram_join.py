@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ from . import components, packed, store
 from .words import Hasher, Texts, chunks
 
 HOT_SHARE = 0.01
+#: Bits of an n-gram's hash that are sent. Two different n-grams of two given sets are taken for one in 1e9 pairs once.
+HASH_BITS = 48
 FLUSH = 1_500_000
 
 
@@ -73,7 +76,7 @@ class _Gather:
         new = np.array([x not in self.seen and not self.seen.add(x) for x in who.tolist()], bool) & (size > 0)
         self.who.append(who[new])
         self.size.append(size[new])
-        self.grams.append(grams[np.repeat(new, size)] >> np.uint64(64 - packed.HASH_BITS))
+        self.grams.append(grams[np.repeat(new, size)] >> np.uint64(64 - HASH_BITS))
         self.held += len(self.grams[-1])
         return self.held >= FLUSH
 
@@ -112,72 +115,75 @@ def profiles(docs: DataFrame, n: int, seed: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(profile, "doc_id long, fp long, check long, n_shingles long, hot array<long>, times array<long>")
 
 
+#: What a row of the exchange holds: entries to count; a flush's documents; entries that are an answer.
+ENTRIES, DOCUMENTS, ANSWER = 0, 1, 2
+ROW = "bucket int, flush long, kind int, blob binary"
+
+
 def _shared(docs: DataFrame, n: int, seed: int, hot: np.ndarray, buckets: int, near: int) -> DataFrame:
     """``fp, n, keys``: each word sequence's n-grams that others have too, in rare-first order, if its prefix reaches one.
 
     A key is the n-gram's 48-bit hash below eight bits for its document frequency (in eighths of powers of two).
+    Copies in several flushes count as several documents, which moves them all alike in the order.
     """
     hot = np.sort(hot).astype(np.uint64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held = Hasher(seed), _Gather()
+        hasher, held, flush = Hasher(seed), _Gather(), TaskContext.get().partitionId() << 24
 
-        def send() -> pa.RecordBatch:
+        def send(flush: int) -> pa.RecordBatch:
             who, size, grams = held.take()
             entry = np.repeat(np.arange(len(who)), size)
             common = np.isin(grams, hot)
-            # a document's hot n-grams need no counting; they pass through a bucket as they are
-            spread = packed.bucket_of(who.view(np.uint64) >> np.uint64(16), buckets).astype(np.int64)
-            rows = [(-1 - int(spread[i]), x) for i, x in zip(*_by_entry(entry[common], grams[common], who, size))]
-            rows += packed.pack(grams[~common], who, size, entry[~common], buckets)
-            return pa.record_batch([pa.array([a if a >= 0 else -1 - a for a, _ in rows], pa.int32()), pa.array([a < 0 for a, _ in rows], pa.bool_()), pa.array([b for _, b in rows], pa.binary())], names=["bucket", "hot", "blob"])
+            home = flush % buckets  # what needs no counting only passes through a bucket
+            rows = [(home, DOCUMENTS, who.astype("<i8").tobytes() + size.astype("<i8").tobytes())]
+            rows.append((home, ANSWER, packed.pack_answer(grams[common] | np.uint64(255 << HASH_BITS), entry[common])))
+            rows += [(b, ENTRIES, blob) for b, blob in packed.pack_keys(grams[~common], entry[~common], None, buckets, HASH_BITS)]
+            return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([flush] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "flush", "kind", "blob"])
 
         for batch in batches:
             for t in chunks(batch.column("text"), hasher):
                 grams, size = ngram_sets(t, hasher, n)
                 if held.add(hasher.whole(t.word, t.at, 1).view(np.int64), grams, size):
-                    yield send()
-        yield send()
+                    yield send(flush)
+                    flush += 1
+        if held.held:
+            yield send(flush)
 
     def count(group: pa.Table) -> pa.Table:
-        is_hot = group.column("hot").to_numpy()
-        blobs = group.column("blob").to_pylist()
-        out = []
-        for kind in (False, True):
-            chosen = [b for b, h in zip(blobs, is_hot) if h == kind]
-            if not chosen:
-                continue
-            who, size, many, grams = packed.unpack(chosen)
-            once = np.zeros(len(who), bool)
-            once[np.unique(who, return_index=True)[1]] = True  # a copy's part from another task says the same
-            owner = np.repeat(np.arange(len(who)), many)
-            keep = once[owner]
-            grams, owner = grams[keep], owner[keep]
-            if kind:
-                rank = np.full(len(grams), 255, np.uint64)
-            else:
-                _, inverse, times = np.unique(grams, return_inverse=True, return_counts=True)
-                times = times[inverse]
-                grams, owner, times = grams[times > 1], owner[times > 1], times[times > 1]
-                rank = np.minimum(254, np.floor(8 * np.log2(times))).astype(np.uint64)
-            keys = ((rank << np.uint64(packed.HASH_BITS)) | grams).astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(keys)).astype(np.int32)), pa.array(keys))
-            out.append(pa.table({"fp": who[owner[first]], "n": size[owner[first]].astype(np.int64), "keys": lists}))
-        return pa.concat_tables(out)
-
-    dealt = docs.select("text").mapInArrow(deal, "bucket int, hot boolean, blob binary")
-    parts = dealt.groupBy("bucket").applyInArrow(count, "fp long, n long, keys array<long>")
-    whole = parts.groupBy("fp").agg(F.first("n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys"))
-    return whole.where(F.col("n") - F.size("keys") < _prefix(F.col("n"), near))
-
-
-def _by_entry(entry: np.ndarray, grams: np.ndarray, who: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """One blob for each document that has entries."""
-    order = np.argsort(entry, kind="stable")
-    docs, first = np.unique(entry[order], return_index=True)
-    parts = np.split(grams[order], first[1:]) if len(docs) else []
-    return docs, [packed.pack(x, who[[d]], size[[d]], np.zeros(len(x), np.int64), 1)[0][1] for d, x in zip(docs, parts)]
+        kind, flush = group.column("kind").to_numpy(), group.column("flush").to_numpy()
+        mine = kind == ENTRIES
+        blobs = group.column("blob").filter(pa.array(mine)).to_pylist()
+        grams, entry, _, part = packed.unpack_keys(blobs, group.column("bucket")[0].as_py(), buckets, HASH_BITS)
+        order = np.argsort(grams, kind="stable")
+        grams = grams[order]
+        begin = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+        times = np.diff(np.append(begin, len(grams)))
+        times = np.repeat(times, times)
+        again = times > 1
+        rank = np.minimum(254, np.floor(8 * np.log2(times[again]))).astype(np.uint64)
+        keys, order = (rank << np.uint64(HASH_BITS)) | grams[again], order[again]
+        entry, part = entry[order], part[order]
+        by_part = np.argsort(part, kind="stable")
+        parts, first = np.unique(part[by_part], return_index=True)
+        answers = [packed.pack_answer(keys[x], entry[x]) for x in np.split(by_part, first[1:])] if len(parts) else []
+        passed = group.filter(pa.array(~mine)).select(["flush", "kind", "blob"])
+        return pa.concat_tables([pa.table({"flush": flush[mine][parts], "kind": np.full(len(parts), ANSWER, np.int32), "blob": pa.array(answers, pa.binary())}), passed.cast(pa.schema([("flush", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())]))])
+
+    def gather(group: pa.Table) -> pa.Table:
+        kind = group.column("kind").to_numpy()
+        of = lambda k: group.column("blob").filter(pa.array(kind == k)).to_pylist()
+        who, size = np.frombuffer(of(DOCUMENTS)[0], "<i8").reshape(2, -1)
+        keys, entry = packed.unpack_answers(of(ANSWER))
+        have = np.bincount(entry, minlength=len(who))
+        open_ = size - have < size - -(-size * near // 100) + 1
+        kept = open_[entry]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(have[open_])]).astype(np.int32)), pa.array(keys[kept].astype(np.int64)))
+        return pa.table({"fp": who[open_], "n": size[open_], "keys": lists})
+
+    dealt = docs.select("text").mapInArrow(deal, ROW)
+    answers = dealt.groupBy("bucket").applyInArrow(count, "flush long, kind int, blob binary")
+    return answers.groupBy("flush").applyInArrow(gather, "fp long, n long, keys array<long>").dropDuplicates(["fp"])
 
 
 def _prefix(n: Column, near: int) -> Column:
@@ -191,7 +197,7 @@ def _prefixes(shared: DataFrame, near: int) -> DataFrame:
     ``ranges`` counts a set's keys in four ranges of the hash, sixteen bits each, for the suffix filter.
     """
     alone = F.col("n") - F.size("keys")
-    count = lambda r: F.least(F.lit(65535), F.size(F.filter("keys", lambda k: F.shiftright(k, packed.HASH_BITS - 2).bitwiseAND(3) == r))).cast("long")
+    count = lambda r: F.least(F.lit(65535), F.size(F.filter("keys", lambda k: F.shiftright(k, HASH_BITS - 2).bitwiseAND(3) == r))).cast("long")
     ranges = count(0)
     for r in (1, 2, 3):
         ranges = ranges.bitwiseOR(F.shiftleft(count(r), 16 * r)) if r < 3 else ranges.bitwiseOR(F.shiftleft(F.least(count(r), F.lit(32767)), 48))
@@ -267,7 +273,7 @@ def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0)
     total = prints.count()
     often = both.where("n_shingles IS NULL").select(F.explode(F.arrays_zip("hot", "times")).alias("x")).groupBy("x.hot").agg(F.sum("x.times").alias("times"))
     hot = [r[0] for r in often.where(F.col("times") >= max(16, HOT_SHARE * total / 2)).select("hot").toLocalIterator()]
-    buckets = min(60_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = store.table(_shared(docs, n, seed, np.array(hot, np.int64), buckets, near), "shared")
     store.release(spark)
     groups = links_and_groups(shared, near)

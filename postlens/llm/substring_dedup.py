@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,13 @@ from . import packed, store
 from .words import Hasher, Texts, chunks
 
 FLUSH = 1_500_000
+#: Bits of the anchors' hashes that are sent; the windows' own are sent whole.
+HASH_BITS = 48
 LAST = (1 << 63) - 1
-DEALT = "bucket int, blob binary, doc long, keys array<long>, n_words long, fp long, check long"
-_TYPES = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("doc", pa.int64()), ("keys", pa.list_(pa.int64())), ("n_words", pa.int64()), ("fp", pa.int64()), ("check", pa.int64())])
+#: Rows of a level: entries to compare, the same of keys that their task has seen twice, a flush's documents, an answer, a document.
+ENTRIES, REPEATED, DOCUMENTS, ANSWER, PROFILE = range(5)
+DEALT = "kind int, bucket int, flush long, blob binary, doc long, n_words long, fp long, check long"
+_TYPES = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("flush", pa.int64()), ("blob", pa.binary()), ("doc", pa.int64()), ("n_words", pa.int64()), ("fp", pa.int64()), ("check", pa.int64())])
 
 
 def levels(window: int) -> tuple[int, ...]:
@@ -53,7 +58,7 @@ def anchors(word: np.ndarray, hasher: Hasher, run: int, window: int) -> np.ndarr
     All 64 bits for the window itself, which decides; 48 for shorter runs, which
     only choose what is looked at again.
     """
-    least = hasher.runs(word, run) >> np.uint64(0 if run == window else 64 - packed.HASH_BITS)
+    least = hasher.runs(word, run) >> np.uint64(0 if run == window else 64 - HASH_BITS)
     want, have = window - run + 1, 1
     while have < want:
         step = min(have, want - have)
@@ -91,8 +96,9 @@ def _lists(owner: np.ndarray, key: np.ndarray, who: np.ndarray) -> tuple[np.ndar
 class _Sender:
     """Holds (document, key) entries of a task and sends them, settling what is repeated here."""
 
-    def __init__(self, buckets: int, last: bool):
+    def __init__(self, buckets: int, last: bool, flush: int | None = None):
         self.buckets, self.last = buckets, last
+        self.flush = TaskContext.get().partitionId() << 24 if flush is None else flush
         self.who, self.owner, self.key, self.docs, self.held = [], [], [], 0, 0
 
     def add(self, who: np.ndarray, owner: np.ndarray, key: np.ndarray) -> bool:
@@ -103,32 +109,29 @@ class _Sender:
         self.held += len(key)
         return self.held >= FLUSH
 
-    def send(self) -> pa.RecordBatch:
-        who = np.concatenate([np.zeros(0, np.int64), *self.who])
-        owner = np.concatenate([np.zeros(0, np.int64), *self.owner])
-        key = np.concatenate([np.zeros(0, np.uint64), *self.key])
-        self.__init__(self.buckets, self.last)
+    def send(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        flush, who = self.flush, np.concatenate(self.who)
+        owner, key = np.concatenate(self.owner), np.concatenate(self.key)
+        self.__init__(self.buckets, self.last, flush + 1)
         order = np.lexsort((who[owner], key))
         owner, key = owner[order], key[order]
         first = np.ones(len(key), bool)
         first[1:] = key[1:] != key[:-1]
-        begin = np.flatnonzero(first)
-        least = who[owner][begin][np.cumsum(first) - 1] if len(key) else who[:0]
-        times = np.diff(np.append(begin, len(key)))
-        repeated = np.repeat(times > 1, times)
-        settled = who[owner] > least if self.last else repeated
-        rows = []
-        for flag in (False, True):
+        begin, number = np.flatnonzero(first), np.cumsum(first) - 1
+        repeated = (np.diff(np.append(begin, len(key))) > 1)[number]
+        settled = who[owner] > who[owner][begin][number] if self.last else repeated
+        rows = [(DOCUMENTS, None, who.astype("<i8").tobytes()), (ANSWER, None, packed.pack_answer(key[settled], owner[settled]))]
+        for kind, flag in ((ENTRIES, False), (REPEATED, True)):
             sent = first & (repeated == flag)
-            rows += packed.pack(key[sent], who, np.full(len(who), flag, np.uint32), owner[sent], self.buckets, 8 if self.last else 6)
-        by_doc = np.argsort(owner[settled], kind="stable")
-        doc, keys = _lists(owner[settled][by_doc], key[settled][by_doc], who)
-        n, m = len(rows), len(doc)
-        return pa.record_batch(
-            [pa.array([a for a, _ in rows] + [None] * m, pa.int32()), pa.array([b for _, b in rows] + [None] * m, pa.binary()), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(doc)]), pa.concat_arrays([pa.nulls(n, _TYPES.field("keys").type), keys.cast(_TYPES.field("keys").type)])]
-            + [pa.nulls(n + m, pa.int64())] * 3,
-            schema=_TYPES,
-        )
+            rows += [(kind, b, blob) for b, blob in packed.pack_keys(key[sent], owner[sent], who[owner[sent]] if self.last else None, self.buckets, _bits(self.last))]
+        n = len(rows)
+        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([flush] * n, pa.int64()), pa.array([r[2] for r in rows], pa.binary()), *[pa.nulls(n, pa.int64())] * 4], schema=_TYPES)
+
+
+def _bits(last: bool) -> int:
+    return 64 if last else HASH_BITS
 
 
 def _first_level(window: int, buckets: int, seed: int):
@@ -143,14 +146,14 @@ def _first_level(window: int, buckets: int, seed: int):
                 who = docs[t.rows]
                 fp, check = (hasher.whole(t.word, t.at, salt).view(np.int64) for salt in (1, 2))
                 n = len(who)
-                yield pa.record_batch([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(who), pa.nulls(n, _TYPES.field("keys").type), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
+                yield pa.record_batch([pa.array(np.full(n, PROFILE, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(who), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
                 new = np.array([x not in seen and not seen.add(x) for x in fp.tolist()], bool)
                 place, owner = _places(t, window)
                 place, owner = place[new[owner]], owner[new[owner]]
                 if sender.add(who, *_distinct(owner, anchors(t.word, hasher, run, window)[place])):
-                    yield sender.send()
+                    yield from sender.send()
                     seen = set()
-        yield sender.send()
+        yield from sender.send()
 
     return deal
 
@@ -168,8 +171,8 @@ def _next_level(window: int, level: int, buckets: int, seed: int):
                 open_ = _member(anchors(t.word, hasher, runs[level - 1], window)[place], owner, kept.slice(int(t.rows[0]), len(t.rows)))
                 place, owner = place[open_], owner[open_]
                 if sender.add(docs[t.rows], *_distinct(owner, anchors(t.word, hasher, runs[level], window)[place])):
-                    yield sender.send()
-        yield sender.send()
+                    yield from sender.send()
+        yield from sender.send()
 
     return deal
 
@@ -187,35 +190,46 @@ def _member(key: np.ndarray, owner: np.ndarray, lists: pa.Array) -> np.ndarray:
     return out
 
 
-def _settle(last: bool):
+def _settle(last: bool, buckets: int):
     """In a bucket: which documents' keys are repeated (last: held by a smaller document too)."""
 
     def settle(group: pa.Table) -> pa.Table:
-        doc, flag, many, key = packed.unpack(group.column("blob").to_pylist(), 8 if last else 6)
-        part = np.repeat(np.arange(len(doc)), many)
-        order = np.lexsort((doc[part], key))
-        part, key = part[order], key[order]
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
+        flush, known = group.column("flush").to_numpy(), group.column("kind").to_numpy() == REPEATED
+        key, entry, doc, part = packed.unpack_keys(group.column("blob").to_pylist(), group.column("bucket")[0].as_py(), buckets, _bits(last))
+        order = np.lexsort((doc, key))
+        key, entry, doc, part = key[order], entry[order], doc[order], part[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]])
         begin, number = np.flatnonzero(first), np.cumsum(first) - 1
         if last:
-            found = doc[part] > doc[part][begin][number]
-        else:
+            found = doc > doc[begin][number]
+        else:  # of what it has seen twice a task has told its documents already
             times = np.diff(np.append(begin, len(key)))
-            known = np.maximum.reduceat(flag[part], begin)
-            found = ((times > 1) | (known > 0))[number] & (flag[part] == 0)  # what is flagged its task knows
-        part, key = part[found], key[found]
-        order = np.argsort(part, kind="stable")
-        out, keys = _lists(part[order], key[order], doc)
-        return pa.table({"doc": out, "keys": keys})
+            found = ((times > 1) | np.logical_or.reduceat(known[part], begin))[number] & ~known[part]
+        key, entry, part = key[found], entry[found], part[found]
+        by_part = np.argsort(part, kind="stable")
+        parts, at = np.unique(part[by_part], return_index=True)
+        answers = [packed.pack_answer(key[x], entry[x]) for x in np.split(by_part, at[1:])] if len(parts) else []
+        return pa.table({"flush": flush[parts], "kind": np.full(len(parts), ANSWER, np.int32), "blob": pa.array(answers, pa.binary())})
 
     return settle
 
 
-def _survivors(dealt: DataFrame, last: bool) -> DataFrame:
-    """``doc, keys``, a few rows a document."""
-    by_bucket = dealt.where("bucket IS NOT NULL").select("bucket", "blob").groupBy("bucket").applyInArrow(_settle(last), "doc long, keys array<long>")
-    return by_bucket.union(dealt.where("keys IS NOT NULL").select("doc", "keys"))
+def _answers(group: pa.Table) -> pa.Table:
+    """A flush's documents with their keys."""
+    kind = group.column("kind").to_numpy()
+    of = lambda k: group.column("blob").filter(pa.array(kind == k)).to_pylist()
+    who = np.frombuffer(of(DOCUMENTS)[0], "<i8")
+    key, entry = packed.unpack_answers(of(ANSWER))
+    doc, keys = _lists(*_distinct(entry, key), who)
+    return pa.table({"doc": doc, "keys": keys})
+
+
+def _survivors(dealt: DataFrame, last: bool, buckets: int) -> DataFrame:
+    """``doc, keys``, a row a document of each flush."""
+    entries = dealt.where(F.col("kind").isin(ENTRIES, REPEATED)).select("bucket", "flush", "kind", "blob")
+    told = entries.groupBy("bucket").applyInArrow(_settle(last, buckets), "flush long, kind int, blob binary")
+    rows = told.union(dealt.where(F.col("kind").isin(DOCUMENTS, ANSWER)).select("flush", "kind", "blob"))
+    return rows.groupBy("flush").applyInArrow(_answers, "doc long, keys array<long>")
 
 
 def _finish(window: int, seed: int):
@@ -267,9 +281,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
-    buckets = min(60_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = store.table(keyed.mapInArrow(_first_level(window, buckets, seed), DEALT), "level")
-    profile = first.where("fp IS NOT NULL").select("doc", "n_words", "fp", "check")
+    profile = first.where(F.col("kind") == PROFILE).select("doc", "n_words", "fp", "check")
     prints = profile.groupBy("fp").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))
     prints = store.table(prints, "prints")
     if prints.where("clash").limit(1).count():  # two sequences, one fingerprint: 1 in 2**64 for a pair
@@ -278,7 +292,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
     originals = prints.select(F.col("first").alias("doc")).distinct()
     dealt, runs = first, levels(window)
     for level in range(1, len(runs)):
-        open_ = _survivors(dealt, last=False).groupBy("doc").agg(F.flatten(F.collect_list("keys")).alias("keys")).join(originals, "doc", "left_semi")
+        open_ = _survivors(dealt, False, buckets).groupBy("doc").agg(F.flatten(F.collect_list("keys")).alias("keys")).join(originals, "doc", "left_semi")
         joined = keyed.join(open_, "doc")
         new = store.table(joined.mapInArrow(_next_level(window, level, buckets, seed), DEALT), "level")
         if level > 1:
@@ -286,7 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
         dealt = new
         store.release(spark)
     none = F.array().cast("array<long>")
-    marks = _survivors(dealt, last=True).select("doc", none.alias("fp"), "keys").union(copies.select("doc", F.array("fp"), none))
+    marks = _survivors(dealt, True, buckets).select("doc", none.alias("fp"), "keys").union(copies.select("doc", F.array("fp"), none))
     marks = store.table(marks.groupBy("doc").agg(F.flatten(F.collect_list("keys")).alias("keys"), F.flatten(F.collect_list("fp")).alias("copies")), "marks")
     store.drop(spark, dealt)
     store.release(spark)
