@@ -19,7 +19,15 @@ ESCAPE = 15
 #: Values to a word for selectors 1 to 14 (fixed values of the format).
 COUNT = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 BITS = np.array([0, *(60 // COUNT[1:15]), 64])
-_EDGES = np.array([1 << b for b in range(64)], np.uint64)
+
+
+def _bit_length(x: np.ndarray) -> np.ndarray:
+    """Bits that each value needs, one at least: a double's exponent, of the upper half where that is not 0."""
+    high, low = x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)
+    if not high.any():
+        return np.maximum(1, (low.astype(np.float64).view(np.int64) >> 52) - 1022)
+    part = np.where(high > 0, high, low).astype(np.float64)
+    return np.where(high > 0, 32, 0) + np.maximum(1, (part.view(np.int64) >> 52) - 1022)
 
 
 def encode(values: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,7 +51,7 @@ def encode(values: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
     table = np.zeros((total, width), np.uint64)
     table[inside] = values[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
     need = np.full((total, width + 60), 255, np.uint8)
-    need[:, :width][inside] = np.maximum(1, np.searchsorted(_EDGES, table[inside], side="right"))
+    need[:, :width][inside] = _bit_length(table[inside])
     most = need[:, :width].copy()
     choice = np.where(most <= 60, 14, ESCAPE).astype(np.uint8)
     for n in range(2, 61):
@@ -54,17 +62,16 @@ def encode(values: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if n in COUNT:
             choice[fits] = int(np.flatnonzero(COUNT == n)[0])
     at, live, steps = np.zeros(total, np.int64), np.arange(total), []
+    words_of, flat_choice = np.zeros(total, np.int64), choice.reshape(-1)
     while len(live):
-        chosen = choice[live, at[live]]
-        steps.append((live, at[live], chosen))
+        chosen = flat_choice[live * width + at[live]]
+        steps.append((live, at[live], chosen, words_of[live]))
         at[live] += COUNT[chosen]
+        words_of[live] += 1 + (chosen == ESCAPE)
         live = live[at[live] < size[live]]
-    row, col, chosen = (np.concatenate(x) for x in zip(*steps))
-    order = np.lexsort((col, row))
-    row, col, chosen = row[order], col[order], chosen[order].astype(np.int64)
-    takes = 1 + (chosen == ESCAPE)
-    to = np.cumsum(takes) - takes
-    words = np.zeros(int(takes.sum()), np.uint64)
+    row, col, chosen, to = (np.concatenate(x) for x in zip(*steps))
+    to = to + (np.cumsum(words_of) - words_of)[row]
+    words = np.zeros(int(words_of.sum()), np.uint64)
     flat, start = table.reshape(-1), row * width + col
     for s in range(1, 15):
         here = np.flatnonzero(chosen == s)
@@ -76,7 +83,7 @@ def encode(values: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
     here = np.flatnonzero(chosen == ESCAPE)
     words[to[here]] = np.uint64(ESCAPE) << np.uint64(60)
     words[to[here] + 1] = flat[start[here]]
-    return words, np.bincount(row, weights=takes, minlength=total).astype(np.int64), blocks
+    return words, words_of, blocks
 
 
 def decode(words: np.ndarray) -> np.ndarray:

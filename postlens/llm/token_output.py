@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from . import simple8b, store
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
+#: Pieces that a worker remembers the ids of (a slice's more at most).
+CACHED = 400_000
 SHARD = "doc_id long, shard int, place long, before long, n_tokens long, words binary, block_starts array<int>"
 #: Two neighbouring blanks of any kind: there the cut at single spaces could fall inside a pre-token.
 _BLANKS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]{2}"
@@ -35,6 +37,7 @@ _BLANK = _BLANKS.removesuffix("{2}")
 _BLANK_EDGE = f"^{_BLANK}|{_BLANK}$|^$"
 _tokenizers: dict[str, object] = {}
 _spaced: dict[str, np.ndarray] = {}
+_pieces: dict[str, _Pieces] = {}
 
 
 def tokenizer(path: str):
@@ -62,25 +65,44 @@ def _begins_piece(path: str) -> np.ndarray:
     return _spaced[path]
 
 
-def _ids_of_pieces(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, and count and first place of each piece; each (it has no spaces) follows a space.
+class _Pieces:
+    """Ids of pieces (without spaces) that each follow a space; the first CACHED of a worker are remembered.
 
     Most are encoded as long lines of pieces; a token that starts with a space
     begins the next piece. Those that a blank begins or ends go one by one.
     """
-    alone = pc.match_substring_regex(pieces, _BLANK_EDGE).to_numpy(zero_copy_only=False)
-    listed = pieces.to_pylist()
-    joined, single = np.flatnonzero(~alone), np.flatnonzero(alone)
-    lines = [" " + " ".join([listed[i] for i in joined[k : k + 4096]]) for k in range(0, len(joined), 4096)]
-    ids, _ = _ids_of(lines, path)
-    start = np.flatnonzero(_begins_piece(path)[ids])
-    if len(start) != len(joined):
-        raise ValueError("this tokenizer's pieces don't begin at its tokens with a space")
-    more, more_count = _ids_of([" " + listed[i] for i in single], path)
-    count, begin = np.zeros(len(listed), np.int64), np.zeros(len(listed), np.int64)
-    count[joined], begin[joined] = np.diff(np.append(start, len(ids))), start
-    count[single], begin[single] = more_count, len(ids) + np.cumsum(more_count) - more_count
-    return np.concatenate([ids, more]), count, begin
+
+    def __init__(self, path: str):
+        self.path, self.number = path, {}
+        self.ids, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _encode(self, pieces: list[str], alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        joined, single = [x for x, a in zip(pieces, alone) if not a], np.flatnonzero(alone)
+        ids, _ = _ids_of([" " + " ".join(joined[k : k + 4096]) for k in range(0, len(joined), 4096)], self.path)
+        start = np.flatnonzero(_begins_piece(self.path)[ids])
+        if len(start) != len(joined):
+            raise ValueError("this tokenizer's pieces don't begin at its tokens with a space")
+        more, more_count = _ids_of([" " + pieces[i] for i in single], self.path)
+        # in the order of the pieces, those encoded alone put in between
+        count = np.zeros(len(pieces), np.int64)
+        count[~alone], count[alone] = np.diff(np.append(start, len(ids))), more_count
+        out, is_alone = np.zeros(int(count.sum()), np.uint32), np.repeat(alone, count)
+        out[~is_alone], out[is_alone] = ids, more
+        return out, count
+
+    def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and count and first place of each piece."""
+        listed = pieces.to_pylist()
+        at = np.fromiter((self.number.get(x, -1) for x in listed), np.int64, len(listed))
+        new = np.flatnonzero(at < 0)
+        alone = pc.match_substring_regex(pieces.take(pa.array(new)), _BLANK_EDGE).to_numpy(zero_copy_only=False)
+        ids, count = self._encode([listed[i] for i in new], alone)
+        at[new] = len(self.count) + np.arange(len(new))
+        all_ids, all_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        if len(self.number) < CACHED:
+            self.number.update((listed[i], int(at[i])) for i in new)
+            self.ids, self.count = all_ids, all_count
+        return all_ids, all_count[at], (np.cumsum(all_count) - all_count)[at]
 
 
 def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +122,9 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     lead = np.ones(len(index), bool)
     lead[np.cumsum(per_text) - per_text] = False  # a text's first piece has no space before it
     bare = np.unique(index[~lead])
-    ids, count, begin = _ids_of_pieces(distinct, path)
+    if path not in _pieces:
+        _pieces[path] = _Pieces(path)
+    ids, count, begin = _pieces[path](distinct)
     more, more_count = _ids_of(distinct.take(pa.array(bare)).to_pylist(), path)
     begin = np.concatenate([begin, len(ids) + np.cumsum(more_count) - more_count])
     ids, count = np.concatenate([ids, more]), np.concatenate([count, more_count])
