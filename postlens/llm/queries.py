@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, ngram_join, reputation, store, substring_dedup, token_output, topk, warc
+from . import decontaminate, language_id, mixing, ngram_join, reputation, store, substring_dedup, token_output, topk, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +124,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only documents that hold a benchmark passage have rows: one for each item."""
+    return decontaminate.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_ids": op2_token_ids,
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
