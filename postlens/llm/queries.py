@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, ngram_join, reputation, store, substring_dedup, token_output, topk, warc
+from . import decontaminate, language_id, mixing, ngram_join, reputation, secrets, store, substring_dedup, token_output, topk, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +129,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document; a document's path is its source."""
+    model = secrets.train(secrets.example_findings(spark))
+    return secrets.scan(_read(spark, sf_dir, "documents"), model, path="source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_ids": op2_token_ids,
@@ -139,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {
