@@ -135,7 +135,7 @@ def _shared(docs: DataFrame, n: int, seed: int, hot: np.ndarray, buckets: int, n
             who, size, grams = held.take()
             entry = np.repeat(np.arange(len(who)), size)
             common = np.isin(grams, hot)
-            home = flush % buckets  # what needs no counting only passes through a bucket
+            home = hash((flush >> 24, flush & 0xFFFFFF)) % buckets  # what needs no counting only passes through a bucket
             rows = [(home, DOCUMENTS, who.astype("<i8").tobytes() + size.astype("<i8").tobytes())]
             rows.append((home, ANSWER, packed.pack_answer(grams[common] | np.uint64(255 << HASH_BITS), entry[common])))
             rows += [(b, ENTRIES, blob) for b, blob in packed.pack_keys(grams[~common], entry[~common], None, buckets, HASH_BITS)]
@@ -238,8 +238,8 @@ def _pair() -> list[Column]:
     return [F.least("x_fp", "y_fp").alias("a"), F.greatest("x_fp", "y_fp").alias("b")]
 
 
-def links_and_groups(shared: DataFrame, near: int) -> DataFrame:
-    """``fp, group`` for all word sequences that are linked with another one."""
+def links_and_groups(shared: DataFrame, near: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``fp, group`` for all word sequences that are linked with another one, and the working tables that can go."""
     rows = store.table(_prefixes(shared, near), "prefixes")
     # the most typical document of an n-gram: the smallest share of n-grams that no other has
     typical = rows.groupBy("key").agg(F.min(F.struct((F.col("alone") / F.col("n")).alias("share"), "fp", "n", "alone", "ranges", "place")).alias("y"), F.count("*").alias("many")).where("many > 1")
@@ -255,7 +255,8 @@ def links_and_groups(shared: DataFrame, near: int) -> DataFrame:
     rest = x.join(y, "key").where((F.col("x_group") < F.col("y_group")) & _may_link(near)).select(*_pair()).distinct()
     rest = store.table(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
     more = store.table(_verify(rest, shared, near).union(links), "links")
-    return components.connected_components(more).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    found = components.connected_components(more).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    return found, [rows, tried, links, groups, named, open_, rest, more]
 
 
 def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0) -> DataFrame:
@@ -276,10 +277,11 @@ def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0)
     buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = store.table(_shared(docs, n, seed, np.array(hot, np.int64), buckets, near), "shared")
     store.release(spark)
-    groups = links_and_groups(shared, near)
+    groups, spent = links_and_groups(shared, near)
     named = prints.join(groups, "fp", "left").select("fp", "first", "copies", F.coalesce("group", "fp").alias("group"))
     least = named.groupBy("group").agg(F.min("first").alias("component_id"))
     named = store.table(named.join(least, "group").select("fp", "copies", "component_id"), "named")
+    store.drop(spark, shared, prints, *spent)
     return known.join(named, "fp", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("copies", F.lit(1)).alias("copies")
     )
