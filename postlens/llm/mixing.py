@@ -90,6 +90,28 @@ def _thresholds(docs: DataFrame, targets: DataFrame) -> DataFrame:
     return state
 
 
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+
+
+def _hashes() -> list[Column]:
+    return [h.alias(f"_h{k}") for k, h in enumerate(document_hash())]
+
+
+def _marks(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
+    """A row for each source: target, whole repeats and hash threshold."""
+    targets = store.table(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
+    return _thresholds(sized, targets).select(F.col("source").alias("_s"), "source_size", "target", "_whole", *[f"_t{k}" for k in range(len(STEPS))])
+
+
+def _repeats(cap: float) -> Column:
+    below, equal = F.lit(False), F.lit(True)
+    for k in range(len(STEPS)):
+        below = below | (equal & (F.col(f"_h{k}") < F.col(f"_t{k}")))
+        equal = equal & (F.col(f"_h{k}") == F.col(f"_t{k}"))
+    return (F.col("_whole") + F.when((below | equal) & (F.col("_whole") < F.lit(cap)), 1).otherwise(0)).cast("int")
+
+
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0) -> DataFrame:
     """How often the mix takes each document.
 
@@ -97,17 +119,17 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), c
     text, in all texts of its source, the source's target, the times the mix
     repeats the document (0 to ``cap``), and ``repeats * size``.
     """
-    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), *[h.alias(f"_h{k}") for k, h in enumerate(document_hash())])
-    sized = store.table(sized, "mix-sizes")
-    targets = store.table(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
-    marks = _thresholds(sized, targets).select(F.col("source").alias("_s"), "source_size", "target", "_whole", *[f"_t{k}" for k in range(len(STEPS))])
-    below, equal = F.lit(False), F.lit(True)
-    for k in range(len(STEPS)):
-        below = below | (equal & (F.col(f"_h{k}") < F.col(f"_t{k}")))
-        equal = equal & (F.col(f"_h{k}") == F.col(f"_t{k}"))
-    repeats = (F.col("_whole") + F.when((below | equal) & (F.col("_whole") < F.lit(cap)), 1).otherwise(0)).cast("int")
-    return (
-        sized.join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("repeats", repeats)
-        .select("doc_id", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).cast("long").alias("taken"))
-    )
+    sized = store.table(docs.select("doc_id", "source", _size().alias("size"), *_hashes()), "mix-sizes")
+    marks = _marks(sized, weights, cap)
+    rows = sized.join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_s"))).withColumn("repeats", _repeats(cap))
+    return rows.select("doc_id", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it. Texts are not shuffled."""
+    sized = store.table(docs.select("source", _size().alias("size"), *_hashes()), "mix-sizes")
+    marks = _marks(sized, weights, cap)
+    at = [f"_mix_{k}" for k in range(len(STEPS))]
+    keyed = docs.withColumns(dict(zip(at, document_hash()))).join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_s")))
+    keyed = keyed.withColumns({f"_h{k}": F.col(x) for k, x in enumerate(at)})
+    return keyed.withColumn("_mix_n", F.explode(F.array_repeat(F.lit(1), _repeats(cap)))).select(*[docs[c] for c in docs.columns])
