@@ -274,7 +274,7 @@ def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0)
     total = prints.count()
     often = both.where("n_shingles IS NULL").select(F.explode(F.arrays_zip("hot", "times")).alias("x")).groupBy("x.hot").agg(F.sum("x.times").alias("times"))
     hot = [r[0] for r in often.where(F.col("times") >= max(16, HOT_SHARE * total / 2)).select("hot").toLocalIterator()]
-    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")), each=4)
     shared = store.table(_shared(docs, n, seed, np.array(hot, np.int64), buckets, near), "shared")
     store.release(spark)
     groups, spent = links_and_groups(shared, near)

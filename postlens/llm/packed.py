@@ -13,9 +13,9 @@ from __future__ import annotations
 import numpy as np
 
 
-def buckets_for(partitions: int) -> int:
-    """The power of two from four times as many buckets as shuffle partitions on, 65536 at most."""
-    return 1 << min(16, max(2, (4 * partitions - 1).bit_length()))
+def buckets_for(partitions: int, each: int = 1) -> int:
+    """The power of two from ``each`` buckets a shuffle partition on, 65536 at most."""
+    return 1 << min(16, max(2, (each * partitions - 1).bit_length()))
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
