@@ -33,7 +33,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 def write_jsonl(df: DataFrame, path: str) -> None:
     """A JSON object a line, nulls kept; the Unicode line ends inside texts are escaped."""
     line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    for ch in ("\u0085", " ", " "):
+    for ch in ("\u0085", "\u2028", "\u2029"):
         line = F.replace(line, F.lit(ch), F.lit(f"\\u{ord(ch):04x}"))
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
