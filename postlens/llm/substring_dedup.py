@@ -139,20 +139,24 @@ def _first_level(window: int, buckets: int, seed: int):
     run = levels(window)[0]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, sender, seen = Hasher(seed, lower=False), _Sender(buckets, last=False), set()
+        hasher, sender, seen = Hasher(seed, lower=False), _Sender(buckets, last=False), {}
         for batch in batches:
             docs = batch.column("doc").to_numpy()
             for t in chunks(batch.column("text"), hasher):
-                who = docs[t.rows]
+                who = docs[t.rows].copy()
                 fp, check = (hasher.whole(t.word, t.at, salt).view(np.int64) for salt in (1, 2))
                 n = len(who)
-                yield pa.record_batch([pa.array(np.full(n, PROFILE, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(who), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
-                new = np.array([x not in seen and not seen.add(x) for x in fp.tolist()], bool)
+                yield pa.record_batch([pa.array(np.full(n, PROFILE, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(docs[t.rows]), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
+                new = np.ones(n, bool)
+                for i, x in enumerate(fp.tolist()):  # copies of one flush are one entry, of their least document
+                    held, k = seen.setdefault(x, (who, i))
+                    if held is not who or k != i:
+                        new[i], held[k] = False, min(held[k], who[i])
                 place, owner = _places(t, window)
                 place, owner = place[new[owner]], owner[new[owner]]
                 if sender.add(who, *_distinct(owner, anchors(t.word, hasher, run, window)[place])):
                     yield from sender.send()
-                    seen = set()
+                    seen = {}
         yield from sender.send()
 
     return deal
