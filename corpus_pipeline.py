@@ -37,7 +37,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_components(docs, n=5, near=75)
     firsts = store.table(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_first")).agg(F.count("*").alias("_rows")), "firsts")
-    kept = docs.join(firsts.select("_first"), docs["doc_id"].eqNullSafe(F.col("_first")), "left_semi")
+    # the list of kept ids has no bound, so it is merged at every size and never broadcast
+    kept = docs.join(firsts.hint("shuffle_merge"), docs["doc_id"].eqNullSafe(firsts["_first"]), "left_semi")
     if firsts.where("_first IS NOT NULL AND _rows > 1").limit(1).count():
         kept = kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
     return kept
