@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import store
+
 DIMENSIONS = 1 << 14
 ORDERS = (1, 2, 3)
 CHUNK_BYTES = 1 << 20
@@ -115,6 +117,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame) -> Model | None:
     """labelled: ``text, lang``; all rows count. None without any."""
+    store.small_batches(labelled.sparkSession)
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
     found = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pydict()
     languages = sorted(set(found["lang"]))
@@ -177,6 +180,7 @@ def identify(docs: DataFrame, model: Model | None, ambiguous_below: float = 0.02
     score: 1 less the loss of the nearest codeword; gap: by how much the second
     is farther; a gap under ``ambiguous_below`` is flagged.
     """
+    store.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     found = rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double, gap double")
     return found.withColumn("ambiguous", (F.col("lang_pred") != "und") & (F.col("gap") < ambiguous_below))
@@ -184,6 +188,7 @@ def identify(docs: DataFrame, model: Model | None, ambiguous_below: float = 0.02
 
 def keep_identified(docs: DataFrame, model: Model | None, ambiguous_below: float = 0.02) -> DataFrame:
     """The rows of ``docs`` whose language could be told: neither ``und`` nor ambiguous. All columns stay."""
+    store.small_batches(docs.sparkSession)
     predict = _predict(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

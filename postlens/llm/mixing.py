@@ -10,8 +10,8 @@ finer bits, into that one bucket of each source alone.
 Edge cases: a null text has size 0 and is hashed like an empty one; null
 sources are one source, ordered last; documents of size 0 take 0 words;
 repeated rows share a hash and are taken or left together; an empty table gives
-an empty result. Columns named like results or like the working columns (which
-start with ``_mix_``) are not read: only the four named input columns are.
+an empty result. Only ``doc_id, text, source`` are read, and further columns of
+any name pass through ``mixed_rows`` untouched.
 """
 
 from __future__ import annotations
@@ -129,7 +129,6 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), ca
     """The rows of ``docs``, all columns, each as often as the mix takes it. Texts are not shuffled."""
     sized = store.table(docs.select("source", _size().alias("size"), *_hashes()), "mix-sizes")
     marks = _marks(sized, weights, cap)
-    at = [f"_mix_{k}" for k in range(len(STEPS))]
-    keyed = docs.withColumns(dict(zip(at, document_hash()))).join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_s")))
-    keyed = keyed.withColumns({f"_h{k}": F.col(x) for k, x in enumerate(at)})
-    return keyed.withColumn("_mix_n", F.explode(F.array_repeat(F.lit(1), _repeats(cap)))).select(*[docs[c] for c in docs.columns])
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("source").alias("_source"), *_hashes())  # no column meets a working one
+    keyed = row.join(F.broadcast(marks), F.col("_source").eqNullSafe(F.col("_s")))
+    return keyed.withColumn("_n", F.explode(F.array_repeat(F.lit(1), _repeats(cap)))).select("_row.*")

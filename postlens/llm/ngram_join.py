@@ -44,7 +44,7 @@ from .words import Hasher, Texts, chunks
 HOT_SHARE = 0.01
 #: Bits of an n-gram's hash that are sent. Two different n-grams of two given sets are taken for one in 1e9 pairs once.
 HASH_BITS = 48
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 
 
 def ngram_sets(texts: Texts, hasher: Hasher, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,6 +265,7 @@ def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0)
     Returns ``doc_id, n_shingles, component_id`` and ``copies`` (documents of the very same word sequence).
     """
     spark = docs.sparkSession
+    store.small_batches(spark)
     both = store.table(profiles(docs, n, seed), "profiles")
     known = both.where("n_shingles IS NOT NULL").drop("hot", "times")
     prints = known.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))

@@ -30,6 +30,8 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import store
+
 MAX_FINDINGS = 20_000
 _RUN = "A-Za-z0-9+/_=-"
 CANDIDATE = re.compile(rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{16,}}")
@@ -147,6 +149,7 @@ def train(findings: DataFrame, trees: int = 20, depth: int = 8) -> PipelineModel
 
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, start, length, sha256`` and the features of each candidate; places count characters from 0."""
+    store.small_batches(docs.sparkSession)
     names = ["doc_id", "start", "length_chars", "sha256", *FEATURES]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

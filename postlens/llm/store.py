@@ -57,3 +57,14 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+#: Texts in an Arrow batch; they may be of any length, and a batch is in memory as a whole.
+TEXTS_PER_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to TEXTS_PER_BATCH rows, if they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_PER_BATCH:
+        spark.conf.set(name, TEXTS_PER_BATCH)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import packed, store
 from .words import Hasher, Texts, chunks
 
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 #: Bits of the anchors' hashes that are sent; the windows' own are sent whole.
 HASH_BITS = 48
 LAST = (1 << 63) - 1
@@ -283,6 +283,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
     earlier start in the document; all windows are judged on the input.
     """
     spark = docs.sparkSession
+    store.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
     buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))

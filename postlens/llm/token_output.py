@@ -143,19 +143,30 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     return out, np.add.reduceat(sizes, np.concatenate([[0], np.cumsum(per_text + 1)[:-1]]))
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
-    i = 0
-    while i < len(size):
-        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + SLICE_BYTES, side="right")))
-        yield batch.slice(i, j - i)
-        i = j
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about SLICE_BYTES of the column."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(sizes):
+            fits = int(np.searchsorted(np.cumsum(sizes[at:]), SLICE_BYTES - size, side="right"))
+            if fits or not held:
+                held.append(batch.slice(at, max(1, fits)))
+                at += max(1, fits)
+                size += int(sizes[at - len(held[-1]) : at].sum())
+            if at < len(sizes) or size >= SLICE_BYTES:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _encoder(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, place, before = TaskContext.get().partitionId(), 0, 0
-        for batch in (x for b in batches for x in _slices(b, "text")):
+        for batch in _slices(batches, "text"):
             ids, count = tokenize(batch.column("text"), path, end_id)
             words, per_block, blocks = simple8b.encode(ids.astype(np.uint64), count)
             block_at = np.concatenate([[0], np.cumsum(blocks)])
@@ -181,6 +192,7 @@ def _encoder(path: str, end_id: int):
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write the token shards of ``docs`` (``doc_id``, ``text``) to the folder ``path``."""
+    store.small_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_encoder(tokenizer_path, end_id), SHARD).write.option("compression", "zstd").parquet(path)
 
@@ -194,7 +206,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for batch in (x for b in batches for x in _slices(b, "words")):
+    for batch in _slices(batches, "words"):
         count = batch.column("n_tokens").to_numpy()
         ids = simple8b.decode(np.frombuffer(b"".join(batch.column("words").to_pylist()), "<u8"))
         if len(ids) != count.sum():

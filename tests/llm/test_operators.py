@@ -1,0 +1,422 @@
+"""The training-data operators against plain Python on small tables full of odd rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.llm import components, decontaminate, language_id, mixing, ngram_join, packed, reputation, secrets, simple8b, store, substring_dedup, token_output, topk, warc
+from postlens.llm.queries import URL_RULES, token_vocabulary
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Columns that clash with working names of the operators.
+EXTRA = {"fp": "x", "keys": "y", "size": "z", "doc": "d", "_mix_0": "m", "host": "h", "words": "w", "seed": "s", "row": "r", "blob": "b"}
+
+
+def table(spark, rows, schema, extra=True):
+    df = spark.createDataFrame(rows, schema)
+    return df.withColumns({k: F.lit(v) for k, v in EXTRA.items()}) if extra else df
+
+
+def corpus(seed=1, n=60):
+    """Copies, near copies, shared passages, repeats, odd blanks, nulls, empty and long texts."""
+    r = random.Random(seed)
+    some = lambda k: [r.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa Über été x1 y2 z3".split()) + str(r.randint(0, 40)) for _ in range(k)]
+    base, passage = some(80), some(30)
+    texts = []
+    for i in range(n):
+        kind = i % 10
+        if kind == 0:
+            w = list(base)
+        elif kind in (1, 2):
+            w = list(base)
+            for _ in range(r.randint(1, 4)):
+                w[r.randrange(len(w))] = "changed" + str(r.random())
+        elif kind == 3:
+            w = some(20) + passage + some(25)
+        elif kind == 4:
+            w = some(5) + ["again"] * 60
+        elif kind == 5:
+            w = some(r.randint(1, 6))
+        else:
+            w = some(r.randint(10, 90))
+        text = "".join(x + r.choice([" ", "  ", "\n", "\t", "\r\n", " "]) for x in w)
+        texts.append(text.upper() if kind == 2 else text)
+    texts += [None, "", " \n", "one two", "ONE two", texts[3], texts[4], " ".join(some(5000)), "a\x1cb\xa0c d e f g"]
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+    return [(i, t) for i, t in zip(ids, texts)]
+
+
+# 3: n-gram join
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                same = len(sets[a] & sets[b])
+                if 100 * same >= 75 * (len(sets[a]) + len(sets[b]) - same):
+                    x, y = find(a), find(b)
+                    parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ngram_join(spark, seed):
+    rows = corpus(seed)
+    got = ngram_join.ngram_components(table(spark, rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_ngram_join_with_frequent_grams_and_small_flushes(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_SHARE", 0.0)
+    rows = corpus(4, 120)
+    got = ngram_join.ngram_components(table(spark, rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_ngram_join_odd_tables(spark):
+    assert ngram_join.ngram_components(table(spark, [], "doc_id long, text string")).collect() == []
+    rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (None, None), (7, "")]
+    got = ngram_join.ngram_components(table(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in got))) == sorted(map(str, [(None, 2, 5), (5, 2, 5), (5, 2, 5), (None, 0, None), (7, 0, 7)]))
+
+
+def test_components(spark):
+    r = random.Random(5)
+    edges = [(r.randrange(200), r.randrange(200)) for _ in range(130)] + [(i, i + 1) for i in range(1000, 1060)]
+    parent = {}
+
+    def find(i):
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {x.node: x.component for x in got.collect()} == {i: find(i) for i in parent}
+
+
+# 4: substring dedup
+
+
+def brute_repeats(rows, window=20):
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        w = WORD.findall(t or "")
+        drop = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            x = tuple(w[k : k + window])
+            if x in seen:
+                drop[k : k + window] = [True] * window
+            seen.add(x)
+        out[i] = (len(w), sum(drop), " ".join(a for a, d in zip(w, drop) if not d))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_substring_dedup(spark, seed):
+    rows = corpus(seed, 80)
+    got = substring_dedup.remove_repeats(table(spark, rows, "doc_id long, text string").repartition(5)).collect()
+    want = brute_repeats(rows)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == want
+    assert all(r.n_removed == sum(s.end - s.start for s in r.removed) for r in got)
+
+
+def test_substring_dedup_odd_tables(spark):
+    assert substring_dedup.remove_repeats(table(spark, [], "doc_id long, text string")).collect() == []
+    text = " ".join(f"w{i}" for i in range(25))
+    rows = [(None, text), (3, text + " x"), (3, text + " y"), (9, None)]
+    got = substring_dedup.remove_repeats(table(spark, rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in got) == [("3", 26, 0), ("3", 26, 0), ("9", 0, 0), ("None", 25, 25)]
+
+
+# 2: token ids
+
+
+def test_simple8b():
+    r = np.random.default_rng(0)
+    for k in range(60):
+        length = r.integers(0, 1500, r.integers(0, 5))
+        v = r.integers(0, 2**63, int(length.sum()), dtype=np.uint64) >> r.integers(0, 64, int(length.sum())).astype(np.uint64)
+        if k % 3 == 0:
+            v = v * np.uint64(2) + np.uint64(1)
+        words, per_block, blocks = simple8b.encode(v, length)
+        assert (simple8b.decode(words) == v).all() and per_block.sum() == len(words) and blocks.sum() == len(per_block)
+        at = 0
+        for n, size in zip(per_block, [min(simple8b.BLOCK, n - s) for n in length for s in range(0, n, simple8b.BLOCK)]):
+            assert len(simple8b.decode(words[at : at + n])) == size  # each block decodes by itself
+            at += n
+    with pytest.raises(ValueError):
+        simple8b.decode(np.zeros(1, np.uint64))
+
+
+def test_token_output(spark, tmp_path):
+    path = token_vocabulary()
+    rows = corpus(6) + [(500, "<|endoftext|> it's  don't\n\n x　 y"), (501, " lead"), (502, "trail "), (503, "a\n b \tc")]
+    token_output.write_tokens(table(spark, rows, "doc_id long, text string"), str(tmp_path / "t"), path, 2)
+    got = sorted(map(tuple, token_output.read_digests(spark, str(tmp_path / "t")).collect()))
+    start, want = 0, []
+    for i, t in sorted(rows):
+        ids = np.array(token_output.tokenizer(path).encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
+    ids = {r.doc_id: r.ids for r in token_output.read_tokens(spark, str(tmp_path / "t")).collect()}
+    assert [zlib.crc32(np.array(ids[i], "<u4").tobytes()) for i, *_ in want] == [w[3] for w in want]
+    token_output.write_tokens(table(spark, [], "doc_id long, text string"), str(tmp_path / "e"), path, 2)
+    assert token_output.read_digests(spark, str(tmp_path / "e")).collect() == []
+
+
+# 1: WARC
+
+
+def test_warc(spark):
+    big = "x\r\n\r\nWARC/1.1\r\n" * 200 + "é"
+    rows = [(1, "http://a/", big), (2, "http://a/", big), (7, None, big), (7, None, big), (3, "u\nv", None), (4, "u", ""), (None, "z", big), (5, "q", "small"), (6, "q", "small")]
+    got = sorted(map(str, map(tuple, warc.round_trip(table(spark, rows, "page_id long, url string, html string")).collect())))
+    want = []
+    for i, _, html in rows:
+        data = (html or "").encode()
+        revisit = len(data) >= 1000 and i != 7
+        want.append(str((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", 7 if revisit else None)))
+    assert got == sorted(want)
+    assert warc.round_trip(table(spark, [], "page_id long, url string, html string")).collect() == []
+
+
+def test_warc_assembly(spark, tmp_path):
+    record = lambda kind, i, more, body: f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{i}>\r\n{more}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+    import gzip
+
+    parts = [record("warcinfo", "w", "", "software: x"), record("request", "r1", "", "GET"), record("response", "s1", "WARC-Concurrent-To: <r1>\r\n", "body"), record("metadata", "m1", "WARC-Concurrent-To: <r1>\r\n", "a: b"), record("response", "s2", "", "alone")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    (tmp_path / "b.warc").write_bytes(record("metadata", "m2", "WARC-Concurrent-To: <gone>\r\n", ""))
+    got = {r.capture_id: r for r in warc.assemble(warc.read_records(spark, str(tmp_path), payload=True)).collect()}
+    assert set(got) == {"<w>", "<r1>", "<s2>", "<gone>"}
+    assert bytes(got["<r1>"].response.payload) == b"body" and got["<r1>"].metadata.fields == "a: b" and got["<r1>"].records == 3
+    assert got["<s2>"].request is None and got["<gone>"].response is None
+
+
+# 5: top-k
+
+
+@pytest.mark.parametrize("scale, spread", [(1024.0, 1.0), (1024.0, 1e12)])
+def test_top_k(spark, scale, spread, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk, "LEAF", 8)
+    r = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in np.float32(r.normal(size=6) * spread)]) for i in range(450)]
+    rows += [(450, rows[3][1]), (500, rows[3][1]), (600, None), (700, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (800, [float("nan")] * 6), (900, [1.0, 2.0]), (901, [2.0, 2.0]), (1000, []), (100, rows[100][1]), (None, rows[5][1])]
+    got = defaultdict(list)
+    for x in topk.top_k(table(spark, rows, "vec_id long, embedding array<float>")).collect():
+        got[x.query_id].append((x.rank, x.vec_id, x.score))
+    ints = [(i, [int(np.floor(float(np.float32(x)) * scale)) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = defaultdict(list)
+    for n, (i, v) in enumerate(ints):
+        if i is not None and i % 100 == 0:
+            scores = [(max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, w)))), j) for m, (j, w) in enumerate(ints) if m != n and len(w) == len(v)]
+            scores.sort(key=lambda s: (-s[0], s[1] is None, s[1] or 0))
+            want[i] += [(k + 1, j, s) for k, (s, j) in enumerate(scores[:10])]
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items() if v}
+    assert topk.top_k(table(spark, [], "vec_id long, embedding array<float>")).collect() == []
+
+
+# 6: URL filters
+
+
+def test_urls(spark):
+    urls = [None, "", "x", "http://A.COM/p?q#f", "http://example.com/en/x", "https://www.Example.com/en/", "ftp://a.net/es/1", "http://net/fr/", "http://a.com", "a://b://c/d", "http://h?x/y", "http://\n/é", "http://xnet/es/"]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in reputation.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), spark.createDataFrame([], "page_id long, bad int"), URL_RULES).collect()}
+    assert got == {
+        0: ("", "", None, "allow"), 1: ("", "", None, "allow"), 2: ("", "", None, "allow"), 3: ("a.com", "/p", "com/", "allow"), 4: ("example.com", "/en/x", "example.com/en/", "block"),
+        5: ("www.example.com", "/en/", "www.example.com/en/", "allow"), 6: ("a.net", "/es/1", "net/es/", "block"), 7: ("net", "/fr/", "net/fr/", "block"), 8: ("a.com", "", None, "allow"),
+        9: ("b:", "//c/d", None, "allow"), 10: ("h", "", None, "allow"), 11: ("\n", "/é", None, "allow"), 12: ("xnet", "/es/", None, "allow"),
+    }
+
+
+def test_reputation_shrinks(spark):
+    pages = [(i, "http://bad.a.org/x") for i in range(60)] + [(100 + i, "http://good.b.org/x") for i in range(60)] + [(200, "http://new.a.org/"), (201, "http://new.b.org/")]
+    outcomes = [(i, 1) for i in range(60)] + [(100 + i, 0) for i in range(60)] + [(200, None), (None, 1), (999, 1)]
+    got = {r.host: (r.verdict, r.bad_rate) for r in reputation.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad int"), []).collect()}
+    assert got["bad.a.org"][0] == "block" and got["good.b.org"][0] == "allow"
+    assert got["new.a.org"][1] > 0.5 > got["new.b.org"][1] and got["new.b.org"][0] == "allow"
+
+
+# 7: mixing
+
+
+def test_mixing(spark):
+    r = random.Random(9)
+    rows = [(i, " ".join(["w"] * r.randint(0, 40)), r.choice(["a", "b", "b", "b", "Z", None])) for i in range(3000)] + [(None, None, "a"), (5, "x y", "q"), (5, "x y", "q")]
+    df = table(spark, rows, "doc_id long, text string, source string", extra=False)
+    got = mixing.mix_sources(df).collect()
+    size = lambda t: len(WORD.findall(t or ""))
+    assert sorted(str((x.doc_id, x.size)) for x in got) == sorted(str((i, size(t))) for i, t, _ in rows)
+    sums, weights = defaultdict(int), {}
+    for _, t, s in rows:
+        sums[s] += size(t)
+    names = sorted(sums, key=lambda s: (s is None, s))
+    weights = {s: 1 + k % 3 for k, s in enumerate(names)}
+    target, left, open_ = {}, float(sum(sums.values())), set(names)
+    while True:
+        level = left / sum(weights[s] for s in open_)
+        over = {s for s in open_ if level * weights[s] > 3 * sums[s]}
+        if not over:
+            target |= {s: level * weights[s] for s in open_}
+            break
+        target |= {s: 3.0 * sums[s] for s in over}
+        left -= sum(3 * sums[s] for s in over)
+        open_ -= over
+    by_size = defaultdict(lambda: [0.0, 0])
+    for x in got:
+        assert x.taken <= 3 * x.size and x.taken % max(1, x.size) == 0
+        by_size[x.source_size][0] = x.target
+        by_size[x.source_size][1] += x.taken
+    for s in names:
+        assert by_size[sums[s]][0] == pytest.approx(target[s])
+        assert abs(by_size[sums[s]][1] - target[s]) <= 40
+    again = mixing.mix_sources(df.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert mixing.mix_sources(table(spark, [], "doc_id long, text string, source string")).collect() == []
+    mixed = mixing.mixed_rows(table(spark, rows, "doc_id long, text string, source string"))
+    assert set(EXTRA) <= set(mixed.columns)
+    assert mixed.count() == sum(x.repeats for x in got)
+
+
+# 8: language
+
+
+def texts_of(seed, n):
+    r = random.Random(seed)
+    words = {"en": "the of and house river with under stone".split(), "de": "der und über häuser fluß mit stein für".split(), "fr": "le de et maison rivière avec pierre été".split()}
+    return [(i, " ".join(r.choice(words[x]) for _ in range(r.randint(3, 30))), x) for i in range(n) for x in [r.choice(sorted(words))]]
+
+
+def test_language(spark):
+    rows = texts_of(1, 600) + [(900, None, "en"), (901, "", None), (902, "123 !? 45", "de"), (None, "the river of stone", "en"), (903, "der fluß " * 20000, "de")]
+    docs = table(spark, rows, "doc_id long, text string, lang string")
+    model = language_id.train(language_id.training_rows(docs))
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    for i, text, lang in rows:
+        assert got[i].held_out == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= got[i].score <= 1
+    assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3
+    judged = [(i, x) for i, _, x in rows[:600] if got[i].held_out]
+    assert len(judged) > 100 and np.mean([got[i].lang_pred == x for i, x in judged]) > 0.97
+    assert language_id.train(docs.where("lang = 'xx'").select("text", "lang")) is None
+    assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
+    kept = language_id.keep_identified(docs, model)
+    assert kept.columns == docs.columns and kept.count() >= 590 and kept.where("doc_id IN (900, 901, 902)").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 9, 40])
+def test_codewords(n):
+    code = language_id.codewords(n)
+    assert code.shape[0] == n and set(np.unique(code)) <= {-1.0, 1.0}
+    if n > 1:
+        far = (code[:, None] != code[None]).sum(2) + 99 * np.eye(n)
+        assert far.min() >= (1 if n == 2 else 2)
+
+
+# 9: decontamination
+
+
+def test_leaks(spark):
+    r = random.Random(3)
+    some = lambda k: [f"w{r.randint(0, 3000)}" for _ in range(k)]
+    items = [(i, some(r.randint(14, 40))) for i in range(25)] + [(90, some(8)), (91, some(3))]
+    rows, want = [], set()
+    for i in range(160):
+        w = some(r.randint(0, 120))
+        if i % 4 == 0:
+            item, passage = r.choice(items[:25])
+            passage = list(passage)
+            if i % 8 == 0:
+                passage[len(passage) // 2] = "substituted"
+            at = r.randint(0, len(w))
+            w = w[:at] + passage + w[at:]
+            want.add((i, item))
+        rows.append((i, ("  ".join(w)).upper() if i % 3 else ", ".join(w)))
+    rows += [(200, " ".join(items[25][1])), (201, " ".join(items[26][1])), (202, None), (203, ""), (None, " ".join(items[0][1])), (204, " ".join(items[1][1][:7]))]
+    want |= {(200, 90), (None, 0)}
+    bench = table(spark, [(i, " ".join(w)) for i, w in items] + [(99, None)], "item_id long, text string")
+    docs = table(spark, rows, "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want and len(got) == len(want)
+    clean = decontaminate.remove_leaks(docs, bench)
+    assert clean.columns == docs.columns and {x.doc_id for x in clean.collect()} == {i for i, _ in rows} - {i for i, _ in want}
+    assert decontaminate.find_leaks(docs.limit(0), bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
+
+
+def test_seeds_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEEDS_AT_ONCE", 7)
+    item = " ".join(f"w{i}" for i in range(20))
+    got = decontaminate.find_leaks(spark.createDataFrame([(1, "a b " + item)], "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string")).collect()
+    assert [(x.doc_id, x.item_id, x.diagonal, x.matched) for x in got] == [(1, 5, 2, 13)]
+
+
+# 10: secrets
+
+
+def test_secrets(spark):
+    model = secrets.train(secrets.example_findings(spark, 2500))
+    held_out = secrets.example_findings(spark, 400, seed=77).select("*", F.monotonically_increasing_id().alias("doc_id"))
+    flat = held_out.select("doc_id", F.concat(F.lit("\n"), "before", "candidate", "after").alias("text"), "path", "candidate", "secret")
+    found = secrets.scan(flat, model, "path").withColumnRenamed("doc_id", "id")
+    both = flat.join(found, (F.col("id") == F.col("doc_id")) & (F.col("sha256") == F.sha2("candidate", 256))).select("secret", "is_secret").collect()
+    assert len(both) > 300 and np.mean([bool(r.secret) == r.is_secret for r in both]) > 0.95
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(1, f'x token = "{token}" y token = "{token}"', None), (2, "no 8294846167456848 here", "src"), (3, None, "a"), (4, "", "a"), (None, "b" * 100000 + "1", "a")]
+    got = secrets.scan(table(spark, rows, "doc_id long, text string, source string"), model, "source").collect()
+    assert sorted((str(r.doc_id), r.start, r.is_secret) for r in got if r.doc_id) == [("1", 11, True), ("1", 64, True), ("2", 3, False)]
+    assert len([r for r in got if r.doc_id is None]) == 1
+    assert secrets.scan(table(spark, [], "doc_id long, text string, source string"), model, "source").collect() == []
+
+
+# shared parts
+
+
+def test_packed():
+    r = np.random.default_rng(1)
+    for bits in (48, 64):
+        key = r.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) >> np.uint64(64 - bits)
+        entry, who = r.integers(0, 70000, 5000), r.integers(-(1 << 60), 1 << 60, 5000)
+        back = []
+        for bucket, blob in packed.pack_keys(key, entry, who, 64, bits):
+            k, e, w, _ = packed.unpack_keys([blob], bucket, 64, bits)
+            back += list(zip(k.tolist(), e.tolist(), w.tolist()))
+        assert sorted(back) == sorted(zip(key.tolist(), entry.tolist(), who.tolist()))
+        k, e = packed.unpack_answers([packed.pack_answer(key, entry)])
+        assert sorted(zip(k.tolist(), e.tolist())) == sorted(zip(key.tolist(), entry.tolist()))
+
+
+def test_store(spark):
+    df = store.table(spark.range(5), "t")
+    assert df.count() == 5 and pa is not None
+    store.drop(spark, df)
