@@ -359,50 +359,52 @@ def classify_snapshots(jobs: DataFrame, market_version: str, fit_version: str, s
     """
     from pyspark.sql import Window
 
-    rows = add_skills(add_fit(add_market(jobs)))
-    failed = ~c("content_reliable") & F.arrays_overlap("health_reasons", F.array(F.lit("DETAIL_FAILED_JOB_ID"), F.lit("PROBABLE_DETAIL_FAILURE")))
-    versions = F.struct(F.lit(market_version).alias("market"), F.lit(fit_version).alias("fit"), F.lit(skills_version).alias("skills"))
-    codes = F.struct(c("market.reason_codes").alias("market"), F.when(c("content_reliable"), c("fit.reason_codes")).otherwise(F.array(F.lit("INSUFFICIENT_CONTENT"))).alias("fit"))
-    none = F.array().cast("array<string>")
-    today = F.struct(
-        content_sha256().alias("content_sha256"),
-        *[c(f"market.{k}").alias(k) for k in ("in_scope", "market_relevance", "role_family", "secondary_role_families", "ai_relation", "seniority_level")],
-        F.when(c("content_reliable"), c("fit.career_pool")).alias("career_pool"),
-        codes.alias("reason_codes"),
-        c("market.evidence").alias("evidence"),
-        F.when(c("content_reliable"), c("skill_tags")).otherwise(none).alias("skill_tags"),
-        F.when(c("content_reliable"), "fresh").otherwise("review_required").alias("classification_status"),
-        versions.alias("versions"),
-    )
-    rows = rows.withColumns({"_failed": failed, "_today": today})
+    none, text = F.array().cast("array<string>"), F.lit(None).cast("string")
+    content = c("content_reliable")
+    failed = ~content & F.arrays_overlap("health_reasons", F.array(F.lit("DETAIL_FAILED_JOB_ID"), F.lit("PROBABLE_DETAIL_FAILURE")))
+    labels = ("market_relevance", "role_family", "ai_relation", "seniority_level")
+    own = {
+        "content_sha256": content_sha256(),
+        "in_scope": c("market.in_scope"),
+        **{k: c(f"market.{k}") for k in labels},
+        "secondary_role_families": c("market.secondary_role_families"),
+        "career_pool": F.when(content, c("fit.career_pool")),
+        "market_codes": c("market.reason_codes"),
+        "fit_codes": F.when(content, c("fit.reason_codes")).otherwise(F.array(F.lit("INSUFFICIENT_CONTENT"))),
+        "evidence": c("market.evidence"),
+        "skill_tags": F.when(content, c("skill_tags")).otherwise(none),
+        "classification_status": F.when(content, "fresh").otherwise("review_required"),
+    }
+    identity = ["snapshot_date", "platform", "job_id", "company", "title", "url"]
+    cities = c("city_norm") if "city_norm" in jobs.columns else none.alias("city_norm")
+    labelled = add_skills(add_fit(add_market(jobs)))
+    # labels are computed once, before the one shuffle that carries them along each identity's days
+    rows = labelled.select(*identity, cities, content.alias("_content"), failed.alias("_failed"), *[v.alias(k) for k, v in own.items()]).repartition("platform", "job_id")
     # what a later failure may inherit: a fresh row; a reliable posting out of scope, or a doubtful row, ends it
-    anchor = F.when(~c("_failed"), F.struct((c("content_reliable") & c("market.in_scope")).alias("usable"), c("_today").alias("row")))
+    anchor = F.when(~c("_failed"), F.struct((c("_content") & c("in_scope")).alias("usable"), *own))
     before = Window.partitionBy("platform", "job_id").orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(before))
     carried = c("_failed") & F.coalesce(c("_anchor.usable"), F.lit(False))
-    old = c("_anchor.row")
-    kept = old.withField("classification_status", F.lit("carried_forward")).withField(
-        "reason_codes",
-        F.struct(
-            F.array_union(old["reason_codes"]["market"], F.array(F.lit("CONTENT_CARRIED_FORWARD"))).alias("market"),
-            F.when(old["career_pool"].isin("P1", "P2"), F.array_union(old["reason_codes"]["fit"], F.array(F.lit("DETAIL_VERIFICATION_REQUIRED")))).otherwise(old["reason_codes"]["fit"]).alias("fit"),
-        ),
-    )
-    text = F.lit(None).cast("string")
-    unknown = (
-        c("_today")
-        .withField("in_scope", F.lit(None).cast("boolean"))
-        .withField("secondary_role_families", none)
-        .withField("skill_tags", none)
-        .withField("classification_status", F.lit("review_required"))
-        .withField("reason_codes", F.struct(F.array(F.lit(UNKNOWN)).alias("market"), F.array(F.lit("INSUFFICIENT_CONTENT")).alias("fit")))
-        .withField("evidence", F.struct(none.alias("title"), none.alias("description"), none.alias("requirements")))
-    )
-    for k in ("market_relevance", "role_family", "ai_relation", "seniority_level", "career_pool"):
-        unknown = unknown.withField(k, text)
-    row = first_of((carried, kept), (c("_failed"), unknown), (c("market.in_scope"), c("_today")), otherwise=F.lit(None).cast(rows.schema["_today"].dataType))
-    cities = c("city_norm") if "city_norm" in jobs.columns else none.alias("city_norm")
-    return rows.withColumn("_row", row).where("_row IS NOT NULL").select("snapshot_date", "platform", "job_id", "company", "title", "url", cities, "_row.*")
+    rows = rows.withColumn("_state", F.when(carried, "carried").when(c("_failed"), "unknown").when(c("in_scope"), "today")).where("_state IS NOT NULL")
+    old = lambda k: c(f"_anchor.{k}")
+    verify = F.when(old("career_pool").isin("P1", "P2"), F.array_union(old("fit_codes"), F.array(F.lit("DETAIL_VERIFICATION_REQUIRED")))).otherwise(old("fit_codes"))
+    kept = {"classification_status": F.lit("carried_forward"), "market_codes": F.array_union(old("market_codes"), F.array(F.lit("CONTENT_CARRIED_FORWARD"))), "fit_codes": verify}
+    no_quotes = F.struct(none.alias("title"), none.alias("description"), none.alias("requirements"))
+    unknown = {
+        **{k: text for k in (*labels, "career_pool")},
+        "in_scope": F.lit(None).cast("boolean"),
+        "secondary_role_families": none,
+        "skill_tags": none,
+        "classification_status": F.lit("review_required"),
+        "market_codes": F.array(F.lit(UNKNOWN)),
+        "fit_codes": F.array(F.lit("INSUFFICIENT_CONTENT")),
+        "evidence": no_quotes,
+    }
+    state = lambda x: c("_state") == x
+    out = {k: F.when(state("carried"), kept.get(k, old(k))).when(state("unknown"), unknown.get(k, c(k))).otherwise(c(k)) for k in own}
+    codes = F.struct(out.pop("market_codes").alias("market"), out.pop("fit_codes").alias("fit"))
+    versions = F.struct(F.lit(market_version).alias("market"), F.lit(fit_version).alias("fit"), F.lit(skills_version).alias("skills"))
+    return rows.select(*identity, "city_norm", *[v.alias(k) for k, v in out.items()], codes.alias("reason_codes"), versions.alias("versions"))
 
 
 def workplace_match(jobs: DataFrame) -> DataFrame:

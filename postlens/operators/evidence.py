@@ -39,6 +39,21 @@ PREFERRED_DEGREE = (
     r"(?:优先考虑|preferred)\s*(?P<phrase>硕士\s*(?:或|/|、)\s*博士|硕士|研究生|博士|doctorate|phd)",
 )
 NO_MAJOR = re.compile(r"(?:专业不限|不限专业)")
+NOT_A_MAJOR = re.compile(r"(专业能力|专业知识|专业技能|专业判断|专业服务|专业团队|专业工具|专业经验|专业精神|专业素养)")
+MAJOR_NAME = re.compile(r"(计算机|软件|人工智能|智能|信息技术|通信|电气|自动化|数学|统计|计算语言学|语言学|汉语言文学|翻译|小语种|理工科|电子信息|金融|经济|数据科学|机器学习|自然语言处理|工程|AI)", re.I)
+MAJOR_WORD = re.compile(r"专业|专业背景|学科背景|教育背景")
+MAJOR_REQUIRED = (
+    re.compile(r"(?P<phrase>[^，,。；;\n]{1,90}?(?:等)?相关专业)(?=(?:本科|硕士|博士|大专|专科|学历|学位))"),
+    re.compile(r"(?P<phrase>[^，,。；;\n]{1,90}?(?:等)?(?:相关专业|专业背景|学科背景|教育背景|类专业|专业))"),
+)
+MAJOR_LEAD = re.compile(r"^(?:要求|任职要求|具备|拥有|具有|有|需|需要|本科及以上学历|本科及以上|硕士及以上学历|学历不限|不限学历)\s*")
+MAJOR_LABEL = re.compile(r"^(?:相关)?专业(?:要求)?[:：]\s*")
+SHORTER = (("等相关专业", "相关专业"), ("或相关专业", "相关专业"), ("及相关专业", "相关专业"), ("相关专业背景", "相关专业"), ("专业背景", "专业"))
+EDGES = " ，,、；;。:："
+EDUCATION_WORDS = ("学历", "本科", "硕士", "博士", "doctorate", "phd", "大专", "专科", "研究生", "专业背景", "专业", "学科背景", "教育背景", "学位")
+MAJOR_WORDS = ("专业背景", "专业", "学科背景", "教育背景")
+DEGREE_WORDS = r"(?i)(学历|本科|硕士|博士|doctorate|phd|大专|专科|研究生|学位)"
+EXPERIENCE_WORDS = ("经验", "经历", "工作经验", "工作经历", "相关经验", "相关经历", "年以上", "年及以上", "年限", "背景")
 YEARS = {
     "year_range": re.compile(rf"(?P<low>{NUMBER})\s*(?:-|~|到|至)\s*(?P<high>{NUMBER})\s*年"),
     "min_years": re.compile(rf"(?:(?:至少|不少于)\s*)?(?P<low>{NUMBER})\s*年\s*(?:及以上|以上)|(?:(?:至少|不少于)\s*)(?P<alone>{NUMBER})\s*年"),
@@ -54,7 +69,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 _TEXT, _INT = T.StringType(), T.IntegerType()
 SPAN = T.ArrayType(_struct(sentence=_TEXT, start=_INT, end=_INT))
 YEAR_HIT = T.ArrayType(_struct(pattern_name=_TEXT, suggested_value=_TEXT, min_years=_INT, max_years=_INT, bucket=_TEXT, confidence=_TEXT, start=_INT, end=_INT, reason=_TEXT))
-DEGREE_HIT = _struct(degree=_TEXT, reason=_TEXT, start=_INT, end=_INT, preferred=_TEXT)
+EDUCATION_HIT = _struct(pattern_name=_TEXT, suggested_value=_TEXT, barrier=_TEXT, preferred=_TEXT, confidence=_TEXT, start=_INT, end=_INT, reason=_TEXT)
 
 
 def _sentence_end(text: str, i: int) -> bool:
@@ -137,6 +152,66 @@ def degree_in(sentence: str) -> dict | None:
     return {"degree": hard[0] if hard else "preferred_only", "reason": ";".join(reasons), "start": min(a for a, _ in ends), "end": max(b for _, b in ends), "preferred": wish}
 
 
+def _major(phrase: str, at: int) -> tuple[str, int, int] | None:
+    """The major a phrase names, in short, with the phrase's place."""
+    bare = phrase.strip(EDGES)
+    name = re.sub(r"者$", "", MAJOR_LABEL.sub("", MAJOR_LEAD.sub("", bare)).strip(EDGES))
+    for long, short in SHORTER:
+        name = name.replace(long, short)
+    name = re.sub(r"\s+", "", name).strip(EDGES.rstrip(":："))
+    if not name or NOT_A_MAJOR.search(name) or not MAJOR_WORD.search(name) or not MAJOR_NAME.search(name):
+        return None
+    start = at + phrase.find(bare)
+    return name, start, start + len(bare)
+
+
+def major_in(sentence: str) -> dict | None:
+    """``kind`` (none, required or preferred), the required and preferred names, and the place."""
+    if m := NO_MAJOR.search(sentence):
+        return {"kind": "none", "required": "", "preferred": "", "start": m.start(), "end": m.end()}
+    wish = None
+    for m in re.finditer(r"(?:优先|preferred)", sentence, re.I):
+        begin = max(sentence.rfind(x, 0, m.start()) for x in "，,；;。\n\r") + 1
+        if hit := _major(sentence[begin : m.start()], begin):
+            wish = (hit[0], hit[1], m.end())
+            break
+    must = None
+    for pattern in MAJOR_REQUIRED:
+        for m in pattern.finditer(sentence):
+            a, b = m.span("phrase")
+            apart = not wish or b <= wish[1] or wish[2] <= a
+            if apart and not re.match(r"\s*(?:优先|preferred)", sentence[b : b + 4], re.I) and (must := _major(m["phrase"], a)):
+                break
+        if must:
+            break
+    found = [x for x in (must, wish) if x]
+    if not found:
+        return None
+    return {"kind": "required" if must else "preferred", "required": must[0] if must else "", "preferred": wish[0] if wish else "", "start": min(x[1] for x in found), "end": max(x[2] for x in found)}
+
+
+def education_in(sentence: str) -> dict | None:
+    """What a sentence asks of degree and major, as one row."""
+    d, m = degree_in(sentence), major_in(sentence)
+    if not d and not m:
+        return None
+    hard = d["degree"] if d and d["degree"] != "preferred_only" else ""
+    soft, kind = (d["preferred"] if d else ""), (m["kind"] if m else "")
+    free = kind == "none"
+    names = [hard] * bool(hard) + ["preferred_only"] * bool(soft) + ([{"none": "major_no_requirement", "required": "major_required", "preferred": "major_preferred_only"}[kind]] if m else [])
+    major_value = {"none": "no_requirement", "required": m["required"], "preferred": m["preferred"], "": "unknown"}[kind] if m else "unknown"
+    barrier = ([hard] if hard else []) + ([m["required"]] if kind == "required" else []) + (["no_requirement"] if free and hard != "no_requirement" else [])
+    wishes = [x for x in (soft, m["preferred"] if m else "") if x]
+    binding = bool(hard) or free or kind == "required"
+    reasons = ([d["reason"].split(";")[0]] if hard else []) + ([{"none": "major_no_requirement_found", "required": "hard_major_requirement_found"}[kind]] if kind in ("none", "required") else [])
+    reasons += ["degree_preferred_found" if hard else "degree_preferred_only_no_hard_requirement"] * bool(soft)
+    reasons += ["major_preferred_only_found" if binding else "major_preferred_only_no_hard_requirement"] * bool(m and m["preferred"])
+    return {
+        "pattern_name": ";".join(names), "suggested_value": f"{hard or ('preferred_only' if soft else 'unknown')};{major_value}", "barrier": ";".join(barrier) or "unknown", "preferred": ";".join(wishes),
+        "confidence": "high" if not wishes else "medium" if binding else "low", "start": min(x["start"] for x in (d, m) if x), "end": max(x["end"] for x in (d, m) if x), "reason": ";".join(dict.fromkeys(reasons)),
+    }
+
+
 @F.pandas_udf(SPAN)
 def sentences(texts: pd.Series) -> pd.Series:
     return texts.fillna("").map(sentences_of)
@@ -147,10 +222,11 @@ def experience_hits(texts: pd.Series) -> pd.Series:
     return texts.fillna("").map(years_in)
 
 
-@F.pandas_udf(DEGREE_HIT)
-def degree_hits(texts: pd.Series) -> pd.DataFrame:
-    rows = [degree_in(x) or dict.fromkeys(("degree", "reason", "start", "end", "preferred")) for x in texts.fillna("")]
-    return pd.DataFrame(rows, columns=["degree", "reason", "start", "end", "preferred"]).astype({"start": "Int32", "end": "Int32"})
+@F.pandas_udf(EDUCATION_HIT)
+def education_hits(texts: pd.Series) -> pd.DataFrame:
+    names = EDUCATION_HIT.names
+    rows = [education_in(x) or dict.fromkeys(names) for x in texts.fillna("")]
+    return pd.DataFrame(rows, columns=names).astype({"start": "Int32", "end": "Int32"})
 
 
 def sentence_rows(jobs: DataFrame, sections: tuple[str, ...] = ("requirements", "description")) -> DataFrame:
@@ -167,15 +243,40 @@ def experience_evidence(jobs: DataFrame) -> DataFrame:
 
 
 def education_evidence(jobs: DataFrame) -> DataFrame:
-    rows = sentence_rows(jobs.where(is_missing(F.col("education")) | (F.col("education") == "<missing>"))).withColumn("_hit", degree_hits(F.col("sentence"))).where("_hit.degree IS NOT NULL")
-    sure = F.when(F.col("_hit.degree") == "preferred_only", "low").when(F.col("_hit.preferred") != "", "medium").otherwise("high")
-    return rows.select("platform", "job_id", "source_section", "sentence", F.col("_hit.degree").alias("pattern_name"), F.col("_hit.preferred").alias("preferred"), sure.alias("confidence"), (F.col("_hit.start") + F.col("sentence_start")).alias("evidence_start"), (F.col("_hit.end") + F.col("sentence_start")).alias("evidence_end"), F.col("_hit.reason").alias("reason"))
+    rows = sentence_rows(jobs.where(is_missing(F.col("education")) | (F.col("education") == "<missing>"))).withColumn("_hit", education_hits(F.col("sentence"))).where("_hit.pattern_name IS NOT NULL")
+    names = ("pattern_name", "suggested_value", "barrier", "preferred", "confidence", "reason")
+    return rows.select("platform", "job_id", "source_section", "sentence", *[f"_hit.{k}" for k in names], (F.col("_hit.start") + F.col("sentence_start")).alias("evidence_start"), (F.col("_hit.end") + F.col("sentence_start")).alias("evidence_end"))
+
+
+def _names(sentence: Column, words: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for w in words:
+        found = found | F.contains(F.lower(sentence), F.lit(w))
+    return found
+
 
+def education_unknown(sentence: Column) -> Column:
+    """Why a sentence with a word of education gave no evidence; null without one."""
+    asked = _names(sentence, EDUCATION_WORDS) & ~sentence.rlike(NOT_A_MAJOR.pattern)
+    why = F.when(_names(sentence, MAJOR_WORDS), "contains_major_keyword_but_unsupported_pattern").when(sentence.rlike(DEGREE_WORDS), "contains_degree_keyword_but_no_hard_requirement").otherwise("unsupported_pattern")
+    return F.when(asked, why)
 
-def unknown_reason(sentence: Column) -> Column:
-    """Why a sentence with a keyword of experience gave no evidence; null without one."""
-    years, words = sentence.rlike(NUMBER + r"\s*年"), sentence.rlike("(经验|经历|工作经验|工作经历|相关经验|相关经历)")
-    return F.when(years & words, "contains_year_number_but_unclear_context").when(words, "contains_experience_keyword_but_no_year").when(years, "contains_year_number_but_unclear_context")
+
+def experience_unknown(sentence: Column) -> Column:
+    """Why a sentence with a word of experience gave no evidence; null without one."""
+    why = F.when(sentence.rlike(NUMBER + r"\s*年"), "contains_year_number_but_unclear_context").when(sentence.rlike("(经验|经历|工作经验|工作经历|相关经验|相关经历)"), "contains_experience_keyword_but_no_year").otherwise("unsupported_pattern")
+    return F.when(_names(sentence, EXPERIENCE_WORDS), why)
+
+
+def unknown_patterns(jobs: DataFrame) -> DataFrame:
+    """``platform, job_id, field, source_section, sentence, reason``: sentences that speak of a missing field in no known way."""
+    out = None
+    for field, hits, why in (("education", education_hits, education_unknown), ("experience", experience_hits, experience_unknown)):
+        rows = sentence_rows(jobs.where(is_missing(F.col(field)) | (F.col(field) == "<missing>"))).withColumn("_hit", hits(F.col("sentence")))
+        none = F.col("_hit.pattern_name").isNull() if field == "education" else F.size("_hit") == 0
+        found = rows.where(none).select("platform", "job_id", F.lit(field).alias("field"), "source_section", "sentence", why(F.col("sentence")).alias("reason")).where("reason IS NOT NULL")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def evidence_counts(rows: DataFrame) -> DataFrame:

@@ -175,3 +175,92 @@ def anomalies(before: DataFrame, after: DataFrame, least: int = 3, rate: float =
     both = before.select("dimension", "key", c("n").alias("previous")).join(after.select("dimension", "key", c("n").alias("current")), ["dimension", "key"], "full_outer")
     both = both.withColumns({"previous": F.coalesce("previous", F.lit(0)), "current": F.coalesce("current", F.lit(0))}).withColumn("delta", c("current") - c("previous"))
     return both.where((F.abs("delta") >= least) & (F.abs("delta") / F.greatest("previous", F.lit(1)) >= rate))
+
+
+def window_labels(classified: DataFrame, events: DataFrame, dates: DataFrame) -> DataFrame:
+    """Labels of the seven-day report: ``snapshot_date, platform, job_id, label``.
+
+    Unlike ``asof_labels``, a label lives on only through days that classify its
+    posting (reliably or not) or tell it MISSING or REMOVED; any other day ends
+    it. classified: ``snapshot_date, platform, job_id, reliable, label``.
+    """
+    keys = ["platform", "job_id"]
+    told = events.where(c("event_type").isin("MISSING", "REMOVED")).select(c("event_date").alias("snapshot_date"), *keys, F.lit(True).alias("_told")).distinct()
+    first = classified.groupBy(*keys).agg(F.min("snapshot_date").alias("_first"))
+    grid = first.join(F.broadcast(dates.select("snapshot_date").distinct()), c("snapshot_date") >= c("_first")).drop("_first")
+    rows = grid.join(classified, ["snapshot_date", *keys], "left").join(told, ["snapshot_date", *keys], "left")
+    upto = Window.partitionBy(*keys).orderBy("snapshot_date")
+    rows = rows.withColumn("_life", F.sum((c("reliable").isNull() & c("_told").isNull()).cast("int")).over(upto))
+    life = Window.partitionBy(*keys, "_life").orderBy("snapshot_date")
+    label = F.last(F.when(c("reliable"), c("label")), ignorenulls=True).over(life)
+    return rows.select("snapshot_date", *keys, label.alias("label")).where("label IS NOT NULL")
+
+
+def window_reasons(days: DataFrame, as_of: Column, length: int = 7) -> DataFrame:
+    """One row ``reason_codes, comparable`` for a window that ends on ``as_of``.
+
+    days: ``snapshot_date, cities, has_manifest, reliable, reviewed, versions``, a row a day.
+    """
+    inside = days.where((c("snapshot_date") >= F.date_sub(as_of, length)) & (c("snapshot_date") <= as_of))
+    none = F.array().cast("array<string>")
+    sums = inside.agg(
+        F.count_distinct("snapshot_date").alias("n"), F.coalesce(F.bool_or(c("snapshot_date") == F.date_sub(as_of, length)), F.lit(False)).alias("base"), F.count_distinct("cities").alias("scopes"),
+        F.coalesce(F.bool_and("has_manifest"), F.lit(False)).alias("known"), F.coalesce(F.bool_and("reliable"), F.lit(False)).alias("fine"), F.coalesce(F.bool_and("reviewed"), F.lit(False)).alias("reviewed"), F.count_distinct("versions").alias("versions"),
+    )
+    code = lambda when, *names: F.when(when, F.array(*[F.lit(x) for x in names])).otherwise(none)
+    reasons = F.concat(
+        code(c("n") < length + 1, "OBSERVATION_GAPS"), code(~c("base"), "INSUFFICIENT_WINDOW_HISTORY"), code(~c("known"), "MANIFEST_SCOPE_MISSING"), code(c("scopes") > 1, "SOURCE_SCOPE_CHANGED"),
+        code(~c("fine"), "SOURCE_COVERAGE_INCOMPARABLE"), code(~c("reviewed"), "CLASSIFICATION_REVIEW_REQUIRED"), code(c("versions") > 1, "CLASSIFIER_VERSION_MISMATCH", "REPLAY_REQUIRED"),
+    )
+    return sums.select(F.array_sort(reasons).alias("reason_codes")).withColumn("comparable", F.size("reason_codes") == 0)
+
+
+def tag_changes(current: DataFrame, baseline: DataFrame, comparable: bool, tags: str = "skill_tags") -> DataFrame:
+    """``tag, mentions, mention_share, companies`` now and their changes since the baseline day, null unless comparable; ``rising``."""
+    totals = [df.agg(F.count("*").alias(k)) for df, k in ((current, "_all"), (baseline, "_all_old"))]
+    now = tag_breadth(current, tags).join(F.broadcast(totals[0]))
+    old = tag_breadth(baseline, tags).select("tag", c("mentions").alias("_m"), c("companies").alias("_c"))
+    rows = now.join(old, "tag", "left").join(F.broadcast(totals[1])).withColumns({"_m": F.coalesce("_m", F.lit(0)), "_c": F.coalesce("_c", F.lit(0))})
+    part = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    only = lambda x: F.when(F.lit(comparable), x)
+    rows = rows.withColumns({"mention_share": part("mentions", "_all"), "change": only(c("mentions") - c("_m")), "share_change": only(part("mentions", "_all") - part("_m", "_all_old")), "companies_change": only(c("companies") - c("_c"))})
+    rising = F.coalesce((c("change") > 0) & (c("share_change") > 0) & (c("companies_change") > 0) & (c("companies") > 1), F.lit(False))
+    return rows.select("tag", "mentions", "mention_share", "companies", "change", "share_change", "companies_change", rising.alias("rising"))
+
+
+def gate_events(events: DataFrame, labels: DataFrame, postings: DataFrame) -> DataFrame:
+    """Adds ``flow``: counted, unknown, or why a day's event is not counted.
+
+    labels: ``platform, job_id, version_ok, status, content_sha256`` as of the day;
+    postings: ``platform, job_id, out_of_scope, presence_reliable, content_reliable``.
+    An UPDATED event counts for a fresh row only, whose text is the event's and another than before.
+    """
+    keys = ["platform", "job_id"]
+    rows = events.join(labels, keys, "left").join(postings, keys, "left")
+    content = c("event_type") == "UPDATED"
+    trusted = F.coalesce(F.when(content, c("content_reliable")).otherwise(c("presence_reliable")), F.lit(False))
+    changed = (c("previous_sha256") != c("current_sha256")) & (c("current_sha256") == c("content_sha256"))
+    whole = ~content | ((c("status") == "fresh") & F.coalesce(changed, F.lit(False)))
+    flow = (
+        F.when((c("event_status") != "confirmed") | ~c("event_type").isin(*FLOWS), "diagnostic")
+        .when(c("status").isNull() & F.coalesce("out_of_scope", F.lit(False)), "out_of_scope")
+        .when(c("status").isNull() & trusted, "unknown")
+        .when(c("status").isNull(), "UNRELIABLE_CANONICAL_EVENT_EXCLUDED")
+        .when(~c("version_ok"), "CLASSIFIER_VERSION_MISMATCH")
+        .when(~trusted | ~whole, "UNRELIABLE_CANONICAL_EVENT_EXCLUDED")
+        .otherwise("counted")
+    )
+    return rows.select(*[events[k] for k in events.columns], flow.alias("flow"))
+
+
+def family_reliability(scopes: DataFrame, gated: DataFrame) -> DataFrame:
+    """``platform, family, reliable, reason_codes`` from scope health and what gating excluded."""
+    none = F.array().cast("array<string>")
+    each = scopes.groupBy("platform").agg(F.bool_and("presence_reliable").alias("p"), F.bool_and("content_reliable").alias("t"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(~c("presence_reliable"), c("reason_codes")))))).alias("codes"))
+    listed = F.when(~c("p"), F.array_union(F.array(F.lit("SOURCE_PRESENCE_UNRELIABLE")), "codes")).otherwise(none)
+    texts = F.when(~c("t"), F.array(F.lit("SOURCE_CONTENT_UNRELIABLE"))).otherwise(none)
+    by_family = each.select("platform", F.explode(F.array(*[F.struct(F.lit(f).alias("family"), r.alias("codes")) for f, r in (("inventory", listed), ("presence_flow", listed), ("content_flow", texts))])).alias("x")).select("platform", "x.*")
+    family = F.when(c("event_type") == "UPDATED", "content_flow").otherwise("presence_flow")
+    cut = gated.where(c("flow").isin("UNRELIABLE_CANONICAL_EVENT_EXCLUDED", "CLASSIFIER_VERSION_MISMATCH")).groupBy("platform", family.alias("family")).agg(F.collect_set("flow").alias("more"))
+    rows = by_family.join(cut, ["platform", "family"], "left")
+    return rows.select("platform", "family", F.array_sort(F.array_union("codes", F.coalesce("more", none))).alias("reason_codes")).withColumn("reliable", F.size("reason_codes") == 0)

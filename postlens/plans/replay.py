@@ -1,7 +1,6 @@
 """The whole analysis over stored days, as one set of DataFrames.
 
-Each step is lazy; what several steps read is written once by the caller or kept
-by ``persist``. Days are a column, not a loop: health, labels, events and
+Each step is lazy; what several steps read is kept by ``persist``. Days are a column, not a loop: health, labels, events and
 snapshots of all days come out of one plan each.
 """
 
@@ -37,8 +36,8 @@ def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(
     day = manifests.select("snapshot_date", "job_count", "cities").dropDuplicates(["snapshot_date"])
     context = health.context(manifests, jobs, day)
     scopes = health.resolve_scopes(context, jobs)
-    postings = health.resolve_jobs(clean.normalize_locations(jobs), scopes)
-    classified = classify.classify_snapshots(postings, versions.market, versions.fit, versions.skills)
+    postings = health.resolve_jobs(clean.normalize_locations(jobs), scopes).persist()  # read by labels and events
+    classified = classify.classify_snapshots(postings, versions.market, versions.fit, versions.skills).persist()  # by snapshots and reports
     presence = postings.select("snapshot_date", "platform", "job_id", "company", "title", F.when(F.col("content_reliable"), content_sha256()).alias("sha"))
     many = F.col("platform").isin(*health.MANY_COMPANIES)
     days = scopes.join(day.select("snapshot_date", "cities"), "snapshot_date").select("snapshot_date", "platform", F.when(many, F.col("company")).alias("company"), "presence_reliable", "cities", "reason_codes")

@@ -90,6 +90,12 @@ def test_degrees(spark):
     assert evidence.degree_in("本科及以上学历，硕士优先")["reason"] == "hard_degree_requirement_found;degree_preferred_found"
     assert evidence.degree_in("硕士或博士优先") == {"degree": "preferred_only", "reason": "degree_preferred_only_no_hard_requirement", "start": 0, "end": 7, "preferred": "硕士或博士"}
     assert evidence.degree_in("其他") is None
+    both = evidence.education_in("计算机相关专业，本科及以上学历，人工智能专业优先")
+    assert (both["pattern_name"], both["suggested_value"], both["barrier"], both["preferred"], both["confidence"]) == ("bachelor_plus;major_required", "bachelor_plus;计算机相关专业", "bachelor_plus;计算机相关专业", "人工智能专业", "medium")
+    assert evidence.education_in("专业不限，学历不限")["barrier"] == "no_requirement"
+    assert evidence.education_in("具备专业能力") is None
+    unknown = evidence.unknown_patterns(spark.createDataFrame([("p", "1", "", "", "熟悉相关经验；统计学位", "")], "platform string, job_id string, education string, experience string, requirements string, description string"))
+    assert sorted((r.field, r.reason) for r in unknown.collect()) == [("education", "contains_degree_keyword_but_no_hard_requirement"), ("experience", "contains_experience_keyword_but_no_year")]
     jobs = spark.createDataFrame([("p", "1", "", "", "本科及以上；3年以上测试经验", ""), ("p", "2", "本科", "3年", "本科及以上", None)], "platform string, job_id string, education string, experience string, requirements string, description string")
     assert [r.pattern_name for r in evidence.education_evidence(jobs).collect()] == ["bachelor_plus"]
     r = evidence.experience_evidence(jobs).first()
