@@ -90,18 +90,20 @@ class _Pieces:
         out[~is_alone], out[is_alone] = ids, more
         return out, count
 
-    def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and count and first place of each piece."""
+    def __call__(self, pieces: pa.Array, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and count and first place of each piece; of new pieces those ``often`` seen are remembered."""
         listed = pieces.to_pylist()
-        at = np.fromiter((self.number.get(x, -1) for x in listed), np.int64, len(listed))
+        known = self.number
+        at = np.array([known.get(x, -1) for x in listed], np.int64)
         new = np.flatnonzero(at < 0)
         alone = pc.match_substring_regex(pieces.take(pa.array(new)), _BLANK_EDGE).to_numpy(zero_copy_only=False)
         ids, count = self._encode([listed[i] for i in new], alone)
         at[new] = len(self.count) + np.arange(len(new))
         all_ids, all_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        if len(self.number) < CACHED:
-            self.number.update((listed[i], int(at[i])) for i in new)
-            self.ids, self.count = all_ids, all_count
+        if len(known) < CACHED:
+            keep = often[new]
+            known.update(zip((listed[i] for i in new[keep]), range(len(self.count), len(self.count) + int(keep.sum()))))
+            self.ids, self.count = np.concatenate([self.ids, ids[np.repeat(keep, count)]]), np.concatenate([self.count, count[keep]])
         return all_ids, all_count[at], (np.cumsum(all_count) - all_count)[at]
 
 
@@ -124,7 +126,7 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     bare = np.unique(index[~lead])
     if path not in _pieces:
         _pieces[path] = _Pieces(path)
-    ids, count, begin = _pieces[path](distinct)
+    ids, count, begin = _pieces[path](distinct, np.bincount(index, minlength=len(distinct)) > 1)
     more, more_count = _ids_of(distinct.take(pa.array(bare)).to_pylist(), path)
     begin = np.concatenate([begin, len(ids) + np.cumsum(more_count) - more_count])
     ids, count = np.concatenate([ids, more]), np.concatenate([count, more_count])
