@@ -11,8 +11,8 @@ columns of documents:
 4. mixing: documents are dropped or repeated so that sources meet their weights;
 5. token ids: the encoded documents, in ascending id order.
 
-No stage before the third drops rows for what a null column holds; null ids are
-kept through all stages.
+Rows with a null id pass the second stage, as nothing there could name them; a
+null source is one source, a null text has no language and goes in the first.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_components(docs, n=5, near=75)
-    firsts = store.table(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_first")).agg(F.count("*").alias("_rows")), "firsts")
+    firsts = store.table(found.where("doc_id IS NULL OR doc_id = component_id").groupBy(F.col("doc_id").alias("_first")).agg(F.count("*").alias("_rows")), "firsts")
     # the list of kept ids has no bound, so it is merged at every size and never broadcast
     kept = docs.join(firsts.hint("shuffle_merge"), docs["doc_id"].eqNullSafe(firsts["_first"]), "left_semi")
     if firsts.where("_first IS NOT NULL AND _rows > 1").limit(1).count():

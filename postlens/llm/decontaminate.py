@@ -12,8 +12,8 @@ joined in blocks of proven size and the corpus is never shuffled to find hits.
 
 Edge cases: null and short texts have no seeds; items with fewer words than a
 mask are hashed whole, with a mask of their own length, from ``SHORTEST`` words
-on, and shorter ones are not looked for; null item texts are left out; hits of documents
-that share a doc_id, or have none, are reported once under it; empty tables give
+on, and shorter ones are not looked for; null item texts are left out; documents that
+share a doc_id are one, and those without one are told apart by their texts; empty tables give
 an empty result. Only ``doc_id, text`` and ``item_id, text`` are read.
 """
 
@@ -45,27 +45,28 @@ def _seeds(words: str, mask: str) -> Column:
     return F.when(F.size(words) >= len(mask), F.transform(places, one)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _key() -> dict[str, Column]:
+    """What names a document: its id or, without one, its text."""
+    none = F.col("doc_id").isNull()
+    return {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "mark": F.when(none, F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0))}
+
+
 def _hits(docs: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """``doc, item_id, diagonal`` for each place where a document has a seed of an item."""
-    rows = docs.select("doc", F.transform(tokens(), lambda w: F.xxhash64(w)).alias("words"))
+    """``doc, mark, item_id, diagonal`` for each place where a document has a seed of an item."""
+    rows = docs.select("doc", "mark", F.transform(tokens(), lambda w: F.xxhash64(w)).alias("words"))
     # the masks of one span in one pass: their seeds one behind the other
     count = F.greatest(F.lit(1), F.size("words") - SPAN + 1)
-    both = rows.select("doc", count.alias("count"), F.posexplode(F.concat(*[_seeds("words", m) for m in MASKS])).alias("place", "seed"))
-    parts = [both.select("doc", F.pmod("place", "count").alias("place"), "seed")]
-    parts += [rows.select("doc", F.posexplode(_seeds("words", m)).alias("place", "seed")) for m in masks if len(m) != SPAN]
+    both = rows.select("doc", "mark", count.alias("count"), F.posexplode(F.concat(*[_seeds("words", m) for m in MASKS])).alias("place", "seed"))
+    parts = [both.select("doc", "mark", F.pmod("place", "count").alias("place"), "seed")]
+    parts += [rows.select("doc", "mark", F.posexplode(_seeds("words", m)).alias("place", "seed")) for m in masks if len(m) != SPAN]
     out = None
     for part in parts:
-        joined = part.join(F.broadcast(seeds), "seed").select("doc", "item_id", (F.col("place") - F.col("at")).alias("diagonal"))
+        joined = part.join(F.broadcast(seeds), "seed").select("doc", "mark", "item_id", (F.col("place") - F.col("at")).alias("diagonal"))
         out = joined if out is None else out.unionByName(joined)
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:
-    """``doc_id, item_id, diagonal, matched, aligned``: documents that hold a passage of a benchmark item.
-
-    matched: agreeing words in the best window (of ``aligned`` words); diagonal:
-    the word of the document at which the item would begin.
-    """
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> DataFrame:
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", F.filter(tokens(), lambda w: w != "").alias("item_words"))
     items = store.table(items.where(F.size("item_words") >= SHORTEST), "items")
     hashed = items.withColumn("words", F.transform("item_words", lambda w: F.xxhash64(w)))
@@ -78,13 +79,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: i
         seeds = rows if seeds is None else seeds.unionByName(rows)
     seeds = store.table(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // SEEDS_AT_ONCE))
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), "text")
+    keyed = docs.select(*[v.alias(k) for k, v in _key().items()], "text")
     hits = None
     for k in range(blocks):
         found = _hits(keyed, seeds.where(F.pmod("seed", F.lit(blocks)) == k), masks)
         hits = found if hits is None else hits.unionByName(found)
     hits = store.table(hits.distinct(), "hits")
-    pairs = keyed.join(hits, "doc").join(items, "item_id").withColumn("words", tokens())
+    pairs = keyed.join(hits, ["doc", "mark"]).join(items, "item_id").withColumn("words", tokens())
     n, m = F.size("words"), F.size("item_words")
     skip = F.greatest(F.lit(0), -F.col("diagonal"))  # item words before the document
     start = F.greatest(F.lit(0), F.col("diagonal"))
@@ -94,12 +95,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: i
     )
     wide = F.least(F.lit(window), m)
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("same") - wide + 1)), lambda i: F.aggregate(F.slice("same", i, wide), F.lit(0), lambda a, b: a + b)))
-    checked = pairs.select("doc", "item_id", "diagonal", best.alias("matched"), wide.alias("aligned")).where(F.col("matched") * window >= F.col("aligned") * least)
-    one = checked.groupBy("doc", "item_id").agg(F.max(F.struct("matched", (-F.col("diagonal")).alias("d"), "aligned")).alias("x"))
-    return one.select(F.when(F.col("doc") < F.lit((1 << 63) - 1), F.col("doc")).alias("doc_id"), "item_id", (-F.col("x.d")).alias("diagonal"), F.col("x.matched").alias("matched"), F.col("x.aligned").alias("aligned"))
+    checked = pairs.select("doc", "mark", "item_id", "diagonal", best.alias("matched"), wide.alias("aligned")).where(F.col("matched") * window >= F.col("aligned") * least)
+    one = checked.groupBy("doc", "mark", "item_id").agg(F.max(F.struct("matched", (-F.col("diagonal")).alias("d"), "aligned")).alias("x"))
+    return one.select("doc", "mark", "item_id", (-F.col("x.d")).alias("diagonal"), F.col("x.matched").alias("matched"), F.col("x.aligned").alias("aligned"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:
+    """``doc_id, item_id, diagonal, matched, aligned``: documents that hold a passage of a benchmark item.
+
+    matched: agreeing words in the best window (of ``aligned`` words); diagonal:
+    the word of the document at which the item would begin.
+    """
+    found = _leaks(docs, benchmark, window, least)
+    return found.select(F.when(F.col("mark") == 0, F.col("doc")).alias("doc_id"), "item_id", "diagonal", "matched", "aligned")
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that ``find_leaks`` names (by doc_id; null ids together)."""
-    leaks = find_leaks(docs, benchmark, window, least).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+    """The rows of ``docs``, all columns, without the documents that hold a benchmark passage."""
+    leaks = _leaks(docs, benchmark, window, least).select(F.col("doc").alias("_leak"), F.col("mark").alias("_mark")).distinct()
+    key = _key()
+    return docs.join(leaks, (key["doc"] == leaks["_leak"]) & (key["mark"] == leaks["_mark"]), "left_anti")

@@ -106,7 +106,19 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_components(_read(spark, sf_dir, "documents"), n=5, near=75)
+    return ngram_join.ngram_components(_read(spark, sf_dir, "documents"), n=5, near=75).drop("copies")
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS g FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) >= 1),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1) c USING (doc_id)
+"""
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +126,31 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) AS h FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) >= 20),
+again AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS r FROM k) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM again, unnest(range(0, 20)) AS t(j)),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT x.doc_id, count(*) FILTER (WHERE gone.i IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY x.i) FILTER (WHERE gone.i IS NULL) AS t FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS n FROM s),
+v AS (SELECT *, (1 + n % 3)::DOUBLE AS wt, source_size * 3.0::DOUBLE AS cap, source_size * 3.0::DOUBLE / (1 + n % 3)::DOUBLE AS ratio FROM w),
+q AS (SELECT *, (sum(source_size) OVER ())::DOUBLE AS total, coalesce(sum(cap) OVER b, 0.0::DOUBLE) AS capped, sum(wt) OVER () - coalesce(sum(wt) OVER b, 0.0::DOUBLE) AS rest FROM v WINDOW b AS (ORDER BY ratio, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT arg_min((total - capped) / rest, ratio) FILTER (WHERE ratio > (total - capped) / rest) AS level FROM q),
+t AS (SELECT source, source_size, least(coalesce(level * wt, cap), cap) AS target FROM q, f),
+c AS (SELECT d.*, t.source_size, t.target, floor(CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END) AS whole FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, target - whole * source_size AS budget, sum(size) OVER (PARTITION BY source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY source, h) AS own FROM c)
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN whole < 3 AND (upto <= budget OR (upto - own <= budget AND upto - budget < budget - (upto - own))) THEN 1 ELSE 0 END))::BIGINT AS taken FROM e
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).drop("repeats")
 
@@ -150,6 +187,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op3_ngram_join": OP3_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op5_topk": OP5_SQL,
     "op6_url_filters": OP6_SQL,
+    "op7_mixing": OP7_SQL,
 }
