@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clauses, content_sha256, distinct_texts, has, matched_terms, rx, segments, tags, text_of
+from ..functions.text import clauses, content_sha256, has, matched_terms, rx, segments, tags, text_of
 from .ontology import EVIDENCE, EXCLUSION_LABELS, EXCLUSION_ORDER, FIT, MARKET, NON_QA_ROLES, SECURITY_TECHNIQUES, SKILLS
 
 c = F.col
@@ -433,7 +433,3 @@ def select_candidates(rows: DataFrame) -> DataFrame:
 def evidence_terms(text: Column, rule: str) -> Column:
     """The words that made a fit rule hold, as in reports."""
     return matched_terms(text, FIT[rule])
-
-
-def text_values(values: Column) -> Column:
-    return distinct_texts(values)

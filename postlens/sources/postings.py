@@ -21,12 +21,16 @@ FIELDS = ("job_id", "platform", "title", "company", "department", "location", "e
 
 @dataclass(frozen=True)
 class Platform:
-    """Paths into an item; a path that ends in ``[]`` or has ``[].name`` is a list, joined by a comma."""
+    """Paths into an item; a path that ends in ``[]`` or has ``[].name`` is a list, joined by a comma.
+
+    paths: of a field's paths the first that isn't blank; parts: all of them, joined by a separator.
+    """
 
     items: str
     total: str | None
     id: tuple[str, ...]
     paths: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    parts: dict[str, tuple[str, tuple[str, ...]]] = field(default_factory=dict)
 
 
 # Field paths of the platforms' own payloads (fixed values).
@@ -35,16 +39,19 @@ PLATFORMS = {
     "netease": Platform("$.data.list", "$.data.total", ("$.id",), {"title": ("$.name",), "department": ("$.firstDepName",), "location": ("$.workPlaceNameList[]",), "experience": ("$.reqWorkYearsName",), "education": ("$.reqEducationName",), "description": ("$.description",), "requirements": ("$.requirement",)}),
     "aliyun": Platform("$.content.datas", "$.content.totalCount", ("$.id",), {"title": ("$.name",), "department": ("$.department", "$.departmentName"), "location": ("$.workLocations[]",), "experience": ("$.experience",), "education": ("$.degree",), "description": ("$.description",), "requirements": ("$.requirement",)}),
     "baidu": Platform("$.data.list", "$.data.total", ("$.postId", "$.jobId"), {"title": ("$.name",), "department": ("$.bgShortName", "$.orgName"), "location": ("$.workPlace",), "experience": ("$.workYears",), "education": ("$.education",), "description": ("$.workContent",), "requirements": ("$.serviceCondition",)}),
-    "bytedance": Platform("$.data.job_post_list", "$.data.count", ("$.id",), {"title": ("$.title",), "location": ("$.city_info.name", "$.city_list[].name"), "description": ("$.description",), "requirements": ("$.requirement",)}),
+    "bytedance": Platform("$.data.job_post_list", "$.data.count", ("$.id",), {"title": ("$.title",), "location": ("$.city_info.name", "$.city_list[].name"), "description": ("$.description",), "requirements": ("$.requirement",)}, {"department": (" - ", ("$.job_category.parent.name", "$.job_category.name"))}),
     "didi": Platform("$.data.items", "$.data.total", ("$.jdNo", "$.jdId"), {"title": ("$.jobName",), "department": ("$.deptName",), "location": ("$.workArea",), "description": ("$.jobDesc",), "requirements": ("$.qualification",)}),
     "feishu": Platform("$.data.job_post_list", "$.data.count", ("$.id",), {"title": ("$.title",), "location": ("$.city_list[].name",), "description": ("$.description",), "requirements": ("$.requirement",)}),
-    "jd": Platform("$.data.list", None, ("$.requirementId",), {"title": ("$.positionNameOpen", "$.positionName"), "department": ("$.positionDeptName", "$.jobType"), "location": ("$.workCity",), "description": ("$.workContent",), "requirements": ("$.qualification",)}),
-    "kuaishou": Platform("$.result.list", "$.result.total", ("$.id",), {"title": ("$.name",), "department": ("$.departmentName",), "location": ("$.workLocationsCode[]",), "experience": ("$.workExperienceCode",), "education": ("$.educationLimitCode",), "description": ("$.description",), "requirements": ("$.positionDemand",)}),
+    "jd": Platform("$", None, ("$.requirementId",), {"title": ("$.positionNameOpen", "$.positionName"), "department": ("$.positionDeptName", "$.jobType"), "location": ("$.workCity",), "description": ("$.workContent",), "requirements": ("$.qualification",)}),
+    "kuaishou": Platform("$.result.list", "$.result.total", ("$.id",), {"title": ("$.name",), "department": ("$.departmentName",), "location": ("$.workLocationsCode[]", "$.workLocationCode"), "experience": ("$.workExperienceCode",), "education": ("$.educationLimitCode",), "description": ("$.description",), "requirements": ("$.positionDemand",)}),
     "liepin": Platform("$.data.data.jobCardList", None, ("$.job.jobId",), {"title": ("$.job.title",), "department": ("$.job.department",), "location": ("$.job.dq",), "experience": ("$.job.requireWorkYears",), "education": ("$.job.requireEduLevel",), "salary": ("$.job.salary",), "description": ("$.job.labels[]",)}),
-    "meituan": Platform("$.data.list", "$.data.page.totalCount", ("$.jobUnionId",), {"title": ("$.name",), "department": ("$.department[].name",), "location": ("$.cityList[].name",), "experience": ("$.workYear",), "description": ("$.jobDuty",), "requirements": ("$.jobRequirement",)}),
+    "meituan": Platform("$.data.list", "$.data.page.totalCount", ("$.jobUnionId",), {"title": ("$.name",), "department": ("$.department[].name",), "location": ("$.cityList[].name",), "experience": ("$.workYear",), "requirements": ("$.jobRequirement",)}, {"description": ("\n", ("$.jobDuty", "$.highLight"))}),
     "xiaohongshu": Platform("$.data.list", "$.data.total", ("$.positionId",), {"title": ("$.positionName",), "department": ("$.jobType",), "location": ("$.workplace",), "description": ("$.duty",), "requirements": ("$.qualification",)}),
 }
 PLATFORMS |= {name: PLATFORMS["aliyun"] for name in ("tongyi", "dingtalk", "quark")}
+DEGREES = {"bachelor": "本科", "master": "硕士", "doctor": "博士", "phd": "博士", "college": "大专", "high_school": "高中"}
+#: Platforms whose degree is a code and whose experience may be a range of years.
+RANGED = ("aliyun", "tongyi", "dingtalk", "quark")
 #: Cities that a province stands for where a platform filters by city (fixed values).
 PROVINCE_CITIES = {"广东": ("广州", "深圳"), "浙江": ("杭州",)}
 
@@ -77,24 +84,43 @@ def _items(pages: DataFrame, spec: Platform) -> DataFrame:
     return parsed.select(*pages.columns, F.posexplode(F.try_variant_get("_doc", spec.items, "array<variant>")).alias("_at", "_item"))
 
 
-def read_platform(pages: DataFrame, platform: str) -> DataFrame:
-    """Postings of one platform's pages, as listed: ``FIELDS`` and ``page, position``."""
-    spec = PLATFORMS[platform]
+def joined_text(item: Column, separator: str, paths: tuple[str, ...]) -> Column:
+    texts = F.array(*[text_of(_at(item, p)) for p in paths])
+    return F.array_join(F.filter(texts, lambda x: x != ""), separator)
+
+
+def read_platform(pages: DataFrame, platform: str, settings: dict[str, str] | None = None) -> DataFrame:
+    """Postings of one platform's pages, as listed: ``FIELDS`` and ``page, position``.
+
+    settings: ``name``, the company where pages don't say it, and ``detail_url`` with ``{job_id}``.
+    """
+    spec, settings = PLATFORMS[platform], settings or {}
     rows = _items(pages.where(F.col("platform") == platform), spec)
     item, fields = F.col("_item"), {}
     for f in FIELDS:
-        fields[f] = first_text(item, spec.id if f == "job_id" else spec.paths.get(f, ()))
+        fields[f] = joined_text(item, *spec.parts[f]) if f in spec.parts else first_text(item, spec.id if f == "job_id" else spec.paths.get(f, ()))
+    if platform in RANGED:
+        low, high = (F.try_variant_get(item, f"$.experience.{k}", "string") for k in ("from", "to"))
+        fields["experience"] = F.when(low.isNotNull(), years_text(low, high)).when(fields["experience"] == "None", "").otherwise(fields["experience"])
+        degree = F.create_map(*[x for pair in DEGREES.items() for x in map(F.lit, pair)])
+        fields["education"] = F.coalesce(degree[F.lower(fields["education"])], fields["education"])
+    if platform == "kuaishou":
+        fields["salary"] = salary_range(*[F.try_variant_get(item, f"$.{k}", "string") for k in ("salaryMin", "salaryMax")])
+    name = F.lit(settings.get("name", platform))
     fields["platform"] = F.lit(platform)
-    fields["company"] = F.coalesce("company", F.lit(platform)) if "company" in pages.columns else F.lit(platform)
+    fields["company"] = F.coalesce("company", name) if "company" in pages.columns else name
     fields["scraped_at"] = F.coalesce("scraped_at", F.lit("")) if "scraped_at" in pages.columns else F.lit("")
+    if url := settings.get("detail_url"):
+        address = F.replace(F.lit(url), F.lit("{job_id}"), first_text(item, spec.id[-1:]))  # the platform's own id, where it has two
+        fields["url"] = F.when(fields["job_id"] != "", address).otherwise("")
     return rows.select(*[v.alias(k) for k, v in fields.items()], "page", F.col("_at").alias("position"))
 
 
-def read_all(pages: DataFrame, platforms: list[str]) -> DataFrame:
+def read_all(pages: DataFrame, platforms: list[str], settings: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """Postings of all given platforms; one without pages adds none."""
     out = None
     for p in platforms:
-        rows = read_platform(pages, p)
+        rows = read_platform(pages, p, (settings or {}).get(p))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -121,7 +147,7 @@ def decode(codes: Column, names: dict[str, str], separator: str = ", ") -> Colum
 
 
 def salary_range(low: Column, high: Column) -> Column:
-    return F.when(low.isNotNull() & high.isNotNull(), F.concat_ws("-", low.cast("string"), high.cast("string"))).otherwise("")
+    return F.when(low.isNotNull() & high.isNotNull(), F.concat_ws("-", low, high)).when(low.isNotNull(), F.concat(low, F.lit("以上"))).when(high.isNotNull(), F.concat(high, F.lit("以下"))).otherwise("")
 
 
 def years_text(low: Column, high: Column) -> Column:
@@ -129,6 +155,30 @@ def years_text(low: Column, high: Column) -> Column:
     return F.when(low.isNotNull() & high.isNotNull(), F.concat(low.cast("string"), F.lit("-"), high.cast("string"), F.lit("年"))).when(low.isNotNull(), F.concat(low.cast("string"), F.lit("年以上"))).otherwise("")
 
 
+def province_wanted(location: Column, cities: list[str]) -> Column:
+    """A bare province counts where one of the cities it stands for is wanted."""
+    wanted = {x.strip().removesuffix("市") for x in cities}
+    names = [p for p, inside in PROVINCE_CITIES.items() if wanted & set(inside)]
+    place = F.regexp_replace(text_of(location), "省$", "")
+    return place.isin(*names) if names else F.lit(False)
+
+
+def city_totals(ledger: DataFrame) -> DataFrame:
+    """``city, first, last, low, high``: the totals a city's pages stated, for a list read city by city (``city, page, total``)."""
+    return ledger.groupBy("city").agg(F.min_by("total", "page").alias("first"), F.max_by("total", "page").alias("last"), F.min("total").alias("low"), F.max("total").alias("high"))
+
+
+def capped_regions(totals: DataFrame, cap: int = 500) -> DataFrame:
+    """Regions (``region, total``) whose list is longer than the platform shows, so that it must be split further."""
+    return totals.where(F.col("total") > cap)
+
+
+def detail_queue(postings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ids whose detail page is to be read, in listed order, ``limit`` of them at most."""
+    rows = postings.where(~is_missing(F.col("job_id"))).select("platform", "job_id", "page", "position").orderBy("page", "position", "job_id")
+    return rows if limit is None else rows.limit(limit)
+
+
 def not_recruiters(title: Column, terms: list[str]) -> Column:
     return ~F.exists(F.array(*[F.lit(t.lower()) for t in terms]), lambda t: F.contains(F.lower(title), t))
 

@@ -2,8 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from postlens.operators import health, lifecycle
 
 DAY = dt.date(2024, 1, 1)
@@ -139,4 +137,3 @@ def test_roll_up(spark):
     rows = [(DAY, "p", "a", True, True, []), (DAY, "p", "b", False, True, ["X"])]
     r = health.roll_up(spark.createDataFrame(rows, "snapshot_date date, platform string, company string, presence_reliable boolean, content_reliable boolean, reason_codes array<string>")).first()
     assert (r.presence_reliable, r.content_reliable, r.reason_codes, r.scopes) == (False, True, ["X"], 2)
-    assert F is not None

@@ -21,6 +21,26 @@ def test_read_platform(spark):
     assert ledger[1].total == 3 and ledger[1].ids == ["1", "2", ""] and ledger[3].empty
 
 
+def test_platform_shapes(spark):
+    payloads = [
+        ("aliyun", {"content": {"datas": [{"id": 7, "name": "a", "experience": {"from": 3, "to": 5}, "degree": "Bachelor", "workLocations": ["北京"]}, {"id": 8, "experience": {"from": 2}, "degree": "x"}, {"id": 9, "experience": "None"}]}}),
+        ("bytedance", {"data": {"job_post_list": [{"id": 1, "city_info": {"name": "上海"}, "job_category": {"name": "测试", "parent": {"name": "研发"}}}]}}),
+        ("jd", [{"requirementId": 5, "positionName": "b", "workCity": "广东省"}]),
+        ("kuaishou", {"result": {"list": [{"id": "k", "salaryMin": 10, "workLocationsCode": ["bj", "sh"]}]}}),
+        ("meituan", {"data": {"list": [{"jobUnionId": "m", "jobDuty": "duty", "highLight": "light", "department": [{"name": "d1"}, {"name": "d2"}]}]}}),
+        ("didi", {"data": {"items": [{"jdNo": "N1", "jdId": "I1", "jobName": "j"}]}}),
+    ]
+    pages = spark.createDataFrame([(p, 1, json.dumps(x)) for p, x in payloads], "platform string, page int, payload string")
+    rows = {(r.platform, r.job_id): r for r in postings.read_all(pages, [p for p, _ in payloads], {"didi": {"name": "D", "detail_url": "https://d/{job_id}"}}).collect()}
+    assert [(rows["aliyun", i].experience, rows["aliyun", i].education) for i in "789"] == [("3-5年", "本科"), ("2年以上", "x"), ("", "")]
+    assert rows["bytedance", "1"].department == "研发 - 测试" and rows["bytedance", "1"].location == "上海"
+    assert rows["jd", "5"].title == "b"
+    assert (rows["kuaishou", "k"].salary, rows["kuaishou", "k"].location) == ("10以上", "bj, sh")
+    assert (rows["meituan", "m"].description, rows["meituan", "m"].department) == ("duty\nlight", "d1, d2")
+    assert (rows["didi", "N1"].url, rows["didi", "N1"].company) == ("https://d/I1", "D")
+    assert spark.range(1).select(postings.province_wanted(F.lit("广东省"), ["深圳市"]).alias("x")).first().x is True
+
+
 def test_details_and_decoding(spark):
     listed = spark.createDataFrame([("p", "1", "list", ""), ("p", "2", "list", "")], "platform string, job_id string, description string, requirements string")
     details = spark.createDataFrame([("p", "1", "detail", " ")], "platform string, job_id string, description string, requirements string")
