@@ -199,8 +199,9 @@ def _prefixes(shared: DataFrame, near: int) -> DataFrame:
     alone = F.col("n") - F.size("keys")
     count = lambda r: F.least(F.lit(65535), F.size(F.filter("keys", lambda k: F.shiftright(k, HASH_BITS - 2).bitwiseAND(3) == r))).cast("long")
     ranges = count(0)
-    for r in (1, 2, 3):
-        ranges = ranges.bitwiseOR(F.shiftleft(count(r), 16 * r)) if r < 3 else ranges.bitwiseOR(F.shiftleft(F.least(count(r), F.lit(32767)), 48))
+    for r in (1, 2):
+        ranges = ranges.bitwiseOR(F.shiftleft(count(r), 16 * r))
+    ranges = ranges.bitwiseOR(F.shiftleft(F.least(count(3), F.lit(32767)), 48))  # the sign bit stays free
     rows = shared.withColumns({"alone": alone, "ranges": ranges})
     return rows.select("fp", "n", "alone", "ranges", F.posexplode(F.slice("keys", F.lit(1), (_prefix(F.col("n"), near) - alone).cast("int"))).alias("place", "key")).withColumn("place", F.col("place") + F.col("alone"))
 
@@ -210,8 +211,8 @@ def _may_link(near: int) -> Column:
     c = F.col
     short, long, both = F.least(c("x_n"), c("y_n")), F.greatest(c("x_n"), c("y_n")), c("x_n") + c("y_n")
     length = short * 100 >= long * near
-    # before the first n-gram that both prefixes have nothing is shared, behind it at most the shorter rest
-    most = 1 + F.least(c("x_n") - c("x_place"), c("y_n") - c("y_place")) - 1
+    # before the first n-gram that both have nothing is shared; with it at most the shorter rest
+    most = F.least(c("x_n") - c("x_place"), c("y_n") - c("y_place"))
     place = most * (100 + near) >= both * near
     # the shared part differs in each range by at least the difference of its counts
     part = lambda x, r: F.shiftright(c(x), 16 * r).bitwiseAND(65535 if r < 3 else 32767)
