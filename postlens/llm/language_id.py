@@ -6,9 +6,10 @@ loss weighted with each classifier's reliability, names the language. A bit that
 is wrong costs less than the distance between codewords.
 
 Training counts n-grams by language over all labelled documents, summed in the
-tasks first; what reaches the driver is one table of ``DIMENSIONS`` counts a
-language. A bit's classifier is the log-odds of the n-grams in the languages
-whose codewords have the bit against those of the others.
+tasks first; what reaches the driver is one table of ``DIMENSIONS`` counts for
+each of ``MAX_LANGUAGES`` languages at most (more are an error). A bit's
+classifier is the log-odds of the n-grams in the languages whose codewords have
+the bit against those of the others.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; a null
 language or id takes no part in training; without any labelled document all is
@@ -31,6 +32,8 @@ from . import store
 
 DIMENSIONS = 1 << 14
 ORDERS = (1, 2, 3)
+#: Bounds the model, and what reaches the driver, at DIMENSIONS counts each.
+MAX_LANGUAGES = 256
 CHUNK_BYTES = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
 #: Bytes that stand for themselves: ASCII letters, lower-cased, and all of a longer UTF-8 sequence; others are a blank.
@@ -119,7 +122,10 @@ def train(labelled: DataFrame) -> Model | None:
     """labelled: ``text, lang``; all rows count. None without any."""
     store.small_batches(labelled.sparkSession)
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
-    found = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pydict()
+    sums = store.table(rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ngrams")
+    if sums.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: the model would not fit the driver")
+    found = sums.toArrow().to_pydict()
     languages = sorted(set(found["lang"]))
     if not languages:
         return None
