@@ -37,3 +37,20 @@ def test_entry(spark, sf):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_what_queries_need(spark, sf):
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan(Q.short_texts(spark, sf))
+    assert "ReadSchema: struct<page_id:bigint,url:string>" in plan(Q.url_validity(spark, sf))
+    shown = plan(Q.observation_gaps(spark, sf))
+    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,1)]" in shown and "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in shown
+
+
+@pytest.mark.parametrize("name", ["duplicate_groups", "first_occurrences", "snapshot_inventory", "lifecycle_events", "source_health", "exclusion_breakdown"])
+def test_plans_stay_in_the_jvm(spark, sf, name):
+    shown = plan(Q.QUERIES[name](spark, sf))
+    assert "Python" not in shown and "Arrow" not in shown and "CartesianProduct" not in shown
