@@ -89,10 +89,11 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> Da
     n, m = F.size("words"), F.size("item_words")
     skip = F.greatest(F.lit(0), -F.col("diagonal"))  # item words before the document
     start = F.greatest(F.lit(0), F.col("diagonal"))
-    length = F.least(n - start, m - skip)
-    pairs = pairs.where(length > 0).withColumn(
-        "same", F.zip_with(F.slice("words", start + 1, length), F.slice("item_words", skip + 1, length), lambda a, b: F.when(a == b, 1).otherwise(0))
-    )
+    length = F.greatest(F.lit(0), F.least(n - start, m - skip))
+    agree = F.zip_with(F.slice("words", start + 1, length), F.slice("item_words", skip + 1, length), lambda a, b: F.when(a == b, 1).otherwise(0))
+    # written, as the windows below would otherwise split the text again at each place
+    pairs = store.table(pairs.select("doc", "mark", "item_id", "diagonal", m.alias("item_size"), agree.alias("same")), "overlaps")
+    m = F.col("item_size")
     wide = F.least(F.lit(window), m)
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("same") - wide + 1)), lambda i: F.aggregate(F.slice("same", i, wide), F.lit(0), lambda a, b: a + b)))
     checked = pairs.select("doc", "mark", "item_id", "diagonal", best.alias("matched"), wide.alias("aligned")).where(F.col("matched") * window >= F.col("aligned") * least)
