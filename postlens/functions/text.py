@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 BLANK = r"[\s\x1c-\x1f]"
+#: The characters that BLANK stands for.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MISSING = "<missing>"
 CONTENT_FIELDS = ("title", "description", "requirements")
 
@@ -28,8 +30,8 @@ def has(text: Column, pattern: str, flags: str = "") -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without blanks of any kind at either end (SQL's trim knows the space alone)."""
-    return F.regexp_replace(text, rx(f"^{BLANK}+|{BLANK}+$"), "")
+    """Without blanks of any kind at either end (SQL's trim knows the space alone). Looks at the ends only, unlike a pattern."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def text_of(text: Column) -> Column:

@@ -47,9 +47,11 @@ def owned(clause: Column) -> Column:
     return market(clause, "owner") & (independent | (~market(clause, "weak") & ~market(clause, "helper")))
 
 
-def product_evidence(description: Column, requirements: Column) -> Column:
-    """Clauses that show a product manager: experience, research and planning, and no ownership of testing; else none."""
-    duty, asked = clauses(description), clauses(requirements)
+def product_evidence(duty: Column, asked: Column) -> Column:
+    """Clauses that show a product manager: experience, research and planning, and no ownership of testing; else none.
+
+    duty, asked: columns with the clauses of description and requirements, as each is gone through more than once.
+    """
     experience = F.filter(asked, lambda s: has(s, EVIDENCE["product_years"]) & ~has(s, EVIDENCE["preferred"]))
     research = F.filter(duty, lambda s: has(s, EVIDENCE["research"]))
     planning = F.filter(duty, lambda s: has(s, EVIDENCE["planning"]))
@@ -57,9 +59,12 @@ def product_evidence(description: Column, requirements: Column) -> Column:
     return F.when(whole, F.concat(research, planning, experience)).otherwise(F.slice(duty, 1, 0))
 
 
-def security_evidence(description: Column) -> Column:
-    """Clauses that show security as the main business, or at least two of its techniques; else none."""
-    duty = F.filter(clauses(description), lambda s: has(s, EVIDENCE["security_duty"]) & ~has(s, EVIDENCE["security_no_duty"]))
+def security_duties(duty: Column) -> Column:
+    return F.filter(duty, lambda s: has(s, EVIDENCE["security_duty"]) & ~has(s, EVIDENCE["security_no_duty"]))
+
+
+def security_evidence(duty: Column) -> Column:
+    """Clauses that show security as the main business, or at least two of its techniques; else none. duty: a column of ``security_duties``."""
     matched = F.filter(duty, lambda s: reduce(Column.__or__, [has(s, p) for p in SECURITY_TECHNIQUES]))
     shown = lambda p: F.exists(duty, lambda s: has(s, p)).cast("int")
     breadth = reduce(Column.__add__, [shown(p) for p in SECURITY_TECHNIQUES])
@@ -97,17 +102,18 @@ def title_role(title: Column) -> tuple[Column, Column]:
     return family, reason
 
 
-def hard_domain(title: Column, description: Column) -> Column:
+def hard_domain(title: Column, guarded: Column) -> Column:
+    """guarded: a column of ``security_duties``."""
     return first_of(
         (fit(title, "hardware"), "domain_hardware"),
         (fit(title, "game"), "domain_game"),
-        (fit(title, "security_title") | some(security_evidence(description)), "domain_security"),
+        (fit(title, "security_title") | some(security_evidence(guarded)), "domain_security"),
         otherwise=F.lit(None).cast("string"),
     )
 
 
-def relation(title: Column, description: Column, requirements: Column, role: Column, domain: Column) -> tuple[Column, Column]:
-    """The fit rules' AI relation and the rule that gave it."""
+def relation(title: Column, description: Column, requirements: Column, role: Column, domain: Column) -> Column:
+    """The fit rules' AI relation, ``value``, and the ``rule`` that gave it: one chain for both, as its patterns are long."""
     context = fit(F.concat_ws("\n", title, description, requirements), "context")
     near = F.when(context, "ai_context_only").otherwise("none")
     core_duty, testing, product = (fit(description, k) for k in ("core_duty", "testing_duty", "product_duty"))
@@ -134,7 +140,8 @@ def relation(title: Column, description: Column, requirements: Column, role: Col
         (fit(title, "product_words") & fit(description, "ordinary_quality_duty"), "ai_product_quality", "title_supported_ai_product_quality"),
         (context, "ai_context_only", "ai_context_not_primary"),
     )
-    return first_of(*[(when, value) for when, value, _ in cases], otherwise="none"), first_of(*[(when, rule) for when, _, rule in cases], otherwise="no_ai_relation")
+    both = lambda value, rule: F.struct((value if isinstance(value, Column) else F.lit(value)).alias("value"), F.lit(rule).alias("rule"))
+    return first_of(*[(when, both(value, rule)) for when, value, rule in cases], otherwise=both("none", "no_ai_relation"))
 
 
 def pool(role: Column, ai_relation: Column, level: Column, role_reason: Column, domain: Column, research_hard: Column) -> tuple[Column, Column]:
@@ -154,20 +161,23 @@ def pool(role: Column, ai_relation: Column, level: Column, role_reason: Column,
 
 
 def with_inputs(jobs: DataFrame) -> DataFrame:
-    """Adds ``_title, _body, _req``: the only fields the rules read."""
-    return jobs.withColumns({"_title": text_of(c("title")), "_body": text_of(c("description")), "_req": text_of(c("requirements"))})
+    """Adds ``_title, _body, _req``, the only fields the rules read, and the clauses ``_parts, _asks`` of the latter two."""
+    fields = jobs.withColumns({"_title": text_of(c("title")), "_body": text_of(c("description")), "_req": text_of(c("requirements"))})
+    return fields.withColumns({"_parts": clauses(c("_body")), "_asks": clauses(c("_req"))})
 
 
 def add_fit(jobs: DataFrame) -> DataFrame:
     """Adds ``fit``: role_family, ai_relation, seniority_level, career_pool, reason_codes, rule_id, triggered_rules, reason."""
     title, body, req = c("_title"), c("_body"), c("_req")
     own, own_reason = title_role(title)
-    jobs = with_inputs(jobs).withColumns({"_product": product_evidence(body, req), "_role": own, "_why": own_reason})
+    jobs = with_inputs(jobs).withColumns({"_product": product_evidence(c("_parts"), c("_asks")), "_role": own, "_why": own_reason})
     role = first_of((some(c("_product")), "product"), ((c("_role") == "qa_test") & fit(body, "management_duty"), "quality_engineering"), otherwise=c("_role"))
     jobs = jobs.withColumns({"_why": F.when(some(c("_product")), "role_product").otherwise(c("_why")), "_role": role, "_level": seniority(title, body, req)})
-    jobs = jobs.withColumn("_domain", F.when(~c("_role").isin(*NON_QA_ROLES), hard_domain(title, body)))
-    related, rule = relation(title, body, req, c("_role"), c("_domain"))
-    jobs = jobs.withColumns({"_rel": related, "_rule": rule, "_research": fit(F.concat_ws("\n", title, body, req), "research_hard")})
+    target = ~c("_role").isin(*NON_QA_ROLES)
+    jobs = jobs.withColumn("_guarded", F.when(target, security_duties(c("_parts"))))
+    jobs = jobs.withColumn("_domain", F.when(target, hard_domain(title, c("_guarded"))))
+    jobs = jobs.withColumn("_both", relation(title, body, req, c("_role"), c("_domain")))
+    jobs = jobs.withColumns({"_rel": c("_both.value"), "_rule": c("_both.rule"), "_research": fit(F.concat_ws("\n", title, body, req), "research_hard")})
     chosen, reason = pool(c("_role"), c("_rel"), c("_level"), c("_why"), c("_domain"), c("_research"))
     jobs = jobs.withColumns({"_pool": chosen, "_reason": reason})
     label = first_of(*[(c("_reason") == code, text) for code, text in EXCLUSION_LABELS.items()], otherwise="")
@@ -185,7 +195,7 @@ def add_fit(jobs: DataFrame) -> DataFrame:
         F.concat(F.array("_rule"), codes).alias("triggered_rules"),
         told.alias("reason"),
     )
-    return jobs.withColumn("fit", out).drop("_product", "_role", "_why", "_level", "_domain", "_rel", "_rule", "_research", "_pool", "_reason", "_title", "_body", "_req")
+    return jobs.withColumn("fit", out).drop("_product", "_role", "_why", "_level", "_domain", "_rel", "_rule", "_research", "_pool", "_reason", "_title", "_body", "_req", "_parts", "_asks", "_guarded", "_both")
 
 
 def add_market(jobs: DataFrame) -> DataFrame:
@@ -193,9 +203,13 @@ def add_market(jobs: DataFrame) -> DataFrame:
     title, body, req = c("_title"), c("_body"), c("_req")
     said = lambda text, pattern: has(text, pattern)
     isaid = lambda text, pattern: has(text, pattern, "i")
-    jobs = with_inputs(jobs).withColumns({"_duties": clauses(body, ordered=False), "_asked": clauses(req, ordered=False), "_product": product_evidence(body, req), "_level": seniority(title, body, req)})
+    jobs = with_inputs(jobs).withColumn("_ai", market(F.concat_ws("\n", title, body, req), "ai"))
+    # a posting without any AI term is out of scope whatever its duties, so they are not looked through
+    distinct = lambda parts: F.when(c("_ai"), F.array_sort(F.array_distinct(parts))).otherwise(F.array().cast("array<string>"))
+    jobs = jobs.withColumns({"_duties": distinct(c("_parts")), "_asked": distinct(c("_asks")), "_product": product_evidence(c("_parts"), c("_asks")), "_level": seniority(title, body, req)})
     duties = c("_duties")
-    own = lambda rule: F.filter(duties, lambda s: market(s, rule) & owned(s))
+    jobs = jobs.withColumn("_owned", F.filter(duties, owned))
+    own = lambda rule: F.filter("_owned", lambda s: market(s, rule))
     mixed = said(body, r"数据生产.{0,12}训练.{0,12}评测平台.{0,12}质量")
     jobs = jobs.withColumn("_mixed", mixed)
     measuring = F.filter(own("eval"), lambda s: ~said(s, MARKET["test_metric"]) & ~(c("_mixed") & said(s, r"评测平台.{0,12}质量")))
@@ -215,8 +229,7 @@ def add_market(jobs: DataFrame) -> DataFrame:
     explicit = F.exists("_tasks", lambda s: market(s, "product_object"))
     traditional = F.exists("_tasks", lambda s: said(s, r"客户端性能|服务端产品|传统软件|非AI业务"))
     jobs = jobs.withColumn("_pq", c("_mixed") | explicit | (some(c("_tasks")) & market(title, "product_title") & ~(some(c("_methods")) & traditional)))
-    ai = market(F.concat_ws("\n", title, body, req), "ai")
-    jobs = jobs.withColumn("_in", ai & (some(c("_eval")) | some(c("_infra")) | c("_eval_id") | ((c("_qa") | some(c("_systems"))) & (some(c("_methods")) | c("_pq")))))
+    jobs = jobs.withColumn("_in", c("_ai") & (some(c("_eval")) | some(c("_infra")) | c("_eval_id") | ((c("_qa") | some(c("_systems"))) & (some(c("_methods")) | c("_pq")))))
     profession = market(req, "eval_profession")
     role = first_of(
         (some(c("_product")) | isaid(title, r"产品.{0,8}(?:经理|负责人|专家)|Product Manager"), "product"),
@@ -277,9 +290,8 @@ def add_market(jobs: DataFrame) -> DataFrame:
     fit_role, _ = title_role(title)
     fit_role = F.when((fit_role == "qa_test") & fit(body, "management_duty"), "quality_engineering").otherwise(fit_role)
     jobs = jobs.withColumns({"_fit_role": fit_role, "_codes": codes})
-    fit_rel, fit_rule = relation(title, body, req, c("_fit_role"), F.lit(None).cast("string"))
-    jobs = jobs.withColumns({"_fit_rel": fit_rel, "_fit_rule": fit_rule})
-    agree = (c("_fit_role") == c("_role")) & (c("_fit_rel") == c("_rel"))
+    jobs = jobs.withColumn("_both", F.when(c("_in"), relation(title, body, req, c("_fit_role"), F.lit(None).cast("string"))))
+    agree = (c("_fit_role") == c("_role")) & (c("_both.value") == c("_rel"))
     inside = c("_in")
     quotes = F.array_sort(F.array_distinct(F.concat("_eval", "_quality", "_systems", "_methods", "_infra", F.filter("_product", lambda s: F.array_contains("_duties", s)))))
     asked = F.array_sort(F.array_distinct(F.concat(F.filter("_asked", lambda s: market(s, "qa_requirement") | market(s, "eval_profession")), F.filter("_product", lambda s: F.array_contains("_asked", s)))))
@@ -291,7 +303,7 @@ def add_market(jobs: DataFrame) -> DataFrame:
         F.when(inside, c("_second")).otherwise(no_text).alias("secondary_role_families"),
         F.when(inside, c("_rel")).alias("ai_relation"),
         c("_level").alias("seniority_level"),
-        first_of((~inside, F.array(F.lit("AI_EVALUATION_NOT_ESTABLISHED"))), (agree, F.array("_fit_rule")), otherwise=c("_codes")).alias("reason_codes"),
+        first_of((~inside, F.array(F.lit("AI_EVALUATION_NOT_ESTABLISHED"))), (agree, F.array("_both.rule")), otherwise=c("_codes")).alias("reason_codes"),
         F.struct(
             F.when(inside & (title != ""), F.array(title)).otherwise(no_text).alias("title"),
             F.when(inside, quotes).otherwise(no_text).alias("description"),
