@@ -26,6 +26,8 @@ from . import store
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Hash bits that each refinement looks at; together 60.
 STEPS = (12, 12, 12, 12, 12)
+#: Tables of one row a source are broadcast up to so many sources, and merged beyond.
+BROADCAST_SOURCES = 100_000
 
 
 def document_hash(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -62,7 +64,12 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
     return table.select("source", "source_size", F.least(F.coalesce(F.col("_final") * F.col("_w"), F.col("_cap")), F.col("_cap")).alias("target"))
 
 
-def _thresholds(docs: DataFrame, targets: DataFrame) -> DataFrame:
+def _near(table: DataFrame, sources: int) -> DataFrame:
+    """A table of one row for each of ``sources`` sources, as the small side of a join if it is one."""
+    return F.broadcast(table) if sources <= BROADCAST_SOURCES else table.hint("shuffle_merge")
+
+
+def _thresholds(docs: DataFrame, targets: DataFrame, sources: int) -> DataFrame:
     """For each source how many whole repeats it takes, and the hash prefix (inclusive) of those taken once more."""
     state = targets.select(
         "source",
@@ -72,16 +79,16 @@ def _thresholds(docs: DataFrame, targets: DataFrame) -> DataFrame:
     ).withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size"))
     known: list[str] = []
     for k in range(len(STEPS)):
-        at = F.broadcast(state) if k else None
-        rows = docs if at is None else docs.join(at.select("source", *known), docs["source"].eqNullSafe(at["source"]) & reduce(lambda a, b: a & b, [docs[f"_h{i}"] == at[f"_t{i}"] for i in range(k)]), "left_semi")
+        at = state.select("source", *known) if k else None
+        rows = docs if at is None else docs.join(_near(at, sources), docs["source"].eqNullSafe(at["source"]) & reduce(lambda a, b: a & b, [docs[f"_h{i}"] == at[f"_t{i}"] for i in range(k)]), "left_semi")
         sums = rows.groupBy("source", f"_h{k}").agg(F.sum("size").alias("_sum"))
         running = Window.partitionBy("source").orderBy(f"_h{k}")
         sums = sums.withColumn("_upto", F.sum("_sum").over(running)).withColumn("_below", F.col("_upto") - F.col("_sum"))
         left = state.select(F.col("source").alias("_s"), "_left")
-        crossing = sums.join(F.broadcast(left), F.col("source").eqNullSafe(F.col("_s"))).where(F.col("_upto") > F.col("_left"))
+        crossing = sums.join(_near(left, sources), F.col("source").eqNullSafe(F.col("_s"))).where(F.col("_upto") > F.col("_left"))
         found = crossing.groupBy("_s").agg(F.min(F.struct(F.col(f"_h{k}").alias("h"), F.col("_below").alias("b"), F.col("_sum").alias("n"))).alias("_x"))
         last = k == len(STEPS) - 1
-        state = state.join(F.broadcast(found), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+        state = state.join(_near(found, sources), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
         # no crossing: every document of the bucket fits; at the finest bits the boundary document goes in if that comes nearer
         bound = F.col("_x.h") - F.when(F.col("_x.n") - (F.col("_left") - F.col("_x.b")) < F.col("_left") - F.col("_x.b"), 0).otherwise(1) if last else F.col("_x.h")
         state = state.withColumn(f"_t{k}", F.coalesce(bound, F.lit(1 << STEPS[k]))).withColumn("_left", F.col("_left") - F.coalesce(F.col("_x.b"), F.lit(0))).drop("_x")
@@ -99,9 +106,11 @@ def _hashes() -> list[Column]:
 
 
 def _marks(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
-    """A row for each source: target, whole repeats and hash threshold."""
+    """A row for each source, as a side to join: target, whole repeats and hash threshold."""
     targets = store.table(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
-    return _thresholds(sized, targets).select(F.col("source").alias("_s"), "source_size", "target", "_whole", *[f"_t{k}" for k in range(len(STEPS))])
+    sources = targets.count()
+    marks = _thresholds(sized, targets, sources).select(F.col("source").alias("_s"), "source_size", "target", "_whole", *[f"_t{k}" for k in range(len(STEPS))])
+    return _near(marks, sources)
 
 
 def _repeats(cap: float) -> Column:
@@ -121,7 +130,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), c
     """
     sized = store.table(docs.select("doc_id", "source", _size().alias("size"), *_hashes()), "mix-sizes")
     marks = _marks(sized, weights, cap)
-    rows = sized.join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_s"))).withColumn("repeats", _repeats(cap))
+    rows = sized.join(marks, F.col("source").eqNullSafe(F.col("_s"))).withColumn("repeats", _repeats(cap))
     return rows.select("doc_id", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).cast("long").alias("taken"))
 
 
@@ -130,5 +139,5 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), ca
     sized = store.table(docs.select("source", _size().alias("size"), *_hashes()), "mix-sizes")
     marks = _marks(sized, weights, cap)
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("source").alias("_source"), *_hashes())  # no column meets a working one
-    keyed = row.join(F.broadcast(marks), F.col("_source").eqNullSafe(F.col("_s")))
+    keyed = row.join(marks, F.col("_source").eqNullSafe(F.col("_s")))
     return keyed.withColumn("_n", F.explode(F.array_repeat(F.lit(1), _repeats(cap)))).select("_row.*")
