@@ -74,8 +74,11 @@ class Model:
     scale: np.ndarray
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows, folded bytes and starts of the texts (and the end), CHUNK_BYTES at a time."""
+def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Rows, folded bytes, starts of the texts (and the end), and how many bytes n-grams begin at, CHUNK_BYTES at a time.
+
+    A longer text comes in pieces; each but the last ends with the bytes that n-grams of the piece reach into.
+    """
     texts = batch.column(column).cast(pa.large_string()).fill_null("")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
@@ -83,12 +86,17 @@ def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.
     i = 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1)
-        yield np.arange(i, j), _FOLD[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
+        if offsets[j] - offsets[i] <= CHUNK_BYTES:
+            yield np.arange(i, j), _FOLD[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i], CHUNK_BYTES
+        else:
+            for a in range(int(offsets[i]), int(offsets[j]), CHUNK_BYTES):
+                b = min(a + CHUNK_BYTES + max(ORDERS) - 1, int(offsets[j]))
+                yield np.arange(i, j), _FOLD[data[a:b]], np.array([0, b - a]), CHUNK_BYTES
         i = j
 
 
-def _grams(data: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
-    """For each order the hash of the n-gram at each byte; -1 where it would leave its text or is blank only."""
+def _grams(data: np.ndarray, first: np.ndarray, begins: int) -> Iterator[np.ndarray]:
+    """For each order the hash of the n-gram at each byte; -1 where it would leave its text, begins with a blank, or behind ``begins``."""
     end = np.repeat(first[1:], np.diff(first))
     at = np.arange(len(data))
     for order in ORDERS:
@@ -96,7 +104,7 @@ def _grams(data: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
         for k in range(order):
             code[: len(data) - k] = code[: len(data) - k] * np.uint32(257) + data[k:] + np.uint32(1)
         code = (code * np.uint32(2654435761) + np.uint32(order * 40503)) >> np.uint32(18)
-        yield np.where((at + order <= end) & (data != 32), code.astype(np.int32), -1)
+        yield np.where((at + order <= end) & (data != 32) & (at < begins), code.astype(np.int32), -1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +112,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         languages = batch.column("lang").to_pylist()
-        for rows, data, first in _texts(batch, "text"):
+        for rows, data, first, begins in _texts(batch, "text"):
             names = sorted({languages[r] for r in rows})
             number = np.array([names.index(languages[r]) for r in rows])
             owner = np.repeat(number, np.diff(first))
-            for gram in _grams(data, first):
+            for gram in _grams(data, first, begins):
                 seen = gram >= 0
                 found = np.bincount(owner[seen] * DIMENSIONS + gram[seen], minlength=len(names) * DIMENSIONS).reshape(-1, DIMENSIONS)
                 for name, counts in zip(names, found):
@@ -151,25 +159,25 @@ def _predict(model: Model | None):
             n = batch.num_rows
             name, score, gap = np.full(n, "und", object), np.zeros(n), np.zeros(n)
             texts = batch.column("text")
-            for rows, data, first in _texts(batch, "text") if model else ():
-                size = np.diff(first)
-                total, seen = np.zeros((len(rows), model.code.shape[1])), np.zeros(len(rows))
-                some = np.flatnonzero(size)
-                if not len(some):
-                    continue
+            if model and n:
                 padded = np.vstack([model.weights, np.zeros((1, model.weights.shape[1]), np.float32)])  # -1: nothing
-                for gram in _grams(data, first):
-                    total[some] += np.add.reduceat(padded[gram], first[some], axis=0)
-                    seen[some] += np.add.reduceat((gram >= 0).astype(np.int64), first[some])
-                # reduceat of one byte ranges is right as first[some] rises strictly
+                total, seen = np.zeros((n, model.code.shape[1])), np.zeros(n)
+                for rows, data, first, begins in _texts(batch, "text"):
+                    some = np.flatnonzero(np.diff(first))
+                    if not len(some):
+                        continue
+                    for gram in _grams(data, first, begins):
+                        # sums between starts that rise strictly
+                        total[rows[some]] += np.add.reduceat(padded[gram], first[some], axis=0)
+                        seen[rows[some]] += np.add.reduceat((gram >= 0).astype(np.int64), first[some])
                 margin = np.tanh(total / np.maximum(1, seen)[:, None] / model.scale)
                 loss = ((1 - model.code[None, :, :] * margin[:, None, :]) / 2 * model.reliability).sum(2)
                 order = np.argsort(loss, 1, kind="stable")
                 best = order[:, 0]
-                for i, r in enumerate(rows):
-                    if seen[i] and _LETTER.search(texts[int(r)].as_py()):
-                        name[r], score[r] = model.languages[best[i]], min(1.0, max(0.0, 1 - loss[i, best[i]]))
-                        gap[r] = loss[i, order[i, 1]] - loss[i, best[i]] if len(model.languages) > 1 else 1.0
+                for i in np.flatnonzero(seen):
+                    if _LETTER.search(texts[int(i)].as_py()):
+                        name[i], score[i] = model.languages[best[i]], min(1.0, max(0.0, 1 - loss[i, best[i]]))
+                        gap[i] = loss[i, order[i, 1]] - loss[i, best[i]] if len(model.languages) > 1 else 1.0
             yield pa.record_batch([*[batch.column(k) for k in range(batch.num_columns - 1)], pa.array(name, pa.string()), pa.array(score), pa.array(gap)], names=[*batch.schema.names[:-1], "lang_pred", "score", "gap"])
 
     return predict
