@@ -9,6 +9,8 @@ agree in at least ``least`` places (an item of fewer words: in that share of all
 Words are runs of letters and digits in lower case. The seeds of the benchmark
 are broadcast at most ``SEEDS_AT_ONCE`` at a time, so a benchmark of any size is
 joined in blocks of proven size and the corpus is never shuffled to find hits.
+To verify them, only documents in a hash bucket of one with a hit are joined; the
+``BUCKETS`` numbers are all that is broadcast, however many documents have hits.
 
 Edge cases: null and short texts have no seeds; items with fewer words than a
 mask are hashed whole, with a mask of their own length, from ``SHORTEST`` words
@@ -29,6 +31,9 @@ MASKS = ("111010010111", "110101101101")
 SPAN = 12
 SHORTEST = 6
 SEEDS_AT_ONCE = 1_000_000
+BUCKETS = 1 << 20
+#: Leaking documents that are broadcast; more are joined by bucket.
+LEAKS_AT_ONCE = 1_000_000
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
@@ -51,6 +56,15 @@ def _key() -> dict[str, Column]:
     return {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "mark": F.when(none, F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0))}
 
 
+def _bucket(doc: Column, mark: Column) -> Column:
+    return F.pmod(F.xxhash64(doc, mark), F.lit(BUCKETS)).cast("int")
+
+
+def _buckets(found: DataFrame) -> DataFrame:
+    """The buckets of the documents in ``found``: at most BUCKETS numbers."""
+    return F.broadcast(found.select(_bucket(F.col("doc"), F.col("mark")).alias("_bucket")).distinct())
+
+
 def _hits(docs: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """``doc, mark, item_id, diagonal`` for each place where a document has a seed of an item."""
     rows = docs.select("doc", "mark", F.transform(tokens(), lambda w: F.xxhash64(w)).alias("words"))
@@ -85,7 +99,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> Da
         found = _hits(keyed, seeds.where(F.pmod("seed", F.lit(blocks)) == k), masks)
         hits = found if hits is None else hits.unionByName(found)
     hits = store.table(hits.distinct(), "hits")
-    pairs = keyed.join(hits, ["doc", "mark"]).join(items, "item_id").withColumn("words", tokens())
+    touched = keyed.join(_buckets(hits), _bucket(F.col("doc"), F.col("mark")) == F.col("_bucket"), "left_semi")
+    pairs = touched.join(hits, ["doc", "mark"]).join(items, "item_id").withColumn("words", tokens())
     n, m = F.size("words"), F.size("item_words")
     skip = F.greatest(F.lit(0), -F.col("diagonal"))  # item words before the document
     start = F.greatest(F.lit(0), F.col("diagonal"))
@@ -113,6 +128,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: i
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:
     """The rows of ``docs``, all columns, without the documents that hold a benchmark passage."""
-    leaks = _leaks(docs, benchmark, window, least).select(F.col("doc").alias("_leak"), F.col("mark").alias("_mark")).distinct()
+    leaks = store.table(_leaks(docs, benchmark, window, least).select("doc", "mark").distinct(), "leaks")
     key = _key()
-    return docs.join(leaks, (key["doc"] == leaks["_leak"]) & (key["mark"] == leaks["_mark"]), "left_anti")
+    same = (key["doc"] == leaks["doc"]) & (key["mark"] == leaks["mark"])
+    if leaks.count() <= LEAKS_AT_ONCE:
+        return docs.join(F.broadcast(leaks), same, "left_anti")
+    # most documents pass by their bucket alone; the others meet the list in a join that no side need be small for
+    buckets = _buckets(leaks)
+    listed = _bucket(key["doc"], key["mark"]) == buckets["_bucket"]
+    return docs.join(buckets, listed, "left_anti").unionByName(docs.join(buckets, listed, "left_semi").join(leaks, same, "left_anti"))

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -308,6 +309,15 @@ def test_mixing(spark):
     assert mixed.count() == sum(x.repeats for x in got)
 
 
+def test_mixing_of_many_sources_merges(spark, monkeypatch):
+    docs = table(spark, [(i, "w " * (i % 17), [None, "a", "b", "b", "c"][i % 5]) for i in range(200)], "doc_id long, text string, source string")
+    got = sorted(map(str, mixing.mix_sources(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    merged = mixing.mix_sources(docs)
+    assert sorted(map(str, merged.collect())) == got
+    assert "BroadcastHint" not in merged._jdf.queryExecution().logical().toString() and "broadcast" not in merged._jdf.queryExecution().logical().toString()
+
+
 # 8: language
 
 
@@ -334,6 +344,19 @@ def test_language(spark):
     assert kept.columns == docs.columns and kept.count() >= 590 and kept.where("doc_id IN (900, 901, 902)").count() == 0
 
 
+def test_long_texts_in_pieces(spark, monkeypatch):
+    rows = texts_of(2, 40) + [(50, "über die maison with stone " * 30, "de"), (51, "", "en"), (52, None, "en")]
+    batch = pa.record_batch([pa.array([x[2] for x in rows]), pa.array([x[1] for x in rows])], names=["lang", "text"])
+    counts = lambda: sorted((x["lang"], x["gram"], x["n"]) for b in language_id._count(iter([batch])) for x in b.to_pylist())
+    model = language_id.train(spark.createDataFrame([x[1:] for x in rows], "text string, lang string"))
+    found = lambda: next(language_id._predict(model)(iter([batch.select(["text"])]))).to_pylist()
+    whole, predicted = counts(), found()
+    monkeypatch.setattr(language_id, "CHUNK_BYTES", 64)
+    assert counts() == whole
+    for a, b in zip(found(), predicted):
+        assert a["lang_pred"] == b["lang_pred"] and a["score"] == pytest.approx(b["score"]) and a["gap"] == pytest.approx(b["gap"])
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 9, 40])
 def test_codewords(n):
     code = language_id.codewords(n)
@@ -346,7 +369,7 @@ def test_codewords(n):
 # 9: decontamination
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     r = random.Random(3)
     some = lambda k: [f"w{r.randint(0, 3000)}" for _ in range(k)]
     items = [(i, some(r.randint(14, 40))) for i in range(25)] + [(90, some(8)), (91, some(3))]
@@ -370,6 +393,10 @@ def test_leaks(spark):
     assert {(x.doc_id, x.item_id) for x in got} == want and len(got) == len(want)
     clean = decontaminate.remove_leaks(docs, bench)
     assert clean.columns == docs.columns and {x.doc_id for x in clean.collect()} == {i for i, _ in rows} - {i for i, _ in want}
+    monkeypatch.setattr(decontaminate, "LEAKS_AT_ONCE", 0)
+    monkeypatch.setattr(decontaminate, "BUCKETS", 64)
+    by_bucket = decontaminate.remove_leaks(docs, bench)
+    assert by_bucket.columns == docs.columns and sorted(map(str, by_bucket.collect())) == sorted(map(str, clean.collect()))
     assert decontaminate.find_leaks(docs.limit(0), bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
 
 
