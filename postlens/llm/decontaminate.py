@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 DataFrame functions only. A seed hashes the words at a mask's places and ignores
-those between, so a hit survives substitutions there. Hits of a document and a
+those between, so a hit survives substitutions there. The masks of an item are such
+that each pattern of agreeing words that the verdict accepts holds one of them
+(``masks_for``), so nothing that would pass is left unseen. Hits of a document and a
 benchmark item on one diagonal (document place less item place) are verified
 once, on the texts: somewhere along the diagonal ``window`` aligned words must
 agree in at least ``least`` places (an item of fewer words: in that share of all).
@@ -12,23 +14,27 @@ joined in blocks of proven size and the corpus is never shuffled to find hits.
 To verify them, only documents in a hash bucket of one with a hit are joined; the
 ``BUCKETS`` numbers are all that is broadcast, however many documents have hits.
 
-Edge cases: null and short texts have no seeds; items with fewer words than a
-mask are hashed whole, with a mask of their own length, from ``SHORTEST`` words
-on, and shorter ones are not looked for; null item texts are left out; documents that
+Edge cases: null and short texts have no seeds that an item has; items of fewer than
+``SHORTEST`` words are not looked for; null item texts are left out; documents that
 share a doc_id are one, and those without one are told apart by their texts; empty tables give
 an empty result. Only ``doc_id, text`` and ``item_id, text`` are read.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import store
 
-#: Fixed masks: the places with a 1 are hashed.
-MASKS = ("111010010111", "110101101101")
-SPAN = 12
+#: Fixed masks: the places with a 1 are hashed. The first hold for 10 of 13 and 10 of 12 words, the second for items of 6 to 11.
+MASKS = ("111011", "110111", "1101000011")
+SHORT_MASKS = ("11101", "100111")
+#: Patterns up to which masks are tried on all.
+PATTERNS = 20_000
 SHORTEST = 6
 SEEDS_AT_ONCE = 1_000_000
 BUCKETS = 1 << 20
@@ -42,12 +48,27 @@ def tokens(text: str = "text") -> Column:
     return F.split(F.lower(F.col(text)), SEPARATORS)
 
 
-def _seeds(words: str, mask: str) -> Column:
-    """The hashes of a mask at each place of the word-hash column ``words``; empty if it is too short."""
+def finds_all(masks: tuple[str, ...], wide: int, need: int) -> bool:
+    """Whether any ``need`` agreeing words out of ``wide`` hold all places of one of the masks somewhere."""
+    shifted = [sum(1 << (k + i) for k, bit in enumerate(m) if bit == "1") for m in masks for i in range(wide - len(m) + 1)]
+    return all(any(x & ~found == 0 for x in shifted) for found in (sum(1 << i for i in places) for places in combinations(range(wide), need)))
+
+
+def masks_for(wide: int, need: int) -> tuple[str, ...]:
+    """Masks that miss no pattern of ``need`` agreeing words out of ``wide``."""
+    need = max(1, min(need, wide))
+    if math.comb(wide, need) <= PATTERNS:
+        for masks in (MASKS, SHORT_MASKS):
+            if finds_all(masks, wide, need):
+                return masks
+    # the words that differ leave a run of so many that agree
+    return ("1" * -(-need // (wide - need + 1)),)
+
+
+def _seeds(words: str, mask: str, places: Column) -> Column:
+    """The hashes of a mask at the places (from 1) of the word-hash column ``words``; beyond its end words are missing, and the hash is no item's."""
     at = [k for k, bit in enumerate(mask) if bit == "1"]
-    one = lambda i: F.xxhash64(F.lit(mask), *[F.element_at(F.col(words), i + k) for k in at])
-    places = F.sequence(F.lit(1), F.size(words) - len(mask) + 1)
-    return F.when(F.size(words) >= len(mask), F.transform(places, one)).otherwise(F.array().cast("array<bigint>"))
+    return F.transform(places, lambda i: F.xxhash64(F.lit(mask), *[F.get(F.col(words), i + (k - 1)) for k in at]))
 
 
 def _key() -> dict[str, Column]:
@@ -68,28 +89,30 @@ def _buckets(found: DataFrame) -> DataFrame:
 def _hits(docs: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """``doc, mark, item_id, diagonal`` for each place where a document has a seed of an item."""
     rows = docs.select("doc", "mark", F.transform(tokens(), lambda w: F.xxhash64(w)).alias("words"))
-    # the masks of one span in one pass: their seeds one behind the other
-    count = F.greatest(F.lit(1), F.size("words") - SPAN + 1)
-    both = rows.select("doc", "mark", count.alias("count"), F.posexplode(F.concat(*[_seeds("words", m) for m in MASKS])).alias("place", "seed"))
-    parts = [both.select("doc", "mark", F.pmod("place", "count").alias("place"), "seed")]
-    parts += [rows.select("doc", "mark", F.posexplode(_seeds("words", m)).alias("place", "seed")) for m in masks if len(m) != SPAN]
-    out = None
-    for part in parts:
-        joined = part.join(F.broadcast(seeds), "seed").select("doc", "mark", "item_id", (F.col("place") - F.col("at")).alias("diagonal"))
-        out = joined if out is None else out.unionByName(joined)
-    return out
+    # all masks in one pass: their seeds one behind the other, as many of each
+    count = F.greatest(F.lit(1), F.size("words") - min(map(len, masks)) + 1)
+    seeds_of = F.concat(*[_seeds("words", m, F.sequence(F.lit(1), count)) for m in masks])
+    found = rows.select("doc", "mark", count.alias("count"), F.posexplode(seeds_of).alias("place", "seed"))
+    found = found.select("doc", "mark", F.pmod("place", "count").alias("place"), "seed")
+    return found.join(F.broadcast(seeds), "seed").select("doc", "mark", "item_id", (F.col("place") - F.col("at")).alias("diagonal"))
 
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> DataFrame:
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", F.filter(tokens(), lambda w: w != "").alias("item_words"))
     items = store.table(items.where(F.size("item_words") >= SHORTEST), "items")
     hashed = items.withColumn("words", F.transform("item_words", lambda w: F.xxhash64(w)))
-    lengths = sorted(r[0] for r in items.where(F.size("item_words") < SPAN).select(F.size("item_words")).distinct().collect())
-    masks = MASKS + tuple("1" * n for n in lengths)
+    wide = F.least(F.lit(window), F.size("words"))
+    of_length: dict[str, list[int]] = {}
+    for (n,) in hashed.select(wide).distinct().collect():
+        for mask in masks_for(n, -(-n * least // window)):
+            of_length.setdefault(mask, []).append(n)
+    if not of_length:
+        of_length = {mask: [window] for mask in MASKS}
+    masks = tuple(sorted(of_length))
     seeds = None
     for mask in masks:
-        of = hashed.where(F.size("words") >= SPAN if len(mask) == SPAN else F.size("words") == len(mask))
-        rows = of.select("item_id", F.posexplode(_seeds("words", mask)).alias("at", "seed"))
+        of = hashed.where(wide.isin(of_length[mask]))
+        rows = of.select("item_id", F.posexplode(_seeds("words", mask, F.sequence(F.lit(1), F.size("words") - len(mask) + 1))).alias("at", "seed"))
         seeds = rows if seeds is None else seeds.unionByName(rows)
     seeds = store.table(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // SEEDS_AT_ONCE))

@@ -407,6 +407,39 @@ def test_seeds_in_blocks(spark, monkeypatch):
     assert [(x.doc_id, x.item_id, x.diagonal, x.matched) for x in got] == [(1, 5, 2, 13)]
 
 
+def test_masks_miss_no_pattern():
+    for n in range(decontaminate.SHORTEST, 31):
+        wide = min(n, 13)
+        need = -(-wide * 10 // 13)
+        assert decontaminate.finds_all(decontaminate.masks_for(wide, need), wide, need)
+    assert decontaminate.masks_for(13, 10) == decontaminate.MASKS and decontaminate.masks_for(6, 5) == decontaminate.SHORT_MASKS
+    assert decontaminate.masks_for(40, 30) == ("111",) and not decontaminate.finds_all(("111010010111", "110101101101"), 13, 12)
+
+
+def test_leaks_as_brute_force(spark):
+    r = random.Random(8)
+    items = [(n, [f"i{n}x{k}" for k in range(n)]) for n in [*range(6, 18), 24, 40]]
+    rows = []
+    for n, words in items:
+        changes = [set(range(k, n, 4)) for k in range(4)] + [{k} for k in range(n)] + [set(r.sample(range(n), min(n, r.randint(1, 5)))) for _ in range(25)]
+        passages = [[f"other{k}" if k in at else w for k, w in enumerate(words)] for at in changes] + [words[a : a + k] for k in (9, 10, 11, 12) if k < n for a in (0, 1, n - k)]
+        for p in passages:
+            lead, tail = ([f"f{r.randint(0, 99)}" for _ in range(r.choice([0, 0, 3]))] for _ in range(2))
+            rows.append((len(rows), lead + p + tail))
+
+    def leaks(doc, item):
+        wide = min(13, len(item))
+        for d in range(-len(item), len(doc)):
+            same = [k + d in range(len(doc)) and doc[k + d] == w for k, w in enumerate(item)]
+            if any(sum(same[i : i + wide]) * 13 >= wide * 10 for i in range(len(item) - wide + 1)):
+                return True
+        return False
+
+    want = {(i, n) for i, doc in rows for n, item in items if leaks(doc, item)}
+    found = decontaminate.find_leaks(table(spark, [(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), table(spark, [(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in found.collect()} == want and 200 < len(want) < len(rows)
+
+
 # 10: secrets
 
 
