@@ -1,13 +1,17 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-Candidates are runs of 16 or more characters of keys and encodings with at least
-one digit. The forest (Spark MLlib) judges each by its length, character
+Candidates are, whatever their length and characters, the values of assignments to
+names with a key word (``my_token=...``, ``"apiKey": "..."``, ``Authorization: Bearer
+...``), and runs of 16 or more characters of keys and encodings with a digit
+or after a key word. A run that begins with a name and = is two: the name, and the value. The forest (Spark MLlib) judges each by its length, character
 transitions, dictionary coverage, the document's path and the neighbouring
 words. It is trained from labelled findings: a table of ``candidate, before,
 after, path, secret``, of which ``MAX_FINDINGS`` at most are used (the first by
 hash); ``example_findings`` makes a seeded set where a project has none of its own.
 
-Edge cases: null and empty texts have no candidates; a candidate that stands
+Edge cases: a value in quotes ends with its line, another at a blank or quote (in
+a URL's query at & or #), without closing punctuation; a run inside a longer value
+is a candidate of its own; null and empty texts have no candidates; a candidate that stands
 several times in a text is reported at each place; a null path is an empty one;
 rows that repeat are scanned one by one; an empty table gives an empty result.
 Only ``doc_id``, ``text`` and the path column are read.
@@ -34,24 +38,72 @@ from . import store
 
 MAX_FINDINGS = 20_000
 _RUN = "A-Za-z0-9+/_=-"
-CANDIDATE = re.compile(rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{16,}}")
+CANDIDATE = re.compile(rf"(?<![{_RUN}])[{_RUN}]{{16,}}")
+_NAME_BEFORE = re.compile(r"([\w.-]+)[ \t]+[\"'`]?$")
+#: A name and = at the start of a run; = at its end is padding.
+LEADING = re.compile(r"[A-Za-z_][A-Za-z0-9_+/-]*+=(?=[^=])")
+_ASSIGN = r"[\"'`\]]{0,2}[ \t]*+(?:=>|:=|={1,3}|:)[ \t]*+(?:(?i:bearer|basic|token)[ \t]++)?"
+ASSIGNED = re.compile(rf"(?<![\w.-])([\w.-]++){_ASSIGN}(?:\"((?:[^\"\\\n]|\\.)++)\"|'((?:[^'\\\n]|\\.)++)'|`([^`\n]++)`|[\"'`]?([^\s\"'`]++))")
+_ASSIGNED_BEFORE = re.compile(rf"(?<![\w.-])([\w.-]++){_ASSIGN}[\"'`]?$")
 AROUND = 48
 #: Fixed word lists of the features.
 KEY_WORDS = ("access", "api", "apikey", "auth", "bearer", "client", "credential", "key", "passwd", "password", "private", "pwd", "secret", "token")
+#: Endings of names that are written as one word (dbpassword), and further names.
+KEY_ENDINGS = ("apikey", "authorization", "credentials", "passphrase", "passwd", "password", "pwd", "secret", "token")
+PLACEHOLDERS = re.compile(r"(?i)^(?:[<{(\[$%].*|(?:null|none|nil|true|false|undefined|todo|required|optional|string|redacted|change.?me)\W*|your.*|x{3,}|\*+|\.+|.*[\w\])][(\[].*|(?:os|process|env|self|this|config|settings)\..*)$")
 HARMLESS_WORDS = ("checksum", "commit", "digest", "etag", "fixture", "id", "isbn", "md5", "number", "order", "page", "revision", "sha", "sha1", "sha256", "uuid", "version")
 DICTIONARY = ("access", "application", "build", "case", "class", "client", "commit", "config", "content", "data", "default", "example", "file", "function", "handler", "image", "index", "item", "learning", "library", "license", "list", "local", "main", "manager", "message", "model", "module", "number", "object", "order", "package", "page", "project", "release", "report", "request", "resource", "response", "result", "server", "service", "session", "source", "static", "string", "table", "template", "test", "thread", "update", "user", "value", "version", "window", "world")
 TEST_PATHS = ("doc", "example", "fixture", "mock", "sample", "spec", "test")
 CONFIG_PATHS = (".cfg", ".env", ".ini", ".pem", ".properties", ".toml", ".yaml", ".yml", "conf", "credential", "deploy", "secret")
-FEATURES = ("length", "digits", "upper", "lower", "changes", "entropy", "distinct", "letter_pairs", "dictionary", "hex", "numeric", "uuid", "slashes", "key_word", "assigned", "harmless_word", "test_path", "config_path")
+FEATURES = ("length", "digits", "upper", "lower", "changes", "entropy", "distinct", "letter_pairs", "dictionary", "hex", "numeric", "uuid", "slashes", "key_word", "assigned", "harmless_word", "test_path", "config_path", "punctuation", "keyed", "placeholder")
 _PAIRS = frozenset(w[i : i + 2] for w in DICTIONARY for i in range(len(w) - 1))
 _UUID = re.compile(r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
 _WORD = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
 
+def names_key(name: str) -> bool:
+    """Whether a part of the name (snake, kebab or camel case) is a key word."""
+    return name.lower().endswith(KEY_ENDINGS) or any(x.lower() in KEY_WORDS for x in _PART.findall(name))
+
+
+def spans(text: str) -> list[tuple[int, int]]:
+    """Start and end of each candidate, in order."""
+    found = set()
+    digit = lambda part: any(k in "0123456789" for k in part)
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        if not digit(m.group()):
+            name = _NAME_BEFORE.search(text[max(0, a - AROUND) : a])
+            if not (name and names_key(name.group(1))):
+                continue
+        name = LEADING.match(text, a, b)
+        if name:
+            for x, y in ((a, name.end() - 1), (name.end(), b)):
+                if y - x >= 16 and digit(text[x:y]):
+                    found.add((x, y))
+        else:
+            found.add((a, b))
+    at = 0
+    while m := ASSIGNED.search(text, at):
+        at = m.end(1)
+        if not names_key(m.group(1)):
+            continue
+        k = next(k for k in (2, 3, 4, 5) if m.group(k) is not None)
+        a, b = m.span(k)
+        if k == 5:
+            if m.start() and text[m.start() - 1] in "?&":
+                b = a + re.search(r"[&#]|$", m.group(k)).start()
+            b = a + len(text[a:b].rstrip(".,;:)]}>"))
+        if a < b:
+            found.add((a, b))
+    return sorted(found)
+
+
 def features(candidate: str, before: str, after: str, path: str) -> list[float]:
     """The numbers that the forest sees, in the order of FEATURES. before, after: the text around, AROUND characters each."""
     n, low = len(candidate), candidate.lower()
@@ -65,13 +117,14 @@ def features(candidate: str, before: str, after: str, path: str) -> list[float]:
             covered[at : at + len(word)] = [True] * len(word)
             at = low.find(word, at + 1)
     near = _WORD.findall(before.lower())[-4:] + _WORD.findall(after.lower())[:1]
+    name = _ASSIGNED_BEFORE.search(before)
     path = path.lower()
     return [
         math.log2(n),
         kinds.count(0) / n,
         kinds.count(1) / n,
         kinds.count(2) / n,
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
         -sum(k / n * math.log2(k / n) for k in counts),
         len(counts) / min(n, 64),
         sum(p in _PAIRS for p in letters) / len(letters) if letters else 0.0,
@@ -85,6 +138,9 @@ def features(candidate: str, before: str, after: str, path: str) -> list[float]:
         float(any(w in HARMLESS_WORDS for w in near)),
         float(any(w in path for w in TEST_PATHS)),
         float(any(w in path for w in CONFIG_PATHS)),
+        kinds.count(3) / n,
+        float(bool(name) and names_key(name.group(1))),
+        float(bool(PLACEHOLDERS.match(candidate))),
     ]
 
 
@@ -104,8 +160,16 @@ def example_findings(spark: SparkSession, count: int = 6000, seed: int = 5) -> D
             if r.random() < 0.15:
                 key = key.upper()
             name = r.choice(KEY_WORDS)
-            before = prose(3) + " " + r.choice([f'{name} = "', f"{name}: ", f'"{name}": "', f"{name}='", f"{name} ", f"my_{name}=", f"{name.upper()} = \""])
-            after = r.choice(['" ', "' ", "\n", " "]) + prose(2)
+            shape = r.random()
+            if shape < 0.35:  # what people make up or generators give: any length, with or without digits and punctuation
+                key = r.choice([some(small + digit, r.randint(8, 15)), some(small + big + digit, r.randint(8, 15)), some(small, r.randint(10, 30)), some(small + big, r.randint(10, 40)), some(small + big + digit + "!@#$%^&*?", r.randint(8, 24)), r.choice(DICTIONARY).title() + some(digit, 4) + some("!@#$%", 1), some(small, 4) + some(digit, 2) + some(small + "!@#%", 6)])
+                name = r.choice([*KEY_WORDS, "db_password", "apiKey", "accessToken", "DB_PASS_SECRET", "client-secret"])
+            elif shape < 0.5:  # bare keys, of forms that no checksum has
+                key = r.choice([some(digit + small + big, r.randint(32, 48)), "AKIA" + some(digit + big, 16), some(digit + small + big + "+/", 40), "ghp_" + some(digit + small + big, 36)])
+                name = ""
+            lead = r.choice([f'{name} = "', f"{name}: ", f'"{name}": "', f"{name}='", f"{name}=", f"my_{name}=", f'{name.upper()} = "'] + [f"{name} "] * (shape >= 0.5)) if name else r.choice(["", "(", '"', "\n"])
+            before = prose(3) + " " + lead
+            after = (lead[-1] + r.choice([" ", "\n", ", ", "; "]) if lead[-1:] in ("'", '"') else r.choice(["\n", " "])) + prose(2)
         else:
             word = lambda: r.choice(DICTIONARY)
             key = r.choice(
@@ -127,6 +191,13 @@ def example_findings(spark: SparkSession, count: int = 6000, seed: int = 5) -> D
             lead = r.choice(HARMLESS_WORDS) if random_hex else r.choice(["", "", r.choice(HARMLESS_WORDS), r.choice(filler)])
             before = prose(3) + " " + r.choice([lead + " ", lead + ": ", lead + "="] if lead else [" ", "(", "\n"])
             after = r.choice([" ", ". ", "\n", ") "]) + prose(2)
+            if r.random() < 0.45:  # beside a key word too
+                stubs = [r.choice(["your-", "your_", "my-", "insert-", "the_"]) + r.choice([word(), *KEY_WORDS]) + r.choice(["", "", "-here"]) for _ in range(2)]
+                key = r.choice([word(), word() + "_" + word(), word() + "-" + word(), word() + "." + word() + "." + word(), r.choice(filler), "null", "None", "true", *[f"<{x}>" for x in stubs], "${" + stubs[0].upper() + "}", *stubs, "xxxxxxxx", "********", 'os.environ.get(' + word().upper() + ')', "get_" + word() + "()", "/".join(word() for _ in range(3)), some(digit, r.randint(1, 4)), word() + some(digit, 1), "https://" + word() + ".example.com/" + word()])
+                name = r.choice([*KEY_WORDS, "primary_key", "api_key", "accessToken", "db_password"])
+                lead = r.choice([f'{name} = "', f"{name}: ", f'"{name}": "', f"{name}='", f"my_{name}=", f'{name.upper()} = "'])
+                key = key if lead[-1] in "'\"" else key.rstrip(">})")
+                before, after = prose(3) + " " + lead, (lead[-1] if lead[-1] in "'\"" else "") + r.choice([" ", "\n"]) + prose(2)
         rows.append((key, before[-AROUND:], after[:AROUND], path, i % 2))
     return spark.createDataFrame(rows, "candidate string, before string, after string, path string, secret int")
 
@@ -139,8 +210,8 @@ def _rows_to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def train(findings: DataFrame, trees: int = 20, depth: int = 8) -> PipelineModel:
-    """A forest from labelled findings (``secret``: 1 or 0; candidates of two characters or more)."""
-    known = findings.where(F.col("secret").isNotNull() & (F.length("candidate") > 1))
+    """A forest from labelled findings (``secret``: 1 or 0; candidates of a character or more)."""
+    known = findings.where(F.col("secret").isNotNull() & (F.length("candidate") > 0))
     known = known.orderBy(F.xxhash64("candidate", "before", "after", "path"), "candidate", "before").limit(MAX_FINDINGS).coalesce(1)
     rows = known.select("candidate", "before", "after", "path", "secret").mapInArrow(_rows_to_features, ", ".join(f"{x} double" for x in ("label", *FEATURES)))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featuresCol="features", labelCol="label")
@@ -161,10 +232,9 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
             rows = []
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_py() or ""
-                for m in CANDIDATE.finditer(text):
-                    a, b = m.span()
+                for a, b in spans(text):
                     where = batch.column("path")[i].as_py() or ""
-                    rows.append([batch.column("doc_id")[i].as_py(), a, b - a, hashlib.sha256(m.group().encode()).hexdigest(), *features(m.group(), text[max(0, a - AROUND) : a], text[b : b + AROUND], where)])
+                    rows.append([batch.column("doc_id")[i].as_py(), a, b - a, hashlib.sha256(text[a:b].encode()).hexdigest(), *features(text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND], where)])
                     if len(rows) == 4000:
                         yield made(rows)
                         rows = []
