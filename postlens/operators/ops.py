@@ -115,11 +115,11 @@ def coverage(artifacts: DataFrame) -> DataFrame:
     return artifacts.groupBy("date").pivot("artifact").agg(F.count(F.lit(1)) > 0).na.fill(False)
 
 
-def observation_gaps(dates: DataFrame, date: str = "date") -> DataFrame:
-    """``after, before, missing_days`` where dates are more than a day apart."""
-    order = Window.orderBy(date)  # a row a date
-    rows = dates.select(c(date)).distinct().withColumn("after", F.lag(date).over(order))
-    return rows.withColumn("missing_days", F.datediff(date, "after") - 1).where("missing_days > 0").select("after", c(date).alias("before"), "missing_days")
+def observation_gaps(dates: DataFrame, date: str = "date", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``after, before, missing_days`` where dates are more than a day apart, with ``keys`` for each of their values."""
+    order = Window.partitionBy(*keys).orderBy(date) if keys else Window.orderBy(date)  # a row a date
+    rows = dates.select(*keys, c(date)).distinct().withColumn("after", F.lag(date).over(order))
+    return rows.withColumn("missing_days", F.datediff(date, "after") - 1).where("missing_days > 0").select(*keys, "after", c(date).alias("before"), "missing_days")
 
 
 def registry_problems(limitations: DataFrame) -> DataFrame:

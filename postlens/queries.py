@@ -301,6 +301,11 @@ def observation_gaps(spark, sf_dir):
     return ops.observation_gaps(read(spark, sf_dir, "events").where("user_id = 1").select(F.to_date("ts").alias("date")))
 
 
+@query("SELECT * FROM (SELECT user_id, lag(d) OVER w AS after, d AS before, datediff('day', lag(d) OVER w, d)::INT - 1 AS missing_days FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY d)) WHERE missing_days > 0")
+def observation_gaps_by_user(spark, sf_dir):
+    return ops.observation_gaps(read(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date")), keys=("user_id",))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 10")
 def latest_rows(spark, sf_dir):
     return ops.latest(read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 10)
@@ -391,6 +396,18 @@ def comparability(spark, sf_dir):
     return rows.withColumn("reason_codes", F.array_join("reason_codes", ","))
 
 
+@query("""WITH m AS (SELECT make_timestamp((epoch_us(min(o_orderdate)) + epoch_us(max(o_orderdate))) // 2) AS middle FROM orders), a AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders, m WHERE o_orderdate < middle GROUP BY 1), b AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders, m WHERE o_orderdate >= middle GROUP BY 1),
+r AS (SELECT 'inventory' AS family, coalesce(a.platform, b.platform) AS platform, CASE WHEN a.n IS NULL OR b.n IS NULL THEN 'PLATFORM_NOT_OBSERVED_BOTH_DAYS' WHEN a.n % 2 = 0 OR b.n % 2 = 0 THEN 'METRIC_SOURCE_UNRELIABLE' ELSE '' END AS reason_codes FROM a FULL JOIN b USING (platform))
+SELECT *, reason_codes = '' AS comparable FROM r""")
+def comparability_of_halves(spark, sf_dir):
+    """The orders before and from the middle of their time."""
+    o = read(spark, sf_dir, "orders").select(c("o_orderpriority").alias("platform"), F.unix_micros(c("o_orderdate").cast("timestamp")).alias("at"))
+    first, last = o.agg(F.min("at"), F.max("at")).first()
+    middle = F.lit(None if first is None else (first + last) // 2).cast("long")
+    side = lambda when: o.where(when).groupBy("platform").agg(F.count("*").alias("n")).select(F.lit("inventory").alias("family"), "platform", (c("n") % 2 == 1).alias("reliable"), F.array().cast("array<string>").alias("reason_codes"), F.lit("").alias("scope"), F.lit("v1").alias("versions"))
+    return trends.comparability(side(c("at") < middle), side(c("at") >= middle)).withColumn("reason_codes", F.array_join("reason_codes", ","))
+
+
 @query("""WITH w AS (SELECT o_orderstatus AS platform, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY 1) SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.platform = l.l_linestatus AND l.l_shipdate >= w.a AND l.l_shipdate <= w.b)""")
 def outside_windows(spark, sf_dir):
     w = read(spark, sf_dir, "orders").groupBy(c("o_orderstatus").alias("platform")).agg(F.min("o_orderdate").alias("started_at"), F.max("o_orderdate").alias("finished_at"))
@@ -439,6 +456,20 @@ def recovery_candidates(spark, sf_dir):
     return ops.recovery_candidates(runs, incidents, 5000).select(c("run_date").alias("o_orderkey"))
 
 
+@query("WITH e AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS artifact FROM events) SELECT d.date, t.artifact, e.date IS NOT NULL AS present FROM (SELECT DISTINCT date FROM e) d CROSS JOIN (SELECT DISTINCT artifact FROM e) t LEFT JOIN e ON e.date = d.date AND e.artifact = t.artifact")
+def coverage_of_all_types(spark, sf_dir):
+    """A row for each date and event type, as the types are not known beforehand."""
+    found = ops.coverage(read(spark, sf_dir, "events").select(c("event_type").alias("artifact"), F.to_date("ts").alias("date")))
+    return found.unpivot("date", [k for k in found.columns if k != "date"], "artifact", "present")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey < (SELECT max(o_orderkey) FROM orders) AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def recovery_candidates_of_all(spark, sf_dir):
+    runs = read(spark, sf_dir, "orders").select(c("o_orderkey").alias("run_date"))
+    incidents = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("run_date"), F.when(c("l_returnflag") == "R", "open").otherwise("closed").alias("status"))
+    return ops.recovery_candidates(runs, incidents, F.lit(runs.agg(F.max("run_date")).first()[0])).select(c("run_date").alias("o_orderkey"))
+
+
 @query("SELECT conv_id, turn, list_aggregate(list_sort(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[；;。\\n\\r]+'), lambda x: trim(x)), lambda x: x <> ''))), 'count') AS clauses FROM conversations")
 def clause_counts(spark, sf_dir):
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(X.clauses(c("text"), ordered=False)).cast("long").alias("clauses"))
