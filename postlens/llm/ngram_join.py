@@ -15,7 +15,11 @@ candidates, and each pair that is left is verified once.
    each n-gram's documents are held against the most typical of them alone, then,
    once the links so found are made components, those of different components
    against each other. So a group of thousands of near copies needs a pair each,
-   not all pairs, and no link between components is lost.
+   not all pairs, and no link between components is lost. They meet by n-gram and
+   band of set sizes, as sets that may link are of the same band or of neighbours.
+
+The result is components: links inside a component are not all looked at, so there
+is no number of links.
 
 N-grams in more than ``HOT_SHARE`` of all documents (at most the mean set size /
 ``HOT_SHARE`` exist, whatever the input's size) stay out of the shuffle and come
@@ -24,12 +28,13 @@ last in every order.
 Edge cases: null and blank texts have empty sets and are linked with nothing
 (their component is their own id); a text of fewer than n words has its whole
 sequence as its one n-gram; equal texts are linked; repeated and null ids are
-taken as they are (the least id that is not null names a component); an empty table gives an
-empty result. Only ``doc_id`` and ``text`` are read.
+taken as they are (the least id that is not null names a component), each row by its
+own text; an empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +50,8 @@ HOT_SHARE = 0.01
 #: Bits of an n-gram's hash that are sent. Two different n-grams of two given sets are taken for one in 1e9 pairs once.
 HASH_BITS = 48
 FLUSH = 1_000_000
+#: Entries that a hash bucket is meant for: it is in memory as a whole.
+BUCKET_ENTRIES = 2_000_000
 
 
 def ngram_sets(texts: Texts, hasher: Hasher, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,11 +95,11 @@ class _Gather:
 
 
 def profiles(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """``doc_id, fp, check, n_shingles``, and rows with a null ``n_shingles`` that hold often-seen n-grams (``hot``, ``times``)."""
+    """``doc_id, mark, fp, check, n_shingles`` (mark: a hash of the very text), and rows with a null ``n_shingles`` that hold often-seen n-grams (``hot``, ``times``)."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held = Hasher(seed), _Gather()
-        names = ["doc_id", "fp", "check", "n_shingles", "hot", "times"]
+        names = ["doc_id", "mark", "fp", "check", "n_shingles", "hot", "times"]
 
         def often() -> pa.RecordBatch:
             who, _, grams = held.take()
@@ -100,19 +107,21 @@ def profiles(docs: DataFrame, n: int, seed: int) -> DataFrame:
             many = times >= max(4, HOT_SHARE * len(who))
             lists = lambda x: pa.array([x], pa.list_(pa.int64()))
             none = pa.nulls(1, pa.int64())
-            return pa.record_batch([none, none, none, none, lists(gram[many].astype(np.int64)), lists(times[many])], names=names)
+            return pa.record_batch([none, none, none, none, none, lists(gram[many].astype(np.int64)), lists(times[many])], names=names)
 
         for batch in batches:
             for t in chunks(batch.column("text"), hasher):
                 fp, check = (hasher.whole(t.word, t.at, salt).view(np.int64) for salt in (1, 2))
                 grams, size = ngram_sets(t, hasher, n)
                 empty = pa.nulls(len(fp), pa.list_(pa.int64()))
-                yield pa.record_batch([batch.column("doc_id").slice(int(t.rows[0]), len(fp)), pa.array(fp), pa.array(check), pa.array(size), empty, empty], names=names)
+                named = [batch.column(k).slice(int(t.rows[0]), len(fp)) for k in ("doc_id", "mark")]
+                yield pa.record_batch([*named, pa.array(fp), pa.array(check), pa.array(size), empty, empty], names=names)
                 if held.add(fp, grams, size):
                     yield often()
         yield often()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(profile, "doc_id long, fp long, check long, n_shingles long, hot array<long>, times array<long>")
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return asked.mapInArrow(profile, "doc_id long, mark long, fp long, check long, n_shingles long, hot array<long>, times array<long>")
 
 
 #: What a row of the exchange holds: entries to count; a flush's documents; entries that are an answer.
@@ -223,8 +232,13 @@ def _may_link(near: int) -> Column:
     return length & place & suffix
 
 
+def _band(n: Column, near: int) -> Column:
+    """The band of set size n: sizes whose sets may link are of one band or of neighbours."""
+    return F.floor(F.log(n) / math.log(100 / near) + 1e-9).cast("int") if near < 100 else n.cast("int")
+
+
 def _as(df: DataFrame, side: str) -> DataFrame:
-    return df.select(*[F.col(k) if k == "key" else F.col(k).alias(f"{side}_{k}") for k in df.columns])
+    return df.select(*[F.col(k) if k in ("key", "band") else F.col(k).alias(f"{side}_{k}") for k in df.columns])
 
 
 def _verify(pairs: DataFrame, shared: DataFrame, near: int) -> DataFrame:
@@ -252,38 +266,68 @@ def links_and_groups(shared: DataFrame, near: int) -> tuple[DataFrame, list[Data
     named = store.table(named, "prefixes")
     mixed = named.groupBy("key").agg((F.min("group") != F.max("group")).alias("mixed")).where("mixed").select("key")
     open_ = store.table(named.join(mixed, "key", "left_semi"), "prefixes")
-    x, y = _as(open_, "x"), _as(open_, "y")
-    rest = x.join(y, "key").where((F.col("x_group") < F.col("y_group")) & _may_link(near)).select(*_pair()).distinct()
+    # x is of y's band or the next: y goes to both
+    banded = open_.withColumn("own", _band(F.col("n"), near))
+    x, y = _as(banded.withColumn("band", F.col("own")), "x"), _as(banded.withColumn("band", F.explode(F.array("own", F.col("own") + 1))), "y")
+    once = F.when(F.col("x_own") == F.col("y_own"), F.col("x_group") < F.col("y_group")).otherwise(F.col("x_group") != F.col("y_group"))
+    rest = x.join(y, ["key", "band"]).where(once & _may_link(near)).select(*_pair()).distinct()
     rest = store.table(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
     more = store.table(_verify(rest, shared, near).union(links), "links")
     found = components.connected_components(more).select(F.col("node").alias("fp"), F.col("component").alias("group"))
     return found, [rows, tried, links, groups, named, open_, rest, more]
 
 
-def ngram_components(docs: DataFrame, n: int = 5, near: int = 75, seed: int = 0) -> DataFrame:
-    """Components of the links ``100 * intersection >= near * union`` between the documents' n-gram sets.
-
-    Returns ``doc_id, n_shingles, component_id`` and ``copies`` (documents of the very same word sequence).
-    """
+def _components(docs: DataFrame, n: int, near: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Each row's profile (``doc_id, mark, fp, n_shingles``), and each word sequence's component (``fp, copies, component_id, component_mark``)."""
     spark = docs.sparkSession
     store.small_batches(spark)
     both = store.table(profiles(docs, n, seed), "profiles")
     known = both.where("n_shingles IS NOT NULL").drop("hot", "times")
-    prints = known.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    prints = known.where("n_shingles > 0").groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("copies"), F.max("n_shingles").alias("size"), (F.min("check") != F.max("check")).alias("clash"))
     prints = store.table(prints, "prints")
-    if prints.where("clash").limit(1).count():  # two sequences, one fingerprint: 1 in 2**64 for a pair
-        return ngram_components(docs, n, near, seed + 1)
-    total = prints.count()
+    total, entries, clash = prints.agg(F.count("*"), F.sum("size"), F.max("clash")).first()
+    if clash:  # two sequences, one fingerprint: 1 in 2**64 for a pair
+        return _components(docs, n, near, seed + 1)
     often = both.where("n_shingles IS NULL").select(F.explode(F.arrays_zip("hot", "times")).alias("x")).groupBy("x.hot").agg(F.sum("x.times").alias("times"))
     hot = [r[0] for r in often.where(F.col("times") >= max(16, HOT_SHARE * total / 2)).select("hot").toLocalIterator()]
-    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")), each=4)
+    buckets = packed.buckets_for(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(entries or 0) // BUCKET_ENTRIES)))
     shared = store.table(_shared(docs, n, seed, np.array(hot, np.int64), buckets, near), "shared")
     store.release(spark)
     groups, spent = links_and_groups(shared, near)
     named = prints.join(groups, "fp", "left").select("fp", "first", "copies", F.coalesce("group", "fp").alias("group"))
-    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    named = store.table(named.join(least, "group").select("fp", "copies", "component_id"), "named")
+    least = named.groupBy("group").agg(F.min("first").alias("least"))
+    named = named.join(least, "group").select("fp", "copies", F.col("least.doc_id").alias("component_id"), F.col("least.mark").alias("component_mark"))
+    named = store.table(named, "named")
     store.drop(spark, shared, prints, *spent)
+    return known, named
+
+
+def ngram_components(docs: DataFrame, n: int = 5, near: int = 75) -> DataFrame:
+    """Components of the links ``100 * intersection >= near * union`` between the documents' n-gram sets.
+
+    Returns ``doc_id, n_shingles, component_id`` and ``copies`` (documents of the very same word sequence).
+    """
+    known, named = _components(docs, n, near)
     return known.join(named, "fp", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("copies", F.lit(1)).alias("copies")
     )
+
+
+def keep_one(docs: DataFrame, n: int = 5, near: int = 75) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that another document of their component stands for.
+
+    That of the least id stays (of one id, that of the least hash of its text; rows without id come last), one
+    row of it where it is repeated. Rows without words are linked with nothing, so all of them stay.
+    """
+    known, named = _components(docs, n, near)
+    rows = known.join(named, "fp", "left")
+    chosen = rows.where((F.col("n_shingles") == 0) | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))))
+    keys = chosen.groupBy(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")).agg(((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("_again"))
+    keys = store.table(keys, "kept")
+    marked = docs.select(F.struct(*[docs[k] for k in docs.columns]).alias("_row"), docs["doc_id"].cast("long").alias("_id"), F.xxhash64(docs["text"]).alias("_text"))
+    # the list of kept rows has no bound, so it is merged at every size and never broadcast
+    kept = marked.join(keys.hint("shuffle_merge"), F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_mark")))
+    if keys.where("_again").limit(1).count():
+        kept = kept.where("NOT _again").unionByName(kept.where("_again").dropDuplicates(["_doc", "_mark"]))
+    return kept.select("_row.*")

@@ -13,9 +13,13 @@ from __future__ import annotations
 import numpy as np
 
 
-def buckets_for(partitions: int, each: int = 1) -> int:
-    """The power of two from ``each`` buckets a shuffle partition on, 65536 at most."""
-    return 1 << min(16, max(2, (each * partitions - 1).bit_length()))
+def buckets_for(least: int) -> int:
+    """The power of two from ``least`` on, up to 2**22.
+
+    Callers ask for as many as keep a bucket, which is in memory as a whole, to a bounded number of entries. With
+    more buckets than a flush has entries a blob is one entry, and the format saves nothing any more.
+    """
+    return 1 << min(22, max(2, (least - 1).bit_length()))
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
