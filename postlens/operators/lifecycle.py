@@ -1,7 +1,9 @@
-"""First seen, new, updated, missing, removed, reappeared: a state machine in windows.
+"""First seen, new, updated, missing, removed, reappeared: a state machine in joins and windows.
 
-Identities meet the observation dates from their first on; running counts and
-last values give each day's state, so one shuffle by identity does all days.
+Windows run over sightings alone. An absence, the days between a sighting and the
+next one, ends with the day that confirms removal, which two small tables tell:
+how many days of a scope have counted towards removal up to a day, and which day
+is the k-th. So the work follows sightings and events, not identities times days.
 Absence counts towards removal only on days whose scope is reliable and whose
 cities are those of the last sighting; other absence neither advances nor resets
 the count.
@@ -23,69 +25,78 @@ def index_conflicts(jobs: DataFrame) -> DataFrame:
     return once.groupBy(*keys).agg(F.count("*").alias("versions")).where((F.col("versions") > 1) | blank)
 
 
+def _scopes(days: DataFrame, dates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each day of each scope (``platform, scope, n, reliable, reason_codes``), and platforms of one scope (``platform``).
+
+    A platform's one scope is '', whatever companies its postings have.
+    """
+    single = days.where("company IS NULL").select("platform").distinct()
+    rows = days.select("snapshot_date", "platform", F.coalesce("company", F.lit("")).alias("scope"), F.coalesce("presence_reliable", F.lit(False)).alias("reliable"), "reason_codes")
+    return rows.join(dates.select("snapshot_date", "n"), "snapshot_date").drop("snapshot_date"), single
+
+
 def lifecycle(presence: DataFrame, days: DataFrame, confirmation_runs: int = 2) -> DataFrame:
     """Events of all identities over all observation days.
 
     presence: ``snapshot_date, platform, job_id, company, title, sha`` (null: content not reliable).
     days: a row for each date and scope: ``snapshot_date, platform, company``
     (null: the platform's one scope), ``presence_reliable, cities, reason_codes``;
-    a date's ``cities`` are the same in all its rows.
+    a date's ``cities`` are the same in all its rows. Sightings on other dates do not count.
     """
     if confirmation_runs < 2:
         raise ValueError("removal needs at least two runs")
-    dates = days.groupBy("snapshot_date").agg(F.first("cities").alias("cities"))
+    c = F.col
     order = Window.orderBy("snapshot_date")  # a row a date
-    dates = dates.withColumns({"prev_date": F.lag("snapshot_date").over(order), "prev_cities": F.lag("cities").over(order)})
-    dates = dates.withColumn("scope_changed", F.coalesce(F.col("cities") != F.col("prev_cities"), F.lit(False)))
-    first = presence.groupBy(*KEYS).agg(F.min("snapshot_date").alias("first_date"))
-    grid = first.join(F.broadcast(dates), F.col("snapshot_date") >= F.col("first_date")).join(presence.withColumn("present", F.lit(True)), ["snapshot_date", *KEYS], "left")
-    upto = Window.partitionBy(*KEYS).orderBy("snapshot_date")
-    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    dates = days.groupBy("snapshot_date").agg(F.first("cities").alias("cities")).withColumns({"n": F.row_number().over(order), "before": F.lag("cities").over(order)})
+    dates = dates.withColumn("changed", F.coalesce(c("cities") != c("before"), F.lit(False))).drop("before")
+    scoped, single = _scopes(days, dates)
+    # days that count towards removal, by scope and cities, in their order
+    by_n = Window.partitionBy("platform", "scope", "cities").orderBy("n")
+    counting = scoped.where("reliable").join(dates.where("NOT changed").select("n", "cities"), "n").select("platform", "scope", "cities", "n").distinct().withColumn("k", F.row_number().over(by_n))
+    # and how many there were up to each day that some posting may have been last seen on
+    end = dates.agg(F.max("n").alias("end"))  # one row
+    seen_on = scoped.select("platform", "scope").distinct().crossJoin(F.broadcast(end)).withColumn("n", F.explode(F.sequence(F.lit(1), "end"))).drop("end").join(dates.select("n", "cities"), "n")
+    upto = seen_on.join(counting, ["platform", "scope", "cities", "n"], "left").withColumn("base", F.count("k").over(by_n)).select("platform", "scope", c("n").alias("at"), "base")
+
+    mine = Window.partitionBy(*KEYS).orderBy("n")
+    earlier = mine.rowsBetween(Window.unboundedPreceding, -1)
     last = lambda col, w: F.last(col, ignorenulls=True).over(w)
-    seen = F.col("present").isNotNull()
-    rows = grid.withColumns(
-        {
-            "seen": seen,
-            "who": last("company", upto),
-            "named": last("title", upto),
-            "last_cities": last(F.when(seen, F.col("cities")), upto),
-            "prev_sha": last("sha", before),
-            "island": F.sum(seen.cast("int")).over(upto),
-        }
+    rows = presence.join(F.broadcast(dates), "snapshot_date").withColumns(
+        {"who": last("company", mine), "named": last("title", mine), "old_who": last("company", earlier), "old_title": last("title", earlier), "prev_sha": last("sha", earlier), "last_sha": last("sha", mine), "was_at": F.lag("n").over(mine), "next": F.lead("n").over(mine)}
     )
-    scope = days.select(F.col("snapshot_date").alias("s_date"), F.col("platform").alias("s_platform"), F.col("company").alias("s_company"), F.col("presence_reliable").alias("reliable"), "reason_codes")
-    today = (F.col("snapshot_date") == F.col("s_date")) & (F.col("platform") == F.col("s_platform")) & (F.col("s_company").isNull() | (F.col("s_company") == F.col("who")))
-    rows = rows.join(scope, today, "left").drop("s_date", "s_platform", "s_company")
-    earlier = days.select(F.col("snapshot_date").alias("e_date"), F.col("platform").alias("e_platform"), F.col("company").alias("e_company"), F.col("presence_reliable").alias("was_reliable"))
-    before_that = (F.col("prev_date") == F.col("e_date")) & (F.col("platform") == F.col("e_platform")) & (F.col("e_company").isNull() | (F.col("e_company") == F.col("who")))
-    rows = rows.join(earlier, before_that, "left").drop("e_date", "e_platform", "e_company")
-    reliable, changed = F.coalesce("reliable", F.lit(False)), F.col("scope_changed")
-    absent_changed = changed | (F.col("last_cities") != F.col("cities"))
-    rows = rows.withColumns({"reliable": reliable, "absent_changed": absent_changed, "counts": (~F.col("seen") & reliable & ~absent_changed).cast("int")})
-    island = Window.partitionBy(*KEYS, "island").orderBy("snapshot_date")
-    rows = rows.withColumn("streak", F.sum("counts").over(island))
-    rows = rows.withColumns({"was_streak": F.coalesce(F.lag("streak").over(upto), F.lit(0)), "was_seen": F.lag("seen").over(upto)})
-    is_first = F.col("snapshot_date") == F.col("first_date")
-    confirmed_new = F.coalesce("was_reliable", F.lit(False)) & ~changed & reliable
-    n = F.lit(confirmation_runs)
-    gone = ~F.col("seen") & (F.col("was_streak") >= n) & ~F.coalesce("was_seen", F.lit(False))
-    event = lambda when, kind, sure, old, new, why: F.when(when, F.struct(F.lit(kind).alias("event_type") if isinstance(kind, str) else kind.alias("event_type"), F.when(sure, "confirmed").otherwise("provisional").alias("event_status"), old.alias("previous_sha256"), new.alias("current_sha256"), why.alias("reason_codes")))
+    of_one = single.withColumn("one", F.lit(True))
+    rows = rows.join(of_one, "platform", "left").withColumn("scope", F.when(c("one"), "").otherwise(F.coalesce("who", F.lit("")))).drop("one")
     none, code = F.lit(None).cast("string"), lambda *x: F.array(*[F.lit(y) for y in x])
-    back = F.col("seen") & ~is_first & ~F.col("was_seen")
-    unsure = F.concat(code("SOURCE_UNRELIABLE"), F.coalesce("reason_codes", code("MANIFEST_SCOPE_MISSING")), F.when(absent_changed, code("SOURCE_SCOPE_CHANGED")).otherwise(F.array().cast("array<string>")))
-    events = F.array_compact(
-        F.array(
-            event(F.col("seen") & is_first, F.when(confirmed_new, "NEW").otherwise("FIRST_SEEN"), confirmed_new, none, F.col("sha"), F.when(confirmed_new, code("RELIABLE_ABSENCE_TO_PRESENCE")).otherwise(code("NO_COMPARABLE_PRIOR_ABSENCE"))),
-            event(back, "REAPPEARED", reliable & ~changed, F.col("prev_sha"), F.col("sha"), code("PREVIOUSLY_MISSING")),
-            event(F.col("seen") & ~is_first & F.coalesce(F.col("sha") != F.col("prev_sha"), F.lit(False)), "UPDATED", F.lit(True), F.col("prev_sha"), F.col("sha"), code("RELIABLE_CONTENT_CHANGED")),
-            event(~F.col("seen") & ~gone & (F.col("counts") == 1), F.when(F.col("streak") >= n, "REMOVED").otherwise("MISSING"), F.col("streak") >= n, F.col("prev_sha"), none, code("RELIABLE_ABSENCE")),
-            event(~F.col("seen") & ~gone & (F.col("counts") == 0), "MISSING", F.lit(False), F.col("prev_sha"), none, unsure),
-        )
+    event = lambda when, kind, sure, old, new, why: F.when(when, F.struct(kind.alias("event_type"), F.when(sure, "confirmed").otherwise("provisional").alias("event_status"), old.alias("previous_sha256"), new.alias("current_sha256"), why.alias("reason_codes")))
+
+    # days on which a posting is there
+    was = scoped.select("platform", "scope", (c("n") + 1).alias("n"), c("reliable").alias("was_reliable"))
+    there = rows.join(scoped.drop("reason_codes"), ["platform", "scope", "n"], "left").join(was, ["platform", "scope", "n"], "left")
+    reliable, first = F.coalesce("reliable", F.lit(False)), c("was_at").isNull()
+    new = F.coalesce("was_reliable", F.lit(False)) & ~c("changed") & reliable
+    shown = F.array(
+        event(first, F.when(new, "NEW").otherwise("FIRST_SEEN"), new, none, c("sha"), F.when(new, code("RELIABLE_ABSENCE_TO_PRESENCE")).otherwise(code("NO_COMPARABLE_PRIOR_ABSENCE"))),
+        event(c("was_at") < c("n") - 1, F.lit("REAPPEARED"), reliable & ~c("changed"), c("prev_sha"), c("sha"), code("PREVIOUSLY_MISSING")),
+        event(~first & F.coalesce(c("sha") != c("prev_sha"), F.lit(False)), F.lit("UPDATED"), F.lit(True), c("prev_sha"), c("sha"), code("RELIABLE_CONTENT_CHANGED")),
     )
     # a reappearing posting is told under the company and title it was last seen with
-    old_who, old_title = F.coalesce(last("company", before), F.col("who")), F.coalesce(last("title", before), F.col("named"))
-    rows = rows.withColumns({"old_who": old_who, "old_title": old_title, "event": F.explode(events)})
-    return rows.select(F.col("snapshot_date").alias("event_date"), *KEYS, F.col("old_who").alias("company"), F.col("old_title").alias("title"), "event.*")
+    out = [c("snapshot_date").alias("event_date"), *KEYS, "company", "title", "event.*"]
+    told = there.select("snapshot_date", *KEYS, F.coalesce("old_who", "who").alias("company"), F.coalesce("old_title", "named").alias("title"), F.explode(F.array_compact(shown)).alias("event"))
+
+    # days on which it is not, up to the next sighting or to the one that confirms its removal
+    gone = rows.where(c("next").isNull() | (c("next") > c("n") + 1)).select(*KEYS, "scope", "cities", "who", "named", "last_sha", c("n").alias("at"), "next")
+    gone = gone.join(upto, ["platform", "scope", "at"], "left").withColumn("kth", F.coalesce("base", F.lit(0)) + confirmation_runs)
+    removal = counting.select("platform", "scope", "cities", c("k").alias("kth"), c("n").alias("removed"))
+    gone = gone.join(removal, ["platform", "scope", "cities", "kth"], "left").crossJoin(F.broadcast(end))
+    until = F.least(F.coalesce("removed", "end"), F.coalesce(c("next") - 1, c("end")))
+    absent = gone.where(until > c("at")).withColumn("n", F.explode(F.sequence(c("at") + 1, until)))
+    absent = absent.join(scoped, ["platform", "scope", "n"], "left").join(F.broadcast(dates.select("n", "snapshot_date", c("cities").alias("now"), "changed")), "n")
+    moved = c("changed") | ~c("cities").eqNullSafe(c("now"))
+    counts, sure = F.coalesce("reliable", F.lit(False)) & ~moved, F.coalesce(c("n") == c("removed"), F.lit(False))
+    unsure = F.concat(code("SOURCE_UNRELIABLE"), F.coalesce("reason_codes", code("MANIFEST_SCOPE_MISSING")), F.when(moved, code("SOURCE_SCOPE_CHANGED")).otherwise(F.array().cast("array<string>")))
+    missing = event(F.lit(True), F.when(sure, "REMOVED").otherwise("MISSING"), sure, c("last_sha"), none, F.when(counts, code("RELIABLE_ABSENCE")).otherwise(unsure))
+    lost = absent.select("snapshot_date", *KEYS, c("who").alias("company"), c("named").alias("title"), missing.alias("event"))
+    return told.select(*out).unionByName(lost.select(*out))
 
 
 def daily_counts(events: DataFrame) -> DataFrame:

@@ -67,12 +67,20 @@ def platform_and_total(rows: DataFrame, keys: list[str], measures: dict[str, Col
 
 
 def asof_labels(sightings: DataFrame, dates: DataFrame, keys: list[str], label: str, date: str = "snapshot_date") -> DataFrame:
-    """Each identity's label on each date: that of its latest sighting up to then, null if that had none."""
-    first = sightings.groupBy(*keys).agg(F.min(date).alias("_first"))
-    grid = first.join(F.broadcast(dates.select(c(date)).distinct()), c(date) >= c("_first")).drop("_first")
-    seen = sightings.select(*keys, date, F.struct(c(label).alias("v")).alias("_seen"))
-    upto = Window.partitionBy(*keys).orderBy(date)
-    return grid.join(seen, [*keys, date], "left").withColumn(label, F.last("_seen", ignorenulls=True).over(upto)["v"]).drop("_seen")
+    """Each identity's label on each date: that of its latest sighting up to then, null if that had none.
+
+    A sighting holds from its day to the next one; only the dates asked for within are made, each a row of the result.
+    """
+    spine = dates.select(date).distinct().agg(F.sort_array(F.collect_list(date)).alias("_dates"))
+    held = Window.partitionBy(*keys).orderBy(date)
+    rows = sightings.select(*keys, date, label).withColumn("_next", F.lead(date).over(held)).crossJoin(F.broadcast(spine))  # one row
+    inside = F.filter("_dates", lambda d: (d >= c(date)) & (c("_next").isNull() | (d < c("_next"))))
+    return rows.select(*keys, F.explode(inside).alias(date), label)
+
+
+def label_intervals(sightings: DataFrame, keys: list[str], date: str = "snapshot_date") -> DataFrame:
+    """``sightings`` with ``until``, the day of the identity's next one (null: none): what holds on a day d has date <= d < until."""
+    return sightings.withColumn("until", F.lead(date).over(Window.partitionBy(*keys).orderBy(date)))
 
 
 def flows(events: DataFrame, labels: DataFrame) -> DataFrame:
