@@ -86,26 +86,70 @@ def encode(values: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, words_of, blocks
 
 
-def decode(words: np.ndarray) -> np.ndarray:
-    """All values of whole blocks that lie one behind the other."""
+def block_sizes(length: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """How many values each block holds, given the sequences' lengths and block counts."""
+    out = np.full(int(blocks.sum()), BLOCK, np.int64)
+    some = blocks > 0
+    out[np.cumsum(blocks)[some] - 1] = length[some] - (blocks[some] - 1) * BLOCK
+    return out
+
+
+def _selectors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's selector (-1: a raw value), and how many values it holds."""
     chosen = (words >> np.uint64(60)).astype(np.int64)
-    raw = np.zeros(len(words), bool)
     last = -1
     for p in np.flatnonzero(chosen == ESCAPE):  # an escape hides the word behind it
         if p > last:
             last = p + 1
-            raw[last] = True
-    chosen[raw] = -1
+            if last == len(chosen):
+                raise ValueError("damaged block: it ends with an escape")
+            chosen[last] = -1
     if (chosen == 0).any():
         raise ValueError("damaged block: selector 0")
-    count = np.where(raw, 1, np.where(chosen == ESCAPE, 0, COUNT[np.maximum(chosen, 0)]))
-    to = np.cumsum(count) - count
-    out = np.zeros(int(count.sum()), np.uint64)
+    return chosen, np.where(chosen == -1, 1, np.where(chosen == ESCAPE, 0, COUNT[np.maximum(chosen, 0)]))
+
+
+def _values(words: np.ndarray, chosen: np.ndarray, to: np.ndarray, out: np.ndarray) -> None:
+    """The values of all words, those of one selector at once; each word's from ``to`` on."""
     for s in range(1, 15):
         here = np.flatnonzero(chosen == s)
         if len(here):
             mask = np.uint64((1 << int(BITS[s])) - 1)
             for k in range(COUNT[s]):
                 out[to[here] + k] = (words[here] >> np.uint64(k * BITS[s])) & mask
+    raw = np.flatnonzero(chosen == -1)
     out[to[raw]] = words[raw]
+
+
+def decode_blocks(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All values of blocks that begin at the words ``starts`` and hold ``sizes`` values, held against both."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    chosen, count = _selectors(words)
+    held = np.add.reduceat(count, starts)
+    if (held != sizes).any() or (chosen[starts] == -1).any():
+        raise ValueError("damaged block: other values than counted")
+    out = np.zeros(int(held.sum()), np.uint64)
+    _values(words, chosen, np.cumsum(count) - count, out)
+    return out
+
+
+def decode_span(words: np.ndarray, starts: np.ndarray, length: int, low: int, high: int) -> np.ndarray:
+    """Values number ``low`` to ``high`` (exclusive) of one sequence, from the blocks that hold them alone."""
+    low, high = max(0, low), min(length, high)
+    if low >= high:
+        return np.zeros(0, np.uint64)
+    a, b = low // BLOCK, -(-high // BLOCK)
+    end = starts[b] if b < len(starts) else len(words)
+    sizes = block_sizes(np.array([length]), np.array([len(starts)]))[a:b]
+    return decode_blocks(words[starts[a] : end], starts[a:b] - starts[a], sizes)[low - a * BLOCK : high - a * BLOCK]
+
+
+def decode(words: np.ndarray) -> np.ndarray:
+    """All values of whole blocks that lie one behind the other, without their offsets."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    chosen, count = _selectors(words)
+    out = np.zeros(int(count.sum()), np.uint64)
+    _values(words, chosen, np.cumsum(count) - count, out)
     return out

@@ -6,10 +6,15 @@ first word of each block, its place in the shard and the ids before it in the
 shard. A document's start in the whole output is its shard's base, a running sum
 over one number a shard, plus that.
 
+Texts are encoded as the tokenizer's own plain call does it: the string of one of
+its special tokens in a text becomes that token's id.
+
 Edge cases: a null text is encoded as an empty one, so every document has at
-least its end id; null ids come first, and documents of equal id follow one
-another by text; an empty table gives empty output. Only ``doc_id`` and ``text``
-are read, so further columns of any name do no harm.
+least its end id; null ids come first, and documents of equal (or null) id follow
+one another by a hash of their texts, which also lets them be dealt over many
+shards; a text of any length is one row, worked on by itself; an empty table gives
+empty output. Only ``doc_id`` and ``text`` are read, so further columns of any
+name do no harm.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +33,16 @@ from pyspark.sql import functions as F
 
 from . import simple8b, store
 
-SLICE_BYTES = 8 << 20
-#: Pieces that a worker remembers the ids of (a slice's more at most).
-CACHED = 400_000
+#: Bytes of text, and of coded words, that a task works on at a time (a longer document is worked on alone).
+SLICE_BYTES = 1 << 20
+#: Pieces, and bytes of them, that a worker remembers the ids of.
+CACHED, CACHED_BYTES = 200_000, 4 << 20
+#: Marks of pieces seen before, by hash: a piece is remembered when it comes again.
+SEEN = 1 << 21
+#: Pieces to a line that is encoded, and bytes of lines to a call: its results are objects many times their text.
+LINE, CALL_BYTES = 1024, 1 << 17
+#: Blocks that are decoded at a time.
+BLOCKS_AT_ONCE = 1024
 SHARD = "doc_id long, shard int, place long, before long, n_tokens long, words binary, block_starts array<int>"
 #: Two neighbouring blanks of any kind: there the cut at single spaces could fall inside a pre-token.
 _BLANKS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]{2}"
@@ -45,17 +58,29 @@ def tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of its own only add memory
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = found = Tokenizer.from_file(path)
-        found.encode_special_tokens = True  # their strings in a text are ordinary text
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
 def _ids_of(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids one behind the other and their counts."""
-    found = [np.array(e.ids, np.uint32) for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+    """Ids one behind the other and their counts; CALL_BYTES of text to a call."""
+    found: list[np.ndarray] = []
+    at, encode = 0, tokenizer(path).encode_batch_fast
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= CALL_BYTES):
+            size += len(texts[end])
+            end += 1
+        found += [np.array(e.ids, np.uint32) for e in encode(texts[at:end], add_special_tokens=False)]
+        at = end
     return np.concatenate([np.zeros(0, np.uint32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
 
+def _added(path: str) -> list[str]:
+    """The strings that the tokenizer takes out of a text before all else."""
+    return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
+
+
 def _begins_piece(path: str) -> np.ndarray:
     """For each id whether its token starts with a space."""
     if path not in _spaced:
@@ -66,23 +91,26 @@ def _begins_piece(path: str) -> np.ndarray:
 
 
 class _Pieces:
-    """Ids of pieces (without spaces) that each follow a space; the first CACHED of a worker are remembered.
+    """Ids of pieces (without spaces) that each follow a space; the first of a worker are remembered.
 
     Most are encoded as long lines of pieces; a token that starts with a space
     begins the next piece. Those that a blank begins or ends go one by one.
     """
 
     def __init__(self, path: str):
-        self.path, self.number = path, {}
+        self.path, self.number, self.held = path, {}, 0
+        self.seen = np.zeros(SEEN, bool)
         self.ids, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _encode(self, pieces: list[str], alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        joined, single = [x for x, a in zip(pieces, alone) if not a], np.flatnonzero(alone)
-        ids, _ = _ids_of([" " + " ".join(joined[k : k + 4096]) for k in range(0, len(joined), 4096)], self.path)
+        joined = list(compress(pieces, (~alone).tolist())) if alone.any() else pieces
+        ids, _ = _ids_of([" " + " ".join(joined[k : k + LINE]) for k in range(0, len(joined), LINE)], self.path)
         start = np.flatnonzero(_begins_piece(self.path)[ids])
         if len(start) != len(joined):
             raise ValueError("this tokenizer's pieces don't begin at its tokens with a space")
-        more, more_count = _ids_of([" " + pieces[i] for i in single], self.path)
+        if not alone.any():
+            return ids, np.diff(np.append(start, len(ids)))
+        more, more_count = _ids_of([" " + x for x in compress(pieces, alone.tolist())], self.path)
         # in the order of the pieces, those encoded alone put in between
         count = np.zeros(len(pieces), np.int64)
         count[~alone], count[alone] = np.diff(np.append(start, len(ids))), more_count
@@ -91,18 +119,23 @@ class _Pieces:
         return out, count
 
     def __call__(self, pieces: pa.Array, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and count and first place of each piece; of new pieces those ``often`` seen are remembered."""
+        """Ids, and count and first place of each piece; those that are not new to this worker, or ``often`` here, are remembered."""
         listed = pieces.to_pylist()
         known = self.number
-        at = np.array([known.get(x, -1) for x in listed], np.int64)
+        at = np.fromiter(map(known.get, listed, repeat(-1)), np.int64, len(listed))
         new = np.flatnonzero(at < 0)
+        fresh = list(compress(listed, (at < 0).tolist()))
         alone = pc.match_substring_regex(pieces.take(pa.array(new)), _BLANK_EDGE).to_numpy(zero_copy_only=False)
-        ids, count = self._encode([listed[i] for i in new], alone)
+        ids, count = self._encode(fresh, alone)
         at[new] = len(self.count) + np.arange(len(new))
         all_ids, all_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        if len(known) < CACHED:
-            keep = often[new]
-            known.update(zip((listed[i] for i in new[keep]), range(len(self.count), len(self.count) + int(keep.sum()))))
+        if len(known) < CACHED and self.held < CACHED_BYTES:
+            mark = np.fromiter(map(hash, fresh), np.int64, len(fresh)) & (SEEN - 1)
+            keep = often[new] | self.seen[mark]
+            self.seen[mark] = True
+            kept = list(compress(fresh, keep.tolist()))
+            self.held += sum(map(len, kept))
+            known.update(zip(kept, range(len(self.count), len(self.count) + len(kept))))
             self.ids, self.count = np.concatenate([self.ids, ids[np.repeat(keep, count)]]), np.concatenate([self.count, count[keep]])
         return all_ids, all_count[at], (np.cumsum(all_count) - all_count)[at]
 
@@ -112,10 +145,13 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
 
     A byte-level BPE vocabulary never joins across a single space between two
     other characters: the text is cut before those, and each distinct piece is
-    encoded once. Texts with neighbouring blanks are encoded whole.
+    encoded once. Texts with neighbouring blanks, or with the string of an added
+    token, are encoded whole.
     """
     texts = texts.cast(pa.large_string()).fill_null("")
     whole = pc.match_substring_regex(texts, _BLANKS).to_numpy(zero_copy_only=False)
+    for token in _added(path):
+        whole = whole | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
     parts = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
     pieces, per_text = parts.flatten(), np.diff(parts.offsets.to_numpy()).astype(np.int64)
     coded = pieces.dictionary_encode()
@@ -195,7 +231,8 @@ def _encoder(path: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write the token shards of ``docs`` (``doc_id``, ``text``) to the folder ``path``."""
     store.small_batches(docs.sparkSession)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]  # ids alone could not be split where many are equal or null
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
     ordered.mapInArrow(_encoder(tokenizer_path, end_id), SHARD).write.option("compression", "zstd").parquet(path)
 
 
@@ -208,12 +245,23 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows, all their ids, and where each row's begin: whole blocks by their offsets, a bounded number at a time."""
     for batch in _slices(batches, "words"):
-        count = batch.column("n_tokens").to_numpy()
-        ids = simple8b.decode(np.frombuffer(b"".join(batch.column("words").to_pylist()), "<u8"))
-        if len(ids) != count.sum():
-            raise ValueError("damaged shard: other ids than counted")
-        yield batch, ids, np.concatenate([[0], np.cumsum(count)])
+        count, starts = batch.column("n_tokens").to_numpy(), batch.column("block_starts")
+        words = np.frombuffer(b"".join(batch.column("words").to_pylist()), "<u8")
+        size = pc.divide(pc.binary_length(batch.column("words")), 8).to_numpy(zero_copy_only=False).astype(np.int64)
+        blocks = pc.list_value_length(starts).to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = starts.flatten().to_numpy().astype(np.int64) + np.repeat(np.cumsum(size) - size, blocks)
+        holds = simple8b.block_sizes(count, blocks)
+        parts = [np.zeros(0, np.uint64)]
+        for k in range(0, len(begin), BLOCKS_AT_ONCE):
+            mine = begin[k : k + BLOCKS_AT_ONCE]
+            end = begin[k + BLOCKS_AT_ONCE] if k + BLOCKS_AT_ONCE < len(begin) else len(words)
+            parts.append(simple8b.decode_blocks(words[mine[0] : end], mine - mine[0], holds[k : k + BLOCKS_AT_ONCE]).astype(np.uint32))
+        yield batch, np.concatenate(parts).astype(np.uint32), np.concatenate([[0], np.cumsum(count)])
+
+
+_CODED = ["doc_id", "start", "n_tokens", "words", "block_starts"]
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -224,7 +272,21 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int64)))
             yield pa.record_batch([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), lists], names=["doc_id", "start", "n_tokens", "ids"])
 
-    return read_shards(spark, path).select("doc_id", "start", "n_tokens", "words").mapInArrow(ids_of, "doc_id long, start long, n_tokens long, ids array<long>")
+    return read_shards(spark, path).select(*_CODED).mapInArrow(ids_of, "doc_id long, start long, n_tokens long, ids array<long>")
+
+
+def read_spans(spark: SparkSession, path: str, low: int, high: int) -> DataFrame:
+    """``doc_id, ids``: the ids number ``low`` to ``high`` (exclusive) of each document, from the blocks that hold them alone."""
+
+    def spans_of(batches):
+        for batch in batches:
+            rows = []
+            for words, starts, count in zip(batch.column("words").to_pylist(), batch.column("block_starts").to_pylist(), batch.column("n_tokens").to_pylist()):
+                coded = np.frombuffer(words, "<u8")
+                rows.append(simple8b.decode_span(coded, np.array(starts, np.int64), count, low, high).astype(np.int64))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    return spark.read.schema(SHARD).parquet(path).select("doc_id", "n_tokens", "words", "block_starts").mapInArrow(spans_of, "doc_id long, ids array<long>")
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -232,8 +294,8 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def digests_of(batches):
         for batch, ids, at in _decoded(batches):
-            data = ids.astype("<u4").tobytes()
+            data = memoryview(ids.astype("<u4")).cast("B")
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(at, at[1:])]
             yield pa.record_batch([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_shards(spark, path).select("doc_id", "start", "n_tokens", "words").mapInArrow(digests_of, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_shards(spark, path).select(*_CODED).mapInArrow(digests_of, "doc_id long, start long, n_tokens long, ids_crc32 long")
