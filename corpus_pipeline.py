@@ -5,14 +5,16 @@ Parquet and read back as the next one's documents. All but the last return the
 columns of documents:
 
 1. language: documents without a recognisable language go;
-2. near duplicates: of each group of near-duplicate documents that of the least id stays
-   (rows that repeat a doc_id are one document);
+2. near duplicates: of each group of near-duplicate documents that of the least id stays;
+   where an id repeats with other texts, each row is judged by its own text;
 3. decontamination: documents that hold a passage of the benchmark go;
 4. mixing: documents are dropped or repeated so that sources meet their weights;
 5. token ids: the encoded documents, in ascending id order.
 
-Rows with a null id pass the second stage, as nothing there could name them; a
-null source is one source, a null text has no language and goes in the first.
+Rows with a null id are documents like others and come after all ids; a null source
+is one source, a null text has no language and goes in the first. Rows that repeat
+whole are copies, of which one stays. An empty table gives an empty result, and
+further columns of any name pass through all but the last stage.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postlens.llm import decontaminate, language_id, mixing, ngram_join, store, token_output
 from postlens.llm.queries import END_ID, token_vocabulary
@@ -35,13 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.ngram_components(docs, n=5, near=75)
-    firsts = store.table(found.where("doc_id IS NULL OR doc_id = component_id").groupBy(F.col("doc_id").alias("_first")).agg(F.count("*").alias("_rows")), "firsts")
-    # the list of kept ids has no bound, so it is merged at every size and never broadcast
-    kept = docs.join(firsts.hint("shuffle_merge"), docs["doc_id"].eqNullSafe(firsts["_first"]), "left_semi")
-    if firsts.where("_first IS NOT NULL AND _rows > 1").limit(1).count():
-        kept = kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    return kept
+    return ngram_join.keep_one(docs, n=5, near=75)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
