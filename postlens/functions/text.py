@@ -18,6 +18,8 @@ BLANK = r"[\s\x1c-\x1f]"
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MISSING = "<missing>"
 CONTENT_FIELDS = ("title", "description", "requirements")
+#: Patterns of a rule table, which every task holds.
+MAX_RULES = 10_000
 
 
 def rx(pattern: str, flags: str = "") -> str:
@@ -85,6 +87,8 @@ def tags(text: Column, rules: Rules) -> Column:
 
 def tag_rows(rows: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     """The same with rules as a table ``name, pattern``: a row for each match."""
+    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules: each is held against every text")
     return rows.join(F.broadcast(rules), F.regexp_like(F.col(text), F.col("pattern")))
 
 

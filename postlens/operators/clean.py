@@ -86,7 +86,7 @@ def text_list(values: Column) -> Column:
 def in_scope(jobs: DataFrame, scope: DataFrame) -> DataFrame:
     """Postings of the scope's platforms (``platform, companies``), where a null company list allows all."""
     jobs = jobs.alias("j")
-    wanted = F.broadcast(scope).alias("s")
+    wanted = scope.alias("s")
     return jobs.join(wanted, (text_of(F.col("j.platform")) == F.col("s.platform")) & (F.col("s.companies").isNull() | F.array_contains("s.companies", text_of(F.col("j.company")))), "left_semi")
 
 

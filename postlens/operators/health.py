@@ -37,7 +37,7 @@ def context(manifest: DataFrame, jobs: DataFrame, job_count: DataFrame) -> DataF
     counts = jobs.groupBy("snapshot_date", "platform").agg(F.count("*").alias("rows"))
     totals = jobs.groupBy("snapshot_date").agg(F.count("*").alias("total"))
     day = job_count.join(totals, "snapshot_date", "left").select("snapshot_date", (~c("job_count").eqNullSafe(F.coalesce("total", F.lit(0)))).alias("total_differs"))
-    out = manifest.join(counts, ["snapshot_date", "platform"], "left").join(F.broadcast(day), "snapshot_date", "left")
+    out = manifest.join(counts, ["snapshot_date", "platform"], "left").join(day, "snapshot_date", "left")
     return out.withColumns({"rows": F.coalesce("rows", F.lit(0)), "total_differs": F.coalesce("total_differs", F.lit(True))})
 
 
@@ -106,7 +106,7 @@ def resolve_scopes(context_rows: DataFrame, jobs: DataFrame) -> DataFrame:
     keys = ["snapshot_date", "platform"]
     observed = jobs.where(c("platform").isin(*MANY_COMPANIES)).select(*keys, F.coalesce("company", F.lit("")).alias("company")).distinct().withColumn("_seen", F.lit(True))
     manifest = context_rows.withColumns({"known": F.lit(True), "failed": failed_companies(context_rows)})
-    rows = scopes(context_rows, jobs).join(F.broadcast(manifest), keys, "left").join(observed, [*keys, "company"], "left")
+    rows = scopes(context_rows, jobs).join(manifest, keys, "left").join(observed, [*keys, "company"], "left")
     attempted = F.coalesce("attempted_companies", F.array().cast("array<string>"))
     rows = rows.withColumn("observed", F.coalesce("_seen", F.lit(False)) | F.array_contains(attempted, c("company")))
     return _resolved(rows).select(*keys, "company", "presence_reliable", "content_reliable", "reason_codes", "detail_failed", "stopped_by", "detail_failed_job_ids")
@@ -117,7 +117,8 @@ def resolve_jobs(jobs: DataFrame, scope_health: DataFrame) -> DataFrame:
     many = c("platform").isin(*MANY_COMPANIES)
     keyed = jobs.withColumn("_scope", F.when(many, F.coalesce("company", F.lit(""))).otherwise(""))
     health = scope_health.select(c("snapshot_date").alias("_d"), c("platform").alias("_p"), c("company").alias("_c"), "presence_reliable", c("content_reliable").alias("_content"), c("reason_codes").alias("_codes"), "detail_failed", "stopped_by", "detail_failed_job_ids")
-    rows = keyed.join(F.broadcast(health), (keyed["snapshot_date"] == c("_d")) & (keyed["platform"] == c("_p")) & (keyed["_scope"] == c("_c")), "left")
+    # manifests hold lists of failed ids, so how large their side is the planner has to see for itself
+    rows = keyed.join(health, (keyed["snapshot_date"] == c("_d")) & (keyed["platform"] == c("_p")) & (keyed["_scope"] == c("_c")), "left")
     title, body, req = (text_of(c(k)) for k in ("title", "description", "requirements"))
     listed = F.coalesce(F.array_contains("detail_failed_job_ids", c("job_id")), F.lit(False))
     probable = ~listed & (title != "") & (body == "") & (req == "") & ((c("detail_failed") > 0) | (c("stopped_by") == "detail_errors"))
@@ -138,7 +139,7 @@ def tolerated_gaps(context_rows: DataFrame, resolved_jobs: DataFrame, max_failed
     keys = ["snapshot_date", "platform"]
     failed, total = c("detail_failed"), c("jobs_in_scope")
     ids = F.coalesce("detail_failed_job_ids", F.array().cast("array<string>"))
-    jobs = resolved_jobs.join(F.broadcast(context_rows.select(*keys, ids.alias("_ids"))), keys, "left")
+    jobs = resolved_jobs.join(context_rows.select(*keys, ids.alias("_ids")), keys, "left")
     mine = F.coalesce(F.array_contains("_ids", c("job_id")), F.lit(False))
     sums = jobs.groupBy(*keys).agg(F.count_distinct("job_id").alias("ids"), F.count_distinct(F.when(mine, c("job_id"))).alias("found"), F.bool_and("presence_reliable").alias("present"), F.bool_and(c("content_reliable") | mine).alias("whole"))
     counters = F.lit(True)

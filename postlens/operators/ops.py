@@ -94,7 +94,7 @@ def digest(columns: list[str]) -> Column:
 
 def outside_windows(jobs: DataFrame, windows: DataFrame) -> DataFrame:
     """Postings scraped outside their platform's collection (``platform, started_at, finished_at``)."""
-    w = F.broadcast(windows).alias("w")
+    w = windows.alias("w")
     inside = (c("j.platform") == c("w.platform")) & (c("j.scraped_at") >= c("w.started_at")) & (c("j.scraped_at") <= c("w.finished_at"))
     return jobs.alias("j").join(w, inside, "left_anti")
 

@@ -72,7 +72,7 @@ def migrated(cases: DataFrame, changes: DataFrame, fields: list[str]) -> DataFra
     changes: ``case_id, content_sha256`` and the new ``fields`` (null: unchanged). A change for another text is not applied.
     """
     new = changes.select("case_id", "content_sha256", *[c(f).alias(f"_{f}") for f in fields])
-    rows = cases.join(F.broadcast(new), ["case_id", "content_sha256"], "left")
+    rows = cases.join(new, ["case_id", "content_sha256"], "left")
     return rows.select(*[F.coalesce(f"_{f}", f).alias(f) if f in fields else c(f) for f in cases.columns])
 
 

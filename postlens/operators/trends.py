@@ -17,6 +17,11 @@ ADDITIVE = {"by_market_relevance": "market_relevance", "by_role_family": "role_f
 #: Keys that a snapshot shows even at 0.
 ALWAYS = {"by_market_relevance": ("core", "adjacent"), "by_career_pool": ("P1", "P2", "REF", "X")}
 FLOWS = {"NEW": "presence_flow", "REMOVED": "presence_flow", "REAPPEARED": "presence_flow", "UPDATED": "content_flow"}
+#: A company's counts, by the family that says where they can be compared.
+COMPANY_FIELDS = {
+    "inventory": ("active_jobs", "core", "adjacent", "P1"),
+    **{family: tuple(p + f"{k.lower()}_jobs" for k, f in FLOWS.items() if f == family for p in ("", "unknown_")) for family in ("presence_flow", "content_flow")},
+}
 
 
 def value_counts(rows: DataFrame, field: str) -> DataFrame:
@@ -94,23 +99,25 @@ def duplicate_events(events: DataFrame) -> DataFrame:
     return events.where(c("event_type").isin(*FLOWS)).groupBy("event_date", "platform", "job_id", "event_type").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def company_metrics(rows: DataFrame, flow: DataFrame) -> DataFrame:
-    """``company``, its active, core, adjacent and P1 postings, and its flows; companies of either side."""
-    held = rows.groupBy("company").agg(F.count("*").alias("active_jobs"), F.count_if(c("market_relevance") == "core").alias("core"), F.count_if(c("market_relevance") == "adjacent").alias("adjacent"), F.count_if(c("career_pool") == "P1").alias("P1"))
-    moved = flow.groupBy("company").agg(*[F.sum(F.when((c("event_type") == k) & (c("known") == known), c("n")).otherwise(0)).alias(("" if known else "unknown_") + f"{k.lower()}_jobs") for k in FLOWS for known in (True, False)])
-    both = held.join(moved, "company", "full_outer")
-    return both.select("company", *[F.coalesce(k, F.lit(0)).alias(k) for k in both.columns if k != "company"])
+def company_metrics(rows: DataFrame, flow: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``by, company``, its active, core, adjacent and P1 postings, and its flows; companies of either side."""
+    keys = [*(by or []), "company"]
+    held = rows.groupBy(*keys).agg(F.count("*").alias("active_jobs"), F.count_if(c("market_relevance") == "core").alias("core"), F.count_if(c("market_relevance") == "adjacent").alias("adjacent"), F.count_if(c("career_pool") == "P1").alias("P1"))
+    moved = flow.groupBy(*keys).agg(*[F.sum(F.when((c("event_type") == k) & (c("known") == known), c("n")).otherwise(0)).alias(("" if known else "unknown_") + f"{k.lower()}_jobs") for k in FLOWS for known in (True, False)])
+    both = held.join(moved, keys, "full_outer")
+    return both.select(*keys, *[F.coalesce(k, F.lit(0)).alias(k) for k in both.columns if k not in keys])
 
 
-def unknown_counts(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
-    """``platform, n``: postings without a trusted label, and failures that a manifest counts without naming them.
+def unknown_counts(manifest: DataFrame, jobs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``by, n``: postings without a trusted label, and failures that a manifest counts without naming them.
 
-    jobs: ``platform, content_reliable, unknown`` (no label, or one that says unknown).
+    jobs: ``by, content_reliable, unknown`` (no label, or one that says unknown); ``by``: platform, if nothing else is said.
     """
-    found = jobs.groupBy("platform").agg(F.count_if(~c("content_reliable")).alias("failures"), F.count_if(~c("content_reliable") & c("unknown")).alias("unknowns"))
-    both = manifest.select("platform", "detail_failed").join(found, "platform", "full_outer")
+    keys = by or ["platform"]
+    found = jobs.groupBy(*keys).agg(F.count_if(~c("content_reliable")).alias("failures"), F.count_if(~c("content_reliable") & c("unknown")).alias("unknowns"))
+    both = manifest.select(*keys, "detail_failed").join(found, keys, "full_outer")
     zero = lambda k: F.coalesce(k, F.lit(0))
-    return both.select("platform", (zero("unknowns") + F.greatest(zero("detail_failed") - zero("failures"), F.lit(0))).alias("n"))
+    return both.select(*keys, (zero("unknowns") + F.greatest(zero("detail_failed") - zero("failures"), F.lit(0))).alias("n"))
 
 
 def broken_snapshots(snapshot: DataFrame, by: tuple[str, ...] = ("snapshot_date", "platform")) -> DataFrame:
@@ -151,7 +158,7 @@ def compare(before: DataFrame, after: DataFrame, platforms: DataFrame) -> DataFr
 
     before, after: snapshots of one date: ``platform, dimension, key, n``. Keys of either whole snapshot appear.
     """
-    sums = lambda df, name: df.join(F.broadcast(platforms), "platform", "left_semi").groupBy("dimension", "key").agg(F.sum("n").alias(name))
+    sums = lambda df, name: df.join(platforms, "platform", "left_semi").groupBy("dimension", "key").agg(F.sum("n").alias(name))
     keys = before.select("dimension", "key").union(after.select("dimension", "key")).distinct()
     valid = F.lit(platforms.limit(1).count() > 0)
     both = keys.join(sums(before, "a"), ["dimension", "key"], "left").join(sums(after, "b"), ["dimension", "key"], "left")
@@ -194,12 +201,13 @@ def window_labels(classified: DataFrame, events: DataFrame, dates: DataFrame) ->
     """
     keys = ["platform", "job_id"]
     told = events.where(c("event_type").isin("MISSING", "REMOVED")).select(c("event_date").alias("snapshot_date"), *keys, F.lit(True).alias("_told")).distinct()
-    first = classified.groupBy(*keys).agg(F.min("snapshot_date").alias("_first"))
-    grid = first.join(F.broadcast(dates.select("snapshot_date").distinct()), c("snapshot_date") >= c("_first")).drop("_first")
-    rows = grid.join(classified, ["snapshot_date", *keys], "left").join(told, ["snapshot_date", *keys], "left")
-    upto = Window.partitionBy(*keys).orderBy("snapshot_date")
-    rows = rows.withColumn("_life", F.sum((c("reliable").isNull() & c("_told").isNull()).cast("int")).over(upto))
-    life = Window.partitionBy(*keys, "_life").orderBy("snapshot_date")
+    numbered = dates.select("snapshot_date").distinct().withColumn("_n", F.row_number().over(Window.orderBy("snapshot_date")))  # a row a date
+    # a posting's days that keep a label are those of either table; a gap between them is a day that ends it
+    rows = classified.join(told, ["snapshot_date", *keys], "full_outer").join(numbered, "snapshot_date")
+    upto = Window.partitionBy(*keys).orderBy("_n")
+    rows = rows.withColumn("_gap", F.coalesce(c("_n") - F.lag("_n").over(upto) > 1, F.lit(False)).cast("int"))
+    rows = rows.withColumn("_life", F.sum("_gap").over(upto))
+    life = Window.partitionBy(*keys, "_life").orderBy("_n")
     label = F.last(F.when(c("reliable"), c("label")), ignorenulls=True).over(life)
     return rows.select("snapshot_date", *keys, label.alias("label")).where("label IS NOT NULL")
 
@@ -236,20 +244,18 @@ def tag_changes(current: DataFrame, baseline: DataFrame, comparable: bool, tags:
     return rows.select("tag", "mentions", "mention_share", "companies", "change", "share_change", "companies_change", rising.alias("rising"))
 
 
-def gate_events(events: DataFrame, labels: DataFrame, postings: DataFrame) -> DataFrame:
-    """Adds ``flow``: counted, unknown, or why a day's event is not counted.
+def flow_of() -> Column:
+    """What becomes of an event: counted, unknown, diagnostic, out_of_scope, or why it is not counted.
 
-    labels: ``platform, job_id, version_ok, status, content_sha256`` as of the day;
-    postings: ``platform, job_id, out_of_scope, presence_reliable, content_reliable``.
+    Reads ``event_type, event_status, previous_sha256, current_sha256``, the label as of the event's day (``status``,
+    null without one, ``version_ok, content_sha256``) and ``out_of_scope, presence_reliable, content_reliable``.
     An UPDATED event counts for a fresh row only, whose text is the event's and another than before.
     """
-    keys = ["platform", "job_id"]
-    rows = events.join(labels, keys, "left").join(postings, keys, "left")
     content = c("event_type") == "UPDATED"
     trusted = F.coalesce(F.when(content, c("content_reliable")).otherwise(c("presence_reliable")), F.lit(False))
     changed = (c("previous_sha256") != c("current_sha256")) & (c("current_sha256") == c("content_sha256"))
     whole = ~content | ((c("status") == "fresh") & F.coalesce(changed, F.lit(False)))
-    flow = (
+    return (
         F.when((c("event_status") != "confirmed") | ~c("event_type").isin(*FLOWS), "diagnostic")
         .when(c("status").isNull() & F.coalesce("out_of_scope", F.lit(False)), "out_of_scope")
         .when(c("status").isNull() & trusted, "unknown")
@@ -258,17 +264,29 @@ def gate_events(events: DataFrame, labels: DataFrame, postings: DataFrame) -> Da
         .when(~trusted | ~whole, "UNRELIABLE_CANONICAL_EVENT_EXCLUDED")
         .otherwise("counted")
     )
-    return rows.select(*[events[k] for k in events.columns], flow.alias("flow"))
 
 
-def family_reliability(scopes: DataFrame, gated: DataFrame) -> DataFrame:
-    """``platform, family, reliable, reason_codes`` from scope health and what gating excluded."""
-    none = F.array().cast("array<string>")
-    each = scopes.groupBy("platform").agg(F.bool_and("presence_reliable").alias("p"), F.bool_and("content_reliable").alias("t"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(~c("presence_reliable"), c("reason_codes")))))).alias("codes"))
+def gate_events(events: DataFrame, labels: DataFrame, postings: DataFrame) -> DataFrame:
+    """One day's events with ``flow``.
+
+    labels: ``platform, job_id, version_ok, status, content_sha256`` as of the day;
+    postings: ``platform, job_id, out_of_scope, presence_reliable, content_reliable``.
+    """
+    keys = ["platform", "job_id"]
+    rows = events.join(labels, keys, "left").join(postings, keys, "left")
+    return rows.select(*[events[k] for k in events.columns], flow_of().alias("flow"))
+
+
+def family_reliability(scopes: DataFrame, gated: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``by, family, reliable, reason_codes`` from scope health and what gating excluded; ``by``: platform, if nothing else is said."""
+    keys, none = by or ["platform"], F.array().cast("array<string>")
+    each = scopes.groupBy(*keys).agg(F.bool_and("presence_reliable").alias("p"), F.bool_and("content_reliable").alias("t"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(~c("presence_reliable"), c("reason_codes")))))).alias("codes"))
     listed = F.when(~c("p"), F.array_union(F.array(F.lit("SOURCE_PRESENCE_UNRELIABLE")), "codes")).otherwise(none)
     texts = F.when(~c("t"), F.array(F.lit("SOURCE_CONTENT_UNRELIABLE"))).otherwise(none)
-    by_family = each.select("platform", F.explode(F.array(*[F.struct(F.lit(f).alias("family"), r.alias("codes")) for f, r in (("inventory", listed), ("presence_flow", listed), ("content_flow", texts))])).alias("x")).select("platform", "x.*")
+    by_family = each.select(*keys, F.explode(F.array(*[F.struct(F.lit(f).alias("family"), r.alias("codes")) for f, r in (("inventory", listed), ("presence_flow", listed), ("content_flow", texts))])).alias("x")).select(*keys, "x.*")
     family = F.when(c("event_type") == "UPDATED", "content_flow").otherwise("presence_flow")
-    cut = gated.where(c("flow").isin("UNRELIABLE_CANONICAL_EVENT_EXCLUDED", "CLASSIFIER_VERSION_MISMATCH")).groupBy("platform", family.alias("family")).agg(F.collect_set("flow").alias("more"))
-    rows = by_family.join(cut, ["platform", "family"], "left")
-    return rows.select("platform", "family", F.array_sort(F.array_union("codes", F.coalesce("more", none))).alias("reason_codes")).withColumn("reliable", F.size("reason_codes") == 0)
+    excluded = gated.where(c("flow").isin("UNRELIABLE_CANONICAL_EVENT_EXCLUDED", "CLASSIFIER_VERSION_MISMATCH"))
+    codes = F.when(c("flow") == "CLASSIFIER_VERSION_MISMATCH", F.array(c("flow"), F.lit("REPLAY_REQUIRED"))).otherwise(F.array("flow"))
+    cut = excluded.groupBy(*keys, family.alias("family")).agg(F.array_distinct(F.flatten(F.collect_set(codes))).alias("more"))
+    rows = by_family.join(cut, [*keys, "family"], "left")
+    return rows.select(*keys, "family", F.array_sort(F.array_union("codes", F.coalesce("more", none))).alias("reason_codes")).withColumn("reliable", F.size("reason_codes") == 0)

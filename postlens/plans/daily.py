@@ -44,7 +44,7 @@ def audit_day(raw: DataFrame, manifest: DataFrame, job_count: int | None, enums:
 
 def candidate_report(classified: DataFrame, jobs: DataFrame) -> dict[str, DataFrame]:
     """The day's candidates by pool and company, grouped by text; problems of the link between rows and postings first."""
-    found = report.candidates(classified.drop("company", "title", "url", "city_norm"), jobs).persist()
+    found = report.candidates(classified.drop("company", "title", "url", "city_norm"), jobs)
     chosen = found.where(F.col("career_pool").isin("P1", "P2"))
     return {
         "problems": report.link_problems(classified, jobs),
@@ -56,13 +56,13 @@ def candidate_report(classified: DataFrame, jobs: DataFrame) -> dict[str, DataFr
 
 
 def explore(jobs: DataFrame, scope: DataFrame) -> dict[str, DataFrame]:
-    """Selection and exclusion of unclassified postings, with rankings."""
+    """Selection and exclusion of unclassified postings, with rankings; ``labels`` is kept in memory until it is unpersisted."""
     keys = clean.in_scope(jobs, scope).select("platform", "job_id").distinct().withColumn("_in", F.lit(True))
     # labels are wide expressions that four results read: kept once
-    rows = classify.add_skills(classify.add_fit(jobs.join(keys, ["platform", "job_id"], "left"))).persist()
-    rows = classify.explain(rows, F.coalesce("_in", F.lit(False))).drop("_in")
+    labels = classify.add_skills(classify.add_fit(jobs.join(keys, ["platform", "job_id"], "left"))).persist()
+    rows = classify.explain(labels, F.coalesce("_in", F.lit(False))).drop("_in")
     chosen = rows.where("selected")
-    return {"selected": chosen, "excluded": report.exclusion_breakdown(rows.where("exclusion_codes IS NOT NULL")), "skills": report.ranking(chosen, "skill_tags", order="job_id"), "counters": report.counters(rows)}
+    return {"selected": chosen, "excluded": report.exclusion_breakdown(rows.where("exclusion_codes IS NOT NULL")), "skills": report.ranking(chosen, "skill_tags", order="job_id"), "counters": report.counters(rows), "labels": labels}
 
 
 def daily_health(run: DataFrame, sources: DataFrame, limitations: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:

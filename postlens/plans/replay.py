@@ -1,6 +1,6 @@
 """The whole analysis over stored days, as one set of DataFrames.
 
-Each step is lazy; what several steps read is kept by ``persist``. Days are a column, not a loop: health, labels, events and
+Each step is lazy; what several steps read is kept by ``persist`` until ``Replay.release``. Days are a column, not a loop: health, labels, events and
 snapshots of all days come out of one plan each.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_sha256
 from ..operators import classify, clean, health, lifecycle, trends
+from . import trend
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,12 @@ class Replay:
     classified: DataFrame
     events: DataFrame
     snapshots: DataFrame
+    trend: trend.Trend
+
+    def release(self) -> None:
+        """Give up what ``replay`` keeps in memory and on disk."""
+        self.postings.unpersist()
+        self.classified.unpersist()
 
 
 def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(), confirmation_runs: int = 2) -> Replay:
@@ -43,7 +50,13 @@ def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(
     days = scopes.join(day.select("snapshot_date", "cities"), "snapshot_date").select("snapshot_date", "platform", F.when(many, F.col("company")).alias("company"), "presence_reliable", "cities", "reason_codes")
     events = lifecycle.lifecycle(presence, days, confirmation_runs)
     counted = classified.where(F.col("in_scope") & trends.usable(F.col("classification_status"), F.col("reason_codes.market"), F.col("career_pool")))
-    return Replay(postings, scopes, classified, events, trends.inventory(counted))
+    now = F.struct(F.lit(versions.market).alias("market"), F.lit(versions.fit).alias("fit"), F.lit(versions.skills).alias("skills"))
+    return Replay(postings, scopes, classified, events, trends.inventory(counted), trend.trend(postings, classified, events, scopes, manifests, now))
+
+
+def compare_snapshots(found: Replay, before: str, after: str) -> dict[str, DataFrame]:
+    """The whole comparison of two days: platforms and reasons, inventory, flows and companies."""
+    return trend.compare(found.trend, found.scope_health, before, after)
 
 
 def compare_days(found: Replay, before: str, after: str) -> DataFrame:

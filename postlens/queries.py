@@ -495,3 +495,6 @@ def experience_evidence(spark, sf_dir):
 def posting_labels(spark, sf_dir):
     rows = classify.add_skills(classify.add_fit(classify.add_market(postings(spark, sf_dir))))
     return rows.select("job_id", "market.in_scope", "fit.career_pool", F.array_join("fit.reason_codes", ",").alias("fit_reasons"), F.array_join("skill_tags", ",").alias("skills"))
+
+
+from . import queries_trend  # noqa: E402,F401  further queries of the same tables
