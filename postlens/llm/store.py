@@ -10,10 +10,13 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Where each working table lies, so that deleting it asks for no list of its files.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def root(spark: SparkSession) -> str:
@@ -38,22 +41,32 @@ def write(df: DataFrame, name: str) -> str:
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage."""
-    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
+    path = write(df, name)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def again(df: DataFrame) -> DataFrame:
+    """The same working table read afresh, for plans that hold it twice."""
+    out = df.sparkSession.read.schema(df.schema).parquet(_paths[df])
+    _paths[out] = _paths[df]
+    return out
 
 
 def drop(spark: SparkSession, *frames_or_paths) -> None:
-    """Delete working tables that no later step reads."""
+    """Delete working tables (frames that ``table`` gave, or paths) that no later step reads."""
     for x in frames_or_paths:
-        for path in [x] if isinstance(x, str) else {f.rsplit("/", 1)[0] for f in x.inputFiles()}:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        p = spark._jvm.org.apache.hadoop.fs.Path(x if isinstance(x, str) else _paths[x])
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of steps that are over.
 
     The cleaner acts when the driver's garbage collector finds their handles
-    unreachable, which on a quiet driver can take half an hour.
+    unreachable, which on a quiet driver can take half an hour: as long the disk
+    would hold every exchange of a job. Called a few times a job, between its steps.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -10,6 +10,10 @@ Reading parses archives by Content-Length, so payloads may hold anything; gzip
 files of one or many members and plain files are read alike. ``assemble`` joins
 the records of a capture through the concurrent-to identifiers into one row.
 
+An archive is read by one task as a whole, so its size is bounded by bytes: about
+ARCHIVE_BYTES of payloads, whatever their mean; payloads over LARGE_BYTES go to
+archives of their own, of few records. A payload has to fit one value of Spark (2 GB).
+
 Edge cases: a null payload is empty; a null or multi-line URL is written on one
 line; repeated page rows are captures of their own (none revisits the other, as
 both have the largest page_id); null page ids count as the smallest; captures
@@ -33,8 +37,10 @@ from . import store
 
 #: Payloads under so many bytes are always written in full.
 LEAST_REVISIT_BYTES = 1000
-#: Bounds an archive's size, which one task reads.
-RECORDS_PER_FILE = 12_000
+#: Payload bytes of an archive, and pages of one at most.
+ARCHIVE_BYTES, ARCHIVE_PAGES = 64 << 20, 4000
+#: Longer payloads get archives of their own: among the rest none can make an archive much larger than the mean says.
+LARGE_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORD = "record_id string, warc_type string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload_bytes long, fields string"
@@ -65,11 +71,12 @@ def write_archives(pages: DataFrame, path: str) -> None:
     """Write the captures of ``pages`` (``page_id, url, html``) as archives in the folder ``path``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
+    mean, most = pages.agg(F.avg("size"), F.max("size")).first()
     repeated = pages.where(F.col("size") >= LEAST_REVISIT_BYTES).groupBy("digest", "size").agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = pages.join(repeated, ["digest", "size"], "left")
+    paged = pages.join(repeated, ["digest", "size"], "left")
     name = lambda page: _uuid(F.concat_ws(":", F.lit("payload"), F.coalesce(page.cast("string"), F.lit("")), "digest"))
     revisit = F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(F.col("page_id"))
-    rows = rows.select(
+    columns = lambda: [  # noqa: E731  made anew for each job: ids drawn from one seed would come again
         "page_id",
         F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7F]", "%20").alias("uri"),
         revisit.alias("revisit"),
@@ -78,7 +85,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
         _uuid(F.uuid()).alias("request_id"),  # one for each row, so that repeated rows stay apart
         "digest",
         "html",
-    )
+    ]
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit("\r\n"))
     with_request = line("WARC-Concurrent-To", F.col("request_id"))
     digest = line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest"))
@@ -95,8 +102,17 @@ def write_archives(pages: DataFrame, path: str) -> None:
     )
     fields = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\r\n"))
     metadata = _record(F.lit("metadata"), _uuid(F.concat(F.lit("metadata"), "request_id")), uri, fields, "application/warc-fields", with_request)
-    records = rows.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+
+    def write(some: DataFrame, each: float, mode: str) -> None:
+        count = 3 * max(1, min(ARCHIVE_PAGES, int(ARCHIVE_BYTES / max(1.0, each))))
+        records = some.select(*columns()).select(F.explode(F.array(request, response, metadata)).alias("value"))
+        records.write.mode(mode).option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", count).text(path)
+
+    if (most or 0) <= LARGE_BYTES:
+        write(paged, mean or 0.0, "errorifexists")
+    else:
+        write(paged.where(F.col("size") <= LARGE_BYTES), mean, "errorifexists")
+        write(paged.where(F.col("size") > LARGE_BYTES), most, "append")
 
 
 def _records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
