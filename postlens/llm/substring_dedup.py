@@ -18,8 +18,10 @@ every later copy is removed whole.
 Edge cases: a null text has no words; texts shorter than a window keep all
 words; windows that repeat inside a document keep their first occurrence; rows of one
 doc_id stand side by side, neither being earlier than the other; null ids come
-after all others; an empty table gives an empty result. Only ``doc_id`` and
-``text`` are read, whatever other columns there are.
+after all others, side by side too. Rows are told apart by id and a hash of their
+text, so those of one id, or of none, are as many keys as they have texts. An empty
+table gives an empty result. Only ``doc_id`` and ``text`` are read, whatever other
+columns there are.
 """
 
 from __future__ import annotations
@@ -39,10 +41,13 @@ FLUSH = 1_000_000
 #: Bits of the anchors' hashes that are sent; the windows' own are sent whole.
 HASH_BITS = 48
 LAST = (1 << 63) - 1
-#: Rows of a level: entries to compare, the same of keys that their task has seen twice, a flush's documents, an answer, a document.
-ENTRIES, REPEATED, DOCUMENTS, ANSWER, PROFILE = range(5)
-DEALT = "kind int, bucket int, flush long, blob binary, doc long, n_words long, fp long, check long"
-_TYPES = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("flush", pa.int64()), ("blob", pa.binary()), ("doc", pa.int64()), ("n_words", pa.int64()), ("fp", pa.int64()), ("check", pa.int64())])
+#: Entries that a hash bucket is meant for (it is in memory as a whole), and bytes of text to an entry: every eighth word or so is an anchor.
+BUCKET_ENTRIES, ENTRY_BYTES = 2_000_000, 40
+#: Rows of a level: entries to compare, the same of keys that their task has seen twice, a flush's documents, an answer that the task has,
+#: entries that share the answer to another of the same key and doc_id, a document, a bucket's answer.
+ENTRIES, REPEATED, DOCUMENTS, ANSWER, TIED, PROFILE, TOLD = range(7)
+DEALT = "kind int, bucket int, flush long, blob binary, doc long, mark long, n_words long, fp long, check long"
+_TYPES = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("flush", pa.int64()), ("blob", pa.binary()), ("doc", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("fp", pa.int64()), ("check", pa.int64())])
 
 
 def levels(window: int) -> tuple[int, ...]:
@@ -87,10 +92,10 @@ def _distinct(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner, key
 
 
-def _lists(owner: np.ndarray, key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """A document and its keys for each owner; owners are in order."""
+def _lists(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Each owner that there is, and its keys; owners are in order."""
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-    return who[owner[first]], pa.ListArray.from_arrays(pa.array(np.append(first, len(key)).astype(np.int32)), pa.array(key.astype(np.int64)))
+    return owner[first], pa.ListArray.from_arrays(pa.array(np.append(first, len(key)).astype(np.int32)), pa.array(key.astype(np.int64)))
 
 
 class _Sender:
@@ -99,10 +104,11 @@ class _Sender:
     def __init__(self, buckets: int, last: bool, flush: int | None = None):
         self.buckets, self.last = buckets, last
         self.flush = TaskContext.get().partitionId() << 24 if flush is None else flush
-        self.who, self.owner, self.key, self.docs, self.held = [], [], [], 0, 0
+        self.who, self.mark, self.owner, self.key, self.docs, self.held = [], [], [], [], 0, 0
 
-    def add(self, who: np.ndarray, owner: np.ndarray, key: np.ndarray) -> bool:
+    def add(self, who: np.ndarray, mark: np.ndarray, owner: np.ndarray, key: np.ndarray) -> bool:
         self.who.append(who)
+        self.mark.append(mark)
         self.owner.append(owner + self.docs)
         self.key.append(key)
         self.docs += len(who)
@@ -112,7 +118,7 @@ class _Sender:
     def send(self) -> Iterator[pa.RecordBatch]:
         if not self.held:
             return
-        flush, who = self.flush, np.concatenate(self.who)
+        flush, who, mark = self.flush, np.concatenate(self.who), np.concatenate(self.mark)
         owner, key = np.concatenate(self.owner), np.concatenate(self.key)
         self.__init__(self.buckets, self.last, flush + 1)
         order = np.lexsort((who[owner], key))
@@ -121,13 +127,15 @@ class _Sender:
         first[1:] = key[1:] != key[:-1]
         begin, number = np.flatnonzero(first), np.cumsum(first) - 1
         repeated = (np.diff(np.append(begin, len(key))) > 1)[number]
-        settled = who[owner] > who[owner][begin][number] if self.last else repeated
-        rows = [(DOCUMENTS, None, who.astype("<i8").tobytes()), (ANSWER, None, packed.pack_answer(key[settled], owner[settled]))]
+        later = who[owner] > who[owner][begin][number]
+        settled = later if self.last else repeated
+        tied = ~(later | first) if self.last else np.zeros(len(key), bool)
+        rows = [(DOCUMENTS, None, who.astype("<i8").tobytes() + mark.astype("<i8").tobytes()), (TIED, None, packed.pack_answer(key[tied], owner[tied])), (ANSWER, None, packed.pack_answer(key[settled], owner[settled]))]
         for kind, flag in ((ENTRIES, False), (REPEATED, True)):
             sent = first & (repeated == flag)
             rows += [(kind, b, blob) for b, blob in packed.pack_keys(key[sent], owner[sent], who[owner[sent]] if self.last else None, self.buckets, _bits(self.last))]
         n = len(rows)
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([flush] * n, pa.int64()), pa.array([r[2] for r in rows], pa.binary()), *[pa.nulls(n, pa.int64())] * 4], schema=_TYPES)
+        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([flush] * n, pa.int64()), pa.array([r[2] for r in rows], pa.binary()), *[pa.nulls(n, pa.int64())] * 5], schema=_TYPES)
 
 
 def _bits(last: bool) -> int:
@@ -141,20 +149,22 @@ def _first_level(window: int, buckets: int, seed: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sender, seen = Hasher(seed, lower=False), _Sender(buckets, last=False), {}
         for batch in batches:
-            docs = batch.column("doc").to_numpy()
+            docs, marks = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
             for t in chunks(batch.column("text"), hasher):
-                who = docs[t.rows].copy()
+                who, mark = docs[t.rows].copy(), marks[t.rows].copy()
                 fp, check = (hasher.whole(t.word, t.at, salt).view(np.int64) for salt in (1, 2))
                 n = len(who)
-                yield pa.record_batch([pa.array(np.full(n, PROFILE, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(docs[t.rows]), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
+                yield pa.record_batch([pa.array(np.full(n, PROFILE, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(docs[t.rows]), pa.array(marks[t.rows]), pa.array(np.diff(t.at)), pa.array(fp), pa.array(check)], schema=_TYPES)
                 new = np.ones(n, bool)
-                for i, x in enumerate(fp.tolist()):  # copies of one flush are one entry, of their least document
-                    held, k = seen.setdefault(x, (who, i))
-                    if held is not who or k != i:
-                        new[i], held[k] = False, min(held[k], who[i])
+                for i, x in enumerate(fp.tolist()):  # copies of one flush are one entry, of their least document; rows of one id stay apart
+                    held, held_mark, k = seen.setdefault(x, (who, mark, i))
+                    if (held is not who or k != i) and (held[k] != who[i] or held_mark[k] == mark[i]):
+                        new[i] = False
+                        if who[i] < held[k]:
+                            held[k], held_mark[k] = who[i], mark[i]
                 place, owner = _places(t, window)
                 place, owner = place[new[owner]], owner[new[owner]]
-                if sender.add(who, *_distinct(owner, anchors(t.word, hasher, run, window)[place])):
+                if sender.add(who, mark, *_distinct(owner, anchors(t.word, hasher, run, window)[place])):
                     yield from sender.send()
                     seen = {}
         yield from sender.send()
@@ -169,12 +179,12 @@ def _next_level(window: int, level: int, buckets: int, seed: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sender = Hasher(seed, lower=False), _Sender(buckets, last=level == len(runs) - 1)
         for batch in batches:
-            docs, kept = batch.column("doc").to_numpy(), batch.column("keys")
+            docs, marks, kept = batch.column("doc").to_numpy(), batch.column("mark").to_numpy(), batch.column("keys")
             for t in chunks(batch.column("text"), hasher):
                 place, owner = _places(t, window)
                 open_ = _member(anchors(t.word, hasher, runs[level - 1], window)[place], owner, kept.slice(int(t.rows[0]), len(t.rows)))
                 place, owner = place[open_], owner[open_]
-                if sender.add(docs[t.rows], *_distinct(owner, anchors(t.word, hasher, runs[level], window)[place])):
+                if sender.add(docs[t.rows], marks[t.rows], *_distinct(owner, anchors(t.word, hasher, runs[level], window)[place])):
                     yield from sender.send()
         yield from sender.send()
 
@@ -213,7 +223,7 @@ def _settle(last: bool, buckets: int):
         by_part = np.argsort(part, kind="stable")
         parts, at = np.unique(part[by_part], return_index=True)
         answers = [packed.pack_answer(key[x], entry[x]) for x in np.split(by_part, at[1:])] if len(parts) else []
-        return pa.table({"flush": flush[parts], "kind": np.full(len(parts), ANSWER, np.int32), "blob": pa.array(answers, pa.binary())})
+        return pa.table({"flush": flush[parts], "kind": np.full(len(parts), TOLD, np.int32), "blob": pa.array(answers, pa.binary())})
 
     return settle
 
@@ -222,18 +232,22 @@ def _answers(group: pa.Table) -> pa.Table:
     """A flush's documents with their keys."""
     kind = group.column("kind").to_numpy()
     of = lambda k: group.column("blob").filter(pa.array(kind == k)).to_pylist()
-    who = np.frombuffer(of(DOCUMENTS)[0], "<i8")
-    key, entry = packed.unpack_answers(of(ANSWER))
-    doc, keys = _lists(*_distinct(entry, key), who)
-    return pa.table({"doc": doc, "keys": keys})
+    who, mark = np.frombuffer(of(DOCUMENTS)[0], "<i8").reshape(2, -1)
+    key, entry = packed.unpack_answers(of(ANSWER) + of(TOLD))
+    tied, with_ = packed.unpack_answers(of(TIED))
+    also = np.isin(tied, packed.unpack_answers(of(TOLD))[0]) if len(tied) else np.zeros(0, bool)
+    owner, key = np.concatenate([entry, with_[also]]), np.concatenate([key, tied[also]])
+    order = np.argsort(owner, kind="stable")
+    owner, keys = _lists(*_distinct(owner[order], key[order]))
+    return pa.table({"doc": who[owner], "mark": mark[owner], "keys": keys})
 
 
 def _survivors(dealt: DataFrame, last: bool, buckets: int) -> DataFrame:
-    """``doc, keys``, a row a document of each flush."""
+    """``doc, mark, keys``, a row a document of each flush."""
     entries = dealt.where(F.col("kind").isin(ENTRIES, REPEATED)).select("bucket", "flush", "kind", "blob")
     told = entries.groupBy("bucket").applyInArrow(_settle(last, buckets), "flush long, kind int, blob binary")
-    rows = told.union(dealt.where(F.col("kind").isin(DOCUMENTS, ANSWER)).select("flush", "kind", "blob"))
-    return rows.groupBy("flush").applyInArrow(_answers, "doc long, keys array<long>")
+    rows = told.union(dealt.where(F.col("kind").isin(DOCUMENTS, ANSWER, TIED)).select("flush", "kind", "blob"))
+    return rows.groupBy("flush").applyInArrow(_answers, "doc long, mark long, keys array<long>")
 
 
 def _finish(window: int, seed: int):
@@ -285,29 +299,32 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
     spark = docs.sparkSession
     store.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
-    buckets = packed.buckets_for(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # no row is named by its id alone: ids may be null, or repeat, in any number of rows
+    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = packed.buckets_for(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (ENTRY_BYTES * BUCKET_ENTRIES))))
     first = store.table(keyed.mapInArrow(_first_level(window, buckets, seed), DEALT), "level")
-    profile = first.where(F.col("kind") == PROFILE).select("doc", "n_words", "fp", "check")
-    prints = profile.groupBy("fp").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))
+    profile = first.where(F.col("kind") == PROFILE).select("doc", "mark", "n_words", "fp", "check")
+    prints = profile.groupBy("fp").agg(F.min(F.struct("doc", "mark")).alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))
     prints = store.table(prints, "prints")
     if prints.where("clash").limit(1).count():  # two sequences, one fingerprint: 1 in 2**64 for a pair
         return remove_repeats(docs, window, seed + 1)
-    copies = profile.join(prints.where("copies > 1").select("fp", "first"), "fp").where(F.col("doc") > F.col("first")).select("doc", "fp")
-    originals = prints.select(F.col("first").alias("doc")).distinct()
-    dealt, runs = first, levels(window)
+    several = profile.join(prints.where("copies > 1").select("fp", "first"), "fp")
+    copies = several.where(F.col("doc") > F.col("first.doc")).select("doc", "mark", "fp").distinct()
+    originals = prints.where("copies = 1").select("first.doc", "first.mark").union(several.where(F.col("doc") == F.col("first.doc")).select("doc", "mark").distinct())
+    dealt, runs, row = first, levels(window), ["doc", "mark"]
     for level in range(1, len(runs)):
-        open_ = _survivors(dealt, False, buckets).groupBy("doc").agg(F.flatten(F.collect_list("keys")).alias("keys")).join(originals, "doc", "left_semi")
-        joined = keyed.join(open_, "doc")
+        open_ = _survivors(dealt, False, buckets).groupBy(*row).agg(F.flatten(F.collect_list("keys")).alias("keys")).join(originals, row, "left_semi")
+        joined = keyed.join(open_, row)
         new = store.table(joined.mapInArrow(_next_level(window, level, buckets, seed), DEALT), "level")
         if level > 1:
             store.drop(spark, dealt)
         dealt = new
         store.release(spark)
     none = F.array().cast("array<long>")
-    marks = _survivors(dealt, True, buckets).select("doc", none.alias("fp"), "keys").union(copies.select("doc", F.array("fp"), none))
-    marks = store.table(marks.groupBy("doc").agg(F.flatten(F.collect_list("keys")).alias("keys"), F.flatten(F.collect_list("fp")).alias("copies")), "marks")
+    marks = _survivors(dealt, True, buckets).select(*row, none.alias("fp"), "keys").union(copies.select(*row, F.array("fp"), none))
+    marks = store.table(marks.groupBy(*row).agg(F.flatten(F.collect_list("keys")).alias("keys"), F.flatten(F.collect_list("fp")).alias("copies")), "marks")
     store.drop(spark, dealt)
     store.release(spark)
-    final = docs.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).join(marks, "doc", "left").select("doc_id", "text", "keys", "copies")
+    final = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "mark": F.xxhash64("text")}).join(marks, row, "left").select("doc_id", "text", "keys", "copies")
     return final.mapInArrow(_finish(window, seed), "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start: long, end: long>>")
