@@ -158,7 +158,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = language_id.train(language_id.training_rows(docs))
-    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +168,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document; a document's path is its source."""
-    model = secrets.train(secrets.example_findings(spark))
-    return secrets.scan(_read(spark, sf_dir, "documents"), model, path="source")
+    words = token_vocabulary()
+    model = secrets.train(secrets.example_findings(spark), vocabulary=words)
+    return secrets.scan(_read(spark, sf_dir, "documents"), model, path="source", vocabulary=words)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
