@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clauses, content_sha256, has, matched_terms, rx, segments, tags, text_of
-from .ontology import EVIDENCE, EXCLUSION_LABELS, EXCLUSION_ORDER, FIT, MARKET, NON_QA_ROLES, SECURITY_TECHNIQUES, SKILLS
+from .ontology import EVIDENCE, EXCLUSION_LABELS, EXCLUSION_ORDER, FIT, MARKET, MARKET_CASES, NON_QA_ROLES, SECURITY_TECHNIQUES, SKILLS
 
 c = F.col
 UNKNOWN = "CONTENT_CLASSIFICATION_UNKNOWN"
@@ -210,70 +210,69 @@ def add_market(jobs: DataFrame) -> DataFrame:
     duties = c("_duties")
     jobs = jobs.withColumn("_owned", F.filter(duties, owned))
     own = lambda rule: F.filter("_owned", lambda s: market(s, rule))
-    mixed = said(body, r"数据生产.{0,12}训练.{0,12}评测平台.{0,12}质量")
+    mixed = said(body, MARKET_CASES["mixed_duty"])
     jobs = jobs.withColumn("_mixed", mixed)
-    measuring = F.filter(own("eval"), lambda s: ~said(s, MARKET["test_metric"]) & ~(c("_mixed") & said(s, r"评测平台.{0,12}质量")))
-    methods = F.filter(duties, lambda s: market(s, "test_method") & (~said(s, r"探索\s*AI测试工具") | said(s, r"落地|实现|持续使用")))
+    measuring = F.filter(own("eval"), lambda s: ~said(s, MARKET["test_metric"]) & ~(c("_mixed") & said(s, MARKET_CASES["mixed_platform"])))
+    methods = F.filter(duties, lambda s: market(s, "test_method") & (~said(s, MARKET_CASES["tool_search"]) | said(s, MARKET_CASES["tool_in_use"])))
     none = F.slice(duties, 1, 0)
     jobs = jobs.withColumns({"_eval": measuring, "_quality": own("quality_work"), "_systems": own("quality_system"), "_methods": methods, "_infra": F.when(c("_mixed"), none).otherwise(own("eval_infra"))})
     quality_title, qa_title, eval_title = (market(title, k) for k in ("quality_title", "qa_title", "eval_title"))
     qa_asked = market(req, "qa_requirement")
     jobs = jobs.withColumns(
         {
-            "_dedicated": some(c("_infra")) | (eval_title & isaid(title, r"Infra|基础设施|评测平台")),
+            "_dedicated": some(c("_infra")) | (eval_title & isaid(title, MARKET_CASES["infra_title"])),
             "_qa": quality_title | qa_title | qa_asked,
-            "_eval_id": eval_title & (some(c("_eval")) | ((market(body, "ai") | said(body, r"模型.{0,12}评测|模型效果测试")) & said(body, r"评测|评估打分|训练数据交付验收"))),
+            "_eval_id": eval_title & (some(c("_eval")) | ((market(body, "ai") | said(body, MARKET_CASES["measured_model"])) & said(body, MARKET_CASES["measuring_words"]))),
         }
     )
     jobs = jobs.withColumn("_tasks", F.when(c("_qa"), F.filter(duties, lambda s: market(s, "quality_work"))).otherwise(c("_quality")))
     explicit = F.exists("_tasks", lambda s: market(s, "product_object"))
-    traditional = F.exists("_tasks", lambda s: said(s, r"客户端性能|服务端产品|传统软件|非AI业务"))
+    traditional = F.exists("_tasks", lambda s: said(s, MARKET_CASES["other_products"]))
     jobs = jobs.withColumn("_pq", c("_mixed") | explicit | (some(c("_tasks")) & market(title, "product_title") & ~(some(c("_methods")) & traditional)))
     jobs = jobs.withColumn("_in", c("_ai") & (some(c("_eval")) | some(c("_infra")) | c("_eval_id") | ((c("_qa") | some(c("_systems"))) & (some(c("_methods")) | c("_pq")))))
     profession = market(req, "eval_profession")
     role = first_of(
-        (some(c("_product")) | isaid(title, r"产品.{0,8}(?:经理|负责人|专家)|Product Manager"), "product"),
-        (said(title, "运营"), "operations"),
-        (isaid(title, r"领域专家|行业专家|医师|医生") | (said(title, "安全研究") & said(req, r"逆向工程|漏洞发现|渗透测试")), "domain_expert"),
+        (some(c("_product")) | isaid(title, MARKET_CASES["product_title"]), "product"),
+        (said(title, MARKET_CASES["operations_title"]), "operations"),
+        (isaid(title, MARKET_CASES["expert_title"]) | (said(title, MARKET_CASES["security_research"]) & said(req, MARKET_CASES["security_requirement"])), "domain_expert"),
         (quality_title | (qa_asked & some(c("_quality")) & ~qa_title), "quality_engineering"),
-        (qa_title & said(body, r"团队成员招聘|招聘和培养|制定测试团队工作目标"), "quality_engineering"),
-        # a test title can stand for the owner of an evaluation framework
+        (qa_title & said(body, MARKET_CASES["team_duty"]), "quality_engineering"),
         (qa_title & some(c("_eval")) & market(body, "model_decision") & profession, "evaluation_engineering"),
         (qa_title, "qa_test"),
-        (c("_dedicated") & said(title, r"基础设施.{0,8}算法") & profession, "evaluation_engineering"),
+        (c("_dedicated") & said(title, MARKET_CASES["infra_algorithm"]) & profession, "evaluation_engineering"),
         (market(title, "model_research"), "algorithm_research"),
-        (said(title, r"后台开发|后端开发|服务端开发"), "development"),
+        (said(title, MARKET_CASES["backend_title"]), "development"),
         (eval_title, "evaluation_engineering"),
         otherwise="development",
     )
     jobs = jobs.withColumn("_role", role)
-    platform = said(body, "AI测试平台") & ~said(body, r"模型能力|Agent任务评测")
-    system = isaid(body, r"(?:设计|开发|搭建|建设|落地|主导).{0,30}(?:测试\s*Agent|Test Agent|AI\s*测试(?:能力|评测|平台|工具))")
+    platform = said(body, MARKET_CASES["testing_platform"]) & ~said(body, MARKET_CASES["model_ability"])
+    system = isaid(body, MARKET_CASES["testing_system"])
     measured = some(c("_eval"))
-    alone = F.when((c("_role") == "development") & measured & ~c("_dedicated"), said(F.array_join("_eval", "\n"), r"打分标准|效果度量标准|评测框架|评测集")).otherwise(measured)
+    alone = F.when((c("_role") == "development") & measured & ~c("_dedicated"), said(F.array_join("_eval", "\n"), MARKET_CASES["measure_words"])).otherwise(measured)
     jobs = jobs.withColumns({"_platform": platform, "_alone": alone})
     rel = first_of(
-        (c("_dedicated") | (measured & isaid(title, r"(?:AI|模型|Agent).{0,8}评测") & ~said(title, r"产品质量保障|研发效能")), "core_ai_evaluation"),
+        (c("_dedicated") | (measured & isaid(title, MARKET_CASES["ai_eval_title"]) & ~said(title, MARKET_CASES["no_eval_title"])), "core_ai_evaluation"),
         (c("_platform"), "ai_for_testing"),
         (c("_role").isin("qa_test", "quality_engineering") & c("_pq"), "ai_product_quality"),
-        ((c("_role") == "product") & c("_pq") & ~said(body, r"策略.{0,16}训练|支撑策略与训练|模型效果.{0,16}系统性分析"), "ai_product_quality"),
+        ((c("_role") == "product") & c("_pq") & ~said(body, MARKET_CASES["product_research"]), "ai_product_quality"),
         (system & ~c("_pq"), "ai_for_testing"),
         ((c("_role") == "development") & measured & ~c("_alone"), "ai_product_quality"),
         (measured | c("_eval_id"), "core_ai_evaluation"),
         otherwise="ai_for_testing",
     )
-    reliability = said(title, "可观测性") & ~said(body, r"评测(?:方法|指标|标准|集)")
+    reliability = said(title, MARKET_CASES["observability"]) & ~said(body, MARKET_CASES["eval_words"])
     also_eval = (c("_role") != "evaluation_engineering") & (measured | c("_dedicated")) & ~reliability & ~c("_platform")
-    also_quality = ~c("_role").isin("qa_test", "quality_engineering") & F.exists("_systems", lambda s: ~said(s, r"数据.{0,20}质量|标注.{0,20}质检"))
+    also_quality = ~c("_role").isin("qa_test", "quality_engineering") & F.exists("_systems", lambda s: ~said(s, MARKET_CASES["data_quality"]))
     second = F.array_compact(F.array(F.when(also_eval, "evaluation_engineering"), F.when(also_quality, "quality_engineering")))
     jobs = jobs.withColumns({"_rel": rel, "_second": second})
-    two_sided = said(body, "能力边界") & said(body, r"评测.{0,12}数据.{0,12}训练")
+    two_sided = said(body, MARKET_CASES["ability_limits"]) & said(body, MARKET_CASES["eval_training"])
     development, research, operations = (c("_role") == x for x in ("development", "algorithm_research", "operations"))
     near = first_of(
         (development & measured & ~c("_dedicated") & ~c("_alone"), True),
         (research & ~eval_title, ~two_sided),
         (operations & (c("_rel") == "ai_for_testing"), True),
-        ((c("_role") == "domain_expert") & said(body, r"真实业务场景.{0,40}安全|安全风险.{0,30}安全水位"), True),
+        ((c("_role") == "domain_expert") & said(body, MARKET_CASES["real_risks"]), True),
         otherwise=False,
     )
     jobs = jobs.withColumn("_relevance", F.when(near, "adjacent").otherwise("core"))

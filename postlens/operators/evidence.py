@@ -55,9 +55,9 @@ MAJOR_WORDS = ("专业背景", "专业", "学科背景", "教育背景")
 DEGREE_WORDS = r"(?i)(学历|本科|硕士|博士|doctorate|phd|大专|专科|研究生|学位)"
 EXPERIENCE_WORDS = ("经验", "经历", "工作经验", "工作经历", "相关经验", "相关经历", "年以上", "年及以上", "年限", "背景")
 YEARS = {
-    "year_range": re.compile(rf"(?P<low>{NUMBER})\s*(?:-|~|到|至)\s*(?P<high>{NUMBER})\s*年"),
-    "min_years": re.compile(rf"(?:(?:至少|不少于)\s*)?(?P<low>{NUMBER})\s*年\s*(?:及以上|以上)|(?:(?:至少|不少于)\s*)(?P<alone>{NUMBER})\s*年"),
-    "exact_years": re.compile(rf"(?P<low>{NUMBER})\s*年(?!\s*(?:内|间|前|后|来|度|月))"),
+    "year_range": re.compile(rf"(?P<min>{NUMBER})\s*(?:-|~|到|至)\s*(?P<max>{NUMBER})\s*年"),
+    "min_years": re.compile(rf"(?:(?:至少|不少于)\s*)?(?P<years>{NUMBER})\s*年\s*(?:及以上|以上)|(?:(?:至少|不少于)\s*)(?P<prefix_years>{NUMBER})\s*年"),
+    "exact_years": re.compile(rf"(?P<years>{NUMBER})\s*年(?!\s*(?:内|间|前|后|来|度|月))"),
 }
 NO_YEARS = (("no_requirement", re.compile(r"(?:经验不限|不限经验)")), ("fresh_graduate", re.compile(r"应届毕业生")))
 RANK = {"no_requirement": 0, "fresh_graduate": 0, "year_range": 1, "min_years": 2, "exact_years": 3}
@@ -118,9 +118,9 @@ def years_in(sentence: str) -> list[dict]:
         for m in pattern.finditer(sentence):
             if VETO.search(sentence[max(0, m.start() - 8) : m.end() + 10]):
                 continue
-            low = _number(m["low"] or m["alone"])
+            low = _number(m["min"] if kind == "year_range" else m["years"] or m["prefix_years"])
             if kind == "year_range":
-                found.append(hit(kind, f"{low}-{_number(m['high'])}年", low, _number(m["high"]), "range", "high", m, "year_range_found"))
+                found.append(hit(kind, f"{low}-{_number(m['max'])}年", low, _number(m["max"]), "range", "high", m, "year_range_found"))
             elif kind == "min_years":
                 found.append(hit(kind, f"{low}年以上", low, None, kind, "high", m, "minimum_year_requirement_found"))
             elif not (re.search(r"(?:-|~|到|至)\s*$", sentence[max(0, m.start() - 4) : m.start()]) or re.match(r"\s*(?:及以上|以上)", sentence[m.end() : m.end() + 4])):

@@ -114,6 +114,39 @@ MARKET = {
     "model_research": r"算法.{0,8}(?:工程师|研究员)|研究科学家|数据算法|预训练.{0,8}算法|算法研究",
 }
 
+# What decides single cases of the market rules.
+MARKET_CASES = {
+    "mixed_duty": r"数据生产.{0,12}训练.{0,12}评测平台.{0,12}质量",
+    "mixed_platform": r"评测平台.{0,12}质量",
+    "tool_search": r"探索\s*AI测试工具",
+    "tool_in_use": r"落地|实现|持续使用",
+    "infra_title": r"Infra|基础设施|评测平台",
+    "measured_model": r"模型.{0,12}评测|模型效果测试",
+    "measuring_words": r"评测|评估打分|训练数据交付验收",
+    "other_products": r"客户端性能|服务端产品|传统软件|非AI业务",
+    "product_title": r"产品.{0,8}(?:经理|负责人|专家)|Product Manager",
+    "operations_title": r"运营",
+    "expert_title": r"领域专家|行业专家|医师|医生",
+    "security_research": r"安全研究",
+    "security_requirement": r"逆向工程|漏洞发现|渗透测试",
+    "team_duty": r"团队成员招聘|招聘和培养|制定测试团队工作目标",
+    "infra_algorithm": r"基础设施.{0,8}算法",
+    "backend_title": r"后台开发|后端开发|服务端开发",
+    "testing_platform": r"AI测试平台",
+    "model_ability": r"模型能力|Agent任务评测",
+    "testing_system": r"(?:设计|开发|搭建|建设|落地|主导).{0,30}(?:测试\s*Agent|Test Agent|AI\s*测试(?:能力|评测|平台|工具))",
+    "measure_words": r"打分标准|效果度量标准|评测框架|评测集",
+    "ai_eval_title": r"(?:AI|模型|Agent).{0,8}评测",
+    "no_eval_title": r"产品质量保障|研发效能",
+    "product_research": r"策略.{0,16}训练|支撑策略与训练|模型效果.{0,16}系统性分析",
+    "observability": r"可观测性",
+    "eval_words": r"评测(?:方法|指标|标准|集)",
+    "data_quality": r"数据.{0,20}质量|标注.{0,20}质检",
+    "ability_limits": r"能力边界",
+    "eval_training": r"评测.{0,12}数据.{0,12}训练",
+    "real_risks": r"真实业务场景.{0,40}安全|安全风险.{0,30}安全水位",
+}
+
 # Rules of the personal pools.
 FIT = {
     "qa_title": r"(?i)(?:(?<![A-Za-z])QA(?![A-Za-z])|(?<![A-Za-z])SDET(?![A-Za-z])|测试工程师|系统集成测试|软件测试|测试实习生)",

@@ -110,6 +110,29 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
 
 
+def provenance_problems(manifest: DataFrame, raw: DataFrame, clean: DataFrame, classified: DataFrame, run_start: Column, run_end: Column, invocation: Column) -> DataFrame:
+    """``gate, platform, code, n`` of what keeps a day's raw, clean and analysed rows from being one run's; empty if all gates pass.
+
+    raw: the manifest's own id, its counts by platform, and its windows, which hold all scraping times; clean: the same
+    identities, as often as raw has them; analysis: no identity that clean lacks, and none twice. manifest: ``platform,
+    jobs_in_scope, invocation_id, started_at, finished_at``; raw and clean: ``platform, job_id`` (raw: ``scraped_at``).
+    """
+    out = lambda df, gate, code, n=F.lit(1): df.groupBy("platform").agg(F.sum(n).cast("long").alias("n")).select(F.lit(gate).alias("gate"), "platform", F.lit(code).alias("code"), "n")
+    counted = raw.groupBy("platform").agg(F.count("*").alias("_rows")).join(manifest.select("platform", "jobs_in_scope"), "platform", "full_outer")
+    differ = counted.where(F.coalesce("_rows", F.lit(0)) != F.coalesce("jobs_in_scope", F.lit(0)))
+    keys = ["platform", "job_id"]
+    moved = multiset_difference(raw.select(*keys), clean.select(*keys))
+    return (
+        out(manifest.where(~c("invocation_id").eqNullSafe(invocation)), "raw", "INVOCATION_MISMATCH")
+        .unionByName(out(differ, "raw", "COUNT_MISMATCH"))
+        .unionByName(out(nested_windows(manifest, run_start, run_end), "raw", "WINDOW_INVALID"))
+        .unionByName(out(outside_windows(raw, manifest.select("platform", "started_at", "finished_at")), "raw", "SCRAPED_OUTSIDE_WINDOW"))
+        .unionByName(out(moved, "clean", "IDENTITIES_DIFFER"))
+        .unionByName(out(classified.join(clean.select(*keys).distinct(), keys, "left_anti"), "analysis", "IDENTITY_UNKNOWN"))
+        .unionByName(out(classified.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1"), "analysis", "IDENTITY_REPEATED"))
+    )
+
+
 def coverage(artifacts: DataFrame) -> DataFrame:
     """``date`` and for each artifact (rows ``artifact, date``) whether it is there."""
     return artifacts.groupBy("date").pivot("artifact").agg(F.count(F.lit(1)) > 0).na.fill(False)

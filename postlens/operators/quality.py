@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_missing, normalized, or_missing, rx, strip, text_of
@@ -196,3 +196,9 @@ def enum_health(jobs: DataFrame, enums: Enums) -> DataFrame:
         F.count("*").alias("rows"), of("known").alias("known"), of("missing").alias("missing"), of("unknown").alias("unknown"), of("invalid_format", "invalid_unconfigured").alias("invalid"), of("invalid_unconfigured").alias("_blocks")
     )
     return out.withColumns({"missing_rate": F.try_divide("missing", "rows"), "blocking": (F.col("unknown") > 0) | (F.col("_blocks") > 0)}).drop("_blocks")
+
+
+def failure_health(spark: SparkSession, fields: tuple[str, ...], reason: str) -> DataFrame:
+    """What ``enum_health`` gives where the input can't be read at all: nothing counted, every field blocking, and why."""
+    rows = [(f, 0, 0, 0, 0, 0, 0.0, True, reason) for f in fields]
+    return spark.createDataFrame(rows, "field string, rows long, known long, missing long, unknown long, invalid long, missing_rate double, blocking boolean, blocking_reason string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -85,3 +85,39 @@ def case_problems(cases: DataFrame, expected_count: int) -> DataFrame:
         bad = cases.where(F.exists(f"evidence.{f}", lambda q: (q == "") | ~F.contains(F.coalesce(f, F.lit("")), q)))
         out = out.union(bad.select(F.lit("EVIDENCE_NOT_IN_TEXT"), "case_id"))
     return out
+
+
+def regression_problems(cases: DataFrame, frozen: DataFrame, labels: list[str], texts: list[str]) -> DataFrame:
+    """``case_id, problem`` of a frozen set of cases that is not what it was: ids that are blank or repeat, cases that came or
+    went, texts other than those frozen (by SHA-256), and expectations that are missing.
+
+    cases: ``case_id``, texts and ``expected_<label>``; frozen: ``case_id, content_sha256``.
+    """
+    digest = F.sha2(F.to_json(F.array(*[F.coalesce(c(t), F.lit("")) for t in texts])), 256)
+    rows = cases.select("case_id", digest.alias("_sha"), F.exists(F.array(*[c(f"expected_{k}").isNull() for k in labels]), lambda x: x).alias("_bare")).withColumn("_n", F.count("*").over(Window.partitionBy("case_id")))
+    both = rows.join(frozen.select(c("case_id").alias("_id"), c("content_sha256").alias("_old")), c("case_id").eqNullSafe(c("_id")), "full_outer")
+    problem = (
+        F.when(c("_n").isNull(), "CASE_MISSING")
+        .when(c("case_id").isNull() | (c("case_id") == ""), "CASE_ID_BLANK")
+        .when(c("_n") > 1, "CASE_REPEATED")
+        .when(c("_id").isNull(), "CASE_NOT_FROZEN")
+        .when(c("_sha") != c("_old"), "CASE_TEXT_CHANGED")
+        .when(c("_bare"), "EXPECTATION_MISSING")
+    )
+    return both.select(F.coalesce("case_id", "_id").alias("case_id"), problem.alias("problem")).where("problem IS NOT NULL").distinct()
+
+
+def label_diff(cases: DataFrame, labels: list[str]) -> DataFrame:
+    """``case_id, label, expected, actual`` of every label that is another than expected (columns ``expected_<label>``, ``actual_<label>``)."""
+    pair = lambda k: F.struct(F.lit(k).alias("label"), c(f"expected_{k}").cast("string").alias("expected"), c(f"actual_{k}").cast("string").alias("actual"))
+    rows = cases.select("case_id", F.inline(F.array(*[pair(k) for k in labels])))
+    return rows.where(~c("expected").eqNullSafe(c("actual")))
+
+
+def fixture_identities(rules: list[str], cases: DataFrame, fields: tuple[str, ...] = ("case_id", "job_id", "url", "company")) -> DataFrame:
+    """``field, value`` of cases whose identity stands in a rule's pattern: rules may know texts, never single postings."""
+    spark = cases.sparkSession
+    held = [k for k in fields if k in cases.columns]
+    values = cases.select(F.inline(F.array(*[F.struct(F.lit(k).alias("field"), c(k).cast("string").alias("value")) for k in held]))).where("length(value) > 2").distinct()
+    patterns = spark.createDataFrame([(r,) for r in rules], "pattern string")
+    return values.join(F.broadcast(patterns), F.contains("pattern", c("value")), "left_semi")  # rules are a module's constants

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify, clean, evidence, health, ops, quality, report
@@ -10,17 +10,50 @@ from ..sources import files, postings
 
 
 def collect(pages: DataFrame, platforms: list[str], cities: list[str], include_unknown: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Postings in scope of all platforms, and a manifest row for each: one without a readable page is an error row, no more."""
+    """Postings in scope of all platforms, and a manifest row for each.
+
+    A platform without a readable page is an error row, no more. One is ``complete`` only if all pages and records that its
+    pages state were fetched and none lacked its id; else it is ``partial``, and ``stopped_by`` says what fell short.
+    """
     listed = postings.read_all(pages, platforms)
     kept = postings.distinct_postings(listed).where(clean.location_wanted(F.col("location"), cities, include_unknown))
     counters = postings.manifest_counters(listed, cities, include_unknown)
     spark = pages.sparkSession
     wanted = spark.createDataFrame([(p,) for p in platforms], "platform string")
-    seen = pages.groupBy("platform").agg(F.count_distinct("page").alias("pages_fetched"))
-    rows = wanted.join(seen, "platform", "left").join(counters, "platform", "left")
-    broken = F.col("records_fetched").isNull()
-    rows = rows.withColumns({"status": F.when(broken, "error").otherwise("success"), "complete": ~broken, "error": F.when(broken, "no readable page").otherwise(""), "stopped_by": F.when(broken, "error").otherwise("source_total_reached")})
-    return kept.drop("page", "position"), rows.na.fill(0)
+    rows = wanted.join(postings.stated_totals(pages, platforms), "platform", "left").join(counters, "platform", "left").withColumn("_broken", F.col("records_fetched").isNull())
+    numbers = [k for k, t in rows.dtypes if t == "bigint"]
+    rows = rows.na.fill(0, numbers)
+    c = F.col
+    stopped = (
+        F.when(c("_broken"), "error")
+        .when(c("pages_fetched") < c("expected_pages"), "incomplete_list")
+        .when(c("records_fetched") < c("source_total"), F.when(c("list_end"), "empty_page").otherwise("incomplete_list"))
+        .when(c("missing_job_id") > 0, "incomplete_list")
+        .otherwise("source_total_reached")
+    )
+    rows = rows.withColumn("stopped_by", stopped).withColumn("complete", c("stopped_by") == "source_total_reached")
+    rows = rows.withColumns({"status": F.when(c("_broken"), "error").when(c("complete"), "success").otherwise("partial"), "error": F.when(c("_broken"), "no readable page").otherwise("")})
+    return kept.drop("page", "position"), rows.drop("_broken", "list_end")
+
+
+def default_day(now: Column | None = None) -> Column:
+    """The day of a run that names none: today in China, from a UTC timestamp."""
+    return F.to_date(F.from_utc_timestamp(now if now is not None else F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "Asia/Shanghai"))
+
+
+def merge_platform(rows: DataFrame, manifest: DataFrame, path: str, day: str, platform: str) -> None:
+    """Replace one platform's partition of a stored day by a retry; one that is not complete, or found nothing, replaces nothing."""
+    mine = manifest.where(F.col("platform") == platform)
+    state = mine.agg(F.count("*").alias("n"), F.bool_and(F.coalesce("complete", F.lit(False)) & (F.col("status") == "success")).alias("fine")).first()
+    if state.n != 1:
+        raise ValueError(f"MERGE_NEEDS_ONE_MANIFEST: {state.n} of {platform}")
+    if not state.fine:
+        raise ValueError(f"INCOMPLETE_RETRY_REFUSED: {platform}")
+    stored = rows.sparkSession.read.parquet(path).where(F.col("snapshot_date").cast("string") == day)
+    if not stored.limit(1).count():
+        raise ValueError(f"NO_STORED_DAY: {day}")
+    new = rows.where(F.col("platform") == platform).withColumn("snapshot_date", F.lit(day).cast(stored.schema["snapshot_date"].dataType))
+    files.write_day(new, path)
 
 
 def clean_day(raw: DataFrame, out: str, day: str) -> DataFrame:

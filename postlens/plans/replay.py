@@ -1,6 +1,6 @@
 """The whole analysis over stored days, as one set of DataFrames.
 
-Each step is lazy; what several steps read is kept by ``persist`` until ``Replay.release``. Days are a column, not a loop: health, labels, events and
+What several steps read is computed once, in the checkpoint folder. Days are a column, not a loop: health, labels, events and
 snapshots of all days come out of one plan each.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import content_sha256
 from ..operators import classify, clean, health, lifecycle, trends
 from . import trend
+from .cut import cut
 
 
 @dataclass(frozen=True)
@@ -32,23 +33,19 @@ class Replay:
     snapshots: DataFrame
     trend: trend.Trend
 
-    def release(self) -> None:
-        """Give up what ``replay`` keeps in memory and on disk."""
-        self.postings.unpersist()
-        self.classified.unpersist()
-
 
 def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(), confirmation_runs: int = 2) -> Replay:
     """jobs: postings with ``snapshot_date``; manifests: a row a platform and day with ``job_count`` and ``cities``."""
     day = manifests.select("snapshot_date", "job_count", "cities").dropDuplicates(["snapshot_date"])
     context = health.context(manifests, jobs, day)
     scopes = health.resolve_scopes(context, jobs)
-    postings = health.resolve_jobs(clean.normalize_locations(jobs), scopes).persist()  # read by labels and events
-    classified = classify.classify_snapshots(postings, versions.market, versions.fit, versions.skills).persist()  # by snapshots and reports
+    postings = health.resolve_jobs(clean.normalize_locations(jobs), scopes)
+    postings, scopes = cut(postings), cut(scopes)  # read by labels, events and trends
+    classified = cut(classify.classify_snapshots(postings, versions.market, versions.fit, versions.skills))  # by snapshots and reports
     presence = postings.select("snapshot_date", "platform", "job_id", "company", "title", F.when(F.col("content_reliable"), content_sha256()).alias("sha"))
     many = F.col("platform").isin(*health.MANY_COMPANIES)
     days = scopes.join(day.select("snapshot_date", "cities"), "snapshot_date").select("snapshot_date", "platform", F.when(many, F.col("company")).alias("company"), "presence_reliable", "cities", "reason_codes")
-    events = lifecycle.lifecycle(presence, days, confirmation_runs)
+    events = cut(lifecycle.lifecycle(presence, days, confirmation_runs))
     counted = classified.where(F.col("in_scope") & trends.usable(F.col("classification_status"), F.col("reason_codes.market"), F.col("career_pool")))
     now = F.struct(F.lit(versions.market).alias("market"), F.lit(versions.fit).alias("fit"), F.lit(versions.skills).alias("skills"))
     return Replay(postings, scopes, classified, events, trends.inventory(counted), trend.trend(postings, classified, events, scopes, manifests, now))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import classify, health, trends
+from .cut import cut
 
 c = F.col
 KEYS = ["platform", "job_id"]
@@ -63,7 +64,7 @@ def labelled_events(events: DataFrame, seen: DataFrame, observed: DataFrame, sco
 def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, manifests: DataFrame, versions: Column | None = None) -> Trend:
     """observed: postings of all days with their health; the rest as ``replay`` gives it; manifests: ``snapshot_date, platform, detail_failed``."""
     seen = sightings(observed, classified, versions)
-    flows = labelled_events(events, seen, observed, scopes)
+    flows = cut(labelled_events(events, seen, observed, scopes))
     day = ["snapshot_date", "platform"]
     good = classified.where(c("in_scope") & trends.usable(c("classification_status"), c("reason_codes.market"), c("career_pool")))
     moved = flows.where(c("flow").isin("counted", "unknown")).withColumnRenamed("event_date", "snapshot_date").withColumn("known", c("flow") == "counted")
@@ -78,10 +79,11 @@ def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes:
     counts = unknown.join(active, day, "full_outer").select(*day, F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_active", F.lit(0)).alias("_active"))
     pair = lambda d, n: F.struct(F.lit(d).alias("dimension"), F.lit("all").alias("key"), n.cast("long").alias("n"))
     observed_counts = counts.select(*day, F.inline(F.array(pair("unknown_classification_count", c("_n")), pair("observed_inventory_count", c("_n") + c("_active")))))
+    # small, and read many times by comparisons
     return Trend(
-        inventory.unionByName(by_flow).unionByName(observed_counts),
-        trends.company_metrics(good, moved, day),
-        _reliability(scopes, classified, observed, flows, versions),
+        cut(inventory.unionByName(by_flow).unionByName(observed_counts)),
+        cut(trends.company_metrics(good, moved, day)),
+        cut(_reliability(scopes, classified, observed, flows, versions)),
         flows,
         _diagnostics(flows, classified),
     )

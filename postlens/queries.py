@@ -296,9 +296,9 @@ def window_totals(spark, sf_dir):
     return trends.window_totals(_events(spark, sf_dir), F.lit("2024-01-21").cast("date"))
 
 
-@query("SELECT * FROM (SELECT lag(d) OVER (ORDER BY d) AS after, d AS before, datediff('day', lag(d) OVER (ORDER BY d), d)::INT - 1 AS missing_days FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE user_id = 1)) WHERE missing_days > 0")
+@query("SELECT * FROM (SELECT event_type, user_id, lag(d) OVER w AS after, d AS before, datediff('day', lag(d) OVER w, d)::INT - 1 AS missing_days FROM (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS d FROM events) WINDOW w AS (PARTITION BY event_type, user_id ORDER BY d)) WHERE missing_days > 0")
 def observation_gaps(spark, sf_dir):
-    return ops.observation_gaps(read(spark, sf_dir, "events").where("user_id = 1").select(F.to_date("ts").alias("date")))
+    return ops.observation_gaps(read(spark, sf_dir, "events").select("event_type", "user_id", F.to_date("ts").alias("date")), keys=("event_type", "user_id"))
 
 
 @query("SELECT * FROM (SELECT user_id, lag(d) OVER w AS after, d AS before, datediff('day', lag(d) OVER w, d)::INT - 1 AS missing_days FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY d)) WHERE missing_days > 0")
@@ -386,14 +386,13 @@ def count_anomalies(spark, sf_dir):
     return trends.anomalies(total(before), total(after))
 
 
-@query("""WITH a AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-03' GROUP BY 1), b AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1),
-r AS (SELECT 'inventory' AS family, coalesce(a.platform, b.platform) AS platform, CASE WHEN a.n IS NULL OR b.n IS NULL THEN 'PLATFORM_NOT_OBSERVED_BOTH_DAYS' WHEN a.n % 2 = 0 OR b.n % 2 = 0 THEN 'METRIC_SOURCE_UNRELIABLE' ELSE '' END AS reason_codes FROM a FULL JOIN b USING (platform))
-SELECT *, reason_codes = '' AS comparable FROM r""")
+@query("""WITH k AS (SELECT o_orderpriority AS platform, count(*) FILTER (WHERE month(o_orderdate) % 2 = 1) AS a, count(*) FILTER (WHERE month(o_orderdate) % 2 = 0) AS b FROM orders GROUP BY 1),
+r AS (SELECT 'inventory' AS family, platform, CASE WHEN a = 0 OR b = 0 THEN 'PLATFORM_NOT_OBSERVED_BOTH_DAYS' WHEN a % 2 = 0 OR b % 2 = 0 THEN 'METRIC_SOURCE_UNRELIABLE' ELSE '' END AS reason_codes FROM k) SELECT *, reason_codes = '' AS comparable FROM r""")
 def comparability(spark, sf_dir):
+    """The orders of odd months and those of even ones; a platform of an even number of orders is not reliable."""
     o = read(spark, sf_dir, "orders")
-    side = lambda when: o.where(when).groupBy(c("o_orderpriority").alias("platform")).agg(F.count("*").alias("n")).select(F.lit("inventory").alias("family"), "platform", (c("n") % 2 == 1).alias("reliable"), F.array().cast("array<string>").alias("reason_codes"), F.lit("").alias("scope"), F.lit("v1").alias("versions"))
-    rows = trends.comparability(side("o_orderdate < TIMESTAMP_NTZ'1995-01-03'"), side("o_orderdate >= TIMESTAMP_NTZ'2001-01-01'"))
-    return rows.withColumn("reason_codes", F.array_join("reason_codes", ","))
+    side = lambda odd: o.where(F.month("o_orderdate") % 2 == odd).groupBy(c("o_orderpriority").alias("platform")).agg(F.count("*").alias("n")).select(F.lit("inventory").alias("family"), "platform", (c("n") % 2 == 1).alias("reliable"), F.array().cast("array<string>").alias("reason_codes"), F.lit("").alias("scope"), F.lit("v1").alias("versions"))
+    return trends.comparability(side(1), side(0)).withColumn("reason_codes", F.array_join("reason_codes", ","))
 
 
 @query("""WITH m AS (SELECT make_timestamp((epoch_us(min(o_orderdate)) + epoch_us(max(o_orderdate))) // 2) AS middle FROM orders), a AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders, m WHERE o_orderdate < middle GROUP BY 1), b AS (SELECT o_orderpriority AS platform, count(*) AS n FROM orders, m WHERE o_orderdate >= middle GROUP BY 1),
@@ -440,20 +439,20 @@ def upsert(spark, sf_dir):
     return ops.upsert(rows, rows.where("c_custkey % 10 = 0").withColumn("c_name", F.upper("c_name")), ["c_custkey"])
 
 
-@query("SELECT CAST(ts AS DATE) AS date, bool_or(event_type = 'click') AS click, bool_or(event_type = 'purchase' AND user_id < 3) AS purchase FROM events WHERE event_type = 'click' OR (event_type = 'purchase' AND user_id < 3) GROUP BY 1")
+@query("SELECT CAST(o_orderdate AS DATE) AS date, bool_or(o_orderstatus = 'F') AS \"F\", bool_or(o_orderstatus = 'O') AS \"O\", bool_or(o_orderstatus = 'P') AS \"P\" FROM orders GROUP BY 1")
 def coverage(spark, sf_dir):
-    rows = read(spark, sf_dir, "events").where("event_type = 'click' OR (event_type = 'purchase' AND user_id < 3)")
-    found = ops.coverage(rows.select(c("event_type").alias("artifact"), F.to_date("ts").alias("date")))
-    for k in ("click", "purchase"):
+    """Which of the three statuses each day's orders have."""
+    found = ops.coverage(read(spark, sf_dir, "orders").select(c("o_orderstatus").alias("artifact"), F.to_date("o_orderdate").alias("date")))
+    for k in ("F", "O", "P"):
         found = found if k in found.columns else found.withColumn(k, F.lit(False))
-    return found
+    return found.select("date", "F", "O", "P")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey < 5000 AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey < (SELECT max(o_orderkey) FROM orders) AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')")
 def recovery_candidates(spark, sf_dir):
     runs = read(spark, sf_dir, "orders").select(c("o_orderkey").alias("run_date"))
-    incidents = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("run_date"), F.when(c("l_returnflag") == "R", "open").otherwise("closed").alias("status"))
-    return ops.recovery_candidates(runs, incidents, 5000).select(c("run_date").alias("o_orderkey"))
+    incidents = read(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("run_date"), F.when(c("l_returnflag") == "A", "open").otherwise("closed").alias("status"))
+    return ops.recovery_candidates(runs, incidents, F.lit(runs.agg(F.max("run_date")).first()[0])).select(c("run_date").alias("o_orderkey"))
 
 
 @query("WITH e AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS artifact FROM events) SELECT d.date, t.artifact, e.date IS NOT NULL AS present FROM (SELECT DISTINCT date FROM e) d CROSS JOIN (SELECT DISTINCT artifact FROM e) t LEFT JOIN e ON e.date = d.date AND e.artifact = t.artifact")
@@ -497,4 +496,4 @@ def posting_labels(spark, sf_dir):
     return rows.select("job_id", "market.in_scope", "fit.career_pool", F.array_join("fit.reason_codes", ",").alias("fit_reasons"), F.array_join("skill_tags", ",").alias("skills"))
 
 
-from . import queries_trend  # noqa: E402,F401  further queries of the same tables
+from . import queries_labels, queries_trend  # noqa: E402,F401  further queries of the same tables

@@ -25,6 +25,22 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType = POSTI
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def bad_elements(spark: SparkSession, path: str) -> DataFrame:
+    """``path, row_number, kind`` of a file's array elements that are no objects (from 1); row 0 stands for a file that is no array."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>").alias("_all"))
+    each = files.select("path", F.posexplode_outer("_all").alias("_at", "_item"), F.col("_all").isNull().alias("_none"))
+    kind = F.when(F.col("_none"), "not an array").otherwise(F.schema_of_variant("_item"))
+    rows = each.where("_none OR _at IS NOT NULL").select("path", F.when(F.col("_none"), 0).otherwise(F.col("_at") + 1).alias("row_number"), F.coalesce(kind, F.lit("VOID")).alias("kind"))
+    return rows.where(~F.col("kind").startswith("OBJECT"))
+
+
+def check_json_array(spark: SparkSession, path: str) -> None:
+    """Fails on the first element that is no object, with its number from 1."""
+    first = bad_elements(spark, path).orderBy("path", "row_number").first()
+    if first is not None:
+        raise ValueError(f"{first.path}: row {first.row_number}: {first.kind}")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A JSON object a line; blank lines are ignored."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

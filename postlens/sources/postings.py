@@ -215,23 +215,55 @@ def region_duplicates(postings: DataFrame) -> DataFrame:
     return ids.groupBy("platform").agg(F.sum("within").alias("within"), F.sum("across").alias("across"))
 
 
-def list_problems(ledger: DataFrame, first_page_again: list[str] | None = None) -> DataFrame:
-    """One row ``reasons, primary``: what speaks against a complete, stable list, in fixed order."""
-    ids = ledger.select(F.explode("ids").alias("id"))
-    sums = ids.agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("id") != "", F.col("id"))).alias("unique"), F.count_if(F.col("id") == "").alias("missing"))
-    pages = ledger.agg(F.min("total").alias("low"), F.max("total").alias("high"), F.min_by("ids", "page").alias("first"), F.max_by("empty", "page").alias("ends_empty"))
-    both = sums.join(F.broadcast(pages))
-    again = F.lit(False) if first_page_again is None else F.col("first") != F.array(*[F.lit(x) for x in first_page_again])
+def ordered_hash(ids: Column) -> Column:
+    """SHA-256 of the ids' JSON array, in their order."""
+    return F.sha2(F.to_json(ids), 256)
+
+
+def list_problems(ledger: DataFrame, first_page_again: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A row a list (``keys``) ``reasons, primary, first_hash``: what speaks against a complete, stable list, in fixed order.
+
+    ledger: ``keys, page, total, ids, empty``; first_page_again: ``keys, ids`` of page one read again at the end. A list
+    ends where a page is empty or shorter than the first one.
+    """
+    by = list(keys) or ["_list"]
+    if not keys:
+        ledger = ledger.withColumn("_list", F.lit(""))
+        first_page_again = None if first_page_again is None else first_page_again.withColumn("_list", F.lit(""))
+    ids = ledger.select(*by, F.explode("ids").alias("id")).groupBy(*by).agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("id") != "", F.col("id"))).alias("unique"), F.count_if(F.col("id") == "").alias("missing"))
+    pages = ledger.groupBy(*by).agg(F.min("total").alias("low"), F.max("total").alias("high"), F.min_by("ids", "page").alias("first"), F.max_by("ids", "page").alias("last"), F.max_by("empty", "page").alias("ends_empty"))
+    again = ledger.sparkSession.createDataFrame([], ", ".join([*(f"{k} string" for k in by), "again array<string>"])) if first_page_again is None else first_page_again.select(*by, F.col("ids").alias("again"))
+    rows = pages.join(ids, by, "left").join(again, by, "left")
+    unique, missing, n = (F.coalesce(k, F.lit(0)) for k in ("unique", "missing", "n"))
+    stable = F.col("low") == F.col("high")
+    ended = F.col("ends_empty") | (F.size("last") < F.size("first"))
     reasons = F.array_compact(
         F.array(
-            F.when(F.col("low") != F.col("high"), "total_changed"),
-            F.when(again, "first_page_changed"),
-            F.when(F.col("unique") < F.col("high"), "unique_deficit"),
-            F.when(F.col("unique") + F.col("missing") < F.col("n"), "duplicate_records"),
-            F.when(F.col("missing") > 0, "missing_job_id"),
+            F.when(~stable, "dynamic_total"),
+            F.when(F.col("first") != F.col("again"), "dynamic_page1"),
+            F.when(unique + missing < n, "duplicate_pagination"),
+            F.when(unique < F.col("high"), "unique_deficit"),
+            F.when(F.col("high").isNull() | F.col("again").isNull() | ~ended | (missing > 0) | (stable & (unique > F.col("high"))), "incomplete_list"),
         )
     )
-    return both.select(reasons.alias("reasons")).withColumn("primary", F.try_element_at("reasons", F.lit(1)))
+    return rows.select(*keys, reasons.alias("reasons"), ordered_hash(F.col("first")).alias("first_hash")).withColumn("primary", F.try_element_at("reasons", F.lit(1)))
+
+
+def stated_totals(pages: DataFrame, platforms: list[str]) -> DataFrame:
+    """``platform, source_total, expected_pages, pages_fetched, list_end``: what the pages state and what was fetched.
+
+    Expected are as many pages as the total needs at the first page's length, at least up to the last page that is there;
+    a platform that states no total is measured by its own records. ``list_end``: the last page is empty or a short one.
+    """
+    out = None
+    for p in platforms:
+        ledger = page_ledger(pages, p)
+        sums = ledger.agg(F.max("total").alias("total"), F.sum("items").alias("items"), F.min_by("items", "page").alias("first"), F.max_by("items", "page").alias("last"), F.max("page").alias("last_page"), F.count_distinct("page").alias("pages_fetched")).where("pages_fetched > 0")
+        wanted = F.coalesce("total", "items", F.lit(0)).cast("long")
+        expected = F.greatest(F.ceil(F.try_divide(wanted, F.col("first"))), F.col("last_page"), F.lit(1)).cast("long")
+        row = sums.select(F.lit(p).alias("platform"), wanted.alias("source_total"), expected.alias("expected_pages"), "pages_fetched", (F.coalesce("last", F.lit(0)) < F.coalesce("first", F.lit(0))).alias("list_end"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def error_histogram(details: DataFrame, column: str = "error_type", top: int = 20) -> DataFrame:

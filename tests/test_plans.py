@@ -72,6 +72,76 @@ def test_collect_and_clean(spark, tmp_path):
     assert daily.resolve_day(spark, str(tmp_path / "clean"), "2024-01-01").first().city_norm == ["深圳"]
 
 
+def test_completeness_of_a_collection(spark):
+    def page(p, n, ids, total):
+        return (p, n, json.dumps({"data": {"total": total, "list": [{"id": i, "name": "x", "workPlaceNameList": ["深圳"]} for i in ids]}}))
+
+    rows = [page("netease", 1, [1, 2], 3), page("netease", 2, [3], 3), page("baidu", 1, [], 4), page("xiaohongshu", 1, [], 0)]
+    lists = lambda *rows: spark.createDataFrame(list(rows), "platform string, page int, payload string")
+    state = lambda pages, *names: {r.platform: (r.status, r.complete, r.stopped_by, r.source_total, r.expected_pages, r.pages_fetched) for r in daily.collect(pages, list(names), ["深圳"])[1].collect()}
+    assert state(lists(*rows), "netease")["netease"] == ("success", True, "source_total_reached", 3, 2, 2)
+    assert state(lists(rows[0]), "netease")["netease"] == ("partial", False, "incomplete_list", 3, 2, 1)
+    assert state(lists(rows[0], page("netease", 3, [3], 3)), "netease")["netease"] == ("partial", False, "incomplete_list", 3, 3, 2)
+    assert state(lists(page("netease", 1, [1, 2], 4), page("netease", 2, [3], 4)), "netease")["netease"][:3] == ("partial", False, "empty_page")
+    assert state(lists(page("netease", 1, [1, None], 2)), "netease")["netease"][:3] == ("partial", False, "incomplete_list")
+
+
+def test_merge_of_one_platform(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame([("p", "1"), ("q", "2")], "platform string, job_id string")
+    daily.files.write_day(rows.withColumn("snapshot_date", F.lit("2024-01-01").cast("date")), path)
+    manifest = lambda *m: spark.createDataFrame(list(m), "platform string, status string, complete boolean")
+    new = spark.createDataFrame([("p", "7"), ("p", "8")], "platform string, job_id string")
+    for bad, day in (([("p", "partial", False)], "2024-01-01"), ([], "2024-01-01"), ([("p", "success", True)], "2024-01-02")):
+        with pytest.raises(ValueError):
+            daily.merge_platform(new, manifest(*bad), path, day, "p")
+    with pytest.raises(ValueError):
+        daily.merge_platform(new.limit(0), manifest(("p", "success", True)), path, "2024-01-01", "p")
+    daily.merge_platform(new, manifest(("p", "success", True), ("q", "error", False)), path, "2024-01-01", "p")
+    assert sorted(r.job_id for r in spark.read.parquet(path).collect()) == ["2", "7", "8"]
+    at = lambda t: spark.range(1).select(daily.default_day(F.lit(t).cast("timestamp_ntz")).alias("d")).first().d.isoformat()
+    assert (at("2024-01-01 15:59:59"), at("2024-01-01 16:00:00")) == ("2024-01-01", "2024-01-02")
+
+
+def test_trend_of_a_replay(spark, found):
+    kinds = {(r.event_date.day, r.job_id, r.event_type): r.flow for r in found.trend.flows.collect()}
+    assert kinds[(2, "1", "UPDATED")] == "counted" and kinds[(2, "3", "NEW")] == "counted" and kinds[(3, "2", "REMOVED")] == "counted" and kinds[(3, "1", "MISSING")] == "diagnostic"
+    parts = replay.compare_snapshots(found, "2024-01-01", "2024-01-02")
+    assert all(r.comparable for r in parts["comparability"].where("family = 'inventory'").collect())
+    moved = {r.key: (r.from_n, r.to_n) for r in parts["lifecycle"].collect()}
+    assert moved["new_jobs"] == (0, 1) and moved["updated_jobs"] == (0, 1)
+    with pytest.raises(ValueError):
+        replay.compare_snapshots(found, "2024-01-02", "2024-01-01")
+
+
+def test_provenance(spark):
+    from postlens.operators import ops
+
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    manifest = spark.createDataFrame([("p", 2, "run", t(1), t(3)), ("q", 1, "other", t(1), t(9)), ("r", 1, "run", t(2), t(3))], "platform string, jobs_in_scope long, invocation_id string, started_at timestamp, finished_at timestamp")
+    raw = spark.createDataFrame([("p", "1", t(2)), ("p", "2", t(5)), ("q", "3", t(2))], "platform string, job_id string, scraped_at timestamp")
+    clean = raw.drop("scraped_at").where("job_id <> '2'")
+    classified = spark.createDataFrame([("p", "1"), ("p", "1"), ("z", "9")], "platform string, job_id string")
+    got = {tuple(r) for r in ops.provenance_problems(manifest, raw, clean, classified, F.lit(t(0)), F.lit(t(8)), F.lit("run")).collect()}
+    assert got == {("raw", "q", "INVOCATION_MISMATCH", 1), ("raw", "r", "COUNT_MISMATCH", 1), ("raw", "q", "WINDOW_INVALID", 1), ("raw", "p", "SCRAPED_OUTSIDE_WINDOW", 1), ("clean", "p", "IDENTITIES_DIFFER", 1), ("analysis", "z", "IDENTITY_UNKNOWN", 1), ("analysis", "p", "IDENTITY_REPEATED", 1)}
+
+
+def test_frozen_regression(spark):
+    from postlens.operators import ontology, quality, scoring
+
+    cases = spark.createDataFrame([("a", "t", "x", "x"), ("b", "t", "x", "y"), ("c", "t", None, None), ("d", "u", "x", "x"), ("e", "t", "x", "x"), ("e", "t", "x", "x")], "case_id string, title string, expected_role string, actual_role string")
+    sha = lambda x: __import__("hashlib").sha256(json.dumps([x]).encode()).hexdigest()
+    frozen = spark.createDataFrame([(k, sha("t")) for k in "abcdez"], "case_id string, content_sha256 string")
+    assert {(r.case_id, r.problem) for r in scoring.regression_problems(cases, frozen, ["role"], ["title"]).collect()} == {("c", "EXPECTATION_MISSING"), ("d", "CASE_TEXT_CHANGED"), ("e", "CASE_REPEATED"), ("z", "CASE_MISSING")}
+    assert [tuple(r) for r in scoring.label_diff(cases, ["role"]).collect()] == [("b", "role", "x", "y")]
+    known = spark.createDataFrame([("REG-1", "job-77", "https://a/1", "某公司")], "case_id string, job_id string, url string, company string")
+    rules = [*ontology.MARKET.values(), *ontology.FIT.values(), *ontology.MARKET_CASES.values(), *ontology.EVIDENCE.values()]
+    assert scoring.fixture_identities(rules, known).count() == 0
+    assert scoring.fixture_identities([*rules, "job-77|x"], known).first().value == "job-77"
+    row = quality.failure_health(spark, ("education", "experience"), "INPUT_NOT_AN_ARRAY").first()
+    assert row.blocking and row.blocking_reason == "INPUT_NOT_AN_ARRAY" and row.known == 0
+
+
 def test_daily_health(spark):
     fields = "platform string, status string, complete boolean, stopped_by string, error string, failed_companies array<string>, detail_failed long, detail_failed_job_ids array<string>, pagination_mode string, stable_snapshot boolean, list_complete boolean, list_error boolean, completeness_reasons array<string>, presence_reliable boolean, content_reliable boolean, reason_codes array<string>"
     fine = ("a", "success", True, "source_total_reached", "", [], 0, [], None, None, None, None, [], True, True, [])

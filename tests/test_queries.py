@@ -47,7 +47,8 @@ def test_scans_read_what_queries_need(spark, sf):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan(Q.short_texts(spark, sf))
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan(Q.url_validity(spark, sf))
     shown = plan(Q.observation_gaps(spark, sf))
-    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,1)]" in shown and "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in shown
+    assert "PushedFilters: []" in shown and "event_id" not in shown  # the whole table, three columns of it
+    assert "PushedFilters: [IsNotNull(quality), EqualTo(quality,1)" in plan(Q.company_table(spark, sf))
 
 
 @pytest.mark.parametrize("name", ["duplicate_groups", "first_occurrences", "snapshot_inventory", "lifecycle_events", "source_health", "exclusion_breakdown"])

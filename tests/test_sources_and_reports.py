@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -51,8 +52,16 @@ def test_details_and_decoding(spark):
 def test_stable_list(spark):
     rows = [(1, 3, ["a", "b"], False), (2, 3, ["b", ""], False)]
     ledger = spark.createDataFrame(rows, "page int, total long, ids array<string>, empty boolean")
-    r = postings.list_problems(ledger, ["a", "c"]).first()
-    assert r.reasons == ["first_page_changed", "unique_deficit", "duplicate_records", "missing_job_id"] and r.primary == "first_page_changed"
+    again = lambda *ids: spark.createDataFrame([(list(ids),)], "ids array<string>")
+    r = postings.list_problems(ledger, again("a", "c")).first()
+    assert r.reasons == ["dynamic_page1", "duplicate_pagination", "unique_deficit", "incomplete_list"] and r.primary == "dynamic_page1"
+    assert r.first_hash == hashlib.sha256(b'["a","b"]').hexdigest()
+    page = lambda *rows: spark.createDataFrame(list(rows), "page int, total long, ids array<string>, empty boolean")
+    fine = page((1, 3, ["a", "b"], False), (2, 3, ["c"], False))
+    assert postings.list_problems(fine, again("a", "b")).first().reasons == []
+    assert postings.list_problems(fine).first().reasons == ["incomplete_list"]  # page one was not read again
+    assert postings.list_problems(page((1, 3, ["a"], False), (2, 4, ["b"], False), (3, 4, [], True)), again("a")).first().reasons == ["dynamic_total", "unique_deficit"]
+    assert postings.list_problems(page((1, 2, ["a", "b"], False), (2, 2, ["c", "d"], False)), again("a", "b")).first().reasons == ["incomplete_list"]
 
 
 def test_json_files(spark, tmp_path):
@@ -60,10 +69,23 @@ def test_json_files(spark, tmp_path):
     assert files.read_json_array(spark, str(tmp_path / "a.json")).where("title IS NULL").count() == 1
     out = str(tmp_path / "lines")
     files.write_jsonl(spark.createDataFrame([("a\u2028b", None)], "x string, y string"), out)
-    assert next((tmp_path / "lines").glob("part-*")).read_text() == '{"x":"a\\u2028b","y":null}\n'
+    assert "".join(p.read_text() for p in sorted((tmp_path / "lines").glob("part-*"))) == '{"x":"a\\u2028b","y":null}\n'
     assert files.read_jsonl(spark, out, "x string, y string").first().x == "a\u2028b"
 
 
+def test_bad_elements(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('[{"a": 1}, 5, {"b": 2}, "x", null, [1]]', encoding="utf-8")
+    (tmp_path / "object.json").write_text('{"a": 1}', encoding="utf-8")
+    (tmp_path / "fine.json").write_text('[{"a": 1}, {}]', encoding="utf-8")
+    at = lambda name: str(tmp_path / name)
+    assert sorted(r.row_number for r in files.bad_elements(spark, at("bad.json")).collect()) == [2, 4, 5, 6]
+    files.check_json_array(spark, at("fine.json"))
+    with pytest.raises(ValueError, match="row 2"):
+        files.check_json_array(spark, at("bad.json"))
+    with pytest.raises(ValueError, match="not an array"):
+        files.check_json_array(spark, at("object.json"))
+
+
 def test_day_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     files.write_day(spark.createDataFrame([("d1", "p", 1), ("d1", "q", 2)], "snapshot_date string, platform string, v int"), path)
