@@ -104,6 +104,41 @@ def test_ngram_join_odd_tables(spark):
     assert sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in got))) == sorted(map(str, [(None, 2, 5), (5, 2, 5), (5, 2, 5), (None, 0, None), (7, 0, 7)]))
 
 
+def test_keep_one(spark):
+    base = " ".join(f"w{k}" for k in range(40))
+    other = " ".join(f"v{k}" for k in range(40))
+    rows = [(5, base), (5, other), (5, other), (9, base + " x"), (2, other + " x"), (7, None), (7, ""), (7, ""), (None, base), (None, "one two"), (None, "one TWO"), (None, "three four"), (3, "ONE two")]
+    docs = table(spark, rows, "doc_id int, text string")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    # an id that repeats with different texts: each row is judged by its own text
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, base), (2, other + " x"), (7, None), (7, ""), (7, ""), (3, "ONE two"), (None, "three four")], key=str)
+    assert ngram_join.keep_one(docs.limit(0)).collect() == []
+    rows = corpus(7)
+    kept = ngram_join.keep_one(table(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i, (_, c) in brute_components(rows).items() if i == c)
+
+
+def test_one_ngram_in_many_documents(spark):
+    """A passage that all documents have in their prefixes, in texts of all lengths: the pairs on it are split by length."""
+    r = random.Random(12)
+    rows = []
+    for i in range(400):
+        n = r.choice([6, 7, 8, 9, 12, 30, 31, 90])
+        # few n-grams of its own each, so that the common ones come into the prefix
+        rows.append((i, " ".join(f"c{k}" for k in range(n)) + (f" t{i % 37}" if i % 3 else "")))
+    got = ngram_join.ngram_components(table(spark, rows, "doc_id long, text string").repartition(6)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows)
+
+
+def test_bands_hold_all_that_may_link(spark):
+    pairs = [(a, b) for a in range(1, 400) for b in range(a, 400)]
+    rows = spark.createDataFrame(pairs, "a long, b long")
+    for near in (60, 75, 90, 100):
+        apart = rows.where(F.col("a") * 100 >= F.col("b") * near).select((ngram_join._band(F.col("b"), near) - ngram_join._band(F.col("a"), near)).alias("d")).distinct()
+        assert {x.d for x in apart.collect()} <= {0, 1}
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(130)] + [(i, i + 1) for i in range(1000, 1060)]
@@ -157,6 +192,30 @@ def test_substring_dedup_odd_tables(spark):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in got) == [("3", 26, 0), ("3", 26, 0), ("9", 0, 0), ("None", 25, 25)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substring_dedup_without_ids(spark, seed):
+    """All ids null, or few ids for all rows: rows of one id are side by side."""
+    texts = [t for _, t in corpus(seed, 60)]
+    for name, rows in (("null", [(None, t) for t in texts]), ("few", [(k % 3, t) for k, t in enumerate(texts)]), ("mixed", [(None if k % 2 else k, t) for k, t in enumerate(texts)])):
+        want = []
+        windows = lambda t, n=20: [tuple(WORD.findall(t or "")[k : k + n]) for k in range(len(WORD.findall(t or "")) - n + 1)]
+        least = {}
+        place = lambda i: (i is None, i or 0)
+        for i, t in rows:
+            for x in windows(t):
+                least[x] = min(least.get(x, place(i)), place(i))
+        for i, t in rows:
+            w, seen = WORD.findall(t or ""), set()
+            drop = [False] * len(w)
+            for k, x in enumerate(windows(t)):
+                if least[x] < place(i) or x in seen:
+                    drop[k : k + 20] = [True] * 20
+                seen.add(x)
+            want.append((str(i), len(w), sum(drop), " ".join(a for a, d in zip(w, drop) if not d)))
+        got = substring_dedup.remove_repeats(table(spark, rows, "doc_id long, text string").repartition(4)).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in got) == sorted(want), name
+
+
 # 2: token ids
 
 
@@ -173,27 +232,82 @@ def test_simple8b():
         for n, size in zip(per_block, [min(simple8b.BLOCK, n - s) for n in length for s in range(0, n, simple8b.BLOCK)]):
             assert len(simple8b.decode(words[at : at + n])) == size  # each block decodes by itself
             at += n
-    with pytest.raises(ValueError):
-        simple8b.decode(np.zeros(1, np.uint64))
+        starts = np.cumsum(per_block) - per_block
+        sizes = simple8b.block_sizes(length, blocks)
+        assert (simple8b.decode_blocks(words, starts, sizes) == v).all()
+        if len(sizes):
+            with pytest.raises(ValueError):
+                simple8b.decode_blocks(words, starts, sizes + 1)
+    length = np.array([1300])
+    v = r.integers(0, 2**63, 1300, dtype=np.uint64) >> r.integers(0, 64, 1300).astype(np.uint64)
+    words, per_block, _ = simple8b.encode(v, length)
+    starts = np.cumsum(per_block) - per_block
+    for low, high in ((0, 1300), (0, 1), (511, 513), (600, 700), (1024, 1299), (1299, 5000), (1300, 1400), (-5, 3), (9, 2)):
+        assert (simple8b.decode_span(words, starts, 1300, low, high) == v[max(0, low) : max(0, high)]).all()
+    for damaged in (np.zeros(1, np.uint64), np.array([15 << 60], np.uint64)):
+        with pytest.raises(ValueError):
+            simple8b.decode(damaged)
+
+
+def plain_ids(rows):
+    """Each row's ids by the tokenizer as it comes, made here."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(token_vocabulary())
+    return [(i, plain.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows]
+
+
+def digests(pairs):
+    start, out = 0, []
+    for i, ids in pairs:
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
 
 
-def test_token_output(spark, tmp_path):
-    path = token_vocabulary()
-    rows = corpus(6) + [(500, "<|endoftext|> it's  don't\n\n x　 y"), (501, " lead"), (502, "trail "), (503, "a\n b \tc")]
-    token_output.write_tokens(table(spark, rows, "doc_id long, text string"), str(tmp_path / "t"), path, 2)
-    got = sorted(map(tuple, token_output.read_digests(spark, str(tmp_path / "t")).collect()))
-    start, want = 0, []
-    for i, t in sorted(rows):
-        ids = np.array(token_output.tokenizer(path).encode(t or "", add_special_tokens=False).ids + [2], "<u4")
-        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    assert got == want
-    ids = {r.doc_id: r.ids for r in token_output.read_tokens(spark, str(tmp_path / "t")).collect()}
-    assert [zlib.crc32(np.array(ids[i], "<u4").tobytes()) for i, *_ in want] == [w[3] for w in want]
-    token_output.write_tokens(table(spark, [], "doc_id long, text string"), str(tmp_path / "e"), path, 2)
+ODD_TEXTS = ["<|endoftext|> it's  don't\n\n x　 y", " lead", "trail ", "a\n b \tc", "a <|endoftext|> b", "a<|endoftext|>b", " <|endoftext|> ", "<|endoftext|><|endoftext|>", "<|endoftext", "a\u00a0 b \u2003c", " ", "\n", "\ufeffa \ud7ff"]
+
+
+def test_token_output(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(token_output, "CALL_BYTES", 500)
+    monkeypatch.setattr(token_output, "BLOCKS_AT_ONCE", 3)
+    rows = corpus(6) + [(500 + k, t) for k, t in enumerate(ODD_TEXTS)]
+    path = str(tmp_path / "t")
+    token_output.write_tokens(table(spark, rows, "doc_id long, text string").repartition(5), path, token_vocabulary(), 2)
+    want = plain_ids(sorted(rows, key=lambda x: x[0]))
+    assert sorted(map(tuple, token_output.read_digests(spark, path).collect())) == digests(want)
+    assert {r.doc_id: r.ids for r in token_output.read_tokens(spark, path).collect()} == dict(want)
+    assert {r.doc_id: r.ids for r in token_output.read_spans(spark, path, 500, 1030).collect()} == {i: ids[500:1030] for i, ids in want}
+    token_output.write_tokens(table(spark, [], "doc_id long, text string"), str(tmp_path / "e"), token_vocabulary(), 2)
     assert token_output.read_digests(spark, str(tmp_path / "e")).collect() == []
 
 
+def test_tokens_of_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None, f"text {k} here") for k in range(300)] + [(None, None), (7, "x"), (7, "x"), (7, "y z"), (9, None)]
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one shard
+    try:
+        token_output.write_tokens(table(spark, rows, "doc_id long, text string").repartition(4), path, token_vocabulary(), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = token_output.read_tokens(spark, path).collect()
+    assert sorted(map(str, ((r.doc_id, r.ids) for r in got))) == sorted(map(str, plain_ids(rows)))
+    got.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 301 + [7, 7, 7, 9]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    assert len({r.shard for r in token_output.read_shards(spark, path).where("doc_id IS NULL").select("shard").collect()}) > 1  # null ids are dealt over shards
+
+
+def test_tokens_of_a_very_long_text(spark, tmp_path):
+    r = random.Random(4)
+    long = "".join(f"w{r.randint(0, 9999)}" + r.choice([" ", " ", "\n"]) for _ in range(3_300_000))
+    assert len(long) > 19 << 20
+    rows, path = [(1, "short"), (2, long), (3, None)], str(tmp_path / "t")
+    token_output.write_tokens(spark.createDataFrame([(1, "short"), (3, None)], "doc_id long, text string").union(spark.range(2, 3).select("id", F.lit(long))), path, token_vocabulary(), 2)
+    assert sorted(map(tuple, token_output.read_digests(spark, path).collect())) == digests(plain_ids(rows))
+
+
 # 1: WARC
 
 
@@ -210,6 +324,22 @@ def test_warc(spark):
     assert warc.round_trip(table(spark, [], "page_id long, url string, html string")).collect() == []
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4 << 20)
+    monkeypatch.setattr(warc, "LARGE_BYTES", 1 << 20)
+    r = random.Random(1)
+    text = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    rows = [(i, "u", text(r.randint(100_000, 300_000))) for i in range(60)] + [(100 + i, "u", text(3 << 20)) for i in range(3)] + [(200, "u", None)]
+    pages = table(spark, rows, "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "a"))
+    import gzip
+
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "a").glob("*.gz")]
+    assert max(sizes) < 8 << 20 and len(sizes) >= 6
+    got = warc.resolve_revisits(warc.assemble(warc.read_records(spark, str(tmp_path / "a")))).collect()
+    assert sorted((x.page_id, x.payload_digest) for x in got) == sorted((i, hashlib.sha1((t or "").encode()).hexdigest()) for i, _, t in rows)
+
+
 def test_warc_assembly(spark, tmp_path):
     record = lambda kind, i, more, body: f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{i}>\r\n{more}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
     import gzip
@@ -247,6 +377,29 @@ def test_top_k(spark, scale, spread, monkeypatch):
     assert topk.top_k(table(spark, [], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_top_k_sends_only_trees_that_may_win(spark, monkeypatch):
+    """Vectors in clusters far apart: a block asks few of the shards, and loses no hit."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    monkeypatch.setattr(topk, "ROOTS_AT_ONCE", 7)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 4)
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(20, 8)) * 50
+    rows = [(i, [float(x) for x in centres[i % 20] + r.normal(size=8)]) for i in range(1000)]
+    searched = []
+    kept = store.table
+    monkeypatch.setattr(store, "table", lambda df, name: kept(df, name) if name != "turn" else searched.append(kept(df, name)) or searched[-1])
+    got = defaultdict(list)
+    for x in topk.top_k(table(spark, rows, "vec_id long, embedding array<double>"), every=10).collect():
+        got[x.query_id].append((x.rank, x.vec_id, x.score))
+    v = np.floor(np.array([x for _, x in rows]) * 1024).astype(np.int64)
+    for i in range(0, 1000, 10):
+        score = v @ v[i]
+        order = [int(j) for j in np.lexsort((np.arange(1000), -score)) if j != i][:10]
+        assert sorted(got[i]) == [(n + 1, j, int(score[j])) for n, j in enumerate(order)]
+    pairs, blocks, shards = (sum(x.count() for x in searched), searched[0].select("size", "block").distinct().count(), 20)
+    assert len(got) == 100 and pairs < blocks * shards / 2
+
+
 # 6: URL filters
 
 
@@ -268,6 +421,29 @@ def test_reputation_shrinks(spark):
     assert got["new.a.org"][1] > 0.5 > got["new.b.org"][1] and got["new.b.org"][0] == "allow"
 
 
+def test_registered_domains(spark):
+    lines = ["// a comment", "", "com", "uk", "co.uk  trailing words", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp", "jp", "a.b.c.d.e"]
+    rules = reputation.suffix_rules(spark.createDataFrame([(x,) for x in lines], "line string"))
+    want = {
+        "x.example.com": ("example.com", "com"), "example.com": ("example.com", "com"), "com": ("com", "com"), "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.uk": ("b.uk", "uk"),
+        "a.b.foo.ck": ("b.foo.ck", "foo.ck"), "foo.ck": ("foo.ck", "foo.ck"), "ck": ("ck", "ck"), "x.www.ck": ("www.ck", "ck"), "a.b.kobe.jp": ("a.b.kobe.jp", "b.kobe.jp"), "x.city.kobe.jp": ("city.kobe.jp", "kobe.jp"),
+        "me:secret@x.example.com:80": ("example.com", "com"), "10.0.0.7": ("10.0.0.7", "10.0.0.7"), "10.0.0.7:8080": ("10.0.0.7", "10.0.0.7"), "[::1]:80": ("[::1]", "[::1]"), "": ("", ""),
+        "x.unlisted": ("x.unlisted", "unlisted"), "example.com.": ("example.com", "com"), "a..com": ("a.com", "com"), "localhost": ("localhost", "localhost"), "z.y.a.b.c.d.e": ("y.a.b.c.d.e", "a.b.c.d.e"), "..": ("", ""),
+    }
+    got = reputation.with_domains(spark.createDataFrame([(h,) for h in want], "host string"), rules).collect()
+    assert {r.host: (r.domain, r.suffix) for r in got} == want and len(got) == len(want)
+
+
+def test_url_odd_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a.co.in/x"), (1, "http://a.co.in/x"), (2, "http://b.co.in/y"), (3, None)], "page_id long, url string").withColumns({k: F.lit(v) for k, v in EXTRA.items()})
+    outcomes = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "page_id long, bad int").withColumn("host", F.lit("x"))
+    suffixes = spark.createDataFrame([("co.in",)], "line string")
+    rows = reputation.filter_urls(pages, outcomes, URL_RULES, suffixes=suffixes).collect()
+    assert sorted((r.page_id, r.host, r.path) for r in rows) == [(1, "a.co.in", "/x"), (1, "a.co.in", "/x"), (2, "b.co.in", "/y"), (3, "", "")]
+    assert reputation.filter_urls(pages.limit(0), outcomes, URL_RULES).collect() == []
+    assert {r.verdict for r in reputation.filter_urls(pages, outcomes.limit(0), []).collect()} == {"allow"}
+
+
 # 7: mixing
 
 
@@ -344,6 +520,45 @@ def test_language(spark):
     assert kept.columns == docs.columns and kept.count() >= 590 and kept.where("doc_id IN (900, 901, 902)").count() == 0
 
 
+def test_language_as_brute_force(spark):
+    """N-grams counted, bits predicted and codewords compared one by one."""
+    rows = texts_of(5, 60) + [(100, "Über-Fluß, 12 maisons!", "de"), (101, "a", "en"), (102, "éé éé", "fr"), (103, "?", "fr"), (100, "stone river", "en"), (100, "stone river", "en")]
+    model = language_id.train(spark.createDataFrame([x[1:] for x in rows], "text string, lang string"))
+
+    def grams(text):
+        data = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()]
+        for order in (1, 2, 3):
+            for k in range(len(data) - order + 1):
+                if data[k] != 32:
+                    code = 0
+                    for b in data[k : k + order]:
+                        code = (code * 257 + b + 1) % 2**32
+                    yield (code * 2654435761 + order * 40503) % 2**32 >> 18
+
+    want = []
+    for i, text, _ in rows:
+        total, seen = np.zeros(model.code.shape[1]), 0
+        for g in grams(text):
+            total, seen = total + model.weights[g], seen + 1
+        margin = np.tanh(total / max(1, seen) / model.scale)
+        loss = [sum(w * (1 - c * m) / 2 for w, c, m in zip(model.reliability, word, margin)) for word in model.code]
+        first, second = sorted(range(len(loss)), key=lambda k: (loss[k], k))[:2]
+        want.append((i, model.languages[first], round(1 - loss[first], 5), loss[second] - loss[first] < 0.02) if any(c.isalpha() for c in text) else (i, "und", 0.0, False))
+    got = [(r.doc_id, r.lang_pred, round(r.score, 5), r.ambiguous) for r in language_id.identify(table(spark, rows, "doc_id long, text string, lang string"), model).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_language_odd_tables(spark):
+    empty = table(spark, [], "doc_id long, text string, lang string")
+    assert language_id.identify(empty, None).collect() == [] and language_id.train(language_id.training_rows(empty)) is None
+    # two languages of the very same texts: no codeword is nearer, the first name stands and is flagged
+    rows = [(i, "same words here", lang) for i, lang in enumerate(["aa", "bb"] * 8)]
+    docs = table(spark, rows, "doc_id long, text string, lang string")
+    got = language_id.identify(docs, language_id.train(docs.select("text", "lang"))).collect()
+    assert {(r.lang_pred, r.ambiguous) for r in got} == {("aa", True)}
+    assert language_id.keep_identified(docs, language_id.train(docs.select("text", "lang"))).collect() == []
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     rows = texts_of(2, 40) + [(50, "über die maison with stone " * 30, "de"), (51, "", "en"), (52, None, "en")]
     batch = pa.record_batch([pa.array([x[2] for x in rows]), pa.array([x[1] for x in rows])], names=["lang", "text"])
@@ -487,6 +702,45 @@ def test_secrets_not_found_count_as_errors(spark):
     assert sorted((r.doc_id, r.is_secret) for r in got) == [(0, True), (1, True), (2, True), (3, True), (4, False), (5, False)]
 
 
+def test_secret_scan_as_brute_force(spark):
+    """Each candidate judged by itself, from the text, gets what the scan says."""
+    from pyspark.ml.functions import vector_to_array
+
+    model = secrets.train(secrets.example_findings(spark, 1500))
+    rows = [(r.i, f"{r.before}{r.candidate}{r.after} password: 'hunter22' id 1234567890123456", r.path) for r in secrets.example_findings(spark, 60, seed=9).select("*", F.monotonically_increasing_id().alias("i")).collect()]
+    rows += [(900, rows[0][1], None), (900, rows[0][1], None), (900, "token=abc", "x"), (None, rows[1][1], "docs/a")]
+    found = [(i, a, b - a, hashlib.sha256(t[a:b].encode()).hexdigest(), *secrets.features(t[a:b], t[max(0, a - 48) : a], t[b : b + 48], path or "")) for i, t, path in rows for a, b in secrets.spans(t)]
+    names = ["doc_id long", "start long", "length long", "sha256 string", *[f"{x} double" for x in secrets.FEATURES]]
+    plain = spark.createDataFrame(found, ", ".join("n long" if x == "length long" else x for x in names))
+    want = model.transform(plain).select("doc_id", "start", "n", "sha256", F.round(vector_to_array("probability")[1], 9).alias("p")).collect()
+    got = secrets.scan(table(spark, rows, "doc_id long, text string, source string"), model, "source").collect()
+    assert len(want) > 150
+    assert sorted(map(str, map(tuple, want))) == sorted(str((r.doc_id, r.start, r.length, r.sha256, round(r.probability, 9))) for r in got)
+    assert all(r.is_secret == (r.probability >= 0.5) for r in got)
+
+
+def test_secrets_of_kinds_not_trained(spark):
+    """Kinds that no training row has: those of random characters are found all the same, half of those made from words."""
+    unseen = ("prefixed", "padded", "upper_hex", "word_based")
+    words = token_vocabulary()
+    model = secrets.train(secrets.example_findings(spark, 4000, without=unseen), vocabulary=words)
+    rows = secrets.example_findings(spark, 3000, seed=79).select("*", F.monotonically_increasing_id().alias("doc_id"))
+    flat = rows.select("doc_id", F.concat(F.lit("\n"), "before", "candidate", "after").alias("text"), (F.length("before") + 1).alias("at"), F.length("candidate").alias("n"), "path", "secret", "kind")
+    found = secrets.scan(flat, model, "path", vocabulary=words).withColumnRenamed("doc_id", "id")
+    judged = flat.join(found, (F.col("id") == F.col("doc_id")) & (F.col("start") == F.col("at")) & (F.col("length") == F.col("n")), "left")
+    said = {r.kind: r.said for r in judged.groupBy("kind").agg(F.avg(F.coalesce("is_secret", F.lit(False)).cast("int")).alias("said")).collect()}
+    print("said to be secret, by kind:", {k: round(v, 3) for k, v in sorted(said.items())})
+    assert all(said[k] > 0.9 for k in secrets.KEY_KINDS if k != "word_based") and said["word_based"] > 0.4
+    assert said["look-alike"] < 0.05 and said["placeholder"] < 0.05
+
+
+def test_dictionary_coverage():
+    words = secrets.dictionary(None)
+    assert secrets.coverage("usersession9", words) == 11 / 12 and secrets.coverage("x", words) == 0 and secrets.coverage("q7zk" * 4, words) == 0
+    more = secrets.dictionary(token_vocabulary())
+    assert len(more) > 5000 and words <= more and secrets.coverage("kitchen-window", more) == 13 / 14
+
+
 # shared parts
 
 
