@@ -496,4 +496,4 @@ def posting_labels(spark, sf_dir):
     return rows.select("job_id", "market.in_scope", "fit.career_pool", F.array_join("fit.reason_codes", ",").alias("fit_reasons"), F.array_join("skill_tags", ",").alias("skills"))
 
 
-from . import queries_labels, queries_trend  # noqa: E402,F401  further queries of the same tables
+from . import queries_labels, queries_sources, queries_trend  # noqa: E402,F401  further queries of the same tables
