@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 0) -> DataFram
     # no row is named by its id alone: ids may be null, or repeat, in any number of rows
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("mark"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = packed.buckets_for(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (ENTRY_BYTES * BUCKET_ENTRIES))))
+    buckets = packed.buckets_for(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (ENTRY_BYTES * BUCKET_ENTRIES))))
     first = store.table(keyed.mapInArrow(_first_level(window, buckets, seed), DEALT), "level")
     profile = first.where(F.col("kind") == PROFILE).select("doc", "mark", "n_words", "fp", "check")
     prints = profile.groupBy("fp").agg(F.min(F.struct("doc", "mark")).alias("first"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash"))
