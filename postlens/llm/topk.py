@@ -2,7 +2,8 @@
 
 Candidates are dealt into shards by a coarse clustering (pivots fitted on a bounded
 sample; every vector goes to its nearest), large clusters are split, and each
-shard's ball tree is built once and written. Queries go in blocks of one cluster.
+shard's ball tree is built once and written. Queries go in blocks of one cluster, or
+of neighbouring numbers where clusters have few.
 A block searches a few shards a round, those of the highest upper bound first; the
 k-th scores known then are the lower bounds that the next round starts from. Which
 shards a block still needs is told from the roots' balls alone, so a tree is sent
@@ -259,12 +260,16 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float = 1024
             pivots[int(n)] = pivots_of(mine, int(min(PIVOTS, len(mine), max(1, total // SHARD_ROWS))))
     placed = store.table(rows.mapInArrow(_cluster(pivots), "vec_id long, size int, vector binary, row long, cluster int"), "placed")
     query = (F.col("vec_id") % every == 0).cast("int")
-    counts = placed.groupBy("size", "cluster").agg(F.count("*").alias("n"), F.sum(query).alias("asked"))
+    counts = placed.groupBy("size", "cluster").agg(F.count("*").alias("n"), F.coalesce(F.sum(query), F.lit(0)).alias("asked"))
+    running = Window.partitionBy("size").orderBy("cluster").rowsBetween(Window.unboundedPreceding, -1)  # a row a cluster
+    counts = counts.withColumn("before", F.coalesce(F.sum("asked").over(running), F.lit(0)))
     spread = lambda n, each, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.greatest(F.lit(1), F.ceil(n / each))).cast("long") + F.shiftleft(F.col("cluster").cast("long"), 32)
     dealt = placed.join(counts, ["size", "cluster"])
     trees = dealt.withColumn("shard", spread(F.col("n"), SHARD_ROWS, 1)).select("size", "shard", "vec_id", "row", "vector")
     trees = store.table(trees.groupBy("size", "shard").applyInArrow(_tree, "size int, shard long, centre binary, radius double, tree binary"), "trees")
-    queries = store.table(dealt.where(query == 1).withColumn("block", spread(F.col("asked"), BLOCK_QUERIES, 2)).select("size", "block", "vec_id", "row", "vector"), "queries")
+    # full blocks: clusters of few queries share one, as a block's search costs a good part alike for few and for many
+    place = F.col("before") + F.pmod(F.xxhash64("row", F.lit(2)), F.greatest(F.lit(1), F.col("asked")))
+    queries = store.table(dealt.where(query == 1).withColumn("block", F.floor(place / BLOCK_QUERIES).cast("long")).select("size", "block", "vec_id", "row", "vector"), "queries")
     pieces = max(1, -(-trees.count() // ROOTS_AT_ONCE))
     roots = trees.select("size", "shard", "centre", "radius", F.pmod(F.xxhash64("shard"), F.lit(pieces)).alias("piece"))
     blocks = store.again(queries).select("size", "block").distinct()
