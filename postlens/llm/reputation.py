@@ -132,7 +132,7 @@ def host_reputation(hosts: DataFrame, z: float = 1.645, suffixes: DataFrame | No
     bad-page rate and ``z`` posterior standard deviations below it.
     """
     spark = hosts.sparkSession
-    rules = suffix_rules(suffixes if suffixes is not None else spark.createDataFrame([(x,) for x in SUFFIXES], "line string"))
+    rules = suffix_rules(suffixes if suffixes is not None else spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in SUFFIXES])).alias("line")))
     hosts = store.table(with_domains(store.table(hosts, "hosts"), rules), "hosts")
     sums = lambda df, *by: df.groupBy(*by).agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen"))
     domains = store.table(sums(hosts, "domain", "suffix"), "domains")
