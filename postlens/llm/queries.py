@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, ngram_join, reputation, secrets, store, substring_dedup, token_output, topk, warc
+from . import decontaminate, hard_negatives, hmm, language_id, mixing, ngram_join, reputation, secrets, store, substring_dedup, token_output, topk, warc, yinyang
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -173,6 +173,49 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"), model, path="source", vocabulary=words)
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yinyang.encode(_read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0).drop("looked")
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, label, j AS part, list_slice(e, j * len(e) // 16 + 1, (j + 1) * len(e) // 16) AS x FROM v, unnest(range(16)) AS t(j)),
+c0 AS (SELECT part, n - 1 AS entry, x AS c FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS n FROM p) WHERE n <= 64),
+a1 AS MATERIALIZED (SELECT p.vec_id, p.part, any_value(p.x) AS x, min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'entry': entry}) AS best FROM p JOIN c0 USING (part) GROUP BY 1, 2),
+m1 AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (SELECT part, best.entry AS entry, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a1, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+c1 AS MATERIALIZED (SELECT part, entry, coalesce(m1.c, c0.c) AS c FROM c0 LEFT JOIN m1 USING (part, entry)),
+a2 AS MATERIALIZED (SELECT p.vec_id, p.part, any_value(p.x) AS x, min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'entry': entry}) AS best FROM p JOIN c1 USING (part) GROUP BY 1, 2),
+m2 AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (SELECT part, best.entry AS entry, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a2, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+c2 AS MATERIALIZED (SELECT part, entry, coalesce(m2.c, c1.c) AS c FROM c1 LEFT JOIN m2 USING (part, entry)),
+a3 AS (SELECT p.vec_id, any_value(p.label) AS label, p.part, min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'entry': entry}) AS best FROM p JOIN c2 USING (part) GROUP BY p.vec_id, p.part),
+r AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{:02x}', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a3 GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, label, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM r, h
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"), label, every=50, scale=256.0, positives=5, k=3, low=50, high=95).drop("positive_rank")
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) WHERE n <= 5),
+r AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3
+"""
+
+
+def op13_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_ids": op2_token_ids,
@@ -184,6 +227,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_codebooks": op11_codebooks,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_hmm": op13_hmm,
 }
 
 ORACLES: dict[str, str] = {
@@ -193,4 +239,6 @@ ORACLES: dict[str, str] = {
     "op5_topk": OP5_SQL,
     "op6_url_filters": OP6_SQL,
     "op7_mixing": OP7_SQL,
+    "op11_codebooks": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }

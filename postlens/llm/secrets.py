@@ -124,7 +124,7 @@ def coverage(low: str, words: frozenset[str]) -> float:
     """The share of characters that dictionary words cover."""
     covered, end = 0, 0
     for i in range(len(low) - WORD_LENGTHS.start + 1):
-        longest = next((k for k in reversed(WORD_LENGTHS) if low[i : i + k] in words), 0) if low[i].isalpha() else 0
+        longest = next((k for k in reversed(WORD_LENGTHS) if i + k <= len(low) and low[i : i + k] in words), 0) if low[i].isalpha() else 0
         covered += max(0, i + longest - max(i, end))
         end = max(end, i + longest)
     return covered / len(low)

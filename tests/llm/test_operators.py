@@ -301,7 +301,7 @@ def test_tokens_of_null_and_repeated_ids(spark, tmp_path):
 
 def test_tokens_of_a_very_long_text(spark, tmp_path):
     r = random.Random(4)
-    long = "".join(f"w{r.randint(0, 9999)}" + r.choice([" ", " ", "\n"]) for _ in range(3_300_000))
+    long = "".join(f"w{r.randint(0, 9999)}" + r.choice([" ", " ", "\n"]) for _ in range(3_500_000))
     assert len(long) > 19 << 20
     rows, path = [(1, "short"), (2, long), (3, None)], str(tmp_path / "t")
     token_output.write_tokens(spark.createDataFrame([(1, "short"), (3, None)], "doc_id long, text string").union(spark.range(2, 3).select("id", F.lit(long))), path, token_vocabulary(), 2)

@@ -26,7 +26,7 @@ def test_same_rows_as_sql(spark, sf, duck, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
 
 
 def test_language_query(spark, sf):
