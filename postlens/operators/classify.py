@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clauses, content_sha256, has, matched_terms, rx, segments, tags, text_of
@@ -361,23 +361,24 @@ def market_reliable(status: Column, market_codes: Column, fit_codes: Column) ->
     return (status != "review_required") | (F.array_contains(market_codes, "CONTENT_CARRIED_FORWARD") & (fit_codes == F.array(F.lit("REPLAY_REQUIRED"))))
 
 
-def classify_snapshots(jobs: DataFrame, market_version: str, fit_version: str, skills_version: str) -> DataFrame:
-    """Classification rows of dated postings, with labels carried over days whose detail page failed.
+#: What a classification row says, in the order of its columns.
+_LABELS = ("market_relevance", "role_family", "ai_relation", "seniority_level")
+_OWN = ("content_sha256", "in_scope", *_LABELS, "secondary_role_families", "career_pool", "market_codes", "fit_codes", "evidence", "skill_tags", "classification_status")
+_IDENTITY = ("snapshot_date", "platform", "job_id", "company", "title", "url")
 
-    jobs: postings with ``snapshot_date``, and the resolved health columns
-    ``content_reliable`` and ``health_reasons``. Only observations that are in
-    scope, unknown or carried have a row.
-    """
-    from pyspark.sql import Window
 
-    none, text = F.array().cast("array<string>"), F.lit(None).cast("string")
-    content = c("content_reliable")
+def labelled(jobs: DataFrame) -> DataFrame:
+    """Dated postings with the labels of their own text, ``reliable``, ``failed`` (their detail page did) and ``anchor``.
+
+    anchor: what later days whose detail page fails may inherit; null where this day's failed. A fresh row is ``usable``,
+    a reliable posting out of scope or a doubtful row is not, and ends what was held before.
+    """
+    none, content = F.array().cast("array<string>"), c("content_reliable")
     failed = ~content & F.arrays_overlap("health_reasons", F.array(F.lit("DETAIL_FAILED_JOB_ID"), F.lit("PROBABLE_DETAIL_FAILURE")))
-    labels = ("market_relevance", "role_family", "ai_relation", "seniority_level")
     own = {
         "content_sha256": content_sha256(),
         "in_scope": c("market.in_scope"),
-        **{k: c(f"market.{k}") for k in labels},
+        **{k: c(f"market.{k}") for k in _LABELS},
         "secondary_role_families": c("market.secondary_role_families"),
         "career_pool": F.when(content, c("fit.career_pool")),
         "market_codes": c("market.reason_codes"),
@@ -386,23 +387,25 @@ def classify_snapshots(jobs: DataFrame, market_version: str, fit_version: str, s
         "skill_tags": F.when(content, c("skill_tags")).otherwise(none),
         "classification_status": F.when(content, "fresh").otherwise("review_required"),
     }
-    identity = ["snapshot_date", "platform", "job_id", "company", "title", "url"]
     cities = c("city_norm") if "city_norm" in jobs.columns else none.alias("city_norm")
-    labelled = add_skills(add_fit(add_market(jobs)))
-    # labels are computed once, before the one shuffle that carries them along each identity's days
-    rows = labelled.select(*identity, cities, content.alias("_content"), failed.alias("_failed"), *[v.alias(k) for k, v in own.items()]).repartition("platform", "job_id")
-    # what a later failure may inherit: a fresh row; a reliable posting out of scope, or a doubtful row, ends it
-    anchor = F.when(~c("_failed"), F.struct((c("_content") & c("in_scope")).alias("usable"), *own))
-    before = Window.partitionBy("platform", "job_id").orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(before))
-    carried = c("_failed") & F.coalesce(c("_anchor.usable"), F.lit(False))
-    rows = rows.withColumn("_state", F.when(carried, "carried").when(c("_failed"), "unknown").when(c("in_scope"), "today")).where("_state IS NOT NULL")
-    old = lambda k: c(f"_anchor.{k}")
+    rows = add_skills(add_fit(add_market(jobs))).select(*_IDENTITY, cities, content.alias("reliable"), failed.alias("failed"), *[v.alias(k) for k, v in own.items()])
+    return rows.withColumn("anchor", F.when(~c("failed"), F.struct((c("reliable") & c("in_scope")).alias("usable"), *_OWN)))
+
+
+def carried(rows: DataFrame, market_version: str, fit_version: str, skills_version: str) -> DataFrame:
+    """Classification rows of ``labelled`` rows with ``held``, the anchor that holds before their day (or null).
+
+    Only observations that are in scope, unknown or carried have a row.
+    """
+    none, text = F.array().cast("array<string>"), F.lit(None).cast("string")
+    inherits = c("failed") & F.coalesce(c("held.usable"), F.lit(False))
+    rows = rows.withColumn("_state", F.when(inherits, "carried").when(c("failed"), "unknown").when(c("in_scope"), "today")).where("_state IS NOT NULL")
+    old = lambda k: c(f"held.{k}")
     verify = F.when(old("career_pool").isin("P1", "P2"), F.array_union(old("fit_codes"), F.array(F.lit("DETAIL_VERIFICATION_REQUIRED")))).otherwise(old("fit_codes"))
     kept = {"classification_status": F.lit("carried_forward"), "market_codes": F.array_union(old("market_codes"), F.array(F.lit("CONTENT_CARRIED_FORWARD"))), "fit_codes": verify}
     no_quotes = F.struct(none.alias("title"), none.alias("description"), none.alias("requirements"))
     unknown = {
-        **{k: text for k in (*labels, "career_pool")},
+        **{k: text for k in (*_LABELS, "career_pool")},
         "in_scope": F.lit(None).cast("boolean"),
         "secondary_role_families": none,
         "skill_tags": none,
@@ -412,10 +415,21 @@ def classify_snapshots(jobs: DataFrame, market_version: str, fit_version: str, s
         "evidence": no_quotes,
     }
     state = lambda x: c("_state") == x
-    out = {k: F.when(state("carried"), kept.get(k, old(k))).when(state("unknown"), unknown.get(k, c(k))).otherwise(c(k)) for k in own}
+    out = {k: F.when(state("carried"), kept.get(k, old(k))).when(state("unknown"), unknown.get(k, c(k))).otherwise(c(k)) for k in _OWN}
     codes = F.struct(out.pop("market_codes").alias("market"), out.pop("fit_codes").alias("fit"))
     versions = F.struct(F.lit(market_version).alias("market"), F.lit(fit_version).alias("fit"), F.lit(skills_version).alias("skills"))
-    return rows.select(*identity, "city_norm", *[v.alias(k) for k, v in out.items()], codes.alias("reason_codes"), versions.alias("versions"))
+    return rows.select(*_IDENTITY, "city_norm", *[v.alias(k) for k, v in out.items()], codes.alias("reason_codes"), versions.alias("versions"))
+
+
+def classify_snapshots(jobs: DataFrame, market_version: str, fit_version: str, skills_version: str) -> DataFrame:
+    """Classification rows of dated postings, with labels carried over days whose detail page failed.
+
+    jobs: postings with ``snapshot_date``, and the resolved health columns ``content_reliable`` and ``health_reasons``.
+    """
+    # labels are computed once, before the one shuffle that carries them along each identity's days
+    rows = labelled(jobs).repartition("platform", "job_id")
+    before = Window.partitionBy("platform", "job_id").orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
+    return carried(rows.withColumn("held", F.last("anchor", ignorenulls=True).over(before)), market_version, fit_version, skills_version)
 
 
 def workplace_match(jobs: DataFrame) -> DataFrame:

@@ -99,6 +99,13 @@ def duplicate_events(events: DataFrame) -> DataFrame:
     return events.where(c("event_type").isin(*FLOWS)).groupBy("event_date", "platform", "job_id", "event_type").agg(F.count("*").alias("n")).where("n > 1")
 
 
+def refuse_duplicate_events(events: DataFrame) -> None:
+    """An identity has each flow at most once a day: fails on the first that repeats."""
+    found = duplicate_events(events).orderBy("event_date", "platform", "job_id").first()
+    if found is not None:
+        raise ValueError(f"DUPLICATE_LIFECYCLE_EVENT: {found.event_date} {found.platform} {found.job_id} {found.event_type} x{found.n}")
+
+
 def company_metrics(rows: DataFrame, flow: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``by, company``, its active, core, adjacent and P1 postings, and its flows; companies of either side."""
     keys = [*(by or []), "company"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import content_sha256
 from ..operators import classify, clean, health, lifecycle, trends
 from . import trend
-from .cut import cut
+from .cut import cut, drop
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,11 @@ class Replay:
     snapshots: DataFrame
     trend: trend.Trend
 
+    def drop(self) -> None:
+        """Delete the working tables; nothing of this can be read after."""
+        drop(self.postings, self.scope_health, self.classified, self.events)
+        self.trend.drop()
+
 
 def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(), confirmation_runs: int = 2) -> Replay:
     """jobs: postings with ``snapshot_date``; manifests: a row a platform and day with ``job_count`` and ``cities``."""

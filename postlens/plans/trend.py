@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import classify, health, trends
-from .cut import cut
+from .cut import cut, drop
 
 c = F.col
 KEYS = ["platform", "job_id"]
@@ -30,6 +30,10 @@ class Trend:
     flows: DataFrame
     diagnostics: DataFrame
 
+    def drop(self) -> None:
+        """Delete the working tables; nothing of this can be read after."""
+        drop(self.metrics, self.companies, self.reliability, self.flows)
+
 
 def sightings(observed: DataFrame, classified: DataFrame, versions: Column | None = None) -> DataFrame:
     """Each observed posting's label of the day and the days it holds for (``snapshot_date`` to before ``until``).
@@ -61,9 +65,16 @@ def labelled_events(events: DataFrame, seen: DataFrame, observed: DataFrame, sco
     return rows.withColumn("flow", trends.flow_of()).drop("_scope", "_scope_content", "_own_content")
 
 
-def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, manifests: DataFrame, versions: Column | None = None) -> Trend:
-    """observed: postings of all days with their health; the rest as ``replay`` gives it; manifests: ``snapshot_date, platform, detail_failed``."""
-    seen = sightings(observed, classified, versions)
+def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, manifests: DataFrame, versions: Column | None = None, held: tuple[DataFrame, DataFrame] | None = None) -> Trend:
+    """observed: postings of all days with their health; the rest as ``replay`` gives it; manifests: ``snapshot_date, platform, detail_failed``.
+
+    held: earlier sightings and their classification rows, whose labels still hold but whose days are not asked for. A flow
+    that repeats within a day for one identity is an error.
+    """
+    columns = ("snapshot_date", *KEYS, "content_reliable"), ("snapshot_date", *KEYS, "in_scope", "classification_status", "reason_codes", "career_pool", "company", "content_sha256", "versions")
+    all_seen = (df.select(*k) if more is None else df.select(*k).unionByName(more.select(*k)) for df, more, k in zip((observed, classified), held or (None, None), columns))
+    seen = sightings(*all_seen, versions)
+    trends.refuse_duplicate_events(events)
     flows = cut(labelled_events(events, seen, observed, scopes))
     day = ["snapshot_date", "platform"]
     good = classified.where(c("in_scope") & trends.usable(c("classification_status"), c("reason_codes.market"), c("career_pool")))
