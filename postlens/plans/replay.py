@@ -39,6 +39,13 @@ class Replay:
         self.trend.drop()
 
 
+def lifecycle_input(postings: DataFrame, scopes: DataFrame, day: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Presence and days as ``lifecycle`` takes them; day: ``snapshot_date, cities``."""
+    presence = postings.select("snapshot_date", "platform", "job_id", "company", "title", F.when(F.col("content_reliable"), content_sha256()).alias("sha"))
+    company = F.when(F.col("platform").isin(*health.MANY_COMPANIES), F.col("company")).alias("company")
+    return presence, scopes.join(day.select("snapshot_date", "cities"), "snapshot_date").select("snapshot_date", "platform", company, "presence_reliable", "cities", "reason_codes")
+
+
 def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(), confirmation_runs: int = 2) -> Replay:
     """jobs: postings with ``snapshot_date``; manifests: a row a platform and day with ``job_count`` and ``cities``."""
     day = manifests.select("snapshot_date", "job_count", "cities").dropDuplicates(["snapshot_date"])
@@ -47,9 +54,7 @@ def replay(jobs: DataFrame, manifests: DataFrame, versions: Versions = Versions(
     postings = health.resolve_jobs(clean.normalize_locations(jobs), scopes)
     postings, scopes = cut(postings), cut(scopes)  # read by labels, events and trends
     classified = cut(classify.classify_snapshots(postings, versions.market, versions.fit, versions.skills))  # by snapshots and reports
-    presence = postings.select("snapshot_date", "platform", "job_id", "company", "title", F.when(F.col("content_reliable"), content_sha256()).alias("sha"))
-    many = F.col("platform").isin(*health.MANY_COMPANIES)
-    days = scopes.join(day.select("snapshot_date", "cities"), "snapshot_date").select("snapshot_date", "platform", F.when(many, F.col("company")).alias("company"), "presence_reliable", "cities", "reason_codes")
+    presence, days = lifecycle_input(postings, scopes, day)
     events = cut(lifecycle.lifecycle(presence, days, confirmation_runs))
     counted = classified.where(F.col("in_scope") & trends.usable(F.col("classification_status"), F.col("reason_codes.market"), F.col("career_pool")))
     now = F.struct(F.lit(versions.market).alias("market"), F.lit(versions.fit).alias("fit"), F.lit(versions.skills).alias("skills"))
