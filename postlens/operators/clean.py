@@ -59,10 +59,14 @@ def company_values(jobs: DataFrame, field: str) -> DataFrame:
     return jobs.groupBy(or_missing(F.col("company")).alias("company"), or_missing(F.col(field)).alias("value")).agg(F.count("*").alias("n"))
 
 
-def clean_report(clean: DataFrame) -> DataFrame:
-    """``job_count, city_count, province_only_count``."""
+def report_counters() -> list[Column]:
+    """Aggregates over normalised rows: ``job_count, city_count, province_only_count``."""
     only = (F.size("province_norm") > 0) & F.forall("location_level", lambda x: x == "province")
-    return clean.agg(F.count("*").alias("job_count"), F.coalesce(F.sum(F.size("city_norm")), F.lit(0)).alias("city_count"), F.count_if(only).alias("province_only_count"))
+    return [F.count("*").alias("job_count"), F.coalesce(F.sum(F.size("city_norm")), F.lit(0)).alias("city_count"), F.count_if(only).alias("province_only_count")]
+
+
+def clean_report(clean: DataFrame) -> DataFrame:
+    return clean.agg(*report_counters())
 
 
 def education_values(jobs: DataFrame) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify, clean, evidence, health, ops, quality, report
@@ -56,11 +56,19 @@ def merge_platform(rows: DataFrame, manifest: DataFrame, path: str, day: str, pl
     files.write_day(new, path)
 
 
-def clean_day(raw: DataFrame, out: str, day: str) -> DataFrame:
-    """Normalise locations, write the day, return the report; raw columns and rows stay as they are."""
-    rows = clean.normalize_locations(raw).withColumn("snapshot_date", F.lit(day).cast("date"))
-    files.write_day(rows, out)
-    return clean.clean_report(rows)
+def clean_day(raw: DataFrame, out: str, day: str) -> dict[str, int]:
+    """Normalise locations, write the day, return its report: counters are taken while it is written, in the same job.
+
+    Raw columns and rows stay as they are. A day without rows replaces nothing.
+    """
+    seen = Observation("clean")
+    rows = clean.normalize_locations(raw).withColumn("snapshot_date", F.lit(day).cast("date")).observe(seen, *clean.report_counters())
+    # the folders that the rows name are replaced when the job commits; without rows none is
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date", "platform").parquet(out)
+    report = seen.get
+    if not report["job_count"]:
+        raise ValueError("no rows: the stored partitions stay as they are")
+    return report
 
 
 def audit_day(raw: DataFrame, manifest: DataFrame, job_count: int | None, enums: quality.Enums) -> dict[str, DataFrame]:

@@ -68,7 +68,14 @@ def test_collect_and_clean(spark, tmp_path):
     rows, m = daily.collect(pages, ["netease", "baidu"], ["深圳"])
     assert [r.job_id for r in rows.collect()] == ["1"]
     assert {r.platform: (r.status, r.jobs_in_scope, r.outside_city_scope) for r in m.collect()} == {"netease": ("success", 1, 1), "baidu": ("error", 0, 0)}
-    assert tuple(daily.clean_day(rows, str(tmp_path / "clean"), "2024-01-01").first()) == (1, 1, 0)
+    tracker, group = spark.sparkContext.statusTracker(), "clean-day"
+    spark.sparkContext.setJobGroup(group, "one job")
+    assert daily.clean_day(rows, str(tmp_path / "clean"), "2024-01-01") == {"job_count": 1, "city_count": 1, "province_only_count": 0}
+    writes = [j for j in tracker.getJobIdsForGroup(group)]
+    spark.sparkContext.setJobGroup("other", "")
+    assert writes and daily.clean.clean_report(daily.resolve_day(spark, str(tmp_path / "clean"), "2024-01-01")).first().job_count == 1
+    with pytest.raises(ValueError):
+        daily.clean_day(rows.limit(0), str(tmp_path / "clean"), "2024-01-01")
     assert daily.resolve_day(spark, str(tmp_path / "clean"), "2024-01-01").first().city_norm == ["深圳"]
 
 
