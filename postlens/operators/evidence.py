@@ -10,9 +10,10 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.text import is_missing
 
@@ -229,6 +230,36 @@ def education_hits(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names).astype({"start": "Int32", "end": "Int32"})
 
 
+SENTENCE = _struct(sentence=_TEXT, sentence_start=_INT, sentence_end=_INT)
+
+
+class Sentences:
+    """``sentences(text [, longest])``: a table function for LATERAL joins, a row a sentence with its place in the text."""
+
+    @staticmethod
+    def analyze(text: AnalyzeArgument, longest: AnalyzeArgument | None = None) -> AnalyzeResult:
+        if text.dataType not in (T.StringType(), T.NullType()):
+            raise ValueError("sentences(text): a string is needed")
+        if longest is not None and (not longest.isConstantExpression or not isinstance(longest.value, int) or longest.value < 1):
+            raise ValueError("sentences(text, longest): a positive number is needed, the same for all rows")
+        return AnalyzeResult(SENTENCE)
+
+    def eval(self, text: str | None, longest: int = LONGEST):
+        for x in sentences_of(text or "", longest):
+            yield x["sentence"], x["start"], x["end"]
+
+
+def register_sentences(spark: SparkSession) -> None:
+    """Make ``sentences`` known to the session's SQL."""
+    spark.udtf.register("sentences", F.udtf(Sentences, useArrow=True))
+
+
+def sentence_table(jobs: DataFrame, section: str) -> DataFrame:
+    """``jobs`` with a row for each sentence of one section: ``source_section, sentence, sentence_start, sentence_end``; by the table function."""
+    register_sentences(jobs.sparkSession)
+    return jobs.sparkSession.sql(f"SELECT j.*, '{section}' AS source_section, s.* FROM {{jobs}} j, LATERAL sentences(CASE WHEN trim(j.`{section}`) <> '' THEN j.`{section}` END) s", jobs=jobs)
+
+
 def sentence_rows(jobs: DataFrame, sections: tuple[str, ...] = ("requirements", "description")) -> DataFrame:
     """A row for each sentence of the sections, in their order; blank sections have none."""
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.when(is_missing(F.col(s)), "").otherwise(F.col(s)).alias("text")) for s in sections])

@@ -15,6 +15,7 @@ moved, so a run that broke off repeats its last day and replaces that day's rows
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.text import content_sha256
 from ..operators import classify, clean, health, lifecycle, trends
 from . import trend
-from .cut import cut, delete, drop, exists, move, partition_values
+from .cut import cut, delete, drop, exists, move, partition_values, shared_folder
 from .replay import Versions
 
 c = F.col
@@ -182,3 +183,32 @@ def compare_with_previous(spark: SparkSession, stores: Stores, day: str) -> dict
     """The comparison with the last replayed day before; none for the first one."""
     earlier = [d for d in partition_values(spark, f"{stores.results}/metrics", "snapshot_date") if d < day]
     return compare_stored(spark, stores, earlier[-1], day) if earlier else None
+
+
+def lifecycle_days(presence: DataFrame, days: DataFrame, confirmation_runs: int = 2) -> DataFrame:
+    """The events of ``lifecycle.lifecycle`` with the same input, a day at a time: each step reads the last one's state and its own day."""
+    spark = presence.sparkSession
+    dates = [(r.day, r.cities) for r in days.groupBy(c("snapshot_date").cast("string").alias("day")).agg(F.first("cities").alias("cities")).orderBy("day").collect()]  # a row a day
+    if not dates:
+        return lifecycle.lifecycle(presence, days, confirmation_runs)
+    store = f"{shared_folder(spark)}/postlens/days-{uuid.uuid4().hex[:12]}"
+    for name, df in (("presence", presence.where("snapshot_date IS NOT NULL")), ("scopes", days)):
+        df.repartition("snapshot_date").write.partitionBy("snapshot_date").parquet(f"{store}/{name}")
+    none = presence.limit(0).drop("snapshot_date")
+    seen = set(partition_values(spark, f"{store}/presence", "snapshot_date"))
+    state, before, last = spark.createDataFrame([], lifecycle.STATE), None, None
+    held: list[DataFrame] = []
+    out: list[DataFrame] = []
+    for day, cities in dates:
+        scopes = _day(spark, f"{store}/scopes", day)
+        moved = cut(lifecycle.advance(state, _day(spark, f"{store}/presence", day) if day in seen else none, scopes, before, day, cities, last, confirmation_runs))
+        out.append(cut(moved.select(F.inline("events"))))
+        drop(*held[:1])
+        held = [moved]
+        state, before, last = moved.drop("events"), scopes, cities
+    drop(*held)
+    delete(spark, store)
+    whole = out[0]
+    for df in out[1:]:
+        whole = whole.unionByName(df)
+    return whole

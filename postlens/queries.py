@@ -291,9 +291,10 @@ def lifecycle_daily_counts(spark, sf_dir):
     return lifecycle.daily_counts(_events(spark, sf_dir))
 
 
-@query(f"WITH {LIFECYCLE} SELECT t AS event_type, count(*) AS n FROM ev WHERE d > DATE '2024-01-14' AND d <= DATE '2024-01-21' AND st = 'confirmed' AND t IN ('NEW', 'REMOVED') GROUP BY 1")
+@query(f"WITH {LIFECYCLE} SELECT t AS event_type, count(*) AS n FROM ev WHERE d > (SELECT max(d) FROM s) - 7 AND st = 'confirmed' AND t IN ('NEW', 'REMOVED') GROUP BY 1")
 def window_totals(spark, sf_dir):
-    return trends.window_totals(_events(spark, sf_dir), F.lit("2024-01-21").cast("date"))
+    last = _sightings(spark, sf_dir).agg(F.max("snapshot_date")).first()[0]
+    return trends.window_totals(_events(spark, sf_dir), F.lit(last).cast("date"))
 
 
 @query("SELECT * FROM (SELECT event_type, user_id, lag(d) OVER w AS after, d AS before, datediff('day', lag(d) OVER w, d)::INT - 1 AS missing_days FROM (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS d FROM events) WINDOW w AS (PARTITION BY event_type, user_id ORDER BY d)) WHERE missing_days > 0")
@@ -356,19 +357,27 @@ def platform_and_total(spark, sf_dir):
 
 
 def _two_months(spark, sf_dir):
-    rows = trends.inventory(_classified(spark, sf_dir).where("snapshot_date IN (DATE'1996-01-01', DATE'1996-02-01')"))
-    at = lambda d: rows.where(c("snapshot_date") == F.lit(d).cast("date")).drop("snapshot_date")
-    return at("1996-01-01"), at("1996-02-01")
+    """The first month of all and the last."""
+    rows = _classified(spark, sf_dir)
+    ends = rows.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    rows = trends.inventory(rows.where(c("snapshot_date").isin(*ends)))
+    return tuple(rows.where(c("snapshot_date") == F.lit(d)).drop("snapshot_date") for d in ends)
 
 
-TWO = f"""{INVENTORY}, fa AS (SELECT * FROM inv WHERE snapshot_date = DATE '1996-01-01'), fb AS (SELECT * FROM inv WHERE snapshot_date = DATE '1996-02-01')"""
+def _steady(spark, sf_dir):
+    """The platforms that count, here those of an even number of orders."""
+    return read(spark, sf_dir, "orders").groupBy(c("o_orderpriority").alias("platform")).agg(F.count("*").alias("n")).where("n % 2 = 0").select("platform")
 
 
-@query(f"""WITH {TWO}, ks AS (SELECT dimension, key FROM fa UNION SELECT dimension, key FROM fb), sa AS (SELECT dimension, key, sum(n)::BIGINT AS a FROM fa WHERE platform IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2), sb AS (SELECT dimension, key, sum(n)::BIGINT AS b FROM fb WHERE platform IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2)
+TWO = f"""{INVENTORY}, fa AS (SELECT * FROM inv WHERE snapshot_date = (SELECT min(snapshot_date) FROM o)), fb AS (SELECT * FROM inv WHERE snapshot_date = (SELECT max(snapshot_date) FROM o)),
+pw AS (SELECT platform FROM o GROUP BY 1 HAVING count(*) % 2 = 0)"""
+
+
+@query(f"""WITH {TWO}, ks AS (SELECT dimension, key FROM fa UNION SELECT dimension, key FROM fb), sa AS (SELECT dimension, key, sum(n)::BIGINT AS a FROM fa WHERE platform IN (SELECT platform FROM pw) GROUP BY 1, 2), sb AS (SELECT dimension, key, sum(n)::BIGINT AS b FROM fb WHERE platform IN (SELECT platform FROM pw) GROUP BY 1, 2)
 SELECT dimension, key, coalesce(a, 0) AS from_n, coalesce(b, 0) AS to_n, coalesce(b, 0) - coalesce(a, 0) AS delta, (coalesce(b, 0) - coalesce(a, 0))::DOUBLE / nullif(coalesce(a, 0), 0) AS pct_change, true AS comparable FROM ks LEFT JOIN sa USING (dimension, key) LEFT JOIN sb USING (dimension, key)""")
 def snapshot_comparison(spark, sf_dir):
     before, after = _two_months(spark, sf_dir)
-    return trends.compare(before, after, spark.createDataFrame([("1-URGENT",), ("2-HIGH",)], "platform string"))
+    return trends.compare(before, after, _steady(spark, sf_dir))
 
 
 @query(f"WITH {TWO} SELECT DISTINCT dimension, key, NULL::BIGINT AS from_n, NULL::BIGINT AS to_n, NULL::BIGINT AS delta, NULL::DOUBLE AS pct_change, false AS comparable FROM (SELECT * FROM fa UNION ALL SELECT * FROM fb)")
@@ -480,9 +489,22 @@ def content_hashes(spark, sf_dir):
     return postings(spark, sf_dir).select("job_id", X.content_sha256().alias("content_sha256"))
 
 
-@query()
+#: Cuts after sentence marks (a full stop only if it does not end a number before a blank) and before bullets inside the text.
+SENTENCES = r"""t AS (SELECT CAST(doc_id AS VARCHAR) AS job_id, text, length(text) AS n FROM documents WHERE trim(text) <> ''),
+c0 AS (SELECT job_id, generate_subscripts(cs, 1) AS i, unnest(cs) AS ch FROM (SELECT job_id, string_split(text, '') AS cs FROM t)),
+ch AS (SELECT job_id, i, ch, coalesce(lead(ch) OVER w, '') AS nx, coalesce(lag(ch) OVER w, '') AS pv FROM c0 WINDOW w AS (PARTITION BY job_id ORDER BY i)),
+ct AS (SELECT job_id, i AS pos FROM ch WHERE ch IN ('。', '；', ';', chr(10), chr(13)) OR (ch = '.' AND NOT (regexp_matches(pv, '[0-9]') AND (nx = '' OR regexp_matches(nx, '\s')))) UNION
+  SELECT job_id, i - 1 FROM ch JOIN t USING (job_id) WHERE regexp_matches(pv, '[\s。；;]') AND regexp_matches(ch, '[-*•0-9（(]') AND regexp_matches(substr(text, i, 40), '^([-*•]|[0-9]+[.)、]|（[0-9]+）|\([0-9]+\))\s+') UNION SELECT job_id, 0 FROM t UNION SELECT job_id, n FROM t),
+rg AS (SELECT job_id, pos AS a, lead(pos) OVER (PARTITION BY job_id ORDER BY pos) AS b FROM ct),
+sg AS (SELECT job_id, a, substr(text, a + 1, b - a) AS raw FROM rg JOIN t USING (job_id) WHERE b IS NOT NULL),
+lg AS (SELECT job_id, a, CASE WHEN length(regexp_replace(raw, '^\s+|\s+$', '', 'g')) > 180 THEN regexp_replace(raw, '[；;\n\r]$', '') ELSE raw END AS raw FROM sg),
+bd AS (SELECT job_id, a + length(raw) - length(regexp_replace(raw, '^\s+', '')) AS s0, a + length(regexp_replace(raw, '\s+$', '')) AS e, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS body FROM lg),
+nb AS (SELECT *, regexp_replace(body, '^\s*([-*•]|[0-9]+[.)、]|（[0-9]+）|\([0-9]+\))\s*', '') AS bare FROM bd)"""
+
+
+@query(f"WITH {SENTENCES} SELECT job_id, 'description' AS source_section, bare AS sentence, (s0 + length(body) - length(bare))::INTEGER AS sentence_start, e::INTEGER AS sentence_end FROM nb WHERE bare <> ''")
 def sentence_spans(spark, sf_dir):
-    return evidence.sentence_rows(postings(spark, sf_dir)).select("job_id", "source_section", "sentence", "sentence_start", "sentence_end")
+    return evidence.sentence_table(postings(spark, sf_dir).select("job_id", "description"), "description").drop("description")
 
 
 @query()
@@ -496,4 +518,4 @@ def posting_labels(spark, sf_dir):
     return rows.select("job_id", "market.in_scope", "fit.career_pool", F.array_join("fit.reason_codes", ",").alias("fit_reasons"), F.array_join("skill_tags", ",").alias("skills"))
 
 
-from . import queries_labels, queries_sources, queries_trend  # noqa: E402,F401  further queries of the same tables
+from . import queries_jobs, queries_labels, queries_sources, queries_trend  # noqa: E402,F401  further queries of the same tables

@@ -37,16 +37,9 @@ def _parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return seen.drop("user", "sha"), classified, scopes, manifests
 
 
-_known: dict[tuple[str, str], trend.Trend] = {}
-
-
 def _trend(spark, sf_dir) -> trend.Trend:
-    """Made once a session and folder: the queries below show parts of one plan's checkpointed results. (None is in the benchmark.)"""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _known:
-        observed, classified, scopes, manifests = _parts(spark, sf_dir)
-        _known[key] = trend.trend(observed, classified, _events(spark, sf_dir), scopes, manifests)
-    return _known[key]
+    observed, classified, scopes, manifests = _parts(spark, sf_dir)
+    return trend.trend(observed, classified, _events(spark, sf_dir), scopes, manifests)
 
 
 #: Labels: l, a usable one in scope; o, known to be out of scope; r, a classification row.
@@ -128,7 +121,8 @@ def trend_comparability(spark, sf_dir):
     return _two_days(spark, sf_dir)["comparability"].withColumn("reason_codes", F.array_join("reason_codes", ","))
 
 
-AS_OF = "2024-01-20"
+#: The report's last day: a week before that of the events, so that days on both sides of it are there.
+AS_OF = "(SELECT max(CAST(ts AS DATE)) - 7 FROM events)"
 
 
 def _weekly(spark, sf_dir) -> dict[str, DataFrame]:
@@ -136,33 +130,34 @@ def _weekly(spark, sf_dir) -> dict[str, DataFrame]:
     good = c("in_scope") & (c("classification_status") == "fresh")
     rows = classified.withColumn("reliable", F.coalesce(good, F.lit(False)))
     days = scopes.groupBy("snapshot_date").agg(F.lit("x").alias("cities"), F.lit(True).alias("has_manifest"), F.lit(True).alias("reliable"), F.lit(True).alias("reviewed"), F.lit("v").alias("versions"))
-    return trend.weekly_report(rows, _events(spark, sf_dir), days, scopes, AS_OF)
+    last = scopes.agg(F.date_sub(F.max("snapshot_date"), 7).cast("string")).first()[0]
+    return trend.weekly_report(rows, _events(spark, sf_dir), days, scopes, last)
 
 
 WEEK = f"""{FLOW}, lb AS (SELECT d, p, id, bool_or(l) AS l FROM (SELECT d, p, id, l FROM q WHERE r UNION ALL SELECT d, p, id, false FROM ev WHERE t IN ('MISSING', 'REMOVED')) GROUP BY 1, 2, 3),
 nr AS (SELECT lb.*, x.n FROM lb JOIN (SELECT d, row_number() OVER (ORDER BY d) AS n FROM (SELECT DISTINCT d FROM s)) x USING (d)),
 gp AS (SELECT *, n - row_number() OVER (PARTITION BY p, id ORDER BY n) AS life FROM nr),
 la AS (SELECT p, id, d, bool_or(l) OVER (PARTITION BY p, id, life ORDER BY n) AS held FROM gp),
-tot AS (SELECT ev.t, ev.id FROM ev JOIN la ON la.p = ev.p AND la.id = ev.id AND la.d = ev.d WHERE held AND ev.st = 'confirmed' AND ev.t IN ('NEW', 'REMOVED') AND ev.d > DATE '{AS_OF}' - 7 AND ev.d <= DATE '{AS_OF}')"""
+tot AS (SELECT ev.t, ev.id FROM ev JOIN la ON la.p = ev.p AND la.id = ev.id AND la.d = ev.d WHERE held AND ev.st = 'confirmed' AND ev.t IN ('NEW', 'REMOVED') AND ev.d > {AS_OF} - 7 AND ev.d <= {AS_OF})"""
 
 
-@query(f"""WITH {WEEK}, ok AS (SELECT count(DISTINCT d) = 8 AS ok FROM s WHERE d BETWEEN DATE '{AS_OF}' - 7 AND DATE '{AS_OF}'), act AS (SELECT id FROM q WHERE l AND d = DATE '{AS_OF}')
+@query(f"""WITH {WEEK}, ok AS (SELECT count(DISTINCT d) = 8 AS ok FROM s WHERE d BETWEEN {AS_OF} - 7 AND {AS_OF}), act AS (SELECT id FROM q WHERE l AND d = {AS_OF})
 SELECT 'market' AS part, (SELECT count(*) FROM act) AS active_jobs, (SELECT count(DISTINCT id % 5) FROM act) AS companies, CASE WHEN ok THEN (SELECT count(*) FROM tot WHERE t = 'NEW') END AS new_7d, CASE WHEN ok THEN (SELECT count(*) FROM tot WHERE t = 'REMOVED') END AS removed_7d FROM ok UNION ALL
 SELECT 'qa_bridge', (SELECT count(*) FROM act WHERE id % 2 = 0), (SELECT count(DISTINCT id % 5) FROM act WHERE id % 2 = 0), CASE WHEN ok THEN (SELECT count(*) FROM tot WHERE t = 'NEW' AND id % 2 = 0) END, CASE WHEN ok THEN (SELECT count(*) FROM tot WHERE t = 'REMOVED' AND id % 2 = 0) END FROM ok""")
 def weekly_totals(spark, sf_dir):
     return _weekly(spark, sf_dir)["totals"]
 
 
-@query(f"""WITH {FLOW}, ok AS (SELECT count(DISTINCT d) = 8 AS ok FROM s WHERE d BETWEEN DATE '{AS_OF}' - 7 AND DATE '{AS_OF}'), n AS (SELECT id FROM q WHERE l AND d = DATE '{AS_OF}'), b AS (SELECT id FROM q WHERE l AND d = DATE '{AS_OF}' - 7),
+@query(f"""WITH {FLOW}, ok AS (SELECT count(DISTINCT d) = 8 AS ok FROM s WHERE d BETWEEN {AS_OF} - 7 AND {AS_OF}), n AS (SELECT id FROM q WHERE l AND d = {AS_OF}), b AS (SELECT id FROM q WHERE l AND d = {AS_OF} - 7),
 nn AS (SELECT 't' || (id % 4) AS tag, count(*) AS m, count(DISTINCT id % 5) AS c FROM n GROUP BY 1), bb AS (SELECT 't' || (id % 4) AS tag, count(*) AS m, count(DISTINCT id % 5) AS c FROM b GROUP BY 1),
 xx AS (SELECT tag, nn.m, nn.c, coalesce(bb.m, 0) AS om, coalesce(bb.c, 0) AS oc, (SELECT count(*) FROM n) AS a, (SELECT count(*) FROM b) AS oa, ok FROM nn LEFT JOIN bb USING (tag), ok)
 SELECT tag, m AS mentions, m::DOUBLE / a AS mention_share, c AS companies, CASE WHEN ok THEN m - om END AS change, CASE WHEN ok THEN m::DOUBLE / a - CASE WHEN oa = 0 THEN 0.0::DOUBLE ELSE om::DOUBLE / oa END END AS share_change, CASE WHEN ok THEN c - oc END AS companies_change,
-coalesce(ok AND m > om AND m::DOUBLE / a > CASE WHEN oa = 0 THEN 0.0::DOUBLE ELSE om::DOUBLE / oa END AND c > oc AND c > 1, false) AS rising, tag NOT IN (SELECT 't' || (id % 4) FROM q WHERE content AND r AND d < DATE '{AS_OF}') AS newly_observed FROM xx""")
+coalesce(ok AND m > om AND m::DOUBLE / a > CASE WHEN oa = 0 THEN 0.0::DOUBLE ELSE om::DOUBLE / oa END AND c > oc AND c > 1, false) AS rising, tag NOT IN (SELECT 't' || (id % 4) FROM q WHERE content AND r AND d < {AS_OF}) AS newly_observed FROM xx""")
 def weekly_skills(spark, sf_dir):
     return _weekly(spark, sf_dir)["skills"]
 
 
-@query(f"SELECT DISTINCT event_type AS platform, '' AS company, '' AS reason_codes FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{AS_OF}' - 7 AND DATE '{AS_OF}' AND day(CAST(ts AS DATE)) % 9 = 4")
+@query(f"SELECT DISTINCT event_type AS platform, '' AS company, '' AS reason_codes FROM events WHERE CAST(ts AS DATE) BETWEEN {AS_OF} - 7 AND {AS_OF} AND day(CAST(ts AS DATE)) % 9 = 4")
 def weekly_blocked_scopes(spark, sf_dir):
     return _weekly(spark, sf_dir)["blocked"].withColumn("reason_codes", F.array_join("reason_codes", ","))
 
