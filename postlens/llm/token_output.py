@@ -12,7 +12,7 @@ its special tokens in a text becomes that token's id.
 Edge cases: a null text is encoded as an empty one, so every document has at
 least its end id; null ids come first, and documents of equal (or null) id follow
 one another by a hash of their texts, which also lets them be dealt over many
-shards; a text of any length is one row, worked on by itself; an empty table gives
+shards; a text of any length is one row, encoded in parts of bounded size where it can be cut; an empty table gives
 empty output. Only ``doc_id`` and ``text`` are read, so further columns of any
 name do no harm.
 """
@@ -20,6 +20,7 @@ name do no harm.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import compress, repeat
@@ -76,6 +77,30 @@ def _ids_of(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, np.uint32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
 
+#: A single blank between two other characters: no piece goes across it, so a text can be cut before it.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _whole_ids(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of texts that are not to be taken apart, except that long ones go to the tokenizer in parts of about CALL_BYTES.
+
+    A run of more characters without a single blank between two others is one part.
+    """
+    safe = not any(" " in token for token in _added(path))
+    parts: list[str] = []
+    of_text = np.zeros(len(texts), np.int64)
+    for n, text in enumerate(texts):
+        at = 0
+        while safe and len(text) - at > CALL_BYTES and (m := _CUT.search(text, at + CALL_BYTES)):
+            parts.append(text[at : m.start()])
+            of_text[n] += 1
+            at = m.start()
+        parts.append(text[at:])
+        of_text[n] += 1
+    ids, count = _ids_of(parts, path)
+    return ids, np.add.reduceat(count, np.cumsum(of_text) - of_text) if len(texts) else count
+
+
 def _added(path: str) -> list[str]:
     """The strings that the tokenizer takes out of a text before all else."""
     return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
@@ -100,7 +125,10 @@ class _Pieces:
     def __init__(self, path: str):
         self.path, self.number, self.held = path, {}, 0
         self.seen = np.zeros(SEEN, bool)
-        self.ids, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        # what is remembered, and behind it the new pieces of the last call, until the next one keeps some of them
+        self.ids, self.count, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.n_ids = self.n_pieces = 0
+        self.last: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def _encode(self, pieces: list[str], alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         joined = list(compress(pieces, (~alone).tolist())) if alone.any() else pieces
@@ -120,24 +148,45 @@ class _Pieces:
 
     def __call__(self, pieces: pa.Array, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and count and first place of each piece; those that are not new to this worker, or ``often`` here, are remembered."""
-        listed = pieces.to_pylist()
+        self._keep_last()
+        listed = pieces.to_numpy(zero_copy_only=False).tolist()  # far quicker than one scalar after another
         known = self.number
         at = np.fromiter(map(known.get, listed, repeat(-1)), np.int64, len(listed))
         new = np.flatnonzero(at < 0)
         fresh = list(compress(listed, (at < 0).tolist()))
         alone = pc.match_substring_regex(pieces.take(pa.array(new)), _BLANK_EDGE).to_numpy(zero_copy_only=False)
         ids, count = self._encode(fresh, alone)
-        at[new] = len(self.count) + np.arange(len(new))
-        all_ids, all_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        at[new] = self.n_pieces + np.arange(len(new))
+        self._append(ids, count, len(ids), len(count))
+        upto = self.n_ids + len(ids)
         if len(known) < CACHED and self.held < CACHED_BYTES:
             mark = np.fromiter(map(hash, fresh), np.int64, len(fresh)) & (SEEN - 1)
             keep = often[new] | self.seen[mark]
             self.seen[mark] = True
             kept = list(compress(fresh, keep.tolist()))
             self.held += sum(map(len, kept))
-            known.update(zip(kept, range(len(self.count), len(self.count) + len(kept))))
-            self.ids, self.count = np.concatenate([self.ids, ids[np.repeat(keep, count)]]), np.concatenate([self.count, count[keep]])
-        return all_ids, all_count[at], (np.cumsum(all_count) - all_count)[at]
+            known.update(zip(kept, range(self.n_pieces, self.n_pieces + len(kept))))
+            self.last = ids, count, keep
+        return self.ids[:upto], self.count[at], self.begin[at]
+
+    def _append(self, ids: np.ndarray, count: np.ndarray, n_ids: int, n_pieces: int) -> None:
+        """Put pieces behind those remembered, in buffers that grow by doubling."""
+        for name, used in (("ids", self.n_ids + n_ids), ("count", self.n_pieces + n_pieces), ("begin", self.n_pieces + n_pieces)):
+            old = getattr(self, name)
+            if used > len(old):
+                grown = np.zeros(max(used, 2 * len(old)), old.dtype)
+                grown[: len(old)] = old
+                setattr(self, name, grown)
+        self.ids[self.n_ids : self.n_ids + n_ids] = ids
+        self.count[self.n_pieces : self.n_pieces + n_pieces] = count
+        self.begin[self.n_pieces : self.n_pieces + n_pieces] = self.n_ids + np.cumsum(count) - count
+
+    def _keep_last(self) -> None:
+        if self.last is not None:
+            ids, count, keep = self.last
+            self.last, kept = None, ids[np.repeat(keep, count)]
+            self._append(kept, count[keep], len(kept), int(keep.sum()))
+            self.n_ids, self.n_pieces = self.n_ids + len(kept), self.n_pieces + int(keep.sum())
 
 
 def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,13 +212,13 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     if path not in _pieces:
         _pieces[path] = _Pieces(path)
     ids, count, begin = _pieces[path](distinct, np.bincount(index, minlength=len(distinct)) > 1)
-    more, more_count = _ids_of(distinct.take(pa.array(bare)).to_pylist(), path)
+    more, more_count = _ids_of(distinct.take(pa.array(bare)).to_numpy(zero_copy_only=False).tolist(), path)
     begin = np.concatenate([begin, len(ids) + np.cumsum(more_count) - more_count])
     ids, count = np.concatenate([ids, more]), np.concatenate([count, more_count])
     index[~lead] = len(distinct) + np.searchsorted(bare, index[~lead])
     wholes = np.flatnonzero(whole)
     if len(wholes):  # their pieces follow the distinct ones; such a text is one empty piece so far
-        more, more_count = _ids_of([texts[int(i)].as_py() for i in wholes], path)
+        more, more_count = _whole_ids([texts[int(i)].as_py() for i in wholes], path)
         begin = np.concatenate([begin, len(ids) + np.cumsum(more_count) - more_count])
         index[(np.cumsum(per_text) - per_text)[wholes]] = len(count) + np.arange(len(wholes))
         ids, count = np.concatenate([ids, more]), np.concatenate([count, more_count])

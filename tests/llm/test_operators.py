@@ -308,6 +308,18 @@ def test_tokens_of_a_very_long_text(spark, tmp_path):
     assert sorted(map(tuple, token_output.read_digests(spark, path).collect())) == digests(plain_ids(rows))
 
 
+def test_long_texts_in_parts(monkeypatch):
+    """A text that is not taken apart gives the same ids in parts of any size as in one call."""
+    r = random.Random(8)
+    text = "".join(r.choice(["word", "Wörter", "12", "'s", "!?", "<|endoftext|>", "\n", "é", "\u00a0", "\x1f"]) + r.choice([" ", "  ", " ", "\n ", ""]) for _ in range(4000))
+    path = token_vocabulary()
+    want = token_output.tokenizer(path).encode(text, add_special_tokens=False).ids
+    for size in (64, 1000, 1 << 20):
+        monkeypatch.setattr(token_output, "CALL_BYTES", size)
+        ids, count = token_output._whole_ids([text, "", text[:50]], path)
+        assert ids[: count[0]].tolist() == want and count[1] == 0 and len(ids) == count.sum()
+
+
 # 1: WARC
 
 
