@@ -361,6 +361,12 @@ def market_reliable(status: Column, market_codes: Column, fit_codes: Column) ->
     return (status != "review_required") | (F.array_contains(market_codes, "CONTENT_CARRIED_FORWARD") & (fit_codes == F.array(F.lit("REPLAY_REQUIRED"))))
 
 
+def spread(jobs: DataFrame) -> DataFrame:
+    """``jobs`` over all cores where it comes in fewer partitions than there are: labels cost milliseconds a text, its shuffle microseconds."""
+    cores = jobs.sparkSession.sparkContext.defaultParallelism
+    return jobs.repartition(cores) if jobs.rdd.getNumPartitions() < 2 * cores else jobs
+
+
 #: What a classification row says, in the order of its columns.
 _LABELS = ("market_relevance", "role_family", "ai_relation", "seniority_level")
 _OWN = ("content_sha256", "in_scope", *_LABELS, "secondary_role_families", "career_pool", "market_codes", "fit_codes", "evidence", "skill_tags", "classification_status")
