@@ -15,8 +15,9 @@ To verify them, only documents in a hash bucket of one with a hit are joined; th
 ``BUCKETS`` numbers are all that is broadcast, however many documents have hits.
 
 Edge cases: null and short texts have no seeds that an item has; items of fewer than
-``SHORTEST`` words are not looked for; null item texts are left out; documents that
-share a doc_id are one, and those without one are told apart by their texts; empty tables give
+``SHORTEST`` words are not looked for; null item texts are left out; rows that
+share a doc_id, or have none, are judged each by its own text (equal texts of one id are one document); of
+equal windows on several diagonals the first in the document is told; empty tables give
 an empty result. Only ``doc_id, text`` and ``item_id, text`` are read.
 """
 
@@ -72,9 +73,9 @@ def _seeds(words: str, mask: str, places: Column) -> Column:
 
 
 def _key() -> dict[str, Column]:
-    """What names a document: its id or, without one, its text."""
+    """What names a document: its id and a hash of its text, which tells null ids from others."""
     none = F.col("doc_id").isNull()
-    return {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "mark": F.when(none, F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0))}
+    return {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "mark": F.xxhash64("text", none)}
 
 
 def _bucket(doc: Column, mark: Column) -> Column:
@@ -116,7 +117,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> Da
         seeds = rows if seeds is None else seeds.unionByName(rows)
     seeds = store.table(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // SEEDS_AT_ONCE))
-    keyed = docs.select(*[v.alias(k) for k, v in _key().items()], "text")
+    keyed = docs.where(F.col("text").isNotNull()).select(*[v.alias(k) for k, v in _key().items()], F.col("doc_id").isNull().alias("nameless"), "text")
     hits = None
     for k in range(blocks):
         found = _hits(keyed, seeds.where(F.pmod("seed", F.lit(blocks)) == k), masks)
@@ -130,23 +131,23 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: int) -> Da
     length = F.greatest(F.lit(0), F.least(n - start, m - skip))
     agree = F.zip_with(F.slice("words", start + 1, length), F.slice("item_words", skip + 1, length), lambda a, b: F.when(a == b, 1).otherwise(0))
     # written, as the windows below would otherwise split the text again at each place
-    pairs = store.table(pairs.select("doc", "mark", "item_id", "diagonal", m.alias("item_size"), agree.alias("same")), "overlaps")
+    pairs = store.table(pairs.select("doc", "mark", "nameless", "item_id", "diagonal", m.alias("item_size"), agree.alias("same")), "overlaps")
     m = F.col("item_size")
     wide = F.least(F.lit(window), m)
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("same") - wide + 1)), lambda i: F.aggregate(F.slice("same", i, wide), F.lit(0), lambda a, b: a + b)))
-    checked = pairs.select("doc", "mark", "item_id", "diagonal", best.alias("matched"), wide.alias("aligned")).where(F.col("matched") * window >= F.col("aligned") * least)
-    one = checked.groupBy("doc", "mark", "item_id").agg(F.max(F.struct("matched", (-F.col("diagonal")).alias("d"), "aligned")).alias("x"))
-    return one.select("doc", "mark", "item_id", (-F.col("x.d")).alias("diagonal"), F.col("x.matched").alias("matched"), F.col("x.aligned").alias("aligned"))
+    checked = pairs.select("doc", "mark", "nameless", "item_id", "diagonal", best.alias("matched"), wide.alias("aligned")).where(F.col("matched") * window >= F.col("aligned") * least)
+    one = checked.groupBy("doc", "mark", "nameless", "item_id").agg(F.max(F.struct("matched", (-F.col("diagonal")).alias("d"), "aligned")).alias("x"))
+    return one.select("doc", "mark", "nameless", "item_id", (-F.col("x.d")).alias("diagonal"), F.col("x.matched").alias("matched"), F.col("x.aligned").alias("aligned"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:
-    """``doc_id, item_id, diagonal, matched, aligned``: documents that hold a passage of a benchmark item.
+    """``doc_id, item_id, diagonal, matched, aligned``: documents that hold a passage of a benchmark item, a row for each text and item.
 
     matched: agreeing words in the best window (of ``aligned`` words); diagonal:
     the word of the document at which the item would begin.
     """
     found = _leaks(docs, benchmark, window, least)
-    return found.select(F.when(F.col("mark") == 0, F.col("doc")).alias("doc_id"), "item_id", "diagonal", "matched", "aligned")
+    return found.select(F.when(~F.col("nameless"), F.col("doc")).alias("doc_id"), "item_id", "diagonal", "matched", "aligned")
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 10) -> DataFrame:

@@ -10,9 +10,10 @@ Reading parses archives by Content-Length, so payloads may hold anything; gzip
 files of one or many members and plain files are read alike. ``assemble`` joins
 the records of a capture through the concurrent-to identifiers into one row.
 
-An archive is read by one task as a whole, so its size is bounded by bytes: about
-ARCHIVE_BYTES of payloads, whatever their mean; payloads over LARGE_BYTES go to
-archives of their own, of few records. A payload has to fit one value of Spark (2 GB).
+An archive is read by one task as a whole, so its size is bounded by bytes: payloads
+are written by classes of size (SIZES), each class in archives of as many records as
+make ARCHIVE_BYTES of its longest one, so no archive has more, however the pages lie; payloads beyond the last class are
+archives of few records, at least one. A payload has to fit one value of Spark (2 GB).
 
 Edge cases: a null payload is empty; a null or multi-line URL is written on one
 line; repeated page rows are captures of their own (none revisits the other, as
@@ -39,8 +40,8 @@ from . import store
 LEAST_REVISIT_BYTES = 1000
 #: Payload bytes of an archive, and pages of one at most.
 ARCHIVE_BYTES, ARCHIVE_PAGES = 64 << 20, 4000
-#: Longer payloads get archives of their own: among the rest none can make an archive much larger than the mean says.
-LARGE_BYTES = 4 << 20
+#: The longest payload of each class of sizes.
+SIZES = (1 << 16, 1 << 20, 1 << 24)
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORD = "record_id string, warc_type string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload_bytes long, fields string"
@@ -71,7 +72,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
     """Write the captures of ``pages`` (``page_id, url, html``) as archives in the folder ``path``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
-    mean, most = pages.agg(F.avg("size"), F.max("size")).first()
+    edges = [-1, *SIZES]
+    inside = [(F.col("size") > a) & (F.col("size") <= b) for a, b in zip(edges, SIZES)] + [F.col("size") > SIZES[-1]]
+    longest = pages.agg(*[F.max(F.when(x, F.col("size"))) for x in inside]).first()  # of each class; null if it is empty
     repeated = pages.where(F.col("size") >= LEAST_REVISIT_BYTES).groupBy("digest", "size").agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     paged = pages.join(repeated, ["digest", "size"], "left")
     name = lambda page: _uuid(F.concat_ws(":", F.lit("payload"), F.coalesce(page.cast("string"), F.lit("")), "digest"))
@@ -103,16 +106,16 @@ def write_archives(pages: DataFrame, path: str) -> None:
     fields = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\r\n"))
     metadata = _record(F.lit("metadata"), _uuid(F.concat(F.lit("metadata"), "request_id")), uri, fields, "application/warc-fields", with_request)
 
-    def write(some: DataFrame, each: float, mode: str) -> None:
-        count = 3 * max(1, min(ARCHIVE_PAGES, int(ARCHIVE_BYTES / max(1.0, each))))
+    def write(some: DataFrame, most: int, mode: str) -> None:
+        count = 3 * max(1, min(ARCHIVE_PAGES, ARCHIVE_BYTES // max(1, most)))
         records = some.select(*columns()).select(F.explode(F.array(request, response, metadata)).alias("value"))
         records.write.mode(mode).option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", count).text(path)
 
-    if (most or 0) <= LARGE_BYTES:
-        write(paged, mean or 0.0, "errorifexists")
-    else:
-        write(paged.where(F.col("size") <= LARGE_BYTES), mean, "errorifexists")
-        write(paged.where(F.col("size") > LARGE_BYTES), most, "append")
+    some = [(x, most) for x, most in zip(inside, longest) if most is not None]
+    for n, (x, most) in enumerate(some):
+        write(paged.where(x), most, "append" if n else "errorifexists")
+    if not some:
+        write(paged, 0, "errorifexists")
 
 
 def _records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

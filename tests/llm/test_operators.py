@@ -338,16 +338,17 @@ def test_warc(spark):
 
 def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4 << 20)
-    monkeypatch.setattr(warc, "LARGE_BYTES", 1 << 20)
+    monkeypatch.setattr(warc, "SIZES", (1 << 12, 1 << 18, 1 << 20))
     r = random.Random(1)
     text = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
     rows = [(i, "u", text(r.randint(100_000, 300_000))) for i in range(60)] + [(100 + i, "u", text(3 << 20)) for i in range(3)] + [(200, "u", None)]
+    rows += [(300 + i, "u", text((1 << 18) - i)) for i in range(40)] + [(400 + i, "u", "short") for i in range(500)]  # many just under an edge, and a mean that says little
     pages = table(spark, rows, "page_id long, url string, html string")
     warc.write_archives(pages, str(tmp_path / "a"))
     import gzip
 
     sizes = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "a").glob("*.gz")]
-    assert max(sizes) < 8 << 20 and len(sizes) >= 6
+    assert max(sizes) < (4 << 20) + (1 << 18) and len(sizes) >= 9  # the payloads' bytes, and headers
     got = warc.resolve_revisits(warc.assemble(warc.read_records(spark, str(tmp_path / "a")))).collect()
     assert sorted((x.page_id, x.payload_digest) for x in got) == sorted((i, hashlib.sha1((t or "").encode()).hexdigest()) for i, _, t in rows)
 
@@ -627,6 +628,26 @@ def test_leaks(spark, monkeypatch):
     assert decontaminate.find_leaks(docs.limit(0), bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_leaks_of_repeated_ids(spark, monkeypatch):
+    """A leak in one text of an id leaves the id's other texts alone; the same for rows without id, and for id 0 beside them."""
+    item = " ".join(f"x{i}" for i in range(20))
+    rows = [(1, "clean words here"), (1, f"so {item} end"), (1, f"so {item} end"), (None, "clean words here"), (None, item), (0, item), (0, "other clean text"), (2, "clean words here")]
+    docs, bench = table(spark, rows, "doc_id long, text string"), table(spark, [(7, item)], "item_id long, text string")
+    got = sorted((repr(r.doc_id), r.item_id) for r in decontaminate.find_leaks(docs, bench).collect())
+    assert got == [("0", 7), ("1", 7), ("None", 7)]
+    want = sorted(map(repr, [r for r in rows if item not in r[1]]))
+    for most in (decontaminate.LEAKS_AT_ONCE, 0):
+        monkeypatch.setattr(decontaminate, "LEAKS_AT_ONCE", most)
+        assert sorted(repr(tuple(r)[:2]) for r in decontaminate.remove_leaks(docs, bench).collect()) == want
+
+
+def test_ties_between_diagonals(spark):
+    """Of equal windows the first in the document is told."""
+    item = " ".join(f"x{i}" for i in range(13))
+    docs = table(spark, [(1, f"a {item} b {item}")], "doc_id long, text string")
+    assert [tuple(r) for r in decontaminate.find_leaks(docs, table(spark, [(7, item)], "item_id long, text string")).collect()] == [(1, 7, 1, 13, 13)]
+
+
 def test_seeds_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SEEDS_AT_ONCE", 7)
     item = " ".join(f"w{i}" for i in range(20))
