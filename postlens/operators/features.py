@@ -1,4 +1,4 @@
-"""Decisions from parsed experience, education and city (a specification the source project describes but does not run)."""
+"""Parsed experience and education: buckets, preferences, statuses. The decisions themselves are tables (``decisions``)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ c = F.col
 PREFERENCE = r"优先|加分|更佳|尤佳|者优先|可考虑"
 #: Worst first (fixed values).
 STATUS_ORDER = ("conflict", "partial", "ok", "not_required", "unknown")
-DEGREES = ("associate", "bachelor", "master", "phd")
 
 
 def years_bucket(years: Column) -> Column:
@@ -22,27 +21,11 @@ def hard_and_preferred(clauses: Column) -> Column:
     return F.struct(F.filter(clauses, lambda x: ~wish(x)).alias("hard"), F.filter(clauses, wish).alias("preferred"))
 
 
-def degree_rank(degree: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(x) for x in DEGREES]), degree)
-
-
 def worst_status(rows: DataFrame, keys: list[str]) -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(x) for x in STATUS_ORDER]), c("status"))
     return rows.groupBy(*keys).agg(F.min_by("status", rank).alias("status"))
 
 
-def decide(values: Column, wanted: Column, status: Column) -> Column:
-    """pass if what is asked is had, reject if not, grey where it isn't known."""
-    return F.when(status.isin("conflict", "unknown"), "grey").when((F.size(values) == 0) | F.arrays_overlap(values, wanted), "pass").otherwise("reject")
-
-
-def final_pool(decisions: dict[str, Column]) -> tuple[Column, Column]:
-    """reject before grey before pass, and the decisions that are not pass, in order."""
-    any_ = lambda v: F.exists(F.array(*decisions.values()), lambda x: x == v)
-    reasons = F.array_compact(F.array(*[F.when(d != "pass", F.concat(F.lit(f"{k}_"), d)) for k, d in decisions.items()]))
-    return F.when(any_("reject"), "reject").when(any_("grey"), "grey").otherwise("pass"), reasons
-
-
 def joined(values: Column) -> Column:
     return F.array_join(F.array_distinct(values), ";")
 

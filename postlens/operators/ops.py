@@ -29,7 +29,7 @@ def interpretation(sources: DataFrame, limitations: DataFrame, run_date: str) ->
     content_reliable, reason_codes``; limitations: ``id, platform, status, allowed_reasons, review_after``.
     """
     explained = F.array(*[F.lit(x) for x in ("LIST_INCOMPLETE", "SOURCE_INCOMPLETE", "UNVERIFIED_STOP_REASON", "LIST_RECORDS_INCOMPLETE")])
-    s, k = sources.alias("s"), F.broadcast(limitations.where(c("status") == "active")).alias("k")
+    s, k = sources.alias("s"), limitations.where(c("status") == "active").alias("k")
     reasons, allowed = c("s.completeness_reasons"), c("k.allowed_reasons")
     matches = (
         (c("s.platform") == c("k.platform")) & (c("s.status") == "partial") & ~c("s.complete") & (c("s.error") == "") & F.array_contains(allowed, c("s.stopped_by"))

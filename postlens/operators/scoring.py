@@ -121,3 +121,29 @@ def fixture_identities(rules: list[str], cases: DataFrame, fields: tuple[str, ..
     values = cases.select(F.inline(F.array(*[F.struct(F.lit(k).alias("field"), c(k).cast("string").alias("value")) for k in held]))).where("length(value) > 2").distinct()
     patterns = spark.createDataFrame([(r,) for r in rules], "pattern string")
     return values.join(F.broadcast(patterns), F.contains("pattern", c("value")), "left_semi")  # rules are a module's constants
+
+
+def split_regression(labelled: DataFrame, expected: DataFrame, suite: str = "both") -> tuple[DataFrame, DataFrame]:
+    """Market and fit labels held against expectations apart: ``suite, total, passed, failed``, and ``suite, case_id, field, expected, actual`` of what differs.
+
+    labelled: ``case_id`` and the structs ``market`` and ``fit``; expected: ``case_id, in_scope, role_family, ai_relation, seniority_level,
+    career_pool, fit_reason_codes``. Fit is judged only of cases that the market takes in. Cases without an expectation, or the reverse, are an error.
+    """
+    fields = {"market": {k: c(f"market.{k}") for k in ("in_scope", "role_family", "ai_relation", "seniority_level")}, "fit": {"career_pool": c("fit.career_pool"), "fit_reason_codes": F.array_join("fit.reason_codes", ",")}}
+    if suite not in ("both", *fields):
+        raise ValueError(f"unknown suite: {suite}")
+    names = tuple(fields) if suite == "both" else (suite,)
+    want = expected.withColumn("fit_reason_codes", F.array_join("fit_reason_codes", ","))
+    both = labelled.join(want.select(c("case_id").alias("_id"), *[c(k).alias(f"_{k}") for k in want.columns if k != "case_id"]), c("case_id") == c("_id"), "full_outer")
+    stray = both.where("case_id IS NULL OR _id IS NULL").select(F.coalesce("case_id", "_id").alias("id")).orderBy("id").first()
+    if stray is not None:
+        raise ValueError(f"EXPECTATIONS_MUST_COVER_THE_CASES: {stray.id}")
+    total, failures = None, None
+    for name in names:
+        mine = both.where("market.in_scope") if name == "fit" else both
+        each = F.array(*[F.struct(F.lit(k).alias("field"), c(f"_{k}").cast("string").alias("expected"), v.cast("string").alias("actual")) for k, v in fields[name].items()])
+        rows = mine.select("case_id", F.filter(each, lambda x: ~x["expected"].eqNullSafe(x["actual"])).alias("wrong"))
+        one = rows.agg(F.lit(name).alias("suite"), F.count("*").alias("total"), F.count_if(F.size("wrong") == 0).alias("passed"), F.count_if(F.size("wrong") > 0).alias("failed"))
+        bad = rows.select(F.lit(name).alias("suite"), "case_id", F.inline("wrong"))
+        total, failures = (one, bad) if total is None else (total.unionByName(one), failures.unionByName(bad))
+    return total, failures

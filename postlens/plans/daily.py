@@ -106,12 +106,50 @@ def explore(jobs: DataFrame, scope: DataFrame) -> dict[str, DataFrame]:
     return {"selected": chosen, "excluded": report.exclusion_breakdown(rows.where("exclusion_codes IS NOT NULL")), "skills": report.ranking(chosen, "skill_tags", order="job_id"), "counters": report.counters(rows), "labels": labels}
 
 
+def day_sources(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
+    """One day's sources as ``ops.interpretation`` takes them, resolved from its manifest and postings.
+
+    manifest: a row a platform with ``job_count`` and, as JSON, ``metadata`` (how its list was read); jobs: the day's postings.
+    """
+    day = manifest.select("snapshot_date", "job_count").dropDuplicates(["snapshot_date"])
+    context = health.context(manifest, jobs, day)
+    rolled = health.roll_up(health.resolve_scopes(context, jobs)).drop("scopes")
+    c, none = F.col, F.array().cast("array<string>")
+    meta = F.try_parse_json("metadata") if "metadata" in manifest.columns else F.lit(None).cast("variant")
+    told = lambda key, kind: F.try_variant_get(c("_meta"), f"$.{key}", kind)
+    rows = context.withColumn("_meta", meta).join(rolled, ["snapshot_date", "platform"])
+    return rows.select(
+        "snapshot_date", "platform", "status", "complete", "stopped_by", F.coalesce("error", F.lit("")).alias("error"), F.coalesce("failed_companies", none).alias("failed_companies"), "detail_failed",
+        F.coalesce("detail_failed_job_ids", none).alias("detail_failed_job_ids"), told("pagination_mode", "string").alias("pagination_mode"), told("stable_snapshot_mechanism", "boolean").alias("stable_snapshot"),
+        told("list_complete", "boolean").alias("list_complete"), told("list_error", "boolean").alias("list_error"), F.coalesce(told("completeness_reasons", "array<string>"), none).alias("completeness_reasons"),
+        "presence_reliable", "content_reliable", "reason_codes",
+    )
+
+
 def daily_health(run: DataFrame, sources: DataFrame, limitations: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
     """Sources with their interpretation, and the day's one status row."""
     rows = ops.interpretation(sources, limitations, run_date)
     return rows, ops.daily_status(run, rows)
 
 
+def health_document(run: DataFrame, manifest: DataFrame, jobs: DataFrame, limitations: DataFrame, run_date: str, max_failed: int = 0, max_rate: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """The day's health from its own manifest and postings: sources with ``completeness, interpretation, governance_reasons``, and the status row.
+
+    A few failed detail pages within the tolerance need nobody: NORMAL, though the source stays what it is.
+    """
+    c = F.col
+    day = F.lit(run_date).cast("date")
+    manifest, jobs = (df.where(c("snapshot_date") == day) for df in (manifest, jobs))
+    context = health.context(manifest, jobs, manifest.select("snapshot_date", "job_count").dropDuplicates(["snapshot_date"]))
+    resolved = health.resolve_jobs(jobs, health.resolve_scopes(context, jobs))
+    tolerated = health.tolerated_gaps(context, resolved, max_failed, max_rate).select("platform", c("tolerated").alias("_gap"))
+    rows = ops.interpretation(day_sources(manifest, jobs), limitations, run_date).join(tolerated, "platform", "left")
+    gap = F.coalesce("_gap", F.lit(False)) & (c("stopped_by") == "detail_errors") & c("presence_reliable") & c("content_reliable") & (F.size("reason_codes") == 0)
+    why = F.when(gap, "TOLERATED_DETAIL_GAP").when((c("interpretation") == "NEW_REGRESSION") & c("limitation_id").isNotNull(), "KNOWN_LIMITATION_REVIEW_DUE").when(c("interpretation") == "NEW_REGRESSION", "NO_ACTIVE_KNOWN_LIMITATION_MATCH")
+    rows = rows.withColumns({"governance_reasons": F.array_compact(F.array(why)), "completeness": ops.completeness(c("status"), c("complete")), "limitation_id": F.when(~gap, c("limitation_id")), "interpretation": F.when(gap, "NORMAL").otherwise(c("interpretation"))}).drop("_gap")
+    return rows, ops.daily_status(run, rows)
+
+
 def weekly(snapshots: DataFrame, from_date: str, to_date: str) -> tuple[DataFrame, DataFrame]:
     """Exactly the two days asked for; a day without a snapshot is an error, not replaced by a neighbour."""
     at = lambda d: snapshots.where(F.col("snapshot_date") == F.lit(d).cast("date"))

@@ -70,10 +70,6 @@ def write_day(df: DataFrame, path: str, keys: tuple[str, ...] = ("snapshot_date"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
 def write_text(path: str, text: str, bom: bool = False) -> None:
     """A small report on the driver: written beside its place, then moved there."""
     target = Path(path)
@@ -86,12 +82,6 @@ def write_text(path: str, text: str, bom: bool = False) -> None:
     os.replace(name, target)
 
 
-def markdown_table(df: DataFrame, at_most: int = 200) -> str:
-    """A small table as Markdown."""
-    rows = [df.columns, ["---"] * len(df.columns), *[["" if v is None else str(v).replace("|", "\\|") for v in r] for r in df.limit(at_most).collect()]]
-    return "\n".join("| " + " | ".join(r) + " |" for r in rows) + "\n"
-
-
 def read_config(path: str) -> dict:
     """YAML without repeated keys."""
     import yaml
@@ -113,6 +103,51 @@ def read_config(path: str) -> dict:
     return found
 
 
+#: Shapes of configurations: names of keys with what their values are; "?" ends an optional key, "*" stands for any.
+MAIN = {"platforms": {"*": {"enabled": bool, "name?": str, "companies?": list, "*?": object}}, "cities?": [str], "include_unknown?": bool, "*?": object}
+VERSIONS = {"market_classifier_version": str, "fit_classifier_version": str, "skill_ontology_version": str, "trend": {"window_days": {7}, "removal_confirmation_runs": int, "version?": str}, "*?": object}
+LIMITATIONS = {"version": {1}, "limitations": [{"id": str, "platform": str, "status": {"active", "retired"}, "category": str, "allowed_reasons": [str], "review_after": str, "review_cadence_days": int, "reference": {"*": object}, "*?": object}]}
+TOLERANCE = {"max_failed_details": int, "max_failed_rate": float}
+
+
+def config_problems(value, shape, path: str = "$") -> list[str]:
+    """What in a configuration is not of the shape: keys that lack, keys that nobody knows, values of another type or not among those allowed."""
+    if isinstance(shape, dict):
+        if not isinstance(value, dict):
+            return [f"{path}: a mapping is needed"]
+        known = {k.rstrip("?"): v for k, v in shape.items() if k.rstrip("?") != "*"}
+        other = shape.get("*", shape.get("*?"))
+        out = [f"{path}.{k}: missing" for k in shape if not k.endswith("?") and k != "*" and k not in value]
+        if "*" in shape and not value:
+            out.append(f"{path}: empty")
+        for k, v in value.items():
+            if k in known or other is not None:
+                out += config_problems(v, known.get(k, other), f"{path}.{k}")
+            else:
+                out.append(f"{path}.{k}: unknown key")
+        return out
+    if isinstance(shape, list):
+        if not isinstance(value, list) or not value:
+            return [f"{path}: a list of one or more is needed"]
+        return [x for n, v in enumerate(value) for x in config_problems(v, shape[0], f"{path}[{n}]")]
+    if isinstance(shape, set):
+        return [] if not isinstance(value, bool) and value in shape else [f"{path}: one of {sorted(map(str, shape))} is needed"]
+    fits = isinstance(value, (int, float)) if shape is float else isinstance(value, shape)
+    if shape in (int, float) and isinstance(value, bool):
+        fits = False
+    if shape is str and not (isinstance(value, str) and value.strip()):
+        fits = False
+    return [] if fits else [f"{path}: {shape.__name__} is needed"]
+
+
+def load_config(path: str, shape: dict) -> dict:
+    """A configuration of a shape; all that is wrong with it is told at once."""
+    found = read_config(path)
+    if problems := config_problems(found, shape):
+        raise ValueError(f"{path}: " + "; ".join(problems))
+    return found
+
+
 def scope_rows(spark: SparkSession, config: dict) -> DataFrame:
     """``platform, companies`` of the enabled platforms; null companies allow all."""
     rows = []

@@ -168,11 +168,6 @@ def city_totals(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("city").agg(F.min_by("total", "page").alias("first"), F.max_by("total", "page").alias("last"), F.min("total").alias("low"), F.max("total").alias("high"))
 
 
-def capped_regions(totals: DataFrame, cap: int = 500) -> DataFrame:
-    """Regions (``region, total``) whose list is longer than the platform shows, so that it must be split further."""
-    return totals.where(F.col("total") > cap)
-
-
 def detail_queue(postings: DataFrame, limit: int | None = None) -> DataFrame:
     """Ids whose detail page is to be read, in listed order, ``limit`` of them at most."""
     rows = postings.where(~is_missing(F.col("job_id"))).select("platform", "job_id", "page", "position").orderBy("page", "position", "job_id")

@@ -202,9 +202,13 @@ def test_run_health(spark):
 def test_features(spark):
     got = spark.createDataFrame([(0.0,), (0.5,), (2.0,), (3.0,), (8.0,), (None,)], "y double").select(features.years_bucket(F.col("y")).alias("b")).collect()
     assert [r.b for r in got] == ["none", "0_1", "1_3", "3_5", "8_plus", "unknown"]
-    pool, reasons = features.final_pool({"city": F.lit("grey"), "education": F.lit("reject")})
-    r = spark.range(1).select(pool.alias("p"), reasons.alias("r")).first()
-    assert (r.p, r.r) == ("reject", ["city_grey", "education_reject"])
+    parts = F.array(*[F.lit(x) for x in ("要求测试经验", "有AI经验优先")])
+    r = spark.range(1).select(features.hard_and_preferred(parts).alias("x"), features.joined(F.array(F.lit("a"), F.lit("b"), F.lit("a"))).alias("j")).first()
+    assert (r.x.hard, r.x.preferred, r.j) == (["要求测试经验"], ["有AI经验优先"], "a;b")
+    rows = spark.createDataFrame([("1", "ok"), ("1", "conflict"), ("1", "partial"), ("2", "unknown"), ("2", "not_required")], "id string, status string")
+    assert {x.id: x.status for x in features.worst_status(rows, ["id"]).collect()} == {"1": "conflict", "2": "not_required"}
+    pools, why = features.summary(spark.createDataFrame([("candidate", ["a"]), ("rejected", ["b", "a"]), ("rejected", ["b"])], "pool string, reasons array<string>"))
+    assert {x.pool: x.n for x in pools.collect()} == {"candidate": 1, "rejected": 2} and [tuple(x) for x in why.collect()] == [("a", 2), ("b", 2)]
 
 
 def test_streams(spark, tmp_path):
