@@ -362,7 +362,10 @@ def market_reliable(status: Column, market_codes: Column, fit_codes: Column) ->
 
 
 def spread(jobs: DataFrame) -> DataFrame:
-    """``jobs`` over all cores where it comes in fewer partitions than there are: labels cost milliseconds a text, its shuffle microseconds."""
+    """``jobs`` over all cores where it comes in fewer partitions than there are: labels cost milliseconds a text, its shuffle microseconds.
+
+    jobs: rows straight from a table; of a plan with shuffles, asking for its partitions would run them.
+    """
     cores = jobs.sparkSession.sparkContext.defaultParallelism
     return jobs.repartition(cores) if jobs.rdd.getNumPartitions() < 2 * cores else jobs
 

@@ -76,11 +76,17 @@ def asof_labels(sightings: DataFrame, dates: DataFrame, keys: list[str], label:
 
     A sighting holds from its day to the next one; only the dates asked for within are made, each a row of the result.
     """
-    spine = dates.select(date).distinct().agg(F.sort_array(F.collect_list(date)).alias("_dates"))
+    every = Window.orderBy(date)  # a row a date
+    spine = dates.select(date).distinct().where(c(date).isNotNull()).withColumn("_n", F.row_number().over(every))
+    # of each day that something was seen on, the number of the first date asked for from there on
+    days = sightings.select(date).distinct().join(spine, date, "full_outer")
+    days = days.withColumn("_from", F.min("_n").over(every.rowsBetween(0, Window.unboundedFollowing)))
+    end = F.coalesce(F.max("_n").over(Window.partitionBy()), F.lit(0)) + 1
+    days = days.select(date, F.coalesce("_from", end).alias("_from"), end.alias("_end"))
     held = Window.partitionBy(*keys).orderBy(date)
-    rows = sightings.select(*keys, date, label).withColumn("_next", F.lead(date).over(held)).crossJoin(F.broadcast(spine))  # one row
-    inside = F.filter("_dates", lambda d: (d >= c(date)) & (c("_next").isNull() | (d < c("_next"))))
-    return rows.select(*keys, F.explode(inside).alias(date), label)
+    rows = sightings.select(*keys, date, label).join(days, date).withColumn("_to", F.coalesce(F.lead("_from").over(held), "_end"))
+    inside = rows.where(c("_from") < c("_to")).select(*keys, label, F.explode(F.sequence("_from", c("_to") - 1)).alias("_n"))
+    return inside.join(spine, "_n").select(*keys, date, label)
 
 
 def label_intervals(sightings: DataFrame, keys: list[str], date: str = "snapshot_date") -> DataFrame:

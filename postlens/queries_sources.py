@@ -18,7 +18,13 @@ PLATFORMS = ("netease", "xiaohongshu")
 def _pages(spark, sf_dir) -> DataFrame:
     """Customers as two platforms' list pages of 20 (their numbers' parity says which); page two of the second was not fetched."""
     rows = read(spark, sf_dir, "customer").select("c_custkey", F.when(c("c_custkey") % 2 == 0, PLATFORMS[0]).otherwise(PLATFORMS[1]).alias("platform"), F.when(c("c_nationkey") % 3 == 0, "深圳").otherwise("北京").alias("place"))
-    rows = rows.withColumn("page", (F.floor((F.row_number().over(Window.partitionBy("platform").orderBy("c_custkey")) - 1) / 20) + 1).cast("int")).withColumn("total", F.count("*").over(Window.partitionBy("platform")))
+    # numbered by ranges of keys: how many lie in earlier ranges, and the place within the own one
+    rows = rows.withColumn("range", F.floor(c("c_custkey") / 10_000))
+    counts = rows.groupBy("platform", "range").agg(F.count("*").alias("n"))
+    by_range = Window.partitionBy("platform").orderBy("range")  # a row a range
+    counts = counts.withColumns({"before": F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "total": F.sum("n").over(Window.partitionBy("platform"))})
+    place = F.row_number().over(Window.partitionBy("platform", "range").orderBy("c_custkey")) - 1
+    rows = rows.join(counts.drop("n"), ["platform", "range"]).withColumn("page", (F.floor((c("before") + place) / 20) + 1).cast("int"))
     item = F.struct(c("c_custkey").alias("id"), c("c_custkey").alias("positionId"), F.lit("x").alias("name"), F.array("place").alias("workPlaceNameList"), c("place").alias("workplace"))
     pages = rows.groupBy("platform", "page").agg(F.first("total").alias("total"), F.array_sort(F.collect_list(item)).alias("list"))
     return pages.where("NOT (platform = 'xiaohongshu' AND page = 2)").select("platform", "page", F.to_json(F.struct(F.struct("total", "list").alias("data"))).alias("payload"))

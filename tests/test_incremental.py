@@ -90,12 +90,12 @@ def test_days_one_at_a_time(spark, tmp_path, whole):
 
 def test_a_late_day_starts_again_before_it(spark, tmp_path, whole):
     s = stores(tmp_path)
-    store(spark, s, [d for d in D if d != D[1]])
-    incremental.replay_range(spark, s, D[0].isoformat(), D[4].isoformat())
+    store(spark, s, [D[0], D[2]])
+    incremental.replay_range(spark, s, D[0].isoformat(), D[2].isoformat())
     store(spark, s, [D[1]])
-    told = [(r.snapshot_date, r.outcome) for r in incremental.replay_range(spark, s, D[4].isoformat(), D[4].isoformat()).collect()]
-    assert told == [(D[1], "warmed"), (D[2], "warmed"), (D[4], "written")]  # the first day's state still holds
-    same(spark, s, whole, [D[4]])
+    told = [(r.snapshot_date, r.outcome) for r in incremental.replay_range(spark, s, D[2].isoformat(), D[2].isoformat()).collect()]
+    assert told == [(D[1], "warmed"), (D[2], "written")]  # the first day's state still holds
+    same(spark, s, whole, [D[2]])
 
 
 def test_a_day_reads_its_own_partition(spark, tmp_path):
