@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
+#: Windows that every task holds; more of them are merged with the postings.
+MAX_WINDOWS = 100_000
 
 
 def technical_health(run: DataFrame) -> Column:
@@ -93,8 +95,12 @@ def digest(columns: list[str]) -> Column:
 
 
 def outside_windows(jobs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Postings scraped outside their platform's collection (``platform, started_at, finished_at``)."""
-    w = windows.alias("w")
+    """Postings scraped outside their platform's collection (``platform, started_at, finished_at``).
+
+    Up to ``MAX_WINDOWS`` windows, counted, go to the postings, which then need no shuffle by platform: a platform can have most of them.
+    """
+    few = windows.limit(MAX_WINDOWS + 1).count() <= MAX_WINDOWS
+    w = (F.broadcast(windows) if few else windows).alias("w")
     inside = (c("j.platform") == c("w.platform")) & (c("j.scraped_at") >= c("w.started_at")) & (c("j.scraped_at") <= c("w.finished_at"))
     return jobs.alias("j").join(w, inside, "left_anti")
 

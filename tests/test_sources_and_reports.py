@@ -219,3 +219,20 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("changes").collect())) == [("p", "1", "FIRST_SEEN"), ("p", "1", "UPDATED"), ("p", "2", "FIRST_SEEN")]
+
+
+def test_postings_outside_windows_need_no_shuffle_by_platform(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], i) for i in range(40)] + [(99, None, 5), (98, "c", 5), (97, "a", None)]
+    jobs = spark.createDataFrame(rows, "id int, platform string, scraped_at int")
+    windows = spark.createDataFrame([("a", 2, 10), ("a", 20, 30), ("b", 0, 39), (None, 0, 50)], "platform string, started_at int, finished_at int")
+    want = sorted(i for i, p, at in rows if not any(p is not None and p == w[0] and at is not None and w[1] <= at <= w[2] for w in windows.collect()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = ops.outside_windows(jobs, windows)
+        assert sorted(r.id for r in few.collect()) == want
+        assert "hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(ops, "MAX_WINDOWS", 2)
+        assert sorted(r.id for r in ops.outside_windows(jobs, windows).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
