@@ -12,8 +12,8 @@ corpus, stay a table. Each rare class has a place for one unknown word, with c =
 2. *Count.* Counts meet by word; each block gets its own words' counts back, and its documents become
    class numbers with what does not depend on states (base score, known words, words within their classes).
    So a word that all documents have is a row a block, not a row a document.
-3. *Train.* A few rounds on a bounded sample give states to start from (that start is the only use of it);
-   then each Baum-Welch round goes over all training documents: tasks add up expected counts,
+3. *Train.* States start from seeded chance around the counts of all training tokens (``Model.new``); each
+   Baum-Welch round goes over all training documents: tasks add up expected counts,
    as integers (multiples of 2**-20), which meet by class. The order of tasks changes nothing.
 4. *Score.* All documents, by the forward recursion.
 
@@ -45,9 +45,7 @@ from .words import Hasher, chunks
 FREQUENT = 16384
 RARE = 1024
 STATES = 6
-ROUNDS = 2
-#: The start: tokens of the sample, its documents at most, the tokens of the longest one taken, and rounds over it.
-START_TOKENS, START_DOCS, START_LONGEST, START_ROUNDS = 1 << 19, 4096, 4096, 12
+ROUNDS = 6
 #: Distinct words and tokens that a block holds at most, but for a single text.
 BLOCK_WORDS, BLOCK_TOKENS = 1 << 20, 1 << 22
 PIECE = 64
@@ -437,10 +435,10 @@ def _expect(shared):
 
 
 def trained(coded: DataFrame, classes: Classes, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """coded: training documents (``classes, n_tokens``)."""
+    """coded: training documents (``classes``)."""
     spark = coded.sparkSession
     size = len(classes.mass)
-    model = _started(coded, classes, states)
+    model = Model.new(classes.mass, states)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
         columns = ", ".join(f"s{s} long" for s in range(states))
@@ -453,22 +451,6 @@ def trained(coded: DataFrame, classes: Classes, states: int = STATES, rounds: in
     return model
 
 
-def _started(coded: DataFrame, classes: Classes, states: int) -> Model:
-    """A model to start from: rounds over the documents of least hash, of bounded number and size."""
-    model = Model.new(classes.mass, states)
-    if states == 1:
-        return model
-    short = coded.where(F.col("n_tokens") <= START_LONGEST).select("classes").orderBy(F.xxhash64("classes"), "classes").limit(START_DOCS).toArrow()
-    upto = np.cumsum(np.fromiter((len(x.as_py()) // 2 + 1 for x in short.column("classes")), np.int64, short.num_rows))
-    sample = short.slice(0, int(np.searchsorted(upto, START_TOKENS, side="right"))).combine_chunks().to_batches()
-    for _ in range(START_ROUNDS):
-        total = [np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape)]
-        for _, pieces in _batches(iter(sample), classes.end()):
-            total = [a + b for a, b in zip(total, Recursion(model, pieces).counts())]
-        model = model.updated(*(x / UNIT for x in total), classes.mass)
-    return model
-
-
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value

@@ -305,3 +305,16 @@ def test_language_model_query(spark, sf):
     close([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows], plain)
     out = [r for r in rows if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_language_model_learns_from_all_documents_in_each_round(spark):
+    r = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in r.zipf(1.5, n) % 50)) for i, n in enumerate([6000, 3, 40, 5000, 200, 1, 90, 4500])]
+    coded, classes = hmm.coded(docs(spark, rows))
+    train = coded.where("NOT held_out")
+    start = hmm.Model.new(classes.mass, 3)
+    plain = [np.zeros(3), np.zeros((3, 3)), np.zeros(start.emit.shape)]
+    for _, pieces in hmm._batches(iter(train.select("classes").toArrow().combine_chunks().to_batches()), classes.end()):
+        plain = [a + b for a, b in zip(plain, hmm.Recursion(start, pieces).counts())]
+    want, got = start.updated(*(x / hmm.UNIT for x in plain), classes.mass), hmm.trained(train, classes, 3, 1)
+    assert all(np.allclose(getattr(want, k), getattr(got, k)) for k in ("start", "move", "emit"))
