@@ -6,7 +6,9 @@ classes are Unicode's and ``.`` stops at line feeds only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,9 +28,63 @@ def rx(pattern: str, flags: str = "") -> str:
     return f"(?Ud{flags}){pattern}"
 
 
-def has(text: Column, pattern: str, flags: str = "") -> Column:
-    """Whether the pattern occurs; false for a null text."""
-    return F.coalesce(text.rlike(rx(pattern, flags)), F.lit(False))
+def has(text: Column, pattern: str, flags: str = "", seen: Column | None = None) -> Column:
+    """Whether the pattern occurs; false for a null text.
+
+    seen: those of its ``needed`` words (and others) that the text, or one that holds it, has (``words_in``): without any of them the pattern is not tried.
+    """
+    found = F.coalesce(text.rlike(rx(pattern, flags)), F.lit(False))
+    return found if seen is None else possible(pattern, seen) & found
+
+
+@cache
+def needed(pattern: str) -> tuple[str, ...]:
+    """Words without blanks, lower case, one of which is in any text with the pattern; none if no such words are known."""
+
+    def of(items) -> frozenset[str]:
+        found, run = [], ""
+        for op, x in [*items, (None, None)]:
+            kind = str(op)
+            if kind == "LITERAL" and not chr(x).isspace():
+                run += chr(x)
+                continue
+            found, run = found + [frozenset([run.lower()])] * bool(run), ""
+            if kind == "SUBPATTERN":
+                found.append(of(x[-1]))
+            elif kind == "BRANCH" and all(each := [of(y) for y in x[1]]):
+                found.append(frozenset().union(*each))
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT") and x[0]:
+                found.append(of(x[2]))
+            elif kind == "IN" and all(str(k) == "LITERAL" and not chr(v).isspace() for k, v in x):
+                found.append(frozenset(chr(v).lower() for _, v in x))
+        # of what must be there one behind the other, that whose words are rarest: the longest ones
+        return max((f for f in found if f), key=lambda f: (min(len(w.encode()) for w in f), -len(f)), default=frozenset())
+
+    words = of(re._parser.parse(pattern))
+    return tuple(sorted(w for w in words if not any(v in w for v in words if v != w)))
+
+
+def _constant(words: Sequence[str]) -> Column:
+    """Words without blanks as an array: one literal, where an array of literals would make long plans."""
+    return F.split(F.lit(" ".join(words)), " ")
+
+
+def possible(pattern: str, seen: Column) -> Column:
+    """Whether the pattern may occur where only these words do."""
+    words = needed(pattern)
+    return F.arrays_overlap(seen, _constant(words)) if words else F.lit(True)
+
+
+def folded(text: Column) -> Column:
+    """Lower case by the rules of patterns without case, for which the letters \u017f, \u0131, \u0130 and the Kelvin sign are s, i, i and k."""
+    return F.lower(F.translate(text, "\u017f\u0131\u0130\u212a", "siik"))
+
+
+def words_in(text: Column, words: Sequence[str]) -> Column:
+    """Those of the words that a ``folded`` text (a column, as it is read for each word) has."""
+    # a text without a character from U+2E80 on has no word that needs one
+    latin = [w for w in words if max(w) < "\u2e80"]
+    return F.filter(F.when(text.rlike("[\u2e80-\\x{10ffff}]"), _constant(words)).otherwise(_constant(latin)), lambda w: F.contains(text, w))
 
 
 def strip(text: Column) -> Column:
@@ -80,9 +136,9 @@ def matched_terms(text: Column, pattern: str, flags: str = "") -> Column:
 Rules = Sequence[tuple[str, str]]
 
 
-def tags(text: Column, rules: Rules) -> Column:
+def tags(text: Column, rules: Rules, seen: Column | None = None) -> Column:
     """Names of the rules whose pattern occurs, in the rules' order."""
-    return F.array_compact(F.array(*[F.when(has(text, pattern), name) for name, pattern in rules]))
+    return F.array_compact(F.array(*[F.when(has(text, pattern, seen=seen), name) for name, pattern in rules]))
 
 
 def tag_rows(rows: DataFrame, text: str, rules: DataFrame) -> DataFrame:

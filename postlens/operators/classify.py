@@ -8,12 +8,12 @@ earlier ``select`` computes once.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clauses, content_sha256, has, matched_terms, rx, segments, tags, text_of
+from ..functions.text import clauses, content_sha256, folded, has, matched_terms, needed, possible, rx, segments, tags, text_of, words_in
 from .ontology import EVIDENCE, EXCLUSION_LABELS, EXCLUSION_ORDER, FIT, MARKET, MARKET_CASES, NON_QA_ROLES, SECURITY_TECHNIQUES, SKILLS
 
 c = F.col
@@ -29,25 +29,32 @@ def first_of(*cases: tuple[Column, object], otherwise: object = None) -> Column:
     return chain.otherwise(value(otherwise))
 
 
-def market(text: Column, rule: str) -> Column:
-    return has(text, MARKET[rule], "i")
+#: Words one of which a text must have for a pattern of the rules to occur in it: texts are gone through for all of them once.
+WORDS = tuple(sorted({w for p in (*MARKET.values(), *MARKET_CASES.values(), *FIT.values(), *EVIDENCE.values(), *SECURITY_TECHNIQUES, *(p for _, p in SKILLS)) for w in needed(p)}))
 
 
-def fit(text: Column, rule: str) -> Column:
-    return has(text, FIT[rule])
+# seen: the words of WORDS that a posting has, where they are known
+
+
+def market(text: Column, rule: str, seen: Column | None = None) -> Column:
+    return has(text, MARKET[rule], "i", seen)
+
+
+def fit(text: Column, rule: str, seen: Column | None = None) -> Column:
+    return has(text, FIT[rule], "", seen)
 
 
 def some(values: Column) -> Column:
     return F.size(values) > 0
 
 
-def owned(clause: Column) -> Column:
+def owned(clause: Column, seen: Column | None = None) -> Column:
     """A duty the posting's holder answers for, not one they help with."""
-    independent = market(clause, "independent")
-    return market(clause, "owner") & (independent | (~market(clause, "weak") & ~market(clause, "helper")))
+    rule = partial(market, clause, seen=seen)
+    return rule("owner") & (rule("independent") | (~rule("weak") & ~rule("helper")))
 
 
-def product_evidence(duty: Column, asked: Column) -> Column:
+def product_evidence(duty: Column, asked: Column, seen: Column | None = None) -> Column:
     """Clauses that show a product manager: experience, research and planning, and no ownership of testing; else none.
 
     duty, asked: columns with the clauses of description and requirements, as each is gone through more than once.
@@ -56,11 +63,14 @@ def product_evidence(duty: Column, asked: Column) -> Column:
     research = F.filter(duty, lambda s: has(s, EVIDENCE["research"]))
     planning = F.filter(duty, lambda s: has(s, EVIDENCE["planning"]))
     whole = some(experience) & some(research) & some(planning) & ~F.exists(duty, lambda s: has(s, EVIDENCE["qa_owner"]))
+    if seen is not None:
+        whole = reduce(Column.__and__, [possible(EVIDENCE[k], seen) for k in ("product_years", "research", "planning")]) & whole
     return F.when(whole, F.concat(research, planning, experience)).otherwise(F.slice(duty, 1, 0))
 
 
-def security_duties(duty: Column) -> Column:
-    return F.filter(duty, lambda s: has(s, EVIDENCE["security_duty"]) & ~has(s, EVIDENCE["security_no_duty"]))
+def security_duties(duty: Column, seen: Column | None = None) -> Column:
+    found = F.filter(duty, lambda s: has(s, EVIDENCE["security_duty"]) & ~has(s, EVIDENCE["security_no_duty"]))
+    return found if seen is None else F.when(possible(EVIDENCE["security_duty"], seen), found).otherwise(F.slice(duty, 1, 0))
 
 
 def security_evidence(duty: Column) -> Column:
@@ -72,11 +82,12 @@ def security_evidence(duty: Column) -> Column:
     return F.when(some(business) | (breadth >= 2), F.concat(business, matched)).otherwise(F.slice(duty, 1, 0))
 
 
-def seniority(title: Column, description: Column, requirements: Column) -> Column:
+def seniority(title: Column, description: Column, requirements: Column, seen: Column | None = None) -> Column:
+    rule = partial(fit, seen=seen)
     return first_of(
-        (fit(title, "intern_title"), "intern"),
-        (fit(title, "lead_title") | fit(description, "management_duty") | fit(requirements, "management_requirement"), "expert_lead"),
-        (fit(title, "senior_title") | fit(requirements, "six_years"), "senior"),
+        (rule(title, "intern_title"), "intern"),
+        (rule(title, "lead_title") | rule(description, "management_duty") | rule(requirements, "management_requirement"), "expert_lead"),
+        (rule(title, "senior_title") | rule(requirements, "six_years"), "senior"),
         otherwise="regular",
     )
 
@@ -112,13 +123,14 @@ def hard_domain(title: Column, guarded: Column) -> Column:
     )
 
 
-def relation(title: Column, description: Column, requirements: Column, role: Column, domain: Column) -> Column:
+def relation(title: Column, description: Column, requirements: Column, role: Column, domain: Column, seen: Column | None = None) -> Column:
     """The fit rules' AI relation, ``value``, and the ``rule`` that gave it: one chain for both, as its patterns are long."""
-    context = fit(F.concat_ws("\n", title, description, requirements), "context")
+    rule = partial(fit, seen=seen)
+    context = rule(F.concat_ws("\n", title, description, requirements), "context")
     near = F.when(context, "ai_context_only").otherwise("none")
-    core_duty, testing, product = (fit(description, k) for k in ("core_duty", "testing_duty", "product_duty"))
-    eval_title, strong = fit(title, "eval_title"), fit(description, "testing_strong")
-    lead = strong & fit(F.coalesce(F.try_element_at(segments(description), F.lit(1)), F.lit("")), "testing_strong")
+    core_duty, testing, product = (rule(description, k) for k in ("core_duty", "testing_duty", "product_duty"))
+    eval_title, strong = rule(title, "eval_title"), rule(description, "testing_strong")
+    lead = strong & rule(F.coalesce(F.try_element_at(segments(description), F.lit(1)), F.lit("")), "testing_strong")
     measured = role.isin("evaluation_engineering", "algorithm_research")
     other = role.isin(*NON_QA_ROLES)
     no = F.lit(False)
@@ -127,21 +139,21 @@ def relation(title: Column, description: Column, requirements: Column, role: Col
         (F.coalesce(domain == "domain_hardware", no), near, "hardware_context_not_ai_quality"),
         (measured & context & (eval_title | core_duty), "core_ai_evaluation", "evaluation_role_primary"),
         (measured, near, "evaluation_role_without_ai_evaluation_duty"),
-        (other & (role == "development") & fit(title, "agent_title"), "ai_for_testing", "agent_development_for_testing"),
+        (other & (role == "development") & rule(title, "agent_title"), "ai_for_testing", "agent_development_for_testing"),
         (other & (eval_title | core_duty), "core_ai_evaluation", "non_target_evaluation_role"),
         (other & testing, "ai_for_testing", "non_target_ai_for_testing"),
         (other, near, "non_target_context_only"),
-        (core_duty & (fit(title, "core_title") | fit(description, "core_decision")), "core_ai_evaluation", "model_evaluation_primary"),
-        (fit(title, "product_primary") & fit(description, "primary_quality_duty"), "ai_product_quality", "title_primary_ai_product_quality"),
+        (core_duty & (rule(title, "core_title") | rule(description, "core_decision")), "core_ai_evaluation", "model_evaluation_primary"),
+        (rule(title, "product_primary") & rule(description, "primary_quality_duty"), "ai_product_quality", "title_primary_ai_product_quality"),
         (lead, "ai_for_testing", "ai_testing_capability_primary"),
         (product, "ai_product_quality", "ai_product_quality_primary"),
         (strong, "ai_for_testing", "ai_testing_capability_primary"),
-        (testing & fit(title, "context"), "ai_for_testing", "title_supported_ai_for_testing"),
-        (fit(title, "product_words") & fit(description, "ordinary_quality_duty"), "ai_product_quality", "title_supported_ai_product_quality"),
+        (testing & rule(title, "context"), "ai_for_testing", "title_supported_ai_for_testing"),
+        (rule(title, "product_words") & rule(description, "ordinary_quality_duty"), "ai_product_quality", "title_supported_ai_product_quality"),
         (context, "ai_context_only", "ai_context_not_primary"),
     )
-    both = lambda value, rule: F.struct((value if isinstance(value, Column) else F.lit(value)).alias("value"), F.lit(rule).alias("rule"))
-    return first_of(*[(when, both(value, rule)) for when, value, rule in cases], otherwise=both("none", "no_ai_relation"))
+    both = lambda value, name: F.struct((value if isinstance(value, Column) else F.lit(value)).alias("value"), F.lit(name).alias("rule"))
+    return first_of(*[(when, both(value, name)) for when, value, name in cases], otherwise=both("none", "no_ai_relation"))
 
 
 def pool(role: Column, ai_relation: Column, level: Column, role_reason: Column, domain: Column, research_hard: Column) -> tuple[Column, Column]:
@@ -166,18 +178,29 @@ def with_inputs(jobs: DataFrame) -> DataFrame:
     return fields.withColumns({"_parts": clauses(c("_body")), "_asks": clauses(c("_req"))})
 
 
-def add_fit(jobs: DataFrame) -> DataFrame:
+def add_labels(jobs: DataFrame) -> DataFrame:
+    """Adds ``market``, ``fit`` and ``skill_tags``. Texts are gone through for WORDS once, and only patterns that these allow are tried.
+
+    A filter on the labels would be pushed through to the words, for each pattern anew: write the labels before filtering them.
+    """
+    rows = jobs.withColumn("label_text", folded(F.concat_ws("\n", *[text_of(c(k)) for k in ("title", "description", "requirements")])))
+    rows = rows.withColumn("label_words", words_in(c("label_text"), WORDS)).drop("label_text")
+    seen = c("label_words")
+    return add_skills(add_fit(add_market(rows, seen), seen), seen).drop("label_words")
+
+
+def add_fit(jobs: DataFrame, seen: Column | None = None) -> DataFrame:
     """Adds ``fit``: role_family, ai_relation, seniority_level, career_pool, reason_codes, rule_id, triggered_rules, reason."""
     title, body, req = c("_title"), c("_body"), c("_req")
     own, own_reason = title_role(title)
-    jobs = with_inputs(jobs).withColumns({"_product": product_evidence(c("_parts"), c("_asks")), "_role": own, "_why": own_reason})
-    role = first_of((some(c("_product")), "product"), ((c("_role") == "qa_test") & fit(body, "management_duty"), "quality_engineering"), otherwise=c("_role"))
-    jobs = jobs.withColumns({"_why": F.when(some(c("_product")), "role_product").otherwise(c("_why")), "_role": role, "_level": seniority(title, body, req)})
+    jobs = with_inputs(jobs).withColumns({"_product": product_evidence(c("_parts"), c("_asks"), seen), "_role": own, "_why": own_reason})
+    role = first_of((some(c("_product")), "product"), ((c("_role") == "qa_test") & fit(body, "management_duty", seen), "quality_engineering"), otherwise=c("_role"))
+    jobs = jobs.withColumns({"_why": F.when(some(c("_product")), "role_product").otherwise(c("_why")), "_role": role, "_level": seniority(title, body, req, seen)})
     target = ~c("_role").isin(*NON_QA_ROLES)
-    jobs = jobs.withColumn("_guarded", F.when(target, security_duties(c("_parts"))))
+    jobs = jobs.withColumn("_guarded", F.when(target, security_duties(c("_parts"), seen)))
     jobs = jobs.withColumn("_domain", F.when(target, hard_domain(title, c("_guarded"))))
-    jobs = jobs.withColumn("_both", relation(title, body, req, c("_role"), c("_domain")))
-    jobs = jobs.withColumns({"_rel": c("_both.value"), "_rule": c("_both.rule"), "_research": fit(F.concat_ws("\n", title, body, req), "research_hard")})
+    jobs = jobs.withColumn("_both", relation(title, body, req, c("_role"), c("_domain"), seen))
+    jobs = jobs.withColumns({"_rel": c("_both.value"), "_rule": c("_both.rule"), "_research": fit(F.concat_ws("\n", title, body, req), "research_hard", seen)})
     chosen, reason = pool(c("_role"), c("_rel"), c("_level"), c("_why"), c("_domain"), c("_research"))
     jobs = jobs.withColumns({"_pool": chosen, "_reason": reason})
     label = first_of(*[(c("_reason") == code, text) for code, text in EXCLUSION_LABELS.items()], otherwise="")
@@ -198,49 +221,50 @@ def add_fit(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("fit", out).drop("_product", "_role", "_why", "_level", "_domain", "_rel", "_rule", "_research", "_pool", "_reason", "_title", "_body", "_req", "_parts", "_asks", "_guarded", "_both")
 
 
-def add_market(jobs: DataFrame) -> DataFrame:
+def add_market(jobs: DataFrame, seen: Column | None = None) -> DataFrame:
     """Adds ``market``: in_scope, market_relevance, role_family, secondary_role_families, ai_relation, seniority_level, reason_codes, evidence."""
     title, body, req = c("_title"), c("_body"), c("_req")
-    said = lambda text, pattern: has(text, pattern)
-    isaid = lambda text, pattern: has(text, pattern, "i")
-    jobs = with_inputs(jobs).withColumn("_ai", market(F.concat_ws("\n", title, body, req), "ai"))
+    said = lambda text, pattern: has(text, pattern, seen=seen)
+    isaid = lambda text, pattern: has(text, pattern, "i", seen)
+    rule = partial(market, seen=seen)
+    jobs = with_inputs(jobs).withColumn("_ai", rule(F.concat_ws("\n", title, body, req), "ai"))
     # a posting without any AI term is out of scope whatever its duties, so they are not looked through
     distinct = lambda parts: F.when(c("_ai"), F.array_sort(F.array_distinct(parts))).otherwise(F.array().cast("array<string>"))
-    jobs = jobs.withColumns({"_duties": distinct(c("_parts")), "_asked": distinct(c("_asks")), "_product": product_evidence(c("_parts"), c("_asks")), "_level": seniority(title, body, req)})
+    jobs = jobs.withColumns({"_duties": distinct(c("_parts")), "_asked": distinct(c("_asks")), "_product": product_evidence(c("_parts"), c("_asks"), seen), "_level": seniority(title, body, req, seen)})
     duties = c("_duties")
-    jobs = jobs.withColumn("_owned", F.filter(duties, owned))
-    own = lambda rule: F.filter("_owned", lambda s: market(s, rule))
+    jobs = jobs.withColumn("_owned", F.filter(duties, lambda s: owned(s, seen)))
+    own = lambda name: F.filter("_owned", lambda s: rule(s, name))
     mixed = said(body, MARKET_CASES["mixed_duty"])
     jobs = jobs.withColumn("_mixed", mixed)
     measuring = F.filter(own("eval"), lambda s: ~said(s, MARKET["test_metric"]) & ~(c("_mixed") & said(s, MARKET_CASES["mixed_platform"])))
-    methods = F.filter(duties, lambda s: market(s, "test_method") & (~said(s, MARKET_CASES["tool_search"]) | said(s, MARKET_CASES["tool_in_use"])))
+    methods = F.filter(duties, lambda s: rule(s, "test_method") & (~said(s, MARKET_CASES["tool_search"]) | said(s, MARKET_CASES["tool_in_use"])))
     none = F.slice(duties, 1, 0)
     jobs = jobs.withColumns({"_eval": measuring, "_quality": own("quality_work"), "_systems": own("quality_system"), "_methods": methods, "_infra": F.when(c("_mixed"), none).otherwise(own("eval_infra"))})
-    quality_title, qa_title, eval_title = (market(title, k) for k in ("quality_title", "qa_title", "eval_title"))
-    qa_asked = market(req, "qa_requirement")
+    quality_title, qa_title, eval_title = (rule(title, k) for k in ("quality_title", "qa_title", "eval_title"))
+    qa_asked = rule(req, "qa_requirement")
     jobs = jobs.withColumns(
         {
             "_dedicated": some(c("_infra")) | (eval_title & isaid(title, MARKET_CASES["infra_title"])),
             "_qa": quality_title | qa_title | qa_asked,
-            "_eval_id": eval_title & (some(c("_eval")) | ((market(body, "ai") | said(body, MARKET_CASES["measured_model"])) & said(body, MARKET_CASES["measuring_words"]))),
+            "_eval_id": eval_title & (some(c("_eval")) | ((rule(body, "ai") | said(body, MARKET_CASES["measured_model"])) & said(body, MARKET_CASES["measuring_words"]))),
         }
     )
-    jobs = jobs.withColumn("_tasks", F.when(c("_qa"), F.filter(duties, lambda s: market(s, "quality_work"))).otherwise(c("_quality")))
-    explicit = F.exists("_tasks", lambda s: market(s, "product_object"))
+    jobs = jobs.withColumn("_tasks", F.when(c("_qa"), F.filter(duties, lambda s: rule(s, "quality_work"))).otherwise(c("_quality")))
+    explicit = F.exists("_tasks", lambda s: rule(s, "product_object"))
     traditional = F.exists("_tasks", lambda s: said(s, MARKET_CASES["other_products"]))
-    jobs = jobs.withColumn("_pq", c("_mixed") | explicit | (some(c("_tasks")) & market(title, "product_title") & ~(some(c("_methods")) & traditional)))
+    jobs = jobs.withColumn("_pq", c("_mixed") | explicit | (some(c("_tasks")) & rule(title, "product_title") & ~(some(c("_methods")) & traditional)))
     jobs = jobs.withColumn("_in", c("_ai") & (some(c("_eval")) | some(c("_infra")) | c("_eval_id") | ((c("_qa") | some(c("_systems"))) & (some(c("_methods")) | c("_pq")))))
-    profession = market(req, "eval_profession")
+    profession = rule(req, "eval_profession")
     role = first_of(
         (some(c("_product")) | isaid(title, MARKET_CASES["product_title"]), "product"),
         (said(title, MARKET_CASES["operations_title"]), "operations"),
         (isaid(title, MARKET_CASES["expert_title"]) | (said(title, MARKET_CASES["security_research"]) & said(req, MARKET_CASES["security_requirement"])), "domain_expert"),
         (quality_title | (qa_asked & some(c("_quality")) & ~qa_title), "quality_engineering"),
         (qa_title & said(body, MARKET_CASES["team_duty"]), "quality_engineering"),
-        (qa_title & some(c("_eval")) & market(body, "model_decision") & profession, "evaluation_engineering"),
+        (qa_title & some(c("_eval")) & rule(body, "model_decision") & profession, "evaluation_engineering"),
         (qa_title, "qa_test"),
         (c("_dedicated") & said(title, MARKET_CASES["infra_algorithm"]) & profession, "evaluation_engineering"),
-        (market(title, "model_research"), "algorithm_research"),
+        (rule(title, "model_research"), "algorithm_research"),
         (said(title, MARKET_CASES["backend_title"]), "development"),
         (eval_title, "evaluation_engineering"),
         otherwise="development",
@@ -287,13 +311,13 @@ def add_market(jobs: DataFrame) -> DataFrame:
     )
     # where the fit rules' own labels agree, their rule is the reason told
     fit_role, _ = title_role(title)
-    fit_role = F.when((fit_role == "qa_test") & fit(body, "management_duty"), "quality_engineering").otherwise(fit_role)
+    fit_role = F.when((fit_role == "qa_test") & fit(body, "management_duty", seen), "quality_engineering").otherwise(fit_role)
     jobs = jobs.withColumns({"_fit_role": fit_role, "_codes": codes})
-    jobs = jobs.withColumn("_both", F.when(c("_in"), relation(title, body, req, c("_fit_role"), F.lit(None).cast("string"))))
+    jobs = jobs.withColumn("_both", F.when(c("_in"), relation(title, body, req, c("_fit_role"), F.lit(None).cast("string"), seen)))
     agree = (c("_fit_role") == c("_role")) & (c("_both.value") == c("_rel"))
     inside = c("_in")
     quotes = F.array_sort(F.array_distinct(F.concat("_eval", "_quality", "_systems", "_methods", "_infra", F.filter("_product", lambda s: F.array_contains("_duties", s)))))
-    asked = F.array_sort(F.array_distinct(F.concat(F.filter("_asked", lambda s: market(s, "qa_requirement") | market(s, "eval_profession")), F.filter("_product", lambda s: F.array_contains("_asked", s)))))
+    asked = F.array_sort(F.array_distinct(F.concat(F.filter("_asked", lambda s: rule(s, "qa_requirement") | rule(s, "eval_profession")), F.filter("_product", lambda s: F.array_contains("_asked", s)))))
     no_text = F.array().cast("array<string>")
     out = F.struct(
         inside.alias("in_scope"),
@@ -313,9 +337,9 @@ def add_market(jobs: DataFrame) -> DataFrame:
     return jobs.drop(*[x for x in jobs.columns if x.startswith("_")])
 
 
-def add_skills(jobs: DataFrame) -> DataFrame:
+def add_skills(jobs: DataFrame, seen: Column | None = None) -> DataFrame:
     joined = F.concat_ws("\n", *[text_of(c(k)) for k in ("title", "description", "requirements")])
-    return jobs.withColumn("skill_tags", tags(joined, SKILLS))
+    return jobs.withColumn("skill_tags", tags(joined, SKILLS, seen))
 
 
 def invalid_market(jobs: DataFrame) -> DataFrame:

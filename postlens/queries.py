@@ -514,7 +514,7 @@ def experience_evidence(spark, sf_dir):
 
 @query()
 def posting_labels(spark, sf_dir):
-    rows = classify.add_skills(classify.add_fit(classify.add_market(classify.spread(postings(spark, sf_dir)))))
+    rows = classify.add_labels(classify.spread(postings(spark, sf_dir)))
     return rows.select("job_id", "market.in_scope", "fit.career_pool", F.array_join("fit.reason_codes", ",").alias("fit_reasons"), F.array_join("skill_tags", ",").alias("skills"))
 
 

@@ -72,3 +72,13 @@ def test_explanations(spark):
     rows = frame(spark, [{"case_id": "1", "title": "产品经理"}])
     r = classify.explain(classify.add_fit(rows), F.lit(False)).first()
     assert r.exclusion_codes == ["outside_config_scope", "role_product"] and r.exclusion_reason.endswith("。")
+
+
+def test_words_allow_every_pattern_that_occurs(spark):
+    """Labels by way of the words are those without; letters that a pattern without case takes for others count, and patterns without any word are not tried."""
+    more = [("测试工程师", "负责ÅI AGENT质量保障；使用ſQL与Kubernetes，PytHon和LLM测试用例生成", "五年测试开发经验"), ("plain", "no such word", ""), (None, None, None), ("QA", "aıgc ragı RAG benchmarKing", "")]
+    rows = frame(spark, [dict(zip(("case_id", "title", "description", "requirements"), (i, *r[:3]))) for i, r in enumerate([*golden.FIT, *golden.MARKET, *more])])
+    key = lambda df: {r.case_id: (r.market, r.fit, r.skill_tags) for r in df.collect()}
+    assert key(classify.add_labels(rows)) == key(classify.add_skills(classify.add_fit(classify.add_market(rows))))
+    assert classify.needed(r"(?:AI|大模型).{0,9}(?:测试|质量)|\bQA\b") == ("qa", "测试", "质量") and classify.needed(r"\d?.*") == ()
+    assert all(classify.needed(p) for d in (classify.MARKET, classify.MARKET_CASES, classify.FIT, classify.EVIDENCE, dict(classify.SKILLS)) for p in d.values())
