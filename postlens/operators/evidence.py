@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -267,14 +268,45 @@ def sentence_rows(jobs: DataFrame, sections: tuple[str, ...] = ("requirements",
     return rows.withColumns({"source_section": F.col("_s.section"), "sentence": F.col("_x.sentence"), "sentence_start": F.col("_x.start"), "sentence_end": F.col("_x.end")}).drop("_s", "_x")
 
 
+_KINDS = {_TEXT: pa.string(), _INT: pa.int32()}
+#: What a section must have for any year, degree or major to be found in it.
+EXPERIENCE_NEEDS = ("年", "经验不限", "不限经验", "应届毕业生")
+EDUCATION_NEEDS = ("学历", "大专", "专科", "本科", "硕士", "研究生", "博士", "doctorate", "phd", "专业", "学科背景", "教育背景", "优先", "preferred")
+
+
+def _evidence(find, hit: T.StructType):
+    """A function of texts: the evidence ``find`` gives in each one's sentences. Texts that a batch repeats are gone through once."""
+    kind = pa.list_(pa.struct([("sentence", pa.string()), ("sentence_start", pa.int32()), ("hit", pa.struct([(f.name, _KINDS[f.dataType]) for f in hit]))]))
+
+    @F.arrow_udf(T.ArrayType(_struct(sentence=_TEXT, sentence_start=_INT, hit=hit)))
+    def found(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        each = ([{"sentence": x["sentence"], "sentence_start": x["start"], "hit": h} for x in sentences_of(t) for h in find(x["sentence"])] for t in coded.dictionary.to_pylist())
+        return pa.array(each, kind).take(coded.indices)
+
+    return found
+
+
+_experience = _evidence(years_in, YEAR_HIT.elementType)
+_education = _evidence(lambda x: [y] if (y := education_in(x)) else [], EDUCATION_HIT)
+
+
+def evidence_rows(jobs: DataFrame, found, needs: tuple[str, ...], sections: tuple[str, ...] = ("requirements", "description")) -> DataFrame:
+    """A row for each piece of evidence: ``source_section, sentence, sentence_start, _hit``; only sections with one of the words go to Python, once."""
+    each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(s).alias("text")) for s in sections])
+    rows = jobs.withColumn("_s", F.explode(F.filter(each, lambda s: F.coalesce(_names(s.text, needs), F.lit(False)))))
+    rows = rows.withColumn("_x", F.explode(found(F.col("_s.text"))))
+    return rows.withColumns({"source_section": F.col("_s.section"), "sentence": F.col("_x.sentence"), "sentence_start": F.col("_x.sentence_start"), "_hit": F.col("_x.hit")}).drop("_s", "_x")
+
+
 def experience_evidence(jobs: DataFrame) -> DataFrame:
     """Evidence of postings whose experience field is blank: a row a hit, places in the section."""
-    rows = sentence_rows(jobs.where(is_missing(F.col("experience")) | (F.col("experience") == "<missing>"))).withColumn("_hit", F.explode(experience_hits(F.col("sentence"))))
+    rows = evidence_rows(jobs.where(is_missing(F.col("experience")) | (F.col("experience") == "<missing>")), _experience, EXPERIENCE_NEEDS)
     return rows.select("platform", "job_id", "source_section", "sentence", "_hit.pattern_name", "_hit.suggested_value", "_hit.min_years", "_hit.max_years", "_hit.bucket", "_hit.confidence", (F.col("_hit.start") + F.col("sentence_start")).alias("evidence_start"), (F.col("_hit.end") + F.col("sentence_start")).alias("evidence_end"), "_hit.reason")
 
 
 def education_evidence(jobs: DataFrame) -> DataFrame:
-    rows = sentence_rows(jobs.where(is_missing(F.col("education")) | (F.col("education") == "<missing>"))).withColumn("_hit", education_hits(F.col("sentence"))).where("_hit.pattern_name IS NOT NULL")
+    rows = evidence_rows(jobs.where(is_missing(F.col("education")) | (F.col("education") == "<missing>")), _education, EDUCATION_NEEDS)
     names = ("pattern_name", "suggested_value", "barrier", "preferred", "confidence", "reason")
     return rows.select("platform", "job_id", "source_section", "sentence", *[f"_hit.{k}" for k in names], (F.col("_hit.start") + F.col("sentence_start")).alias("evidence_start"), (F.col("_hit.end") + F.col("sentence_start")).alias("evidence_end"))
 
