@@ -236,3 +236,19 @@ def test_postings_outside_windows_need_no_shuffle_by_platform(spark, monkeypatch
         assert sorted(r.id for r in ops.outside_windows(jobs, windows).collect()) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_evidence_goes_through_repeated_texts_once(spark):
+    """Texts with evidence, without any, and with the words apart give what going through each sentence gives; Python sees one text of many equal ones."""
+    texts = ["1. 要求3年以上测试经验；熟悉软件", "需要有5年相关经验。应届毕业生", "本科及以上学历，计算机相关专业；硕士优先", "计算机专 业优先", "PHD Preferred", "沟通良好", "", None] * 3
+    jobs = spark.createDataFrame([("p", str(i), "", None, x, texts[-i]) for i, x in enumerate(texts)], "platform string, job_id string, experience string, education string, requirements string, description string")
+    section = lambda r: [(k, r[k] or "") for k in ("requirements", "description")]
+    each = [(r.job_id, k, x) for r in jobs.collect() for k, t in section(r) for x in evidence.sentences_of(t)]
+    years = sorted((j, k, h["pattern_name"], h["start"] + x["start"]) for j, k, x in each for h in evidence.years_in(x["sentence"]))
+    degrees = sorted((j, k, h["barrier"], h["preferred"], h["end"] + x["start"]) for j, k, x in each if (h := evidence.education_in(x["sentence"])))
+    assert sorted((r.job_id, r.source_section, r.pattern_name, r.evidence_start) for r in evidence.experience_evidence(jobs).collect()) == years and len(years) > 10
+    assert sorted((r.job_id, r.source_section, r.barrier, r.preferred, r.evidence_end) for r in evidence.education_evidence(jobs).collect()) == degrees and len(degrees) > 10
+    count = spark.sparkContext.accumulator(0)
+    once = evidence._evidence(lambda x: count.add(1) or evidence.years_in(x), evidence.YEAR_HIT.elementType)
+    evidence.evidence_rows(jobs.coalesce(1), once, evidence.EXPERIENCE_NEEDS).collect()
+    assert count.value <= 6
