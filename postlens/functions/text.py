@@ -7,10 +7,11 @@ classes are Unicode's and ``.`` stops at line feeds only.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -148,11 +149,20 @@ def tag_rows(rows: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(rules), F.regexp_like(F.col(text), F.col("pattern")))
 
 
-@F.pandas_udf(StringType())
-def normalize_content(texts: pd.Series) -> pd.Series:
+#: Texts normalised at a time: a batch of long ones is never in Python's memory as a whole, but for its Arrow form.
+TEXTS_AT_ONCE = 64
+
+
+def _normal(text: str | None) -> str:
+    lines = re.sub(r"[^\S\n]+", " ", re.sub(r"\r\n?", "\n", unicodedata.normalize("NFKC", text or "")))
+    return re.sub(r" ?\n[ \n]*", "\n", lines).strip().casefold()
+
+
+@F.arrow_udf(StringType())
+def normalize_content(texts: pa.Array) -> pa.Array:
     """Compatibility form, case-folded, lines with single spaces, no empty lines. Spark has no function for the first two."""
-    lines = texts.fillna("").str.normalize("NFKC").str.replace(r"\r\n?", "\n", regex=True).str.replace(r"[^\S\n]+", " ", regex=True)
-    return lines.str.replace(r" ?\n[ \n]*", "\n", regex=True).str.strip().str.casefold()
+    parts = [pa.array([_normal(t) for t in texts.slice(a, TEXTS_AT_ONCE).to_pylist()], pa.string()) for a in range(0, len(texts), TEXTS_AT_ONCE)]
+    return pa.concat_arrays([pa.array([], pa.string()), *parts])
 
 
 def content_key(fields: Sequence[str] = CONTENT_FIELDS) -> Column:

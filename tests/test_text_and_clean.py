@@ -69,3 +69,15 @@ def test_education_values(spark):
     rows = [("doctorate", "", ""), (None, "本科及以上", "博士优先"), ("硕士", "", "")]
     df = spark.createDataFrame(rows, "education string, description string, requirements string")
     assert [r.x for r in df.select(clean.education_values(df).alias("x")).collect()] == [["博士"], ["博士", "本科及以上"], ["硕士"]]
+
+
+def test_content_is_normalised_some_texts_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from postlens.functions import text as X
+
+    texts = ["Ａ  b\r\n\r\n \tC ", None, "", "ﬁ ß\rx", "İ\n\n"] * 50
+    most = []
+    monkeypatch.setattr(X, "pa", type("Counted", (), {"array": staticmethod(lambda x, t: most.append(len(x)) or pa.array(x, t)), "string": pa.string, "concat_arrays": pa.concat_arrays}))
+    got = X.normalize_content.func(pa.array(texts)).to_pylist()
+    assert got == ["a b\nc", "", "", "fi ss\nx", "i̇"] * 50 and max(most) <= X.TEXTS_AT_ONCE
