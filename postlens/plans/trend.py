@@ -65,17 +65,26 @@ def labelled_events(events: DataFrame, seen: DataFrame, observed: DataFrame, sco
     return rows.withColumn("flow", trends.flow_of()).drop("_scope", "_scope_content", "_own_content")
 
 
+def _flows(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, versions: Column | None = None, held: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    columns = ("snapshot_date", *KEYS, "content_reliable"), ("snapshot_date", *KEYS, "in_scope", "classification_status", "reason_codes", "career_pool", "company", "content_sha256", "versions")
+    all_seen = (df.select(*k) if more is None else df.select(*k).unionByName(more.select(*k)) for df, more, k in zip((observed, classified), held or (None, None), columns))
+    seen = sightings(*all_seen, versions)
+    trends.refuse_duplicate_events(events)
+    return labelled_events(events, seen, observed, scopes)
+
+
+def diagnostics(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame) -> DataFrame:
+    """The diagnostics of ``trend`` alone: no other of its tables is computed."""
+    return _diagnostics(_flows(observed, classified, events, scopes), classified)
+
+
 def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, manifests: DataFrame, versions: Column | None = None, held: tuple[DataFrame, DataFrame] | None = None) -> Trend:
     """observed: postings of all days with their health; the rest as ``replay`` gives it; manifests: ``snapshot_date, platform, detail_failed``.
 
     held: earlier sightings and their classification rows, whose labels still hold but whose days are not asked for. A flow
     that repeats within a day for one identity is an error.
     """
-    columns = ("snapshot_date", *KEYS, "content_reliable"), ("snapshot_date", *KEYS, "in_scope", "classification_status", "reason_codes", "career_pool", "company", "content_sha256", "versions")
-    all_seen = (df.select(*k) if more is None else df.select(*k).unionByName(more.select(*k)) for df, more, k in zip((observed, classified), held or (None, None), columns))
-    seen = sightings(*all_seen, versions)
-    trends.refuse_duplicate_events(events)
-    flows = cut(labelled_events(events, seen, observed, scopes))
+    flows = cut(_flows(observed, classified, events, scopes, versions, held))
     day = ["snapshot_date", "platform"]
     good = classified.where(c("in_scope") & trends.usable(c("classification_status"), c("reason_codes.market"), c("career_pool")))
     moved = flows.where(c("flow").isin("counted", "unknown")).withColumnRenamed("event_date", "snapshot_date").withColumn("known", c("flow") == "counted")

@@ -192,3 +192,13 @@ def test_window_reasons(spark):
     assert at("2024-01-08").comparable
     assert at("2024-01-07").reason_codes == ["INSUFFICIENT_WINDOW_HISTORY", "OBSERVATION_GAPS"]
     assert [r.expected.day for r in trends.window_gaps(days, F.lit("2024-01-10").cast("date")).orderBy("expected").collect()] == [9, 10]
+
+
+def test_diagnostics_compute_no_other_table(spark, sf, monkeypatch):
+    from postlens import queries_trend as Q
+
+    whole = Q._trend(spark, sf)
+    want = sorted(map(tuple, whole.diagnostics.collect()))
+    whole.drop()
+    monkeypatch.setattr(Q.trend, "cut", lambda df: pytest.fail("a working table is written"))
+    assert sorted(map(tuple, Q.trend_diagnostics(spark, sf).collect())) == want != []
