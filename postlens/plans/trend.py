@@ -109,6 +109,14 @@ def trend(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes:
     )
 
 
+def trend_of_days(observed: DataFrame, classified: DataFrame, events: DataFrame, scopes: DataFrame, manifests: DataFrame, days: list[str], versions: Column | None = None) -> Trend:
+    """``trend``'s rows of some days alone: labels come from all sightings, and all events are checked, but only these days' are computed."""
+    trends.refuse_duplicate_events(events)
+    asked = lambda df, day="snapshot_date": df.where(c(day).isin(*[F.lit(d).cast("date") for d in days]))
+    other = lambda df: df.where(~F.coalesce(c("snapshot_date").isin(*[F.lit(d).cast("date") for d in days]), F.lit(False)))
+    return trend(asked(observed), asked(classified), asked(events, "event_date"), asked(scopes), asked(manifests), versions, (other(observed), other(classified)))
+
+
 def _reliability(scopes: DataFrame, classified: DataFrame, observed: DataFrame, flows: DataFrame, versions: Column | None) -> DataFrame:
     """Reliability of the three metric families: scope health, classification, and what gating excluded."""
     day = ["snapshot_date", "platform"]

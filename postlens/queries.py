@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .operators import classify, clean, evidence, health, lifecycle, ops, quality, report, scoring, trends
 from .operators.ontology import LATIN_TAGS
+from .plans.cut import cut
 
 c = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -257,12 +258,19 @@ def _sightings(spark, sf_dir):
     return e.groupBy("snapshot_date", c("event_type").alias("platform"), c("user_id").cast("string").alias("job_id")).agg(F.sum("event_id").alias("total"), F.count("*").alias("k"))
 
 
-def _events(spark, sf_dir):
-    s = _sightings(spark, sf_dir)
+def _presence(s):
+    """Sightings as ``lifecycle`` takes them, and the health of their days."""
     # a sighting of one row alone has no trusted text; one day in nine no platform is reliable
     presence = s.select("snapshot_date", "platform", "job_id", F.lit("co").alias("company"), F.lit("t").alias("title"), F.when(c("k") > 1, F.sha2(c("total").cast("string"), 256)).alias("sha"))
-    days = s.select("snapshot_date", "platform").distinct().select("snapshot_date", "platform", F.lit(None).cast("string").alias("company"), (F.dayofmonth("snapshot_date") % 9 != 4).alias("presence_reliable"), F.array(F.when(F.dayofmonth("snapshot_date") >= 20, "b").otherwise("a")).alias("cities"), F.array().cast("array<string>").alias("reason_codes"))
-    return lifecycle.lifecycle(presence, days)
+    day = F.dayofmonth("snapshot_date")
+    days = s.select("snapshot_date", "platform").distinct().select("snapshot_date", "platform", F.lit(None).cast("string").alias("company"), (day % 9 != 4).alias("presence_reliable"), F.array(F.when(day >= 20, "b").otherwise("a")).alias("cities"), F.array().cast("array<string>").alias("reason_codes"))
+    return presence, days
+
+
+def _events(spark, sf_dir, s=None):
+    """s: the sightings, where they are written already. What the plan reads many times, sightings and days, is computed once."""
+    presence, days = _presence(cut(_sightings(spark, sf_dir)) if s is None else s)
+    return lifecycle.lifecycle(presence, cut(days))
 
 
 LIFECYCLE = """s AS (SELECT CAST(ts AS DATE) AS d, event_type AS p, user_id AS id, CASE WHEN count(*) > 1 THEN sha256(CAST(sum(event_id)::BIGINT AS VARCHAR)) END AS sha FROM events GROUP BY 1, 2, 3),

@@ -10,19 +10,10 @@ from pyspark.sql import functions as F
 from .operators import decisions, evidence
 from .plans import incremental, promote, validate
 from .plans.cut import shared_folder
-from .queries import LIFECYCLE, _sightings, c, query, read
+from .queries import LIFECYCLE, _presence, _sightings, c, query, read
 from .sources import drift, regions
 
 
-def _presence(spark, sf_dir):
-    """Sightings of ``events`` and the health of their days, as ``lifecycle_events`` has them."""
-    s = _sightings(spark, sf_dir)
-    presence = s.select("snapshot_date", "platform", "job_id", F.lit("co").alias("company"), F.lit("t").alias("title"), F.when(c("k") > 1, F.sha2(c("total").cast("string"), 256)).alias("sha"))
-    day = F.dayofmonth("snapshot_date")
-    days = s.select("snapshot_date", "platform").distinct().select("snapshot_date", "platform", F.lit(None).cast("string").alias("company"), (day % 9 != 4).alias("presence_reliable"), F.array(F.when(day >= 20, "b").otherwise("a")).alias("cities"), F.array().cast("array<string>").alias("reason_codes"))
-    return presence, days
-
-
 _EVENTS = f"WITH {LIFECYCLE} SELECT d AS event_date, p AS platform, CAST(id AS VARCHAR) AS job_id, t AS event_type, st AS event_status FROM ev"
 _COLUMNS = ("event_date", "platform", "job_id", "event_type", "event_status")
 
@@ -30,13 +21,13 @@ _COLUMNS = ("event_date", "platform", "job_id", "event_type", "event_status")
 @query(_EVENTS)
 def lifecycle_day_by_day(spark, sf_dir):
     """Each day from the stored state of the last one: all days in one plan give the same (``lifecycle_events``)."""
-    return incremental.lifecycle_days(*_presence(spark, sf_dir)).select(*_COLUMNS)
+    return incremental.lifecycle_days(*_presence(_sightings(spark, sf_dir))).select(*_COLUMNS)
 
 
 @query(_EVENTS)
 def lifecycle_by_fold(spark, sf_dir):
     """The same events by going along each identity's days."""
-    return validate.lifecycle_by_fold(*_presence(spark, sf_dir)).select(*_COLUMNS)
+    return validate.lifecycle_by_fold(*_presence(_sightings(spark, sf_dir))).select(*_COLUMNS)
 
 
 @query("""WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, o_orderstatus AS s FROM orders), e AS (SELECT min(m) + CAST((max(m) - min(m)) // 2 AS INTEGER) AS half FROM o),

@@ -202,3 +202,26 @@ def test_diagnostics_compute_no_other_table(spark, sf, monkeypatch):
     whole.drop()
     monkeypatch.setattr(Q.trend, "cut", lambda df: pytest.fail("a working table is written"))
     assert sorted(map(tuple, Q.trend_diagnostics(spark, sf).collect())) == want != []
+
+
+def test_a_trend_of_two_days_has_the_rows_of_the_whole_one(spark, sf):
+    """Labels come from days that are not asked for; every event is checked; sightings and days are not computed again for each reader."""
+    from postlens import queries as B
+    from postlens import queries_trend as Q
+    from postlens.plans import trend
+    from postlens.plans.cut import cut
+
+    s = cut(B._sightings(spark, sf))
+    observed, classified, scopes, manifests = Q._parts(s)
+    events = B._events(spark, sf, s)
+    assert not any("events.parquet" in f for f in events.inputFiles())
+    assert not any("events.parquet" in f for f in B._events(spark, sf).inputFiles())
+    days = ["2024-01-11", "2024-01-25"]
+    at = lambda df, day: [r for r in map(str, df.collect()) if any(f"{day}=datetime.date({int(d[:4])}, {int(d[5:7])}, {int(d[8:])})" in r for d in days)]
+    whole = Q._trend(spark, sf)
+    part = trend.trend_of_days(observed, classified, events, scopes, manifests, days)
+    for name, day in (("metrics", "snapshot_date"), ("companies", "snapshot_date"), ("reliability", "snapshot_date"), ("flows", "event_date"), ("diagnostics", "snapshot_date")):
+        found, wanted = list(map(str, getattr(part, name).collect())), at(getattr(whole, name), day)
+        assert wanted and sorted(found) == sorted(wanted)
+    with pytest.raises(ValueError, match="DUPLICATE_LIFECYCLE_EVENT"):
+        trend.trend_of_days(observed, classified, events.unionByName(events.where("event_type = 'NEW' AND event_date < '2024-01-11'")), scopes, manifests, days)
