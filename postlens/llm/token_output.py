@@ -19,6 +19,7 @@ name do no harm.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from . import simple8b, store
 
 #: Bytes of text, and of coded words, that a task works on at a time (a longer document is worked on alone).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 #: Pieces, and bytes of them, that a worker remembers the ids of.
 CACHED, CACHED_BYTES = 200_000, 4 << 20
 #: Marks of pieces seen before, by hash: a piece is remembered when it comes again.
@@ -51,6 +52,7 @@ _BLANK = _BLANKS.removesuffix("{2}")
 _BLANK_EDGE = f"^{_BLANK}|{_BLANK}$|^$"
 _tokenizers: dict[str, object] = {}
 _spaced: dict[str, np.ndarray] = {}
+_apart: dict[str, bool] = {}
 _pieces: dict[str, _Pieces] = {}
 
 
@@ -115,6 +117,48 @@ def _begins_piece(path: str) -> np.ndarray:
     return _spaced[path]
 
 
+#: Marks that may follow a word; behind a letter they begin a pre-token. No apostrophe, as contractions begin with one.
+_MARKS = np.isin(np.arange(256), list(b".,;:!?&#%$*"))
+#: Letters of one or two bytes, by code point; these have been letters in every version of Unicode.
+_LETTERS = np.array([chr(x).isalpha() for x in range(0x250)])
+
+
+def _takes_words_apart(path: str) -> bool:
+    """Whether texts are cut into runs of letters, of digits and of marks before all else: byte-level, by its own pattern."""
+    if path not in _apart:
+        told = json.loads(tokenizer(path).to_str())
+        cut = told.get("pre_tokenizer") or {}
+        _apart[path] = told.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") is True and not cut.get("add_prefix_space")
+    return _apart[path]
+
+
+def _words_and_rests(pieces: pa.LargeStringArray, path: str) -> pa.LargeStringArray:
+    """For each piece its word, and the marks and next line that follow it: cut behind a letter, where no pre-token goes across.
+
+    Else the whole piece and an empty string.
+    """
+    offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    begin, stop = offsets[:-1], offsets[1:]
+    end = stop.copy()
+    if len(pieces) and _takes_words_apart(path) and stop[-1]:
+        data = np.frombuffer(pieces.buffers()[2], np.uint8)
+        line = begin[0] + np.flatnonzero(data[begin[0] : stop[-1]] == 10)[::-1]  # a piece's first line end comes last
+        end[np.searchsorted(stop, line, side="right")] = line
+        live = np.flatnonzero(end > begin)
+        while len(live):
+            live = live[_MARKS[data[end[live] - 1]]]
+            end[live] -= 1
+            live = live[end[live] > begin[live]]
+        some = np.flatnonzero((end > begin) & (end < stop))
+        last, before = data[end[some] - 1].astype(np.int64), data[np.maximum(end[some] - 2, 0)].astype(np.int64)
+        point = np.where(last < 128, last, np.where((before >= 0xC3) & (before <= 0xC8), (before - 0xC0) * 64 + last - 128, 0))
+        good = np.zeros(len(end), bool)
+        good[some[_LETTERS[point]]] = True
+        end = np.where(good, end, stop)
+    both = np.append(np.column_stack([begin, end]).reshape(-1), offsets[-1:])
+    return pa.LargeStringArray.from_buffers(2 * len(pieces), pa.py_buffer(both), pieces.buffers()[2])
+
+
 class _Pieces:
     """Ids of pieces (without spaces) that each follow a space; the first of a worker are remembered.
 
@@ -193,8 +237,9 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     """Ids of all texts one behind the other, each text's end id included, and their counts.
 
     A byte-level BPE vocabulary never joins across a single space between two
-    other characters: the text is cut before those, and each distinct piece is
-    encoded once. Texts with neighbouring blanks, or with the string of an added
+    other characters: the text is cut before those, where the tokenizer's own
+    pattern allows it also behind words, and each distinct piece is encoded once.
+    Texts with neighbouring blanks, or with the string of an added
     token, are encoded whole.
     """
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -202,20 +247,23 @@ def tokenize(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nd
     for token in _added(path):
         whole = whole | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
     parts = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
-    pieces, per_text = parts.flatten(), np.diff(parts.offsets.to_numpy()).astype(np.int64)
-    coded = pieces.dictionary_encode()
+    per_text = 2 * np.diff(parts.offsets.to_numpy()).astype(np.int64)
+    coded = _words_and_rests(parts.flatten(), path).dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     distinct = coded.dictionary
-    lead = np.ones(len(index), bool)
-    lead[np.cumsum(per_text) - per_text] = False  # a text's first piece has no space before it
-    bare = np.unique(index[~lead])
+    lead = np.arange(len(index)) % 2 == 0
+    lead[np.cumsum(per_text) - per_text] = False  # a text's first piece has no space before it, nor has what follows a word
+    times = np.bincount(index[lead], minlength=len(distinct))
+    spaced, bare = np.flatnonzero(times), np.flatnonzero(np.bincount(index[~lead], minlength=len(distinct)))
     if path not in _pieces:
         _pieces[path] = _Pieces(path)
-    ids, count, begin = _pieces[path](distinct, np.bincount(index, minlength=len(distinct)) > 1)
+    ids, count, begin = _pieces[path](distinct.take(pa.array(spaced)), times[spaced] > 1)
     more, more_count = _ids_of(distinct.take(pa.array(bare)).to_numpy(zero_copy_only=False).tolist(), path)
     begin = np.concatenate([begin, len(ids) + np.cumsum(more_count) - more_count])
     ids, count = np.concatenate([ids, more]), np.concatenate([count, more_count])
-    index[~lead] = len(distinct) + np.searchsorted(bare, index[~lead])
+    place = np.zeros((2, len(distinct)), np.int64)
+    place[0, spaced], place[1, bare] = np.arange(len(spaced)), len(spaced) + np.arange(len(bare))
+    index = np.where(lead, place[0, index], place[1, index])
     wholes = np.flatnonzero(whole)
     if len(wholes):  # their pieces follow the distinct ones; such a text is one empty piece so far
         more, more_count = _whole_ids([texts[int(i)].as_py() for i in wholes], path)

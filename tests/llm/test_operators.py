@@ -795,3 +795,19 @@ def test_store(spark):
     df = store.table(spark.range(5), "t")
     assert df.count() == 5
     store.drop(spark, df)
+
+
+def test_tokens_of_words_and_their_marks(monkeypatch):
+    """Words are encoded without the marks and lines behind them, each new one once, to the ids of the whole text."""
+    path = token_vocabulary()
+    odd = ["", "a", "a,", "a, b. c.", "end.\nNext, word.\n", "don't, it's. 'tis! rock'n", "x'.\ny", "Größe, été! ʼn. é, ß.", "3.14, 2.\n5", "foo\nBar baz\n", "\nfoo, 中文, x中. y", "a&&& b%%%\nC ###", "###", ".\n.", "a..,,!! b\tc, d e.", "  two, blanks.", "a.\n\nb", None, "<|endoftext|>, a.", "ȡ, Ɂ. ɏ! ʼ, ͸.", "a×, b÷. ª, µ."]
+    plain = [token_output.tokenizer(path).encode(t or "", add_special_tokens=False).ids + [2] for t in odd]
+    for rows in (range(len(odd)), range(3, 9)):  # also of a slice whose buffers begin elsewhere
+        ids, count = token_output.tokenize(pa.array(odd).slice(rows[0], len(rows)), path, 2)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [plain[k] for k in rows]
+    monkeypatch.setattr(token_output, "_pieces", {})
+    sent = []
+    real = token_output._ids_of
+    monkeypatch.setattr(token_output, "_ids_of", lambda texts, p: sent.extend(texts) or real(texts, p))
+    token_output.tokenize(pa.array(["so wordling, wordling. wordling!\nThen wordling wordling&&& wordling"]), path, 2)
+    assert "".join(sent).count("wordling") == 1
