@@ -275,13 +275,13 @@ EDUCATION_NEEDS = ("学历", "大专", "专科", "本科", "硕士", "研究生"
 
 
 def _evidence(find, hit: T.StructType):
-    """A function of texts: the evidence ``find`` gives in each one's sentences. Texts that a batch repeats are gone through once."""
-    kind = pa.list_(pa.struct([("sentence", pa.string()), ("sentence_start", pa.int32()), ("hit", pa.struct([(f.name, _KINDS[f.dataType]) for f in hit]))]))
+    """A function of texts: the evidence ``find`` gives in each one's sentences, with these by their places. Texts that a batch repeats are gone through once."""
+    kind = pa.list_(pa.struct([("sentence_start", pa.int32()), ("sentence_end", pa.int32()), ("hit", pa.struct([(f.name, _KINDS[f.dataType]) for f in hit]))]))
 
-    @F.arrow_udf(T.ArrayType(_struct(sentence=_TEXT, sentence_start=_INT, hit=hit)))
+    @F.arrow_udf(T.ArrayType(_struct(sentence_start=_INT, sentence_end=_INT, hit=hit)))
     def found(texts: pa.Array) -> pa.Array:
         coded = texts.dictionary_encode()
-        each = ([{"sentence": x["sentence"], "sentence_start": x["start"], "hit": h} for x in sentences_of(t) for h in find(x["sentence"])] for t in coded.dictionary.to_pylist())
+        each = ([{"sentence_start": x["start"], "sentence_end": x["end"], "hit": h} for x in sentences_of(t) for h in find(x["sentence"])] for t in coded.dictionary.to_pylist())
         return pa.array(each, kind).take(coded.indices)
 
     return found
@@ -294,9 +294,10 @@ _education = _evidence(lambda x: [y] if (y := education_in(x)) else [], EDUCATIO
 def evidence_rows(jobs: DataFrame, found, needs: tuple[str, ...], sections: tuple[str, ...] = ("requirements", "description")) -> DataFrame:
     """A row for each piece of evidence: ``source_section, sentence, sentence_start, _hit``; only sections with one of the words go to Python, once."""
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(s).alias("text")) for s in sections])
-    rows = jobs.withColumn("_s", F.explode(F.filter(each, lambda s: F.coalesce(_names(s.text, needs), F.lit(False)))))
+    rows = jobs.withColumn("_s", F.explode(each)).where(_names(F.col("_s.text"), needs))
     rows = rows.withColumn("_x", F.explode(found(F.col("_s.text"))))
-    return rows.withColumns({"source_section": F.col("_s.section"), "sentence": F.col("_x.sentence"), "sentence_start": F.col("_x.sentence_start"), "_hit": F.col("_x.hit")}).drop("_s", "_x")
+    start, end = F.col("_x.sentence_start"), F.col("_x.sentence_end")
+    return rows.withColumns({"source_section": F.col("_s.section"), "sentence": F.substring(F.col("_s.text"), start + 1, end - start), "sentence_start": start, "_hit": F.col("_x.hit")}).drop("_s", "_x")
 
 
 def experience_evidence(jobs: DataFrame) -> DataFrame:
@@ -312,8 +313,11 @@ def education_evidence(jobs: DataFrame) -> DataFrame:
 
 
 def _names(sentence: Column, words: tuple[str, ...]) -> Column:
-    found = F.lit(False)
-    for w in words:
+    """If it has one of the words, in any case; it is lowered only for words that have one, which come last."""
+    found, cased = F.lit(False), [w for w in words if w.upper() != w]
+    for w in [w for w in words if w not in cased]:
+        found = found | F.contains(sentence, F.lit(w))
+    for w in cased:
         found = found | F.contains(F.lower(sentence), F.lit(w))
     return found
 

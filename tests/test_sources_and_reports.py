@@ -252,3 +252,16 @@ def test_evidence_goes_through_repeated_texts_once(spark):
     once = evidence._evidence(lambda x: count.add(1) or evidence.years_in(x), evidence.YEAR_HIT.elementType)
     evidence.evidence_rows(jobs.coalesce(1), once, evidence.EXPERIENCE_NEEDS).collect()
     assert count.value <= 6
+
+
+def test_evidence_sentences_are_cut_by_their_places(spark):
+    """Sentences come from the text by their places, those after characters beyond 16 bits too; words without case are looked for in the text as it is."""
+    texts = ["𠮷😀 简介。\n（1） 3年以上测试经验 ；熟悉", "- 至少五年　研发经验。2. 经验不限", "\t应届毕业生\r\n", "PHD Preferred；硕士优先"]
+    jobs = spark.createDataFrame([("p", str(i), "", "", x, "") for i, x in enumerate(texts)], "platform string, job_id string, experience string, education string, requirements string, description string")
+    want = lambda find: sorted((str(i), x["sentence"]) for i, t in enumerate(texts) for x in evidence.sentences_of(t) for _ in find(x["sentence"]))
+    years = evidence.experience_evidence(jobs)
+    assert sorted((r.job_id, r.sentence) for r in years.collect()) == want(evidence.years_in) and years.count() == 4
+    degrees = evidence.education_evidence(jobs)
+    assert sorted((r.job_id, r.sentence) for r in degrees.collect()) == want(lambda x: [y for y in [evidence.education_in(x)] if y]) and degrees.count() == 2
+    plan = years._jdf.queryExecution().optimizedPlan().toString()
+    assert "lower(" not in plan and "lambda" not in plan
