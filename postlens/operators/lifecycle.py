@@ -103,24 +103,26 @@ def lifecycle(presence: DataFrame, days: DataFrame, confirmation_runs: int = 2)
 STATE = "platform string, job_id string, company string, title string, sha string, cities array<string>, streak int, missing boolean, removed boolean, last_seen date"
 
 
-def advance(state: DataFrame, presence: DataFrame, scopes: DataFrame, before: DataFrame | None, day: str, cities: list[str] | None, cities_before: list[str] | None = None, confirmation_runs: int = 2) -> DataFrame:
-    """One more day: every identity's new state (``STATE``) with ``events``, what the day adds to ``lifecycle``'s rows.
+def advance(state: DataFrame, presence: DataFrame, scopes: DataFrame, before: DataFrame | None, day: str, cities: list[str] | None, cities_before: list[str] | None = None, confirmation_runs: int = 2, as_text: bool = False) -> DataFrame:
+    """One more day: every identity's new state (``STATE``) with ``events``, what the day adds to ``lifecycle``'s rows (null: nothing).
 
     state: that of the last observation day; presence: the day's ``platform, job_id, company, title, sha``; scopes and
     before: the day's and the last day's ``platform, company`` (null: the platform's one scope), ``presence_reliable,
-    reason_codes`` (before: null on the first day). One join by identity: the work follows identities, whatever the days so far.
+    reason_codes`` (before: null on the first day), a row each. One join by identity: the work follows identities, whatever the days so far.
+    as_text: ``last_seen`` (the state's too) and ``event_date`` are text; a date would stand as a number in the code that Spark
+    generates and compiles, and each day would have code of its own.
     """
     if confirmation_runs < 2:
         raise ValueError("removal needs at least two runs")
     text = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
-    today = F.lit(day).cast("date")
+    today = F.lit(day) if as_text else F.lit(day).cast("date")
     here = F.lit(cities).cast("array<string>") if cities is None else text(*cities)
     changed = F.lit(cities_before is not None and cities is not None and cities != cities_before)
     old, new = (df.select(*KEYS, F.struct(*[k for k in df.columns if k not in KEYS]).alias(name)) for df, name in ((state, "old"), (presence.select(*KEYS, "company", "title", "sha"), "new")))
     rows = old.join(new, [*KEYS], "full_outer")
     present, known = c("new").isNotNull(), c("old").isNotNull()
     rows = rows.withColumns({"who": F.coalesce("new.company", "old.company"), "named": F.coalesce("new.title", "old.title")})
-    single = scopes.where("company IS NULL").select("platform", F.lit(True).alias("one")).distinct()
+    single = scopes.where("company IS NULL").select("platform", F.lit(True).alias("one"))
     rows = rows.join(single, "platform", "left").withColumn("scope", F.when(c("one"), "").otherwise(F.coalesce("who", F.lit(""))))
     told = scopes.select("platform", F.coalesce("company", F.lit("")).alias("scope"), c("presence_reliable").alias("reliable"), c("reason_codes").alias("codes"))
     rows = rows.join(told, ["platform", "scope"], "left")
@@ -128,27 +130,28 @@ def advance(state: DataFrame, presence: DataFrame, scopes: DataFrame, before: Da
         rows = rows.withColumn("was_reliable", F.lit(False))
     else:
         rows = rows.join(before.select("platform", F.coalesce("company", F.lit("")).alias("scope"), c("presence_reliable").alias("was_reliable")), ["platform", "scope"], "left")
-    reliable, was = F.coalesce("reliable", F.lit(False)), F.coalesce("was_reliable", F.lit(False))
-    fresh = was & ~changed & reliable
-    gone = ~present & ~F.coalesce("old.removed", F.lit(False))
-    moved = changed | ~c("old.cities").eqNullSafe(here)
-    counts = gone & reliable & ~moved
-    streak = F.when(present, 0).otherwise(c("old.streak") + F.when(counts, 1).otherwise(0)).cast("int")
-    removed = F.when(present, False).otherwise(c("old.removed") | (counts & (streak >= confirmation_runs)))
-    none = F.lit(None).cast("string")
-    event = lambda when, kind, sure, company, title, previous, current, why: F.when(when, F.struct(today.alias("event_date"), *KEYS, company.alias("company"), title.alias("title"), kind.alias("event_type"), F.when(sure, "confirmed").otherwise("provisional").alias("event_status"), previous.alias("previous_sha256"), current.alias("current_sha256"), why.alias("reason_codes")))
-    then_who, then_named, prev, sha = F.coalesce("old.company", "who"), F.coalesce("old.title", "named"), c("old.sha"), c("new.sha")
-    unsure = F.concat(text("SOURCE_UNRELIABLE"), F.coalesce("codes", text("MANIFEST_SCOPE_MISSING")), F.when(moved, text("SOURCE_SCOPE_CHANGED")).otherwise(text()))
-    lost = counts & (streak >= confirmation_runs)
-    events = F.array(
-        event(present & ~known, F.when(fresh, "NEW").otherwise("FIRST_SEEN"), fresh, c("who"), c("named"), none, sha, F.when(fresh, text("RELIABLE_ABSENCE_TO_PRESENCE")).otherwise(text("NO_COMPARABLE_PRIOR_ABSENCE"))),
-        event(present & known & c("old.missing"), F.lit("REAPPEARED"), reliable & ~changed, then_who, then_named, prev, sha, text("PREVIOUSLY_MISSING")),
-        event(present & known & F.coalesce(sha != prev, F.lit(False)), F.lit("UPDATED"), F.lit(True), then_who, then_named, prev, sha, text("RELIABLE_CONTENT_CHANGED")),
-        event(gone, F.when(lost, "REMOVED").otherwise("MISSING"), lost, c("who"), c("named"), prev, none, F.when(counts, text("RELIABLE_ABSENCE")).otherwise(unsure)),
-    )
+    # each layer's columns are computed once; no array_compact, for which Spark would not compile the events
+    reliable = F.coalesce("reliable", F.lit(False))
+    rows = rows.withColumns(
+        {"fresh": F.coalesce("was_reliable", F.lit(False)) & ~changed & reliable, "first": present & ~known, "back": present & known & c("old.missing"), "updated": present & known & F.coalesce(c("new.sha") != c("old.sha"), F.lit(False)),
+         "gone": ~present & ~F.coalesce("old.removed", F.lit(False)), "moved": changed | ~c("old.cities").eqNullSafe(here)}
+    )
+    rows = rows.withColumns({"counts": c("gone") & reliable & ~c("moved"), "shown": c("first") | c("back") | c("gone")})
+    streak = F.when(present, 0).otherwise(c("old.streak") + F.when(c("counts"), 1).otherwise(0)).cast("int")
+    lost = c("counts") & (c("old.streak") + 1 >= confirmation_runs)
+    unsure = F.concat(text("SOURCE_UNRELIABLE"), F.coalesce("codes", text("MANIFEST_SCOPE_MISSING")), F.when(c("moved"), text("SOURCE_SCOPE_CHANGED")).otherwise(text()))
+    by = lambda first, back, gone: F.when(c("first"), first).when(c("back"), back).otherwise(gone)
+    event = lambda kind, sure, company, title, previous, current, why: F.struct(today.alias("event_date"), *KEYS, company.alias("company"), title.alias("title"), kind.alias("event_type"), F.when(sure, "confirmed").otherwise("provisional").alias("event_status"), previous.alias("previous_sha256"), current.alias("current_sha256"), why.alias("reason_codes"))
+    then_who, then_named = F.coalesce("old.company", "who"), F.coalesce("old.title", "named")
+    kind = by(F.when(c("fresh"), "NEW").otherwise("FIRST_SEEN"), F.lit("REAPPEARED"), F.when(lost, "REMOVED").otherwise("MISSING"))
+    why = by(F.when(c("fresh"), text("RELIABLE_ABSENCE_TO_PRESENCE")).otherwise(text("NO_COMPARABLE_PRIOR_ABSENCE")), text("PREVIOUSLY_MISSING"), F.when(c("counts"), text("RELIABLE_ABSENCE")).otherwise(unsure))
+    shown = event(kind, by(c("fresh"), reliable & ~changed, lost), F.when(c("back"), then_who).otherwise(c("who")), F.when(c("back"), then_named).otherwise(c("named")), c("old.sha"), c("new.sha"), why)
+    update = event(F.lit("UPDATED"), F.lit(True), then_who, then_named, c("old.sha"), c("new.sha"), text("RELIABLE_CONTENT_CHANGED"))
+    rows = rows.withColumns({"_shown": F.when(c("shown"), shown), "_update": F.when(c("updated"), update)})
+    events = F.when(c("shown") & c("updated"), F.array("_shown", "_update")).when(c("shown"), F.array("_shown")).when(c("updated"), F.array("_update"))
     return rows.select(
         *KEYS, c("who").alias("company"), c("named").alias("title"), F.coalesce("new.sha", "old.sha").alias("sha"), F.when(present, here).otherwise(c("old.cities")).alias("cities"), streak.alias("streak"),
-        F.when(present, False).otherwise(F.lit(True)).alias("missing"), removed.alias("removed"), F.when(present, today).otherwise(c("old.last_seen")).alias("last_seen"), F.array_compact(events).alias("events"),
+        (~present).alias("missing"), F.when(present, False).otherwise(c("old.removed") | lost).alias("removed"), F.when(present, today).otherwise(c("old.last_seen")).alias("last_seen"), events.alias("events"),
     )
 
 

@@ -185,30 +185,48 @@ def compare_with_previous(spark: SparkSession, stores: Stores, day: str) -> dict
     return compare_stored(spark, stores, earlier[-1], day) if earlier else None
 
 
+#: How many days' states are kept before their events are written to a table of their own.
+KEPT = 5
+
+
 def lifecycle_days(presence: DataFrame, days: DataFrame, confirmation_runs: int = 2) -> DataFrame:
-    """The events of ``lifecycle.lifecycle`` with the same input, a day at a time: each step reads the last one's state and its own day."""
+    """The events of ``lifecycle.lifecycle`` with the same input, a day at a time: each step reads the last one's state and its own day.
+
+    They are tables of their own; the input is not read again.
+    """
     spark = presence.sparkSession
+    presence, days = presence.where("snapshot_date IS NOT NULL"), days.where("snapshot_date IS NOT NULL")
     dates = [(r.day, r.cities) for r in days.groupBy(c("snapshot_date").cast("string").alias("day")).agg(F.first("cities").alias("cities")).orderBy("day").collect()]  # a row a day
     if not dates:
-        return lifecycle.lifecycle(presence, days, confirmation_runs)
+        return cut(lifecycle.lifecycle(presence, days, confirmation_runs))  # without events; like them it reads nothing of its input later
     store = f"{shared_folder(spark)}/postlens/days-{uuid.uuid4().hex[:12]}"
-    for name, df in (("presence", presence.where("snapshot_date IS NOT NULL")), ("scopes", days)):
+    for name, df in (("presence", presence), ("scopes", days)):
         df.repartition("snapshot_date").write.partitionBy("snapshot_date").parquet(f"{store}/{name}")
-    none = presence.limit(0).drop("snapshot_date")
+    kinds = {"presence": presence.drop("snapshot_date").schema, "scopes": days.drop("snapshot_date").schema}
+    of = lambda name, day: spark.read.schema(kinds[name]).parquet(f"{store}/{name}/snapshot_date={day}")
+    none = spark.createDataFrame([], kinds["presence"])
     seen = set(partition_values(spark, f"{store}/presence", "snapshot_date"))
-    state, before, last = spark.createDataFrame([], lifecycle.STATE), None, None
-    held: list[DataFrame] = []
+    state, before, last = spark.createDataFrame([], lifecycle.STATE).withColumn("last_seen", c("last_seen").cast("string")), None, None
+    kept: list[DataFrame] = []
+    spent: list[DataFrame] = []
     out: list[DataFrame] = []
     for day, cities in dates:
-        scopes = _day(spark, f"{store}/scopes", day)
-        moved = cut(lifecycle.advance(state, _day(spark, f"{store}/presence", day) if day in seen else none, scopes, before, day, cities, last, confirmation_runs))
-        out.append(cut(moved.select(F.inline("events"))))
-        drop(*held[:1])
-        held = [moved]
+        scopes = of("scopes", day)
+        moved = cut(lifecycle.advance(state, of("presence", day) if day in seen else none, scopes, before, day, cities, last, confirmation_runs, as_text=True))
+        drop(*spent)
+        kept, spent = [*kept, moved], []
         state, before, last = moved.drop("events"), scopes, cities
-    drop(*held)
+        if len(kept) == KEPT or day == dates[-1][0]:
+            out.append(cut(_whole([df.select(F.inline("events")).withColumn("event_date", c("event_date").cast("date")) for df in kept])))
+            drop(*kept[:-1])
+            kept, spent = [], [moved]
+    drop(*spent)
     delete(spark, store)
-    whole = out[0]
-    for df in out[1:]:
+    return _whole(out)
+
+
+def _whole(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for df in parts[1:]:
         whole = whole.unionByName(df)
     return whole

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .operators import decisions, evidence
 from .plans import incremental, promote, validate
-from .plans.cut import shared_folder
+from .plans.cut import cut, drop, shared_folder
 from .queries import LIFECYCLE, _presence, _sightings, c, query, read
 from .sources import drift, regions
 
@@ -21,7 +21,10 @@ _COLUMNS = ("event_date", "platform", "job_id", "event_type", "event_status")
 @query(_EVENTS)
 def lifecycle_day_by_day(spark, sf_dir):
     """Each day from the stored state of the last one: all days in one plan give the same (``lifecycle_events``)."""
-    return incremental.lifecycle_days(*_presence(_sightings(spark, sf_dir))).select(*_COLUMNS)
+    s = cut(_sightings(spark, sf_dir))  # read for the days, their scopes and their postings
+    events = incremental.lifecycle_days(*_presence(s)).select(*_COLUMNS)
+    drop(s)
+    return events
 
 
 @query(_EVENTS)

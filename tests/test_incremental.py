@@ -1,6 +1,7 @@
 """Days one at a time with stored state give what all days in one plan give."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,40 @@ def test_all_sources_unreliable(spark, tmp_path):
 def test_advance_needs_two_runs(spark):
     with pytest.raises(ValueError):
         lifecycle.advance(None, None, None, None, "2024-01-01", None, confirmation_runs=1)
+
+
+def _observed(spark):
+    """Twelve days of two platforms, one with a scope a company; unreliable days, a day without a scope, other cities from the eighth day, rows without a date."""
+    pick, days = random.Random(5), [dt.date(2024, 1, d) for d in range(1, 13)]
+    seen = [(d, p, str(i), pick.choice(["x", "y"]) if p == "many" else "co", f"t{pick.randint(1, 2)}", pick.choice([None, "s1", "s2"])) for d in [*days, None] for p in ("one", "many") for i in range(12) if pick.random() < 0.45]
+    health = [(d, p, who, pick.random() < 0.7, ["b"] if d and d.day >= 8 else ["a"], pick.choice([[], ["R"]])) for d in [*days, None] for p, who in (("one", None), ("many", "x"), ("many", "y")) if (p, who, d) != ("many", "y", days[4])]
+    presence = spark.createDataFrame(seen, "snapshot_date date, platform string, job_id string, company string, title string, sha string")
+    return presence, spark.createDataFrame(health, "snapshot_date date, platform string, company string, presence_reliable boolean, cities array<string>, reason_codes array<string>")
+
+
+def test_a_day_at_a_time_tells_all_of_every_event(spark):
+    presence, days = _observed(spark)
+    dated = [df.where("snapshot_date IS NOT NULL") for df in (presence, days)]
+    want = lifecycle.lifecycle(*dated)
+    got = incremental.lifecycle_days(presence, days)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {r.event_type for r in got.select("event_type").distinct().collect()} == {"FIRST_SEEN", "NEW", "UPDATED", "MISSING", "REMOVED", "REAPPEARED"}
+    assert incremental.lifecycle_days(presence, days.limit(0)).count() == 0
+
+
+def test_days_share_their_generated_code(spark):
+    """A day's number in the code would have each day compiled anew; the events are compiled too, not evaluated by a lambda's fallback."""
+    presence, days = _observed(spark)
+    state = spark.createDataFrame([], lifecycle.STATE.replace("last_seen date", "last_seen string"))
+    codes, adaptive = [], spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for day in ("2024-01-02", "2024-01-03"):
+            plan = lifecycle.advance(state, presence.drop("snapshot_date"), days, days, day, ["a"], ["a"], as_text=True)._jdf.queryExecution()
+            parts = plan.debug().codegenToSeq()
+            codes.append(sorted(parts.apply(i)._2() for i in range(parts.size())))
+            assert "lambda" not in plan.optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert codes[0] == codes[1] and codes[0]
